@@ -2,23 +2,42 @@
 
 Each query derives the bank tables from the driver tables of ``sf_dir``
 (see ``ledgerlake.sources.binding``) and runs one operator or pipeline over
-the whole tables.  Sink queries write below the shared work folder and
-return the read-back of what they wrote.
+the whole tables.  Sink queries write below the shared work folder (a new
+folder per call) and return the read-back of what they wrote.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.catalog.oracle import START_MONTH, START_YEAR
+from ledgerlake.functions.scalars import (coalesce_default, exact_decimal, money, nonempty,
+                                          period_key, period_literal, to_day)
+from ledgerlake.operators import aggregates as agg
+from ledgerlake.operators import export, publish
+from ledgerlake.operators.filters import filter_date_from, filter_nonempty
+from ledgerlake.operators.joins import (join_chain, latest_rows, left_join_aggregated,
+                                        left_join_residual, sized_broadcast)
+from ledgerlake.operators.mapping import apply_mapping, to_raw_strings
 from ledgerlake.plans import marts
-from ledgerlake.sources.binding import bank_tables
+from ledgerlake.plans.staging import stage_table
+from ledgerlake.schemas import CASH_WITHDRAWAL, CREDIT_IN_CASH, PARTITIONS, mapping_for
+from ledgerlake.session import fresh_dir
+from ledgerlake.sources.binding import bank_tables, register_bank_views
+from ledgerlake.sources.csv_landing import scan_csv_by_name
+from ledgerlake.sources.tables import scan_partitioned_parquet, scan_table
+from ledgerlake.streaming.ingest import ingest_landing, read_ingested
+from ledgerlake.streaming.routing import landing_route
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
+# The period queries run for this month and, for the export, the next one.
+NEXT_YEAR, NEXT_MONTH = (START_YEAR, START_MONTH + 1) if START_MONTH < 12 else (START_YEAR + 1, 1)
+
 
 def query(name: str):
     def register(fn: QueryFn) -> QueryFn:
@@ -27,8 +46,502 @@ def query(name: str):
     return register
 
 
+# ---------------------------------------------------------------------------
+# raw inputs derived from the driver tables
+# ---------------------------------------------------------------------------
+
+def raw_table(b: dict[str, DataFrame], table: str) -> DataFrame:
+    """Landing (all-text) form of a bank table."""
+    if table == "loan_portfolio":
+        src = b["loan"].select(F.col("loan_id"), F.col("amount").alias("funded_amount"),
+                               F.col("fulldate").alias("funded_date"))
+    else:
+        src = b[table]
+    return to_raw_strings(src, mapping_for(table))
+
+
+def _stage(spark, sf_dir, table):
+    b = bank_tables(spark, sf_dir)
+    return stage_table(spark, raw_table(b, table), table, fresh_dir(spark, f"stage-{table}"))
+
+
+for _t in ("account", "card", "client", "disposition", "district", "loan", "loan_portfolio",
+           "order", "transaction"):
+    QUERIES[f"stage_{_t}"] = (lambda t: lambda spark, sf_dir: _stage(spark, sf_dir, t))(_t)
+
+
+# ---------------------------------------------------------------------------
+# scans
+# ---------------------------------------------------------------------------
+
+@query("scan_table")
+def q_scan_table(spark, sf_dir):
+    register_bank_views(spark, sf_dir, prefix="bank_")
+    return scan_table(spark, "bank_transaction")
+
+
+def _published_transactions(spark, sf_dir, partition_cols=("year", "month")) -> tuple[str, DataFrame]:
+    b = bank_tables(spark, sf_dir)
+    path = fresh_dir(spark, "published-transaction")
+    publish.publish_rebuild(b["transaction"], path, partition_cols)
+    return path, b["transaction"]
+
+
+@query("scan_partitioned_parquet")
+def q_scan_partitioned_parquet(spark, sf_dir):
+    path, txn = _published_transactions(spark, sf_dir)
+    return scan_partitioned_parquet(spark, path, schema=txn.schema)
+
+
+@query("scan_csv_by_name")
+def q_scan_csv_by_name(spark, sf_dir):
+    """Card landing files in two column orders (one with an extra column)."""
+    b = bank_tables(spark, sf_dir)
+    raw = raw_table(b, "card")
+    landing = fresh_dir(spark, "landing-card")
+    first = F.coalesce(F.col("type"), F.lit("")) < F.lit("M")
+    (raw.where(first).select("card_id", "disp_id", "type", "year", "month", "day", "fulldate")
+     .write.option("header", True).csv(f"{landing}/a"))
+    (raw.where(~first).select("fulldate", "day", "month", "year", "type",
+                              F.lit("x").alias("extra_col"), "disp_id", "card_id")
+     .write.option("header", True).csv(f"{landing}/b"))
+    return scan_csv_by_name(spark, [f"{landing}/a", f"{landing}/b"],
+                            mapping_for("card").source_names)
+
+
+# ---------------------------------------------------------------------------
+# mapping
+# ---------------------------------------------------------------------------
+
+@query("apply_mapping")
+def q_apply_mapping(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return apply_mapping(raw_table(b, "transaction"), mapping_for("transaction"),
+                         Observation("transaction_rejects"))
+
+
+# ---------------------------------------------------------------------------
+# publishing
+# ---------------------------------------------------------------------------
+
+@query("stage_full_refresh")
+def q_stage_full_refresh(spark, sf_dir):
+    """Two staging loads of the same table: the second replaces the first."""
+    b = bank_tables(spark, sf_dir)
+    path = fresh_dir(spark, "stage-transaction")
+    raw = raw_table(b, "transaction")
+    stage_table(spark, raw, "transaction", path)
+    return stage_table(spark, raw, "transaction", path)
+
+
+@query("publish_rebuild_monthly")
+def q_publish_rebuild_monthly(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    path = fresh_dir(spark, "published-account")
+    publish.publish_rebuild(b["account"], path, PARTITIONS["account"])
+    publish.publish_rebuild(b["account"], path, PARTITIONS["account"])
+    return publish.read_back(spark, path, b["account"].schema)
+
+
+@query("publish_rebuild_daily")
+def q_publish_rebuild_daily(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    path = fresh_dir(spark, "published-transaction-daily")
+    publish.publish_rebuild(b["transaction"], path, PARTITIONS["transaction"])
+    return publish.read_back(spark, path, b["transaction"].schema)
+
+
+def _latest_period(df: DataFrame, date_col: str) -> tuple:
+    """Latest date and its (year, month) -- one small aggregate."""
+    row = df.agg(F.max(date_col).alias("d")).first()
+    d = row["d"]
+    return d, d.year, d.month
+
+
+def _base_and_batch(b):
+    """Account rows before the latest day, and the complete latest month."""
+    acc = b["account"]
+    last_day, y, m = _latest_period(acc, "parseddate")
+    base = acc.where(F.col("parseddate") < F.lit(last_day))
+    batch = acc.where((F.col("year") == y) & (F.col("month") == m))
+    return acc, base, batch
+
+
+@query("publish_refresh_period")
+def q_publish_refresh_period(spark, sf_dir):
+    """Base without the last day, then the complete latest month, twice:
+    the period is replaced, the re-run changes nothing."""
+    b = bank_tables(spark, sf_dir)
+    acc, base, batch = _base_and_batch(b)
+    path = fresh_dir(spark, "published-account")
+    parts = PARTITIONS["account"]
+    publish.publish_rebuild(base, path, parts)
+    publish.publish_refresh_period(batch, path, parts)
+    publish.publish_refresh_period(batch, path, parts)
+    return publish.read_back(spark, path, acc.schema)
+
+
+@query("publish_append")
+def q_publish_append(spark, sf_dir):
+    """Published daily behaviour: the batch is appended on every run."""
+    b = bank_tables(spark, sf_dir)
+    acc, base, batch = _base_and_batch(b)
+    path = fresh_dir(spark, "published-account")
+    parts = PARTITIONS["account"]
+    publish.publish_rebuild(base, path, parts)
+    publish.publish_append(batch, path, parts)
+    publish.publish_append(batch, path, parts)
+    return publish.read_back(spark, path, acc.schema)
+
+
+@query("publish_snapshot")
+def q_publish_snapshot(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    path = fresh_dir(spark, "published-order")
+    publish.publish_snapshot(b["order"], path)
+    publish.publish_snapshot(b["order"], path)
+    return publish.read_back(spark, path, b["order"].schema)
+
+
+@query("publish_schema_evolution")
+def q_publish_schema_evolution(spark, sf_dir):
+    """Older periods were published without ``frequency``; the latest
+    period's refresh adds it.  Older rows read it as NULL."""
+    b = bank_tables(spark, sf_dir)
+    acc, base, batch = _base_and_batch(b)
+    path = fresh_dir(spark, "published-account")
+    parts = PARTITIONS["account"]
+    publish.publish_evolving(spark, base.drop("frequency"), path, parts)
+    out = publish.publish_evolving(spark, batch, path, parts)
+    return out.select(*acc.columns)
+
+
+@query("period_scope")
+def q_period_scope(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return publish.period_scope(b["transaction"], PARTITIONS["transaction"])
+
+
+def _bank_args(b, *names):
+    return [b[n] for n in names]
+
+
+@query("write_mart")
+def q_write_mart(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    mart = marts.account_summary(*_bank_args(b, "account", "transaction", "order",
+                                             "disposition", "card"))
+    path = fresh_dir(spark, "mart-account-summary")
+    publish.write_mart(mart, path)
+    return publish.read_back(spark, path, mart.schema)
+
+
+def _summary_exact(b, year, month):
+    return marts.customer_summary_exact(*_bank_args(b, "client", "disposition", "account",
+                                                    "district", "transaction", "loan"),
+                                        year, month)
+
+
+@query("export_customer_summary_upsert")
+def q_export_customer_summary_upsert(spark, sf_dir):
+    """Export month 1, then month 2, then month 1 again: every key once."""
+    b = bank_tables(spark, sf_dir)
+    root = fresh_dir(spark, "export-customer-summary")
+    first = export.summary_items(_summary_exact(b, START_YEAR, START_MONTH))
+    second = export.summary_items(_summary_exact(b, NEXT_YEAR, NEXT_MONTH))
+    export.upsert_keyed(spark, first, root)
+    export.upsert_keyed(spark, second, root)
+    return export.upsert_keyed(spark, first, root)
+
+
+# ---------------------------------------------------------------------------
+# filters and projections
+# ---------------------------------------------------------------------------
+
+@query("filter_nonempty")
+def q_filter_nonempty(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return filter_nonempty(b["transaction"], "operation").select(
+        "trans_id", "account_id", "operation", "amount")
+
+
+@query("filter_date_from")
+def q_filter_date_from(spark, sf_dir):
+    """On the (year, month)-partitioned layout: the implied period predicate
+    prunes partitions, the date predicate is exact."""
+    path, txn = _published_transactions(spark, sf_dir)
+    df = scan_partitioned_parquet(spark, path, schema=txn.schema)
+    return filter_date_from(df, START_YEAR, START_MONTH, "fulldate", ("year", "month")).select(
+        "trans_id", "account_id", "fulldate", "amount", "year", "month")
+
+
+@query("with_period_column")
+def q_with_period_column(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return b["account"].select("account_id", "frequency",
+                               F.lit(period_literal(START_YEAR, START_MONTH)).alias("pdate"))
+
+
+# ---------------------------------------------------------------------------
+# joins
+# ---------------------------------------------------------------------------
+
+@query("inner_join_chain")
+def q_inner_join_chain(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    cln = b["client"].select("client_id")
+    d = b["disposition"].select(F.col("client_id").alias("d_client"),
+                                F.col("account_id").alias("d_account"), "type")
+    acc = b["account"].select("account_id", "frequency", F.col("district_id").alias("a_district"))
+    dist = sized_broadcast(b["district"].select(F.col("district_id").alias("dt_district"),
+                                                F.col("city").alias("branch")))
+    out = join_chain(cln, [(d, cln.client_id == d.d_client, "inner"),
+                           (acc, F.col("d_account") == acc.account_id, "inner"),
+                           (dist, F.col("a_district") == F.col("dt_district"), "inner")])
+    return out.select("client_id", "account_id", "frequency", "branch", "type")
+
+
+@query("left_join_chain")
+def q_left_join_chain(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    cln = b["client"].select("client_id")
+    d = b["disposition"].select(F.col("client_id").alias("d_client"),
+                                F.col("account_id").alias("d_account"), "type")
+    acc = b["account"].select("account_id", "frequency", "parseddate")
+    out = join_chain(cln, [(d, cln.client_id == d.d_client, "left"),
+                           (acc, F.col("d_account") == acc.account_id, "left")])
+    return out.select("client_id", "type", "account_id", "frequency", "parseddate")
+
+
+@query("left_join_residual")
+def q_left_join_residual(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    acc = b["account"].select("account_id")
+    txn = b["transaction"].select("account_id", "trans_id", "operation", "amount")
+    return left_join_residual(acc, txn, "account_id", nonempty("operation"))
+
+
+@query("left_join_aggregated")
+def q_left_join_aggregated(spark, sf_dir):
+    """account LEFT JOIN (transactions per account and month since the start)
+    LEFT JOIN (loans per account and month since the start), on the account."""
+    b = bank_tables(spark, sf_dir)
+    txn = (filter_date_from(b["transaction"], START_YEAR, START_MONTH)
+           .groupBy("account_id", "year", "month")
+           .agg(agg.rounded_total("amount").cast("double").alias("total_spent"),
+                F.count("trans_id").alias("total_transactions"))
+           .drop("year", "month"))
+    loans = (filter_date_from(b["loan"], START_YEAR, START_MONTH)
+             .groupBy("account_id", "year", "month")
+             .agg(agg.rounded_total("amount").cast("double").alias("total_loan_amount"),
+                  F.count("loan_id").alias("total_loans"))
+             .drop("year", "month"))
+    acc = b["account"].select("account_id")
+    return left_join_aggregated(acc, [txn, loans], "account_id").select(
+        "account_id", coalesce_default("total_transactions").alias("total_transactions"),
+        coalesce_default("total_spent").cast("double").alias("total_spent"),
+        coalesce_default("total_loan_amount").cast("double").alias("total_loan_amount"),
+        coalesce_default("total_loans").alias("total_loans"))
+
+
+@query("latest_by_key")
+def q_latest_by_key(spark, sf_dir):
+    """Rows carrying their account's latest timestamp (ties kept)."""
+    b = bank_tables(spark, sf_dir)
+    txn = b["transaction"].select("account_id", "trans_id", "balance", "fulldatewithtime")
+    return latest_rows(txn, "account_id", "fulldatewithtime")
+
+
+@query("self_join_latest")
+def q_self_join_latest(spark, sf_dir):
+    """Non-empty-operation transactions joined to their account's latest
+    balances, grouped per (account, balance): joined row counts."""
+    b = bank_tables(spark, sf_dir)
+    txn = b["transaction"]
+    latest = latest_rows(txn.select("account_id", "balance", "fulldatewithtime"),
+                         "account_id", "fulldatewithtime")
+    per_balance = latest.groupBy("account_id", "balance").agg(F.count(F.lit(1)).alias("m"))
+    rows = (txn.where(nonempty("operation") & F.col("account_id").isNotNull())
+            .groupBy("account_id").agg(F.count(F.lit(1)).alias("n")))
+    return (rows.join(per_balance, "account_id")
+            .select("account_id", "balance", (F.col("n") * F.col("m")).alias("joined_rows")))
+
+
+# ---------------------------------------------------------------------------
+# aggregates
+# ---------------------------------------------------------------------------
+
+@query("agg_count_sum")
+def q_agg_count_sum(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return agg.count_sum(b["transaction"], ["account_id"], "trans_id", "amount",
+                         "total_transactions", "total_transaction_amount")
+
+
+@query("agg_rounded_total")
+def q_agg_rounded_total(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return b["loan"].groupBy("account_id").agg(
+        agg.rounded_total("amount").cast("double").alias("total_loan_amount"),
+        F.count("loan_id").alias("total_loans"))
+
+
+@query("agg_conditional_sum")
+def q_agg_conditional_sum(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return b["transaction"].groupBy("account_id").agg(
+        agg.conditional_sum("amount", "operation", CREDIT_IN_CASH).cast("double")
+        .alias("total_in_cash_credit"),
+        agg.conditional_sum("amount", "operation", CASH_WITHDRAWAL).cast("double")
+        .alias("total_withdrawal_credit"))
+
+
+@query("agg_conditional_count_compat")
+def q_agg_conditional_count_compat(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return b["transaction"].groupBy("account_id").agg(
+        agg.conditional_count_compat("operation", CREDIT_IN_CASH).alias("total_in_cash_transaction"),
+        agg.conditional_count_compat("operation", CASH_WITHDRAWAL).alias("total_withdrawal_transaction"))
+
+
+@query("agg_conditional_count")
+def q_agg_conditional_count(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return b["transaction"].groupBy("account_id").agg(
+        agg.conditional_count("operation", CREDIT_IN_CASH).alias("total_in_cash_transaction"),
+        agg.conditional_count("operation", CASH_WITHDRAWAL).alias("total_withdrawal_transaction"))
+
+
+@query("agg_distinct_list")
+def q_agg_distinct_list(spark, sf_dir):
+    """Card types per account over disposition LEFT JOIN card; cards are
+    reduced to distinct (disp_id, type) before the join."""
+    b = bank_tables(spark, sf_dir)
+    types = b["card"].where(F.col("disp_id").isNotNull()).select("disp_id", "type").distinct()
+    d = b["disposition"].where(F.col("account_id").isNotNull()).select("account_id", "disp_id")
+    return (d.join(types, "disp_id", "left").groupBy("account_id")
+            .agg(agg.distinct_list("type").alias("card_types")))
+
+
+@query("agg_by_period")
+def q_agg_by_period(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return agg.agg_by_period(b["transaction"], "account_id", "trans_id", "amount")
+
+
+# ---------------------------------------------------------------------------
+# scalar functions
+# ---------------------------------------------------------------------------
+
+@query("fn_date")
+def q_fn_date(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return b["transaction"].select("trans_id", to_day("fulldatewithtime").alias("txn_date"))
+
+
+@query("fn_coalesce_default")
+def q_fn_coalesce_default(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    orders = b["order"].groupBy("account_id").agg(
+        F.count("order_id").alias("n"), F.sum(money("amount")).alias("s"))
+    return (b["account"].select("account_id").join(orders, "account_id", "left")
+            .select("account_id", coalesce_default("n").alias("total_orders"),
+                    coalesce_default("s").cast("double").alias("total_order_amount")))
+
+
+@query("fn_period_key")
+def q_fn_period_key(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return b["transaction"].select("trans_id", "account_id", period_key("year", "month").alias("pkey"))
+
+
+@query("fn_exact_decimal")
+def q_fn_exact_decimal(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    spent = b["transaction"].groupBy("account_id").agg(
+        agg.rounded_total("amount").cast("double").alias("total_spent"))
+    return spent.select("account_id", exact_decimal("total_spent").alias("total_spent"))
+
+
+# ---------------------------------------------------------------------------
+# incremental intake
+# ---------------------------------------------------------------------------
+
+@query("stream_ingest_landing")
+def q_stream_ingest_landing(spark, sf_dir):
+    """Account landing files arrive in two drops with different column
+    orders; the stream runs after each drop and once more with nothing new."""
+    b = bank_tables(spark, sf_dir)
+    raw = raw_table(b, "account")
+    landing = fresh_dir(spark, "landing-account")
+    stage_root = fresh_dir(spark, "stage-account-stream")
+    checkpoint = fresh_dir(spark, "checkpoint-account-stream")
+    urgent = F.col("frequency").isin("1-URGENT", "2-HIGH")
+    raw.where(urgent).write.option("header", True).csv(landing)
+    ingest_landing(spark, landing, "account", stage_root, checkpoint)
+    (raw.where(~urgent | F.col("frequency").isNull())
+     .select("day", "month", "year", "parseddate", "frequency", "district_id", "account_id")
+     .write.mode("append").option("header", True).csv(landing))
+    ingest_landing(spark, landing, "account", stage_root, checkpoint)
+    ingest_landing(spark, landing, "account", stage_root, checkpoint)
+    return read_ingested(spark, "account", stage_root)
+
+
+@query("landing_route")
+def q_landing_route(spark, sf_dir):
+    """Object keys of several shapes, built from the events table."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    eid = F.col("event_id").cast("string")
+    key = (F.when(F.col("event_type") == "signup", F.concat(F.lit("raw_data/loan/"), eid, F.lit(".csv")))
+           .when(F.col("event_type") == "purchase",
+                 F.concat(F.lit("stage_data/order/part-"), eid, F.lit(".parquet")))
+           .when(F.col("event_type") == "click",
+                 F.concat(F.lit("stage_data/loan_portfolio/"), eid, F.lit("+v1.csv")))
+           .when(F.col("event_type") == "view",
+                 F.concat(F.lit("raw_data%2Ftransaction%2F"), eid, F.lit("%zz.csv")))
+           .otherwise(F.concat(F.lit("other/"), eid, F.lit(".csv"))))
+    return landing_route(events.select(key.alias("key")))
+
+
+# ---------------------------------------------------------------------------
+# marts
+# ---------------------------------------------------------------------------
+
+@query("account_summary")
+def q_account_summary(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return marts.account_summary(*_bank_args(b, "account", "transaction", "order",
+                                             "disposition", "card"))
+
+
+@query("account_summary_exact")
+def q_account_summary_exact(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return marts.account_summary_exact(*_bank_args(b, "account", "transaction", "order",
+                                                   "disposition", "card"))
+
+
+@query("customer_master")
+def q_customer_master(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return marts.customer_master(*_bank_args(b, "client", "disposition", "account", "transaction"))
+
+
+@query("customer_master_exact")
+def q_customer_master_exact(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return marts.customer_master_exact(*_bank_args(b, "client", "disposition", "account",
+                                                   "transaction"))
+
+
 @query("customer_summary")
 def q_customer_summary(spark, sf_dir):
     b = bank_tables(spark, sf_dir)
-    return marts.customer_summary(b["client"], b["disposition"], b["account"], b["district"],
-                                  b["transaction"], b["loan"], START_YEAR, START_MONTH)
+    return marts.customer_summary(*_bank_args(b, "client", "disposition", "account", "district",
+                                              "transaction", "loan"), START_YEAR, START_MONTH)
+
+
+@query("customer_summary_exact")
+def q_customer_summary_exact(spark, sf_dir):
+    b = bank_tables(spark, sf_dir)
+    return _summary_exact(b, START_YEAR, START_MONTH)
