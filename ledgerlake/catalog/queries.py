@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.catalog.oracle import START_MONTH, START_YEAR
-from ledgerlake.functions.scalars import (coalesce_default, exact_decimal, money, nonempty,
-                                          period_key, period_literal, to_day)
+from ledgerlake.functions.scalars import (coalesce_default, exact_decimal, from_cents, money,
+                                          nonempty, period_key, period_literal, to_day)
 from ledgerlake.operators import aggregates as agg
 from ledgerlake.operators import export, publish
 from ledgerlake.operators.filters import filter_date_from, filter_nonempty
@@ -446,7 +446,7 @@ def q_fn_coalesce_default(spark, sf_dir):
         F.count("order_id").alias("n"), F.sum(money("amount")).alias("s"))
     return (b["account"].select("account_id").join(orders, "account_id", "left")
             .select("account_id", coalesce_default("n").alias("total_orders"),
-                    coalesce_default("s").cast("double").alias("total_order_amount")))
+                    from_cents(coalesce_default("s")).alias("total_order_amount")))
 
 
 @query("fn_period_key")

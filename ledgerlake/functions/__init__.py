@@ -2,6 +2,7 @@ from ledgerlake.functions.scalars import (  # noqa: F401
     coalesce_default,
     decode_object_key,
     exact_decimal,
+    from_cents,
     money,
     money_sum,
     month_start,

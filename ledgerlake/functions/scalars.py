@@ -58,18 +58,27 @@ def nonempty(c="operation") -> Column:
 
 
 def money(c) -> Column:
-    """A double amount as an exact two-place decimal.
+    """A double amount as exact integer cents (half away from zero).
 
-    Sums of doubles depend on the order rows arrive in; sums of decimals do
-    not, so totals are computed in decimal and cast back at the end.
+    Sums of doubles depend on the order rows arrive in; sums of integers do
+    not.  Cents are plain longs, so partial aggregation keeps fixed-width
+    buffers in generated code (a decimal(28,2) sum buffer would not), and
+    under ANSI mode an overflow raises instead of wrapping.
     """
-    return _col(c).cast(MONEY)
+    x = _col(c)
+    return (F.signum(x) * F.floor(F.abs(x) * F.lit(100.0) + F.lit(0.5))).cast("long")
 
 
 def money_sum(c) -> Column:
+    """Exact sum in cents (NULL when there is no value)."""
     return F.sum(money(c))
 
 
+def from_cents(c) -> Column:
+    """Cents back to a currency amount (double, correctly rounded)."""
+    return _col(c) / F.lit(100.0)
+
+
 def exact_decimal(c, precision: int = 18, scale: int = 2) -> Column:
     """double -> decimal through the value's text form (NULL stays NULL)."""
     return _col(c).cast("string").cast(f"decimal({precision},{scale})")

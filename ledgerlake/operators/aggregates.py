@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import money, money_sum
+from ledgerlake.functions.scalars import from_cents, money, money_sum
 
 
 def count_sum(df: DataFrame, keys: list[str], id_col: str, amount_col: str,
               count_name: str = "total_count", sum_name: str = "total_amount") -> DataFrame:
     """``count(id)`` (non-NULL ids) and ``sum(amount)`` (NULL for no values)."""
     return df.groupBy(*keys).agg(F.count(id_col).alias(count_name),
-                                 money_sum(amount_col).cast("double").alias(sum_name))
+                                 from_cents(money_sum(amount_col)).alias(sum_name))
 
 
 def rounded_total(amount_col: str) -> Column:
-    """``round(coalesce(sum(amount), 0), 2)`` computed in exact decimal."""
-    return F.round(F.coalesce(money_sum(amount_col), F.lit(0)), 2)
+    """``round(coalesce(sum(amount), 0), 2)``: exact cents, so no rounding
+    is left to do; returns a double."""
+    return from_cents(F.coalesce(money_sum(amount_col), F.lit(0)))
 
 
 def conditional_sum(value_col: str, category_col: str, category: str) -> Column:
-    """``sum(case when category = c then value else 0 end)``."""
-    return F.sum(F.when(F.col(category_col) == F.lit(category), money(value_col))
-                 .otherwise(F.lit(0)))
+    """``sum(case when category = c then value else 0 end)`` (double)."""
+    return from_cents(F.sum(F.when(F.col(category_col) == F.lit(category), money(value_col))
+                            .otherwise(F.lit(0))))
 
 
 def conditional_count_compat(category_col: str, category: str) -> Column:
@@ -54,4 +55,4 @@ def agg_by_period(df: DataFrame, key: str, id_col: str, amount_col: str,
     """Per (key, stored period) counts and rounded totals."""
     return df.groupBy(key, *period_cols).agg(
         F.count(id_col).alias("total_count"),
-        rounded_total(amount_col).cast("double").alias("total_amount"))
+        rounded_total(amount_col).alias("total_amount"))

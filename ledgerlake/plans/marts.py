@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import money, nonempty, period_literal
+from ledgerlake.functions.scalars import from_cents, money, nonempty, period_literal
 from ledgerlake.operators.aggregates import distinct_list, rounded_total
 from ledgerlake.operators.filters import filter_date_from, filter_month
 from ledgerlake.operators.joins import latest_value, sized_broadcast
@@ -101,9 +101,9 @@ def account_summary(account: DataFrame, transaction: DataFrame, order: DataFrame
     return j.select(
         *ACCOUNT_KEYS, "transactions_type",
         (_zero_if_null("nt") * ra * f_ro * f_rc).alias("total_transactions"),
-        (F.col("st") * (ra * f_ro * f_rc)).cast("double").alias("total_transaction_amount"),
+        from_cents(F.col("st") * (ra * f_ro * f_rc)).alias("total_transaction_amount"),
         (_zero_if_null("no") * ra * f_rt * f_rc).alias("total_orders"),
-        (F.col("so") * (ra * f_rt * f_rc)).cast("double").alias("total_order_amount"),
+        from_cents(F.col("so") * (ra * f_rt * f_rc)).alias("total_order_amount"),
         (_zero_if_null("nc") * ra * f_rt * f_ro).alias("total_cards"),
         F.coalesce(F.col("card_types"), F.lit("")).alias("card_types"))
 
@@ -119,9 +119,9 @@ def account_summary_exact(account: DataFrame, transaction: DataFrame, order: Dat
     return j.select(
         *ACCOUNT_KEYS, "transactions_type",
         _zero_if_null("nt").alias("total_transactions"),
-        F.col("st").cast("double").alias("total_transaction_amount"),
+        from_cents("st").alias("total_transaction_amount"),
         _zero_if_null("no").alias("total_orders"),
-        F.col("so").cast("double").alias("total_order_amount"),
+        from_cents("so").alias("total_order_amount"),
         _zero_if_null("nc").alias("total_cards"),
         F.coalesce(F.col("card_types"), F.lit("")).alias("card_types"))
 
@@ -205,8 +205,8 @@ def customer_master(client: DataFrame, disposition: DataFrame, account: DataFram
                       .select(F.col("account_id").alias("_t_account"),
                               (F.col("_n") * m).alias("total_in_cash_transaction"),
                               (F.col("_n") * m).alias("total_withdrawal_transaction"),
-                              F.round(F.col("_s_in") * m, 2).cast("double").alias("total_in_cash_credit"),
-                              F.round(F.col("_s_out") * m, 2).cast("double").alias("total_withdrawal_credit"),
+                              from_cents(F.col("_s_in") * m).alias("total_in_cash_credit"),
+                              from_cents(F.col("_s_out") * m).alias("total_withdrawal_credit"),
                               "balance"))
     chain = _client_account_chain(client, disposition, account)
     return (chain.join(txn_aggregates, chain.account_id == txn_aggregates._t_account, "left")
@@ -221,10 +221,10 @@ def customer_master_exact(client: DataFrame, disposition: DataFrame, account: Da
     totals = tx.groupBy("account_id").agg(
         F.count_if(F.col("operation") == F.lit(CREDIT_IN_CASH)).alias("total_in_cash_transaction"),
         F.count_if(F.col("operation") == F.lit(CASH_WITHDRAWAL)).alias("total_withdrawal_transaction"),
-        F.round(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CREDIT_IN_CASH), money("amount"))),
-                           F.lit(0)), 2).cast("double").alias("total_in_cash_credit"),
-        F.round(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CASH_WITHDRAWAL), money("amount"))),
-                           F.lit(0)), 2).cast("double").alias("total_withdrawal_credit"))
+        from_cents(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CREDIT_IN_CASH),
+                                           money("amount"))), F.lit(0))).alias("total_in_cash_credit"),
+        from_cents(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CASH_WITHDRAWAL),
+                                           money("amount"))), F.lit(0))).alias("total_withdrawal_credit"))
     balance = latest_value(tx, "account_id",
                            ["fulldatewithtime", "trans_id", "amount", "balance"], "balance")
     per_account = (totals.join(balance, "account_id", "left")
@@ -257,8 +257,8 @@ def _summary_select(j: DataFrame, pdate: str) -> DataFrame:
         "client_id", "age", "sex", "email", "phone", "address_1", "account_id", "frequency",
         "branch",
         F.coalesce(F.col("_txn_count"), F.lit(0)).cast("bigint").alias("total_transactions"),
-        F.coalesce(F.col("_txn_spent"), F.lit(0)).cast("double").alias("total_spent"),
-        F.coalesce(F.col("_loan_amount"), F.lit(0)).cast("double").alias("total_loan_amount"),
+        F.coalesce(F.col("_txn_spent"), F.lit(0.0)).alias("total_spent"),
+        F.coalesce(F.col("_loan_amount"), F.lit(0.0)).alias("total_loan_amount"),
         F.coalesce(F.col("_loan_count"), F.lit(0)).cast("bigint").alias("total_loans"),
         F.lit(pdate).alias("pdate"))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.schemas import CASH_WITHDRAWAL, CREDIT_IN_CASH
 
@@ -21,8 +22,25 @@ def _null(t: str):
     return F.lit(None).cast(t)
 
 
+# Declared input schemas (only the columns the binding uses).  Declaring them
+# skips footer-based schema inference on every read.
+DRIVER_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz"),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "part": "p_partkey bigint, p_type string",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(T._parse_datatype_string(DRIVER_SCHEMAS[name]))
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _date_parts(date_col: str) -> list:
@@ -30,83 +48,114 @@ def _date_parts(date_col: str) -> list:
             F.dayofmonth(date_col).alias("day")]
 
 
-def bank_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    customer = _read(spark, sf_dir, "customer")
-    nation = _read(spark, sf_dir, "nation")
-    orders = _read(spark, sf_dir, "orders")
-    lineitem = _read(spark, sf_dir, "lineitem")
-    events = _read(spark, sf_dir, "events")
-    part = _read(spark, sf_dir, "part")
-
-    client = customer.select(
-        F.col("c_custkey").alias("client_id"), _null("string").alias("sex"),
-        _null("date").alias("fulldate"), _null("int").alias("day"),
-        _null("int").alias("month"), _null("int").alias("year"),
-        _null("int").alias("age"), _null("string").alias("social"),
-        F.col("c_name").alias("first"), _null("string").alias("middle"),
-        _null("string").alias("last"), _null("string").alias("phone"),
-        _null("string").alias("email"), _null("string").alias("address_1"),
-        _null("string").alias("address_2"), _null("string").alias("city"),
-        _null("string").alias("state"), _null("bigint").alias("zipcode"),
-        F.col("c_nationkey").cast("bigint").alias("district_id"))
-
-    district = nation.select(
-        F.col("n_nationkey").cast("bigint").alias("district_id"),
-        F.col("n_name").alias("city"), _null("string").alias("state_name"),
-        _null("string").alias("state_abbrev"), _null("string").alias("region"),
-        _null("string").alias("division"))
-
-    account = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-               .select(F.col("o_orderkey").alias("account_id"),
-                       F.col("c_nationkey").cast("bigint").alias("district_id"),
-                       F.col("o_orderpriority").alias("frequency"),
-                       F.col("o_orderdate").cast("date").alias("parseddate"))
-               .select("*", *_date_parts("parseddate")))
-
-    disposition = orders.select(
-        F.col("o_orderkey").alias("disp_id"), F.col("o_custkey").alias("client_id"),
-        F.col("o_orderkey").alias("account_id"), F.col("o_orderstatus").alias("type"))
-
-    operation = (F.when(F.col("l_returnflag") == "A", F.lit(CREDIT_IN_CASH))
-                 .when(F.col("l_returnflag") == "R", F.lit(CASH_WITHDRAWAL))
-                 .otherwise(F.lit("")))
-    transaction = (lineitem.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trans_id"),
-        F.col("l_orderkey").alias("account_id"), _null("string").alias("type"),
-        operation.alias("operation"), F.col("l_extendedprice").alias("amount"),
-        F.col("l_quantity").alias("balance"), _null("string").alias("k_symbol"),
-        _null("string").alias("bank"), _null("string").alias("account"),
-        F.col("l_shipdate").cast("date").alias("fulldate"),
-        _null("string").alias("fulltime"),
-        F.col("l_shipdate").alias("fulldatewithtime"))
-        .select("trans_id", "account_id", "type", "operation", "amount", "balance",
-                "k_symbol", "bank", "account", *_date_parts("fulldate"),
-                "fulldate", "fulltime", "fulldatewithtime"))
-
-    loan = (events.where(F.col("event_type") == "signup").select(
-        F.col("event_id").alias("loan_id"), F.col("user_id").alias("account_id"),
-        F.col("value").alias("amount"), _null("bigint").alias("duration"),
-        _null("bigint").alias("payments"), _null("string").alias("status"),
-        F.col("ts").cast("date").alias("fulldate"), _null("bigint").alias("location"),
-        _null("string").alias("purpose"))
-        .select("loan_id", "account_id", "amount", "duration", "payments", "status",
-                *_date_parts("fulldate"), "fulldate", "location", "purpose"))
-
-    order = events.where(F.col("event_type") == "purchase").select(
-        F.col("event_id").alias("order_id"), F.col("user_id").alias("account_id"),
-        _null("string").alias("bank_to"), _null("bigint").alias("account_to"),
-        F.col("value").alias("amount"), _null("string").alias("k_symbol"))
-
-    card = part.select(
-        F.col("p_partkey").alias("card_id"),
-        F.floor(F.col("p_partkey") / 2).cast("bigint").alias("disp_id"),
-        F.col("p_type").alias("type"), _null("int").alias("day"),
-        _null("int").alias("month"), _null("int").alias("year"),
-        _null("date").alias("fulldate"))
-
-    return {"client": client, "district": district, "account": account,
-            "disposition": disposition, "transaction": transaction, "loan": loan,
-            "order": order, "card": card}
+class BankTables(dict):
+    """The nine bank tables, each built on first access (a query pays only
+    for the tables it reads)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._dir = spark, sf_dir
+
+    def _src(self, name: str) -> DataFrame:
+        return _read(self._spark, self._dir, name)
+
+    def __missing__(self, name: str) -> DataFrame:
+        builder = getattr(self, f"_build_{name}", None)
+        if builder is None:
+            raise KeyError(name)
+        df = builder()
+        self[name] = df
+        return df
+
+    def keys(self):  # every table, built or not
+        return list(BANK_TABLE_NAMES)
+
+    def items(self):
+        return [(n, self[n]) for n in BANK_TABLE_NAMES]
+
+    def _build_client(self) -> DataFrame:
+        return self._src("customer").select(
+            F.col("c_custkey").alias("client_id"), _null("string").alias("sex"),
+            _null("date").alias("fulldate"), _null("int").alias("day"),
+            _null("int").alias("month"), _null("int").alias("year"),
+            _null("int").alias("age"), _null("string").alias("social"),
+            F.col("c_name").alias("first"), _null("string").alias("middle"),
+            _null("string").alias("last"), _null("string").alias("phone"),
+            _null("string").alias("email"), _null("string").alias("address_1"),
+            _null("string").alias("address_2"), _null("string").alias("city"),
+            _null("string").alias("state"), _null("bigint").alias("zipcode"),
+            F.col("c_nationkey").cast("bigint").alias("district_id"))
+
+    def _build_district(self) -> DataFrame:
+        return self._src("nation").select(
+            F.col("n_nationkey").cast("bigint").alias("district_id"),
+            F.col("n_name").alias("city"), _null("string").alias("state_name"),
+            _null("string").alias("state_abbrev"), _null("string").alias("region"),
+            _null("string").alias("division"))
+
+    def _build_account(self) -> DataFrame:
+        orders, customer = self._src("orders"), self._src("customer")
+        return (orders.join(customer, orders.o_custkey == customer.c_custkey)
+                .select(F.col("o_orderkey").alias("account_id"),
+                        F.col("c_nationkey").cast("bigint").alias("district_id"),
+                        F.col("o_orderpriority").alias("frequency"),
+                        F.col("o_orderdate").cast("date").alias("parseddate"))
+                .select("*", *_date_parts("parseddate")))
+
+    def _build_disposition(self) -> DataFrame:
+        return self._src("orders").select(
+            F.col("o_orderkey").alias("disp_id"), F.col("o_custkey").alias("client_id"),
+            F.col("o_orderkey").alias("account_id"), F.col("o_orderstatus").alias("type"))
+
+    def _build_transaction(self) -> DataFrame:
+        operation = (F.when(F.col("l_returnflag") == "A", F.lit(CREDIT_IN_CASH))
+                     .when(F.col("l_returnflag") == "R", F.lit(CASH_WITHDRAWAL))
+                     .otherwise(F.lit("")))
+        return (self._src("lineitem").select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trans_id"),
+            F.col("l_orderkey").alias("account_id"), _null("string").alias("type"),
+            operation.alias("operation"), F.col("l_extendedprice").alias("amount"),
+            F.col("l_quantity").alias("balance"), _null("string").alias("k_symbol"),
+            _null("string").alias("bank"), _null("string").alias("account"),
+            F.col("l_shipdate").cast("date").alias("fulldate"),
+            _null("string").alias("fulltime"),
+            F.col("l_shipdate").alias("fulldatewithtime"))
+            .select("trans_id", "account_id", "type", "operation", "amount", "balance",
+                    "k_symbol", "bank", "account", *_date_parts("fulldate"),
+                    "fulldate", "fulltime", "fulldatewithtime"))
+
+    def _build_loan(self) -> DataFrame:
+        events = self._src("events")
+        return (events.where(F.col("event_type") == "signup").select(
+            F.col("event_id").alias("loan_id"), F.col("user_id").alias("account_id"),
+            F.col("value").alias("amount"), _null("bigint").alias("duration"),
+            _null("bigint").alias("payments"), _null("string").alias("status"),
+            F.col("ts").cast("date").alias("fulldate"), _null("bigint").alias("location"),
+            _null("string").alias("purpose"))
+            .select("loan_id", "account_id", "amount", "duration", "payments", "status",
+                    *_date_parts("fulldate"), "fulldate", "location", "purpose"))
+
+    def _build_order(self) -> DataFrame:
+        return self._src("events").where(F.col("event_type") == "purchase").select(
+            F.col("event_id").alias("order_id"), F.col("user_id").alias("account_id"),
+            _null("string").alias("bank_to"), _null("bigint").alias("account_to"),
+            F.col("value").alias("amount"), _null("string").alias("k_symbol"))
+
+    def _build_card(self) -> DataFrame:
+        return self._src("part").select(
+            F.col("p_partkey").alias("card_id"),
+            F.floor(F.col("p_partkey") / 2).cast("bigint").alias("disp_id"),
+            F.col("p_type").alias("type"), _null("int").alias("day"),
+            _null("int").alias("month"), _null("int").alias("year"),
+            _null("date").alias("fulldate"))
+
+
+BANK_TABLE_NAMES = ("client", "district", "account", "disposition", "transaction", "loan",
+                    "order", "card")
+
+
+def bank_tables(spark: SparkSession, sf_dir: str) -> BankTables:
+    return BankTables(spark, sf_dir)
 
 
 def register_bank_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> dict[str, DataFrame]:
