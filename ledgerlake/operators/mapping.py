@@ -32,10 +32,10 @@ def apply_mapping(df: DataFrame, mapping: Mapping,
         converted = source.try_cast(spark_type(dst_type))
         targets.append(converted.alias(dst))
         checks.append(F.count_if(source.isNotNull() & converted.isNull()).alias(dst))
-    out = df.select(*targets)
     if observation is not None:
-        out = out.observe(observation, *checks)
-    return out
+        # Observed on the input, so the checks see the raw source values.
+        df = df.observe(observation, *checks)
+    return df.select(*targets)
 
 
 def reject_counts(observation: Observation) -> dict[str, int]:
