@@ -20,7 +20,7 @@ from ledgerlake.operators import aggregates as agg
 from ledgerlake.operators import export, publish
 from ledgerlake.operators.filters import filter_date_from, filter_nonempty
 from ledgerlake.operators.joins import (join_chain, latest_rows, left_join_aggregated,
-                                        left_join_residual, sized_broadcast)
+                                        left_join_hot_right, left_join_residual, sized_broadcast)
 from ledgerlake.operators.mapping import apply_mapping, to_raw_strings
 from ledgerlake.plans import marts
 from ledgerlake.plans.staging import stage_table
@@ -308,8 +308,8 @@ def q_left_join_chain(spark, sf_dir):
     d = b["disposition"].select(F.col("client_id").alias("d_client"),
                                 F.col("account_id").alias("d_account"), "type")
     acc = b["account"].select("account_id", "frequency", "parseddate")
-    out = join_chain(cln, [(d, cln.client_id == d.d_client, "left"),
-                           (acc, F.col("d_account") == acc.account_id, "left")])
+    out = join_chain(left_join_hot_right(cln, d, "client_id", "d_client"),
+                     [(acc, F.col("d_account") == acc.account_id, "left")])
     return out.select("client_id", "type", "account_id", "frequency", "parseddate")
 
 

@@ -3,9 +3,10 @@
 The key-value semantics "one put per item replaces any item with the same
 key" become a keyed upsert written by Spark: rows of the current version
 whose key is in the batch are dropped (anti join), the batch is added, and
-the result is written as a *new* version -- a plan never overwrites the path
-it reads.  A small manifest (also written by Spark) names the committed
-version; readers take the latest.
+the result is written as a *new* version of the touched periods -- a plan
+never overwrites the path it reads, and a month's export costs that month,
+not the table's history.  A small manifest (also written by Spark) names
+the committed version of each period; readers take the latest.
 
 For an external store, ``export_to_store`` sends batches of items from the
 executors (``foreachPartition``); nothing passes through the driver.
@@ -22,10 +23,12 @@ from pyspark.sql.utils import AnalysisException
 
 from ledgerlake.functions.scalars import exact_decimal
 
-MANIFEST_SCHEMA = T.StructType([T.StructField("version", T.LongType(), False),
+MANIFEST_SCHEMA = T.StructType([T.StructField("period", T.StringType(), False),
+                                T.StructField("version", T.LongType(), False),
                                 T.StructField("path", T.StringType(), False)])
 
 SUMMARY_KEYS = ("client_id", "account_id", "pdate")
+PERIOD_COL = "pdate"
 
 
 def summary_items(summary: DataFrame) -> DataFrame:
@@ -38,20 +41,49 @@ def summary_items(summary: DataFrame) -> DataFrame:
         "total_loans", "pdate")
 
 
-def current_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
+def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest")
-        row = manifest.agg(F.max(F.struct("version", "path")).alias("v")).first()
+        return spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest")
     except AnalysisException:
-        return 0, None
-    if row is None or row["v"] is None:
-        return 0, None
-    return int(row["v"]["version"]), row["v"]["path"]
-
-
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    _, path = current_version(spark, root)
-    return None if path is None else spark.read.parquet(path)
+        return None
+
+
+def current_versions(spark: SparkSession, root: str) -> dict[str, tuple[int, str]]:
+    """Latest committed (version, path) per period -- one row per period."""
+    manifest = _manifest(spark, root)
+    if manifest is None:
+        return {}
+    latest = manifest.groupBy("period").agg(F.max(F.struct("version", "path")).alias("v"))
+    return {r["period"]: (int(r["v"]["version"]), r["v"]["path"]) for r in latest.collect()}
+
+
+def _read_periods(spark: SparkSession, versions: dict[str, tuple[int, str]],
+                  periods, schema: T.StructType | None, period_col: str) -> DataFrame | None:
+    """Rows of the given periods, each from its current version (partition
+    pruning on the period column)."""
+    by_path: dict[str, list[str]] = {}
+    for p in periods:
+        if p in versions:
+            by_path.setdefault(versions[p][1], []).append(p)
+    parts = []
+    for path, ps in sorted(by_path.items()):
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        df = reader.parquet(path).where(F.col(period_col).isin(*sorted(ps)))
+        if schema is not None:
+            df = df.select(*schema.names)
+        parts.append(df)
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None,
+                 period_col: str = PERIOD_COL) -> DataFrame | None:
+    versions = current_versions(spark, root)
+    return _read_periods(spark, versions, versions.keys(), schema, period_col)
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
@@ -61,27 +93,45 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert_keyed(spark: SparkSession, batch: DataFrame, root: str,
-                 keys: Sequence[str] = SUMMARY_KEYS, check_unique: bool = True) -> DataFrame:
+                 keys: Sequence[str] = SUMMARY_KEYS, period_col: str = PERIOD_COL,
+                 check_unique: bool = True) -> DataFrame:
     """Replace-or-insert ``batch`` into the keyed table at ``root``.
 
-    Keys compare NULL-safely (a NULL key part matches a NULL).  Returns the
-    read-back of the new version.
+    The period column is part of the key, so only periods present in the
+    batch can change: their current rows minus the batch's keys, plus the
+    batch, are written as a new version of just those periods (partitioned
+    by period); untouched periods are neither read nor rewritten.  A
+    manifest row per rewritten period commits the version; a failed run
+    leaves an unreferenced folder and the previous state intact.
+
+    Keys compare NULL-safely.  Returns the read-back of the whole table.
     """
+    if period_col not in keys:
+        raise ValueError("the period column must be part of the key")
+    versions = current_versions(spark, root)
+    version = 1 + max((v for v, _ in versions.values()), default=0)
+    # The batch is computed once: staged as a written table, then scanned.
+    staged_path = f"{root}/_staging/v{version:08d}"
+    batch.write.mode("overwrite").parquet(staged_path)
+    batch = spark.read.schema(batch.schema).parquet(staged_path)
     if check_unique:
         assert_unique_keys(batch, keys)
-    version, path = current_version(spark, root)
-    if path is None:
+    # Distinct periods of the batch: a handful of strings reach the driver.
+    periods = sorted(r[0] for r in batch.select(period_col).distinct().collect())
+    current = _read_periods(spark, versions, periods, batch.schema, period_col)
+    if current is None:
         merged = batch
     else:
-        current = spark.read.parquet(path)
         new_keys = batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
         cond = [current[k].eqNullSafe(new_keys[f"_k_{k}"]) for k in keys]
         merged = current.join(new_keys, cond, "left_anti").unionByName(batch)
-    target = f"{root}/data/v{version + 1:08d}"
-    merged.write.mode("errorifexists").parquet(target)
-    (spark.createDataFrame([(version + 1, target)], MANIFEST_SCHEMA)
-     .coalesce(1).write.mode("append").json(f"{root}/_manifest"))
-    return spark.read.parquet(target)
+    target = f"{root}/data/v{version:08d}"
+    (merged.hint("rebalance", period_col).write.mode("errorifexists")
+     .partitionBy(period_col).parquet(target))
+    if periods:
+        (spark.createDataFrame([(p, version, target) for p in periods], MANIFEST_SCHEMA)
+         .coalesce(1).write.mode("append").json(f"{root}/_manifest"))
+    return read_current(spark, root, batch.schema, period_col)
 
 
 def export_to_store(df: DataFrame, put_batch: Callable[[list[dict]], None],

@@ -37,6 +37,30 @@ def join_chain(base: DataFrame, steps: Sequence[tuple[DataFrame, Column | str |
     return out
 
 
+def left_join_hot_right(left: DataFrame, right: DataFrame, left_key: str,
+                        right_key: str) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` when one key may hold a
+    large share of ``right``'s rows.
+
+    AQE can split a skewed partition only on the preserved side of an outer
+    join, so a hot key on the right would be processed by one task.  The same
+    result is the union of
+
+    * the inner join (AQE splits a skewed partition of either side), and
+    * left rows without a match: an anti join against the right's distinct
+      keys (partial aggregation collapses the hot key before the shuffle).
+
+    NULL keys never match, as in the outer join.  Column names of the two
+    sides must be distinct.
+    """
+    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    keys = (right.where(F.col(right_key).isNotNull())
+            .select(F.col(right_key).alias("_right_key")).distinct())
+    unmatched = left.join(keys, left[left_key] == keys["_right_key"], "left_anti")
+    padding = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return matched.unionByName(unmatched.select(*left.columns, *padding))
+
+
 def left_join_residual(left: DataFrame, right: DataFrame, key: str,
                        right_predicate: Column) -> DataFrame:
     """``left LEFT JOIN right ON key = key AND <predicate on right>``.

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.scalars import from_cents, money, nonempty, period_literal
 from ledgerlake.operators.aggregates import distinct_list, rounded_total
 from ledgerlake.operators.filters import filter_date_from, filter_month
-from ledgerlake.operators.joins import latest_value, sized_broadcast
+from ledgerlake.operators.joins import left_join_hot_right, latest_value, sized_broadcast
 from ledgerlake.schemas import CASH_WITHDRAWAL, CREDIT_IN_CASH
 
 ACCOUNT_SUMMARY_COLUMNS = [
@@ -164,7 +164,10 @@ def _client_account_chain(client: DataFrame, disposition: DataFrame, account: Da
                               F.col("account_id").alias("_d_account"), "type")
     acc = account.select("account_id", "frequency",
                          F.to_date("parseddate").alias("parseddate"))
-    return (cus.join(dpst, cus.client_id == dpst._d_client, "left")
+    # A client may hold a large share of dispositions: skew-safe left join.
+    # After it, a hot account sits on the preserved (left) side, which AQE
+    # can split, and the account side is one row per account.
+    return (left_join_hot_right(cus, dpst, "client_id", "_d_client")
             .join(acc, F.col("_d_account") == acc.account_id, "left")
             .drop("_d_client", "_d_account"))
 
