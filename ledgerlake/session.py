@@ -25,11 +25,37 @@ _DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+# Settings for the large cluster (about 100 TB of input, ~1000 executors).
+# AQE starts from many shuffle partitions and coalesces them to ~256 MB each,
+# splits skewed join partitions and hot rebalance partitions; scans read
+# 256 MB splits; runtime broadcast only below 64 MB of measured size.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.files.maxRecordsPerFile": "20000000",
+}
+
+
+def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
                   app_name: str = "ledgerlake", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """A session with the pipeline's defaults.
+
+    ``master=None`` keeps whatever the launcher configured (a cluster);
+    ``shuffle_partitions=None`` keeps the configured value.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
