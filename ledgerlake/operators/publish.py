@@ -12,7 +12,8 @@ what is replaced:
 
 Before a partitioned write the rows are rebalanced on the partition
 columns: AQE then splits a hot partition value over several tasks and packs
-small ones together, so files are neither tiny nor huge.
+small ones together, so files are neither tiny nor huge.  Unpartitioned
+writes add no shuffle.
 """
 
 from __future__ import annotations
@@ -28,9 +29,12 @@ from ledgerlake.sources.tables import scan_partitioned_parquet
 
 
 def _prepare(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    # Partitioned writes: cluster rows by partition value, otherwise every task
+    # writes a file into every partition it sees.  Unpartitioned writes keep
+    # their input splits / AQE-sized shuffle partitions (no extra shuffle).
     if partition_cols:
         return df.hint("rebalance", *partition_cols)
-    return df.hint("rebalance")
+    return df
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
