@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ledgerlake.schemas import Mapping, spark_type
 
 
-def _source(df: DataFrame, name: str):
-    return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")
+def _source(columns: set[str], name: str):
+    return F.col(f"`{name}`") if name in columns else F.lit(None).cast("string")
 
 
 def apply_mapping(df: DataFrame, mapping: Mapping,
@@ -27,8 +27,9 @@ def apply_mapping(df: DataFrame, mapping: Mapping,
     """
     targets = []
     checks = []
+    columns = set(df.columns)
     for src, _src_type, dst, dst_type in mapping.entries:
-        source = _source(df, src)
+        source = _source(columns, src)
         converted = source.try_cast(spark_type(dst_type))
         targets.append(converted.alias(dst))
         checks.append(F.count_if(source.isNotNull() & converted.isNull()).alias(dst))
@@ -50,7 +51,8 @@ def to_raw_strings(df: DataFrame, mapping: Mapping) -> DataFrame:
     NULL strings.
     """
     cols = []
+    columns = set(df.columns)
     for src, _st, dst, _dt in mapping.entries:
-        value = F.col(f"`{dst}`").cast("string") if dst in df.columns else F.lit(None).cast("string")
+        value = F.col(f"`{dst}`").cast("string") if dst in columns else F.lit(None).cast("string")
         cols.append(value.alias(src))
     return df.select(*cols)

@@ -97,11 +97,12 @@ def align_to_schema(df: DataFrame, table_schema: T.StructType | None) -> DataFra
     """Columns of the table first (missing ones as typed NULLs), then new ones."""
     if table_schema is None:
         return df
-    have = set(df.columns)
+    names = df.columns
+    have = set(names)
     cols = [(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in table_schema.fields]
     known = {f.name for f in table_schema.fields}
-    cols += [F.col(c) for c in df.columns if c not in known]
+    cols += [F.col(c) for c in names if c not in known]
     return df.select(*cols)
 
 

@@ -22,6 +22,7 @@ import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.operators import export, publish
 from ledgerlake.operators.mapping import apply_mapping, reject_counts
@@ -130,7 +131,10 @@ def customer_summary_export_job(spark: SparkSession, root: str, year: int, month
     items = export.summary_items(customer_summary(spark, root, year, month, exact=True))
     table = export.upsert_keyed(spark, items, _p(root, "export", "customer_summary"))
     if put_batch is not None:
-        export.export_to_store(items, put_batch)
+        # Send the committed rows of this period (a scan), not a recomputation.
+        from ledgerlake.functions.scalars import period_literal
+        export.export_to_store(table.where(F.col(export.PERIOD_COL) == period_literal(year, month)),
+                               put_batch)
     return table
 
 

@@ -9,8 +9,6 @@ counterpart in the test tables are typed NULLs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlake.schemas import CASH_WITHDRAWAL, CREDIT_IN_CASH
 
@@ -18,10 +16,6 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
 
-def _null(t: str):
-    return F.lit(None).cast(t)
-
-
 # Declared input schemas (only the columns the binding uses).  Declaring them
 # skips footer-based schema inference on every read.
 DRIVER_SCHEMAS = {
@@ -39,15 +33,10 @@ DRIVER_SCHEMAS = {
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_SCHEMAS:
-        reader = reader.schema(T._parse_datatype_string(DRIVER_SCHEMAS[name]))
+        reader = reader.schema(DRIVER_SCHEMAS[name])
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _date_parts(date_col: str) -> list:
-    return [F.year(date_col).alias("year"), F.month(date_col).alias("month"),
-            F.dayofmonth(date_col).alias("day")]
-
-
 class BankTables(dict):
     """The nine bank tables, each built on first access (a query pays only
     for the tables it reads)."""
@@ -73,81 +62,72 @@ class BankTables(dict):
     def items(self):
         return [(n, self[n]) for n in BANK_TABLE_NAMES]
 
+    # Each table is one projection of SQL expressions: parsed and analysed
+    # once in the JVM instead of one driver round trip per column.
+
     def _build_client(self) -> DataFrame:
-        return self._src("customer").select(
-            F.col("c_custkey").alias("client_id"), _null("string").alias("sex"),
-            _null("date").alias("fulldate"), _null("int").alias("day"),
-            _null("int").alias("month"), _null("int").alias("year"),
-            _null("int").alias("age"), _null("string").alias("social"),
-            F.col("c_name").alias("first"), _null("string").alias("middle"),
-            _null("string").alias("last"), _null("string").alias("phone"),
-            _null("string").alias("email"), _null("string").alias("address_1"),
-            _null("string").alias("address_2"), _null("string").alias("city"),
-            _null("string").alias("state"), _null("bigint").alias("zipcode"),
-            F.col("c_nationkey").cast("bigint").alias("district_id"))
+        return self._src("customer").selectExpr(
+            "c_custkey AS client_id", "CAST(NULL AS STRING) AS sex", "CAST(NULL AS DATE) AS fulldate",
+            "CAST(NULL AS INT) AS day", "CAST(NULL AS INT) AS month", "CAST(NULL AS INT) AS year",
+            "CAST(NULL AS INT) AS age", "CAST(NULL AS STRING) AS social", "c_name AS first",
+            "CAST(NULL AS STRING) AS middle", "CAST(NULL AS STRING) AS last",
+            "CAST(NULL AS STRING) AS phone", "CAST(NULL AS STRING) AS email",
+            "CAST(NULL AS STRING) AS address_1", "CAST(NULL AS STRING) AS address_2",
+            "CAST(NULL AS STRING) AS city", "CAST(NULL AS STRING) AS state",
+            "CAST(NULL AS BIGINT) AS zipcode", "CAST(c_nationkey AS BIGINT) AS district_id")
 
     def _build_district(self) -> DataFrame:
-        return self._src("nation").select(
-            F.col("n_nationkey").cast("bigint").alias("district_id"),
-            F.col("n_name").alias("city"), _null("string").alias("state_name"),
-            _null("string").alias("state_abbrev"), _null("string").alias("region"),
-            _null("string").alias("division"))
+        return self._src("nation").selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS district_id", "n_name AS city",
+            "CAST(NULL AS STRING) AS state_name", "CAST(NULL AS STRING) AS state_abbrev",
+            "CAST(NULL AS STRING) AS region", "CAST(NULL AS STRING) AS division")
 
     def _build_account(self) -> DataFrame:
         orders, customer = self._src("orders"), self._src("customer")
         return (orders.join(customer, orders.o_custkey == customer.c_custkey)
-                .select(F.col("o_orderkey").alias("account_id"),
-                        F.col("c_nationkey").cast("bigint").alias("district_id"),
-                        F.col("o_orderpriority").alias("frequency"),
-                        F.col("o_orderdate").cast("date").alias("parseddate"))
-                .select("*", *_date_parts("parseddate")))
+                .selectExpr("o_orderkey AS account_id", "CAST(c_nationkey AS BIGINT) AS district_id",
+                            "o_orderpriority AS frequency", "CAST(o_orderdate AS DATE) AS parseddate")
+                .selectExpr("*", *_DATE_PARTS.format(d="parseddate").split(";")))
 
     def _build_disposition(self) -> DataFrame:
-        return self._src("orders").select(
-            F.col("o_orderkey").alias("disp_id"), F.col("o_custkey").alias("client_id"),
-            F.col("o_orderkey").alias("account_id"), F.col("o_orderstatus").alias("type"))
+        return self._src("orders").selectExpr(
+            "o_orderkey AS disp_id", "o_custkey AS client_id", "o_orderkey AS account_id",
+            "o_orderstatus AS type")
 
     def _build_transaction(self) -> DataFrame:
-        operation = (F.when(F.col("l_returnflag") == "A", F.lit(CREDIT_IN_CASH))
-                     .when(F.col("l_returnflag") == "R", F.lit(CASH_WITHDRAWAL))
-                     .otherwise(F.lit("")))
-        return (self._src("lineitem").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trans_id"),
-            F.col("l_orderkey").alias("account_id"), _null("string").alias("type"),
-            operation.alias("operation"), F.col("l_extendedprice").alias("amount"),
-            F.col("l_quantity").alias("balance"), _null("string").alias("k_symbol"),
-            _null("string").alias("bank"), _null("string").alias("account"),
-            F.col("l_shipdate").cast("date").alias("fulldate"),
-            _null("string").alias("fulltime"),
-            F.col("l_shipdate").alias("fulldatewithtime"))
-            .select("trans_id", "account_id", "type", "operation", "amount", "balance",
-                    "k_symbol", "bank", "account", *_date_parts("fulldate"),
-                    "fulldate", "fulltime", "fulldatewithtime"))
+        return self._src("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS trans_id", "l_orderkey AS account_id",
+            "CAST(NULL AS STRING) AS type",
+            f"CASE l_returnflag WHEN 'A' THEN '{CREDIT_IN_CASH}' WHEN 'R' THEN '{CASH_WITHDRAWAL}' "
+            "ELSE '' END AS operation",
+            "l_extendedprice AS amount", "l_quantity AS balance", "CAST(NULL AS STRING) AS k_symbol",
+            "CAST(NULL AS STRING) AS bank", "CAST(NULL AS STRING) AS account",
+            *_DATE_PARTS.format(d="CAST(l_shipdate AS DATE)").split(";"),
+            "CAST(l_shipdate AS DATE) AS fulldate", "CAST(NULL AS STRING) AS fulltime",
+            "l_shipdate AS fulldatewithtime")
 
     def _build_loan(self) -> DataFrame:
-        events = self._src("events")
-        return (events.where(F.col("event_type") == "signup").select(
-            F.col("event_id").alias("loan_id"), F.col("user_id").alias("account_id"),
-            F.col("value").alias("amount"), _null("bigint").alias("duration"),
-            _null("bigint").alias("payments"), _null("string").alias("status"),
-            F.col("ts").cast("date").alias("fulldate"), _null("bigint").alias("location"),
-            _null("string").alias("purpose"))
-            .select("loan_id", "account_id", "amount", "duration", "payments", "status",
-                    *_date_parts("fulldate"), "fulldate", "location", "purpose"))
+        return self._src("events").where("event_type = 'signup'").selectExpr(
+            "event_id AS loan_id", "user_id AS account_id", "value AS amount",
+            "CAST(NULL AS BIGINT) AS duration", "CAST(NULL AS BIGINT) AS payments",
+            "CAST(NULL AS STRING) AS status", *_DATE_PARTS.format(d="CAST(ts AS DATE)").split(";"),
+            "CAST(ts AS DATE) AS fulldate", "CAST(NULL AS BIGINT) AS location",
+            "CAST(NULL AS STRING) AS purpose")
 
     def _build_order(self) -> DataFrame:
-        return self._src("events").where(F.col("event_type") == "purchase").select(
-            F.col("event_id").alias("order_id"), F.col("user_id").alias("account_id"),
-            _null("string").alias("bank_to"), _null("bigint").alias("account_to"),
-            F.col("value").alias("amount"), _null("string").alias("k_symbol"))
+        return self._src("events").where("event_type = 'purchase'").selectExpr(
+            "event_id AS order_id", "user_id AS account_id", "CAST(NULL AS STRING) AS bank_to",
+            "CAST(NULL AS BIGINT) AS account_to", "value AS amount",
+            "CAST(NULL AS STRING) AS k_symbol")
 
     def _build_card(self) -> DataFrame:
-        return self._src("part").select(
-            F.col("p_partkey").alias("card_id"),
-            F.floor(F.col("p_partkey") / 2).cast("bigint").alias("disp_id"),
-            F.col("p_type").alias("type"), _null("int").alias("day"),
-            _null("int").alias("month"), _null("int").alias("year"),
-            _null("date").alias("fulldate"))
+        return self._src("part").selectExpr(
+            "p_partkey AS card_id", "CAST(floor(p_partkey / 2) AS BIGINT) AS disp_id",
+            "p_type AS type", "CAST(NULL AS INT) AS day", "CAST(NULL AS INT) AS month",
+            "CAST(NULL AS INT) AS year", "CAST(NULL AS DATE) AS fulldate")
+
+
+_DATE_PARTS = "year({d}) AS year;month({d}) AS month;dayofmonth({d}) AS day"
 
 
 BANK_TABLE_NAMES = ("client", "district", "account", "disposition", "transaction", "loan",
