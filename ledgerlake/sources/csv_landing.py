@@ -61,9 +61,11 @@ def scan_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: S
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True)
                                for i in range(len(header))])
         df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(sorted(files))
-        position = {name: i for i, name in reversed(list(enumerate(header)))}
-        cols = [(F.col(f"_c{position[c]}") if c in position else F.lit(None).cast("string")).alias(c)
-                for c in wanted]
+        # Names bind case-insensitively (Spark's default resolution); the
+        # first occurrence wins if a header repeats a name.
+        position = {name.lower(): i for i, name in reversed(list(enumerate(header)))}
+        cols = [(F.col(f"_c{position[c.lower()]}") if c.lower() in position
+                 else F.lit(None).cast("string")).alias(c) for c in wanted]
         if with_file:
             cols.append(F.col("_metadata.file_path").alias("_source_file"))
         parts.append(df.select(*cols))

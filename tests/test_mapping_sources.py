@@ -60,16 +60,19 @@ def test_csv_bound_by_header_name(spark):
         "b.csv": "card_id,disp_id,type,day,month,year,fulldate,extra\nV2,D2,classic,4,12,2018,2018-12-04,x\n",
         # a column missing, columns reordered
         "c.csv": "fulldate,type,card_id,disp_id,day,month\n2018-12-05,junior,V3,D3,5,12\n",
+        # different case and spacing in the header
+        "d.csv": "Card_ID, DISP_ID ,Type,Year,Month,Day,FullDate\nV4,D4,gold,2018,12,6,2018-12-06\n",
     }
     for name, text in files.items():
         with open(os.path.join(base, name), "w") as f:
             f.write(text)
     headers = read_csv_headers(spark, landing)
-    assert len(headers) == 3
+    assert len(headers) == 4
     df = scan_csv_by_name(spark, landing, mapping_for("card").source_names)
     got = {r["card_id"]: r for r in df.collect()}
     assert (got["V1"]["day"], got["V1"]["year"]) == ("3", "2018")
     assert (got["V2"]["day"], got["V2"]["year"], got["V2"]["type"]) == ("4", "2018", "classic")
     assert got["V3"]["year"] is None and got["V3"]["disp_id"] == "D3"
+    assert (got["V4"]["disp_id"], got["V4"]["day"]) == ("D4", "6")
     staged = apply_mapping(df, mapping_for("card"))
     assert staged.where("year = 2018 and day in (3, 4)").count() == 2
