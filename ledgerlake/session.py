@@ -60,7 +60,10 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int | Non
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # Spark Connect
+        pass
     return spark
 
 
@@ -71,14 +74,20 @@ def work_root(spark: SparkSession) -> str:
     cluster names none (local runs and tests), and register it so that
     ``DataFrame.checkpoint()`` uses the same place.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerlake-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
