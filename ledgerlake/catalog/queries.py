@@ -521,10 +521,21 @@ def q_account_summary_exact(spark, sf_dir):
                                                    "disposition", "card"))
 
 
+def stage_in(spark, name: str):
+    """A lineage cut: write to a fresh folder below the shared work root and
+    read back."""
+    def stage(df: DataFrame) -> DataFrame:
+        path = fresh_dir(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return stage
+
+
 @query("customer_master")
 def q_customer_master(spark, sf_dir):
     b = bank_tables(spark, sf_dir)
-    return marts.customer_master(*_bank_args(b, "client", "disposition", "account", "transaction"))
+    return marts.customer_master(*_bank_args(b, "client", "disposition", "account", "transaction"),
+                                 stage=stage_in(spark, "customer-master-accounts"))
 
 
 @query("customer_master_exact")

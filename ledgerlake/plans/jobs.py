@@ -104,11 +104,23 @@ def account_summary_job(spark: SparkSession, root: str, exact: bool = False) ->
     return publish.write_mart(out, _p(root, "analysis", "account_summary" + ("_exact" if exact else "")))
 
 
+def _stage_in(spark: SparkSession, path: str):
+    def stage(df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return stage
+
+
 def customer_master_job(spark: SparkSession, root: str, exact: bool = False) -> str:
     t = {n: read_transformed(spark, root, n) for n in
          ("client", "disposition", "account", "transaction")}
-    fn = marts.customer_master_exact if exact else marts.customer_master
-    out = fn(t["client"], t["disposition"], t["account"], t["transaction"])
+    if exact:
+        out = marts.customer_master_exact(t["client"], t["disposition"], t["account"], t["transaction"])
+    else:
+        out = marts.customer_master(
+            t["client"], t["disposition"], t["account"], t["transaction"],
+            stage=_stage_in(spark, _p(root, "_work", "customer_master_accounts")),
+            day_cols=("year", "month", "day"))
     return publish.write_mart(out, _p(root, "analysis", "customer_master" + ("_exact" if exact else "")))
 
 

@@ -13,6 +13,8 @@ the bank model.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -173,7 +175,8 @@ def _client_account_chain(client: DataFrame, disposition: DataFrame, account: Da
 
 
 def customer_master(client: DataFrame, disposition: DataFrame, account: DataFrame,
-                    transaction: DataFrame) -> DataFrame:
+                    transaction: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = None,
+                    day_cols: tuple[str, str, str] | None = None) -> DataFrame:
     """Customer master as published.
 
     * both "conditional" counts equal all non-empty-operation rows;
@@ -184,9 +187,16 @@ def customer_master(client: DataFrame, disposition: DataFrame, account: DataFram
     * accounts whose timestamps are all NULL, or without non-empty
       operations, get no aggregates (NULL, no default).
 
-    Two scans of ``transaction``: one aggregate (totals and latest
-    timestamp per account) and one join back on (account, latest timestamp)
-    to find the tied balances.  No window, no per-account sort.
+    One aggregate over ``transaction`` (totals and latest timestamp per
+    account), then a join back on (account, latest timestamp) for the tied
+    balances.  No window, no per-account sort.
+
+    With ``stage`` (e.g. write to the shared folder and read back) the
+    per-account aggregate is computed once, and the join back reads only the
+    calendar days on which some account's latest timestamp falls (a list
+    bounded by the calendar, collected to the driver); ``day_cols`` names
+    stored (year, month, day) partition columns derived from the timestamp,
+    so those days prune partitions of the published layout.
     """
     ne = nonempty("operation")
     per_account = (transaction.where(F.col("account_id").isNotNull())
@@ -197,9 +207,17 @@ def customer_master(client: DataFrame, disposition: DataFrame, account: DataFram
                                                 money("amount")).otherwise(F.lit(0)))).alias("_s_in"),
                         F.sum(F.when(ne, F.when(F.col("operation") == F.lit(CASH_WITHDRAWAL),
                                                 money("amount")).otherwise(F.lit(0)))).alias("_s_out")))
+    tx = transaction
+    if stage is not None:
+        per_account = stage(per_account)
+        days = sorted(r[0] for r in per_account.where(F.col("_max_ts").isNotNull())
+                      .select(F.to_date("_max_ts")).distinct().collect())
+        tx = tx.where(F.to_date("fulldatewithtime").isin(days))
+        if day_cols is not None:
+            tx = tx.where(F.make_date(*[F.col(c) for c in day_cols]).isin(days))
     latest_ts = per_account.where(F.col("_max_ts").isNotNull()).select(
         F.col("account_id").alias("_lb_account"), "_max_ts")
-    tx = transaction.select("account_id", "fulldatewithtime", "balance")
+    tx = tx.select("account_id", "fulldatewithtime", "balance")
     ties = (tx.join(latest_ts, (tx.account_id == latest_ts._lb_account)
                     & (tx.fulldatewithtime == latest_ts._max_ts))
             .groupBy("account_id", "balance").agg(F.count(F.lit(1)).alias("_m")))

@@ -1,6 +1,8 @@
 """End to end over a lake layout: landing CSV -> stage -> transformed ->
 marts -> export, on the sf0.001 driver tables."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,16 @@ def test_export_job_prunes_and_upserts(spark, lake):
     assert again.count() == n
     both = jobs.customer_summary_export_job(spark, root, 1998, 2)
     assert both.count() == 2 * n
+
+
+def test_customer_master_join_back_prunes_days(spark, lake):
+    root, _, _ = lake
+    t = {n: jobs.read_transformed(spark, root, n) for n in
+         ("client", "disposition", "account", "transaction")}
+    out = marts.customer_master(t["client"], t["disposition"], t["account"], t["transaction"],
+                                stage=jobs._stage_in(spark, f"{root}/_work/t-cm"),
+                                day_cols=("year", "month", "day"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[([^]]*)\]", plan)
+    assert any("make_date(year" in f and "INSET" in f for f in filters)
+    assert out.count() > 0

@@ -198,3 +198,10 @@ def test_distinct_list_skips_nulls_and_sorts(spark):
                                 ("b", None)], "k string, t string")
     got = dict(rows(df.groupBy("k").agg(agg.distinct_list("t").alias("l"))))
     assert got == {"a": "classic, gold", "b": ""}
+
+
+def test_customer_master_staged_day_pruning_equals_join_form(spark, bank):
+    from ledgerlake.catalog.queries import stage_in
+    staged = marts.customer_master(*_master_args(bank), stage=stage_in(spark, "t-cm-accounts"),
+                                   day_cols=("year", "month", "day"))
+    assert same_rows(staged, spark.sql(CUSTOMER_MASTER))
