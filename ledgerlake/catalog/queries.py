@@ -533,9 +533,11 @@ def stage_in(spark, name: str):
 
 @query("customer_master")
 def q_customer_master(spark, sf_dir):
+    """Over the unpartitioned binding: the plain plan.  The job over the
+    day-partitioned published layout stages the per-account aggregate and
+    prunes the join back to the latest days (``jobs.customer_master_job``)."""
     b = bank_tables(spark, sf_dir)
-    return marts.customer_master(*_bank_args(b, "client", "disposition", "account", "transaction"),
-                                 stage=stage_in(spark, "customer-master-accounts"))
+    return marts.customer_master(*_bank_args(b, "client", "disposition", "account", "transaction"))
 
 
 @query("customer_master_exact")
