@@ -77,11 +77,10 @@ def _card_branch(disposition: DataFrame, card: DataFrame, distinct_dispositions:
 
 
 def _account_branches(account, transaction, order, disposition, card, distinct_dispositions):
-    # Accounts are (nearly) unique per key, so partial aggregation gains
-    # nothing; partitioning by account_id first serves both the aggregate and
-    # the joins below with one exchange.
-    acc = (account.repartition("account_id")
-           .groupBy(*ACCOUNT_KEYS).agg(F.count(F.lit(1)).alias("ra")))
+    # Partial aggregation first, so duplicated account rows under one hot key
+    # collapse map-side; the re-shuffle by account_id for the joins below
+    # then moves aggregated rows only.
+    acc = account.groupBy(*ACCOUNT_KEYS).agg(F.count(F.lit(1)).alias("ra"))
     txn = (transaction.where(nonempty("operation") & F.col("account_id").isNotNull())
            .groupBy("account_id", "operation")
            .agg(F.count(F.lit(1)).alias("rt"), F.count("trans_id").alias("nt"),
