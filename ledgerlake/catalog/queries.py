@@ -29,7 +29,7 @@ from ledgerlake.session import fresh_dir
 from ledgerlake.sources.binding import bank_tables, register_bank_views
 from ledgerlake.sources.csv_landing import scan_csv_by_name
 from ledgerlake.sources.tables import scan_partitioned_parquet, scan_table
-from ledgerlake.streaming.ingest import ingest_landing, read_ingested
+from ledgerlake.streaming.ingest import ingest_landing, publish_on_stage_change, read_ingested
 from ledgerlake.streaming.routing import landing_route
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -487,6 +487,25 @@ def q_stream_ingest_landing(spark, sf_dir):
     return read_ingested(spark, "account", stage_root)
 
 
+@query("stream_publish_stage")
+def q_stream_publish_stage(spark, sf_dir):
+    """Staging writes trigger the daily publish: first all accounts but the
+    latest day, then a staging write holding the complete latest month; the
+    stream publishes after each, and once more with nothing new."""
+    b = bank_tables(spark, sf_dir)
+    acc, base, batch = _base_and_batch(b)
+    stage_dir = fresh_dir(spark, "stage-account")
+    transformed = fresh_dir(spark, "transformed-account")
+    checkpoint = fresh_dir(spark, "checkpoint-account-publish")
+    mapping = mapping_for("account")
+    publish.stage_full_refresh(apply_mapping(to_raw_strings(base, mapping), mapping), stage_dir)
+    publish_on_stage_change(spark, stage_dir, "account", transformed, checkpoint)
+    publish.stage_full_refresh(apply_mapping(to_raw_strings(batch, mapping), mapping), stage_dir)
+    publish_on_stage_change(spark, stage_dir, "account", transformed, checkpoint)
+    publish_on_stage_change(spark, stage_dir, "account", transformed, checkpoint)
+    return publish.read_back(spark, transformed, mapping.target_schema())
+
+
 @query("landing_route")
 def q_landing_route(spark, sf_dir):
     """Object keys of several shapes, built from the events table."""

@@ -30,7 +30,7 @@ from ledgerlake.plans import marts
 from ledgerlake.schemas import MAPPINGS, PARTITIONS, mapping_for
 from ledgerlake.sources.csv_landing import scan_csv_by_name
 from ledgerlake.sources.tables import scan_partitioned_parquet
-from ledgerlake.streaming.ingest import ingest_landing
+from ledgerlake.streaming.ingest import ingest_landing, publish_on_stage_change
 
 
 def _p(root: str, *parts: str) -> str:
@@ -68,6 +68,12 @@ def ingest_job(spark: SparkSession, root: str, table: str) -> None:
 
 # --- stage -> transformed ---------------------------------------------------
 
+def publish_stream_job(spark: SparkSession, root: str, table: str) -> None:
+    """Daily publish driven by new staging files (each staging write once)."""
+    publish_on_stage_change(spark, _p(root, "stage", table), table, _p(root, "transformed", table),
+                            _p(root, "_checkpoints", f"publish-{table}"))
+
+
 def publish_daily_job(spark: SparkSession, root: str, table: str, compat_append: bool = False) -> None:
     """Publish the staged batch: replace exactly its periods (or, with
     ``compat_append``, append as the published jobs did); unpartitioned
@@ -154,6 +160,7 @@ JOBS = {
     "stage": stage_job,
     "ingest": ingest_job,
     "publish_daily": publish_daily_job,
+    "publish_stream": publish_stream_job,
     "publish_firstday": publish_firstday_job,
     "account_summary": account_summary_job,
     "customer_master": customer_master_job,
@@ -176,7 +183,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = build_session(master=args.master, shuffle_partitions=None,
                           extra=CLUSTER_CONF if args.master is None else None)
-    if args.job in ("stage", "ingest", "publish_firstday"):
+    if args.job in ("stage", "ingest", "publish_firstday", "publish_stream"):
         result = JOBS[args.job](spark, args.root, args.table)
     elif args.job == "publish_daily":
         result = publish_daily_job(spark, args.root, args.table, args.compat_append)

@@ -66,3 +66,41 @@ def read_ingested(spark: SparkSession, table: str, stage_root: str,
     schema = mapping_for(table).target_schema().add(BATCH_COL, "long")
     df = scan_partitioned_parquet(spark, stage_root, schema=schema)
     return df if keep_batch else df.drop(BATCH_COL)
+
+
+def publish_on_stage_change(spark: SparkSession, stage_dir: str, table: str,
+                            transformed_root: str, checkpoint_dir: str,
+                            file_glob: str = "*.parquet") -> None:
+    """Daily publish triggered by new staging files, then stop (availableNow).
+
+    New files only signal that the staging table was rewritten; every
+    micro-batch with new files publishes the *whole* current staging table
+    (period refresh, or a snapshot for unpartitioned tables), so a staging
+    write split over several micro-batches never publishes a partial period,
+    and replays are idempotent.
+    """
+    from ledgerlake.operators.publish import publish_refresh_period, publish_snapshot
+    from ledgerlake.schemas import PARTITIONS
+
+    schema = mapping_for(table).target_schema()
+    parts = PARTITIONS[table]
+
+    def process(files: DataFrame, batch_id: int) -> None:
+        if files.isEmpty():
+            return
+        session = files.sparkSession
+        current = session.read.schema(schema).parquet(stage_dir)
+        if parts:
+            publish_refresh_period(current, transformed_root, parts)
+        else:
+            publish_snapshot(current, transformed_root)
+
+    stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("pathGlobFilter", file_glob)
+              .load(stage_dir)
+              .select("path"))
+    query = (stream.writeStream.foreachBatch(process)
+             .option("checkpointLocation", checkpoint_dir)
+             .trigger(availableNow=True)
+             .start())
+    query.awaitTermination()
