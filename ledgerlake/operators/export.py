@@ -14,6 +14,7 @@ executors (``foreachPartition``); nothing passes through the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,14 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType | None = N
     return _read_periods(spark, versions, versions.keys(), schema, period_col)
 
 
+def batch_profile(df: DataFrame, keys: Sequence[str], period_col: str) -> tuple[int, list[str]]:
+    """Largest number of rows sharing a key, and the batch's distinct periods,
+    from one aggregate (the period set is bounded by the number of periods)."""
+    row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .agg(F.max("_n").alias("n"), F.collect_set(period_col).alias("periods"))).first()
+    return int(row["n"] or 0), sorted(p for p in (row["periods"] or []) if p is not None)
+
+
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
     dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
@@ -111,13 +120,13 @@ def upsert_keyed(spark: SparkSession, batch: DataFrame, root: str,
     versions = current_versions(spark, root)
     version = 1 + max((v for v, _ in versions.values()), default=0)
     # The batch is computed once: staged as a written table, then scanned.
-    staged_path = f"{root}/_staging/v{version:08d}"
+    run = uuid.uuid4().hex[:12]    # retries after a failure never reuse a folder
+    staged_path = f"{root}/_staging/v{version:08d}-{run}"
     batch.write.mode("overwrite").parquet(staged_path)
     batch = spark.read.schema(batch.schema).parquet(staged_path)
-    if check_unique:
-        assert_unique_keys(batch, keys)
-    # Distinct periods of the batch: a handful of strings reach the driver.
-    periods = sorted(r[0] for r in batch.select(period_col).distinct().collect())
+    most, periods = batch_profile(batch, keys, period_col)
+    if check_unique and most > 1:
+        assert_unique_keys(batch, keys)          # raises, naming one duplicated key
     current = _read_periods(spark, versions, periods, batch.schema, period_col)
     if current is None:
         merged = batch
@@ -125,13 +134,14 @@ def upsert_keyed(spark: SparkSession, batch: DataFrame, root: str,
         new_keys = batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
         cond = [current[k].eqNullSafe(new_keys[f"_k_{k}"]) for k in keys]
         merged = current.join(new_keys, cond, "left_anti").unionByName(batch)
-    target = f"{root}/data/v{version:08d}"
+    target = f"{root}/data/v{version:08d}-{run}"
     (merged.hint("rebalance", period_col).write.mode("errorifexists")
      .partitionBy(period_col).parquet(target))
     if periods:
         (spark.createDataFrame([(p, version, target) for p in periods], MANIFEST_SCHEMA)
          .coalesce(1).write.mode("append").json(f"{root}/_manifest"))
-    return read_current(spark, root, batch.schema, period_col)
+    versions.update({p: (version, target) for p in periods})
+    return _read_periods(spark, versions, versions.keys(), batch.schema, period_col)
 
 
 def export_to_store(df: DataFrame, put_batch: Callable[[list[dict]], None],

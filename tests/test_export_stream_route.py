@@ -89,3 +89,14 @@ def test_landing_route(spark):
     lp = got["stage_data/loan_portfolio/p.parquet"]
     assert lp["action"] == "publish_daily" and lp["job_exists"] is False
     assert got["stage_data%2Forder%2Fp.parquet"]["table_name"] == "order"
+
+
+def test_upsert_survives_an_uncommitted_version(spark):
+    """A run that wrote its data but died before the manifest row leaves an
+    unreferenced folder; the next run commits normally."""
+    root = fresh_dir(spark, "t-export-retry")
+    upsert_keyed(spark, _items(spark, [("C1", "A1", "201801", 1.0)]), root, KEYS)
+    _items(spark, [("C9", "A9", "201801", 9.0)]).write.partitionBy("pdate").parquet(
+        f"{root}/data/v00000002-deadbeef0000")
+    out = upsert_keyed(spark, _items(spark, [("C2", "A2", "201801", 2.0)]), root, KEYS)
+    assert sorted(r["client_id"] for r in out.collect()) == ["C1", "C2"]
