@@ -18,6 +18,7 @@ writes add no shuffle.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,7 +87,27 @@ def period_scope(df: DataFrame, period_cols: Sequence[str] = ("year", "month"))
     return df.select(*period_cols).distinct()
 
 
+SCHEMA_SIDECAR = "_table_schema"   # '_' prefix: ignored by the Parquet reader
+
+
+def _sidecar(path: str) -> str:
+    return f"{path.rstrip('/')}/{SCHEMA_SIDECAR}"
+
+
+def write_table_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    (spark.createDataFrame([(schema.json(),)], "schema string")
+     .coalesce(1).write.mode("overwrite").text(_sidecar(path)))
+
+
 def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The table's schema: from its sidecar (one small file), else -- for a
+    table published without one -- merged from the Parquet footers."""
+    try:
+        row = spark.read.text(_sidecar(path)).first()
+        if row is not None:
+            return T.StructType.fromJson(json.loads(row[0]))
+    except AnalysisException:
+        pass
     try:
         return spark.read.option("mergeSchema", "true").parquet(path).schema
     except AnalysisException:
@@ -111,12 +132,16 @@ def publish_evolving(spark: SparkSession, df: DataFrame, path: str,
     """Period refresh that lets the table gain columns.
 
     Columns the batch lacks are written as NULL; columns the table lacks are
-    added, and older files read them as NULL (``mergeSchema``).  Returns the
-    read-back of the table.
+    added, and older files read them as NULL.  The table's schema is kept
+    in a sidecar next to the data, so neither the write nor the read merges
+    footers of the whole table.  Returns the read-back of the table.
     """
     aligned = align_to_schema(df, existing_schema(spark, path))
     publish_refresh_period(aligned, path, partition_cols)
-    return scan_partitioned_parquet(spark, path, merge_schema=True)
+    write_table_schema(spark, path, aligned.schema)
+    # Reading with the declared superset schema: older files lack the new
+    # columns and read them as NULL -- no footer merge over the whole table.
+    return scan_partitioned_parquet(spark, path, schema=aligned.schema)
 
 
 def read_back(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
