@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import from_cents, money, money_sum
+from ledgerlake.schemas import CARD_TYPES_SEPARATOR
 
 
 def count_sum(df: DataFrame, keys: list[str], id_col: str, amount_col: str,
@@ -41,7 +42,7 @@ def conditional_count(category_col: str, category: str) -> Column:
     return F.count_if(F.col(category_col) == F.lit(category))
 
 
-def distinct_list(value_col: str, sep: str = ", ") -> Column:
+def distinct_list(value_col: str, sep: str = CARD_TYPES_SEPARATOR) -> Column:
     """Distinct non-NULL values joined to one string, sorted; '' when none.
 
     ``collect_set`` is bounded by the value domain (here card types), not by

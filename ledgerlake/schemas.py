@@ -155,9 +155,17 @@ PARTITIONS: dict[str, tuple[str, ...]] = {
     "disposition": (),
 }
 
-# Operation literals the customer master classifies on (fixed values).
+# ---------------------------------------------------------------------------
+# Literals the published results depend on.
+# ---------------------------------------------------------------------------
+# Operation categories the customer master classifies on.
 CREDIT_IN_CASH = "Credit in Cash"
 CASH_WITHDRAWAL = "Cash Withdrawal"
+# Separator of the joined card-type list in the account summary.
+CARD_TYPES_SEPARATOR = ", "
+# Landing key prefixes: raw files start a staging load, staging files a daily publish.
+RAW_PREFIX = "raw_data"
+STAGE_PREFIX = "stage_data"
 
 _TYPE_NAMES = {
     "string": T.StringType(),

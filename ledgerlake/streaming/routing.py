@@ -13,11 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.scalars import decode_object_key
-from ledgerlake.schemas import MAPPINGS, PARTITIONS
-
-# Landing layer prefixes.
-RAW_PREFIX = "raw_data"
-STAGE_PREFIX = "stage_data"
+from ledgerlake.schemas import MAPPINGS, PARTITIONS, RAW_PREFIX, STAGE_PREFIX
 
 
 def landing_route(keys: DataFrame, key_col: str = "key") -> DataFrame:
