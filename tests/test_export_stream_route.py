@@ -100,3 +100,16 @@ def test_upsert_survives_an_uncommitted_version(spark):
         f"{root}/data/v00000002-deadbeef0000")
     out = upsert_keyed(spark, _items(spark, [("C2", "A2", "201801", 2.0)]), root, KEYS)
     assert sorted(r["client_id"] for r in out.collect()) == ["C1", "C2"]
+
+
+def test_stream_splits_files_over_micro_batches(spark):
+    landing = local_path(fresh_dir(spark, "t-landing-many"))
+    os.makedirs(landing)
+    stage, ckpt = fresh_dir(spark, "t-stage-many"), fresh_dir(spark, "t-ckpt-many")
+    head = "account_id,district_id,frequency,parseddate,year,month,day\n"
+    for i in range(3):
+        _write(landing, f"f{i}.csv", head + f"A{i},1,monthly,2017-12-30,2017,12,30\n")
+    ingest_landing(spark, landing, "account", stage, ckpt, max_files_per_trigger=1)
+    got = read_ingested(spark, "account", stage, keep_batch=True)
+    assert sorted(r["account_id"] for r in got.collect()) == ["A0", "A1", "A2"]
+    assert got.select("ingest_batch").distinct().count() == 3
