@@ -7,9 +7,6 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

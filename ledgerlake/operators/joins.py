@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import nonempty
 
 # Dimension tables below this many rows are broadcast after a count check.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -115,7 +114,3 @@ def latest_value(df: DataFrame, key: str, order_cols: Sequence[str], value: str,
     packed = F.max(F.struct(*[F.col(c) for c in order_cols], F.col(value).alias("_v")))
     return (df.where(F.col(key).isNotNull() & F.col(first).isNotNull())
             .groupBy(key).agg(packed["_v"].alias(alias or value)))
-
-
-def nonempty_right(column: str = "operation") -> Column:
-    return nonempty(column)

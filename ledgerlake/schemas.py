@@ -205,10 +205,6 @@ class Mapping:
         return T.StructType([T.StructField(dst, spark_type(dt), True)
                              for _, _, dst, dt in self.entries])
 
-    def raw_string_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(src, T.StringType(), True)
-                             for src, _, _, _ in self.entries])
-
 
 def mapping_for(table: str) -> Mapping:
     return Mapping(table, tuple(MAPPINGS[table]))

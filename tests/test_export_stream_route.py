@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from ledgerlake.operators.export import export_to_store, upsert_keyed
+from ledgerlake.operators.export import export_to_store, read_current, upsert_keyed
 from ledgerlake.session import fresh_dir, local_path
 from ledgerlake.streaming.ingest import ingest_landing, read_ingested
 from ledgerlake.streaming.routing import landing_route
@@ -28,6 +28,7 @@ def test_upsert_replaces_and_inserts(spark):
                        root, KEYS)
     assert rows(out) == [("C1", "A1", "201801", 1.0), ("C2", "A2", "201801", 20.0),
                          ("C3", None, "201801", 30.0), ("C4", "A4", "201801", 4.0)]
+    assert rows(read_current(spark, root, out.schema)) == rows(out)
 
 
 def test_upsert_rejects_duplicate_keys(spark):
