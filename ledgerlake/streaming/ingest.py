@@ -34,8 +34,13 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root: str,
                    checkpoint_dir: str, max_files_per_trigger: int = 1000,
-                   file_glob: str = "*.csv") -> None:
-    """Ingest every landing file not yet ingested, then stop (availableNow)."""
+                   file_glob: str = "*.csv", archive_dir: str | None = None) -> None:
+    """Ingest every landing file not yet ingested, then stop (availableNow).
+
+    With ``archive_dir`` the file source moves processed files there
+    (``cleanSource=archive``), so the landing folder -- listed on every
+    trigger -- does not grow without bound.
+    """
     mapping = mapping_for(table)
 
     def process(files: DataFrame, batch_id: int) -> None:
@@ -49,11 +54,12 @@ def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(stage_root))
 
-    stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", file_glob)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .load(landing_dir)
-              .select("path"))
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    if archive_dir is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    stream = reader.load(landing_dir).select("path")
     query = (stream.writeStream.foreachBatch(process)
              .option("checkpointLocation", checkpoint_dir)
              .trigger(availableNow=True)

@@ -114,3 +114,19 @@ def test_stream_splits_files_over_micro_batches(spark):
     got = read_ingested(spark, "account", stage, keep_batch=True)
     assert sorted(r["account_id"] for r in got.collect()) == ["A0", "A1", "A2"]
     assert got.select("ingest_batch").distinct().count() == 3
+
+
+def test_stream_archives_processed_files(spark):
+    base = local_path(fresh_dir(spark, "t-landing-archive"))
+    landing = os.path.join(base, "landing", "account")
+    os.makedirs(landing)
+    stage, ckpt = fresh_dir(spark, "t-stage-arch"), fresh_dir(spark, "t-ckpt-arch")
+    archive = os.path.join(base, "archive")
+    head = "account_id,district_id,frequency,parseddate,year,month,day\n"
+    _write(landing, "a.csv", head + "A1,1,monthly,2017-12-30,2017,12,30\n")
+    ingest_landing(spark, landing, "account", stage, ckpt, archive_dir=archive)
+    _write(landing, "b.csv", head + "A2,1,monthly,2017-12-30,2017,12,30\n")
+    ingest_landing(spark, landing, "account", stage, ckpt, archive_dir=archive)
+    assert read_ingested(spark, "account", stage).count() == 2
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
+    assert "a.csv" in archived             # moved once a later batch committed
