@@ -74,17 +74,24 @@ def ingest_job(spark: SparkSession, root: str, table: str, archive: bool = False
 
 def publish_stream_job(spark: SparkSession, root: str, table: str) -> None:
     """Daily publish driven by new staging files (each staging write once)."""
+    _published_layout(table)
     publish_on_stage_change(spark, _p(root, "stage", table), table, _p(root, "transformed", table),
                             _p(root, "_checkpoints", f"publish-{table}"))
 
 
+def _published_layout(table: str) -> tuple[str, ...]:
+    if table not in PARTITIONS:
+        raise ValueError(f"{table} has no published layer (it is staged only)")
+    return PARTITIONS[table]
+
+
 def publish_daily_job(spark: SparkSession, root: str, table: str, compat_append: bool = False) -> None:
     """Publish the staged batch: replace exactly its periods (or, with
     ``compat_append``, append as the published jobs did); unpartitioned
     tables are replaced whole."""
+    parts = _published_layout(table)
     df = read_stage(spark, root, table)
     target = _p(root, "transformed", table)
-    parts = PARTITIONS[table]
     if not parts:
         publish.publish_snapshot(df, target)
     elif compat_append:
@@ -95,7 +102,7 @@ def publish_daily_job(spark: SparkSession, root: str, table: str, compat_append:
 
 def publish_firstday_job(spark: SparkSession, root: str, table: str) -> None:
     """Rebuild the whole published table from the staged data."""
-    parts = PARTITIONS[table]
+    parts = _published_layout(table)
     df = read_stage(spark, root, table)
     target = _p(root, "transformed", table)
     if parts:
