@@ -63,7 +63,11 @@ def main() -> None:
         samples = [run(spark, fn, sf_dir) for _ in range(repeat)]
         times[name] = round(statistics.median(samples), 3)
         print(f"{name}: {times[name]}s {samples}", file=sys.stderr)
-    sf = os.path.basename(sf_dir).replace("sf", "")
+    sf_text = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        sf: float | str = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "headline_total_median", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
                       "repeat": repeat, "spark": spark.version}))
