@@ -50,3 +50,36 @@ def test_scans_are_pruned_and_filtered(spark):
     assert "l_shipdate" in lineitem.split("DataFilters:")[1]
     plan = _plan(QUERIES["filter_nonempty"](spark, SF).where(F.col("amount") > 100))
     assert "PushedFilters: [IsNotNull(l_extendedprice), GreaterThan(l_extendedprice,100.0)" in plan
+
+
+def test_hot_right_key_is_split_by_aqe(spark):
+    """With one client holding most dispositions, AQE splits the skewed
+    partition of the inner half of ``left_join_hot_right``; a plain
+    ``LEFT JOIN`` cannot be split (the skew is on its non-preserved side)."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left = spark.range(200).select(F.col("id").cast("string").alias("client_id"))
+        right = spark.range(60000).select(
+            F.when(F.col("id") % 4 != 0, F.lit("7")).otherwise((F.col("id") % 200).cast("string"))
+            .alias("d_client"), F.col("id").alias("account"))
+        safe = left_join_hot_right(left, right, "client_id", "d_client")
+        safe.collect()
+        plain = left.join(right, left.client_id == right.d_client, "left")
+        plain.collect()
+        assert "SortMergeJoin(skew=true)" in _plan(safe)
+        assert "skew=true" not in _plan(plain)
+        assert same_rows(safe, plain)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
