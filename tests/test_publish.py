@@ -86,3 +86,31 @@ def test_filter_date_from_prunes_partitions(spark):
     assert sorted(r["account_id"] for r in out.collect()) == ["A2", "A3"]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_hot_period_is_split_over_several_files(spark):
+    """A period holding most rows is written by several tasks (AQE splits the
+    rebalance partition), not by one."""
+    import os
+    from ledgerlake.session import local_path
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(40000).select(
+            F.col("id").cast("string").alias("account_id"),
+            F.when(F.col("id") < 36000, F.lit(1)).otherwise(F.lit(2)).alias("month"),
+            F.lit(2018).alias("year"))
+        path = fresh_dir(spark, "t-hot-period")
+        publish.publish_rebuild(df, path, PARTS)
+        hot = os.path.join(local_path(path), "year=2018", "month=1")
+        files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
+        assert len(files) > 1
+        assert spark.read.parquet(path).count() == 40000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
