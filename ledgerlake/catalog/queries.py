@@ -487,6 +487,26 @@ def q_stream_ingest_landing(spark, sf_dir):
     return read_ingested(spark, "account", stage_root)
 
 
+@query("stream_ingest_publish")
+def q_stream_ingest_publish(spark, sf_dir):
+    """Landing drops ingested and published per micro-batch: each batch
+    refreshes exactly the periods it touches in the published layer."""
+    b = bank_tables(spark, sf_dir)
+    raw = raw_table(b, "account")
+    landing = fresh_dir(spark, "landing-account")
+    stage_root = fresh_dir(spark, "stage-account-stream")
+    published = fresh_dir(spark, "transformed-account-stream")
+    checkpoint = fresh_dir(spark, "checkpoint-account-ingest-publish")
+    urgent = F.col("frequency").isin("1-URGENT", "2-HIGH")
+    raw.where(urgent).write.option("header", True).csv(landing)
+    ingest_landing(spark, landing, "account", stage_root, checkpoint, publish_root=published)
+    (raw.where(~urgent | F.col("frequency").isNull())
+     .write.mode("append").option("header", True).csv(landing))
+    ingest_landing(spark, landing, "account", stage_root, checkpoint, publish_root=published)
+    ingest_landing(spark, landing, "account", stage_root, checkpoint, publish_root=published)
+    return publish.read_back(spark, published, mapping_for("account").target_schema())
+
+
 @query("stream_publish_stage")
 def q_stream_publish_stage(spark, sf_dir):
     """Staging writes trigger the daily publish: first all accounts but the

@@ -60,14 +60,19 @@ def stage_job(spark: SparkSession, root: str, table: str) -> dict[str, int]:
     return reject_counts(obs)
 
 
-def ingest_job(spark: SparkSession, root: str, table: str, archive: bool = False) -> None:
+def ingest_job(spark: SparkSession, root: str, table: str, archive: bool = False,
+               publish_batches: bool = False) -> None:
     """Incremental form of the staging load: new landing files only, each once.
 
     ``archive`` moves processed files to ``landing_archive/<table>`` (then the
-    stream is the only consumer of the landing folder)."""
+    stream is the only consumer of the landing folder); ``publish_batches``
+    also refreshes, per micro-batch, the published periods it touches."""
+    if publish_batches:
+        _published_layout(table)
     ingest_landing(spark, _p(root, "landing", table), table, _p(root, "stage_incremental", table),
                    _p(root, "_checkpoints", f"ingest-{table}"),
-                   archive_dir=_p(root, "landing_archive", table) if archive else None)
+                   archive_dir=_p(root, "landing_archive", table) if archive else None,
+                   publish_root=_p(root, "transformed", table) if publish_batches else None)
 
 
 # --- stage -> transformed ---------------------------------------------------
@@ -191,12 +196,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--exact", action="store_true")
     ap.add_argument("--compat-append", action="store_true")
     ap.add_argument("--archive", action="store_true", help="ingest: archive processed landing files")
+    ap.add_argument("--publish", action="store_true", help="ingest: publish each micro-batch's periods")
     ap.add_argument("--master", default=None, help="omit on a cluster (launcher decides)")
     args = ap.parse_args(argv)
     spark = build_session(master=args.master, shuffle_partitions=None,
                           extra=CLUSTER_CONF if args.master is None else None)
     if args.job == "ingest":
-        result = ingest_job(spark, args.root, args.table, args.archive)
+        result = ingest_job(spark, args.root, args.table, args.archive, args.publish)
     elif args.job in ("stage", "publish_firstday", "publish_stream"):
         result = JOBS[args.job](spark, args.root, args.table)
     elif args.job == "publish_daily":

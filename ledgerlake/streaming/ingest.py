@@ -34,14 +34,25 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root: str,
                    checkpoint_dir: str, max_files_per_trigger: int = 1000,
-                   file_glob: str = "*.csv", archive_dir: str | None = None) -> None:
+                   file_glob: str = "*.csv", archive_dir: str | None = None,
+                   publish_root: str | None = None) -> None:
     """Ingest every landing file not yet ingested, then stop (availableNow).
 
     With ``archive_dir`` the file source moves processed files there
     (``cleanSource=archive``), so the landing folder -- listed on every
     trigger -- does not grow without bound.
+
+    With ``publish_root`` every micro-batch is also published: for each
+    period the batch touches (a short list), all ingested rows of that period
+    replace the published period (dynamic overwrite), so the work follows the
+    touched periods and a replay is idempotent.  Unpartitioned tables are
+    republished whole.
     """
+    from ledgerlake.operators.publish import publish_refresh_period, publish_snapshot
+    from ledgerlake.schemas import PARTITIONS
+
     mapping = mapping_for(table)
+    parts = PARTITIONS.get(table, ())
 
     def process(files: DataFrame, batch_id: int) -> None:
         # Only file names reach the driver, at most max_files_per_trigger.
@@ -53,6 +64,18 @@ def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root
         staged = apply_mapping(raw, mapping).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(stage_root))
+        if publish_root is None:
+            return
+        ingested = read_ingested(session, table, stage_root)
+        if not parts:
+            publish_snapshot(ingested, publish_root)
+            return
+        mine = read_ingested(session, table, stage_root, keep_batch=True).where(
+            F.col(BATCH_COL) == batch_id)
+        periods = mine.select(*parts).distinct()          # bounded by the calendar
+        touched = ingested.join(periods, [ingested[c].eqNullSafe(periods[c]) for c in parts],
+                                "left_semi")
+        publish_refresh_period(touched, publish_root, parts)
 
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", file_glob)
