@@ -130,3 +130,20 @@ def test_stream_archives_processed_files(spark):
     assert read_ingested(spark, "account", stage).count() == 2
     archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
     assert "a.csv" in archived             # moved once a later batch committed
+
+
+def test_stream_publishes_touched_periods_only(spark):
+    from ledgerlake.operators.publish import read_back
+    from ledgerlake.schemas import mapping_for
+    landing = local_path(fresh_dir(spark, "t-landing-pub"))
+    os.makedirs(landing)
+    stage, ckpt, pub = (fresh_dir(spark, "t-stage-pub"), fresh_dir(spark, "t-ckpt-pub"),
+                        fresh_dir(spark, "t-pub-pub"))
+    head = "account_id,district_id,frequency,parseddate,year,month,day\n"
+    _write(landing, "a.csv", head + "A1,1,m,2018-01-05,2018,1,5\nA2,1,m,2018-02-05,2018,2,5\n")
+    ingest_landing(spark, landing, "account", stage, ckpt, publish_root=pub)
+    _write(landing, "b.csv", head + "A3,1,m,2018-02-09,2018,2,9\n")
+    ingest_landing(spark, landing, "account", stage, ckpt, publish_root=pub)
+    got = read_back(spark, pub, mapping_for("account").target_schema())
+    assert sorted((r["month"], r["account_id"]) for r in got.collect()) == [
+        (1, "A1"), (2, "A2"), (2, "A3")]
