@@ -1,7 +1,7 @@
 """Registry of every query: name -> callable(spark, sf_dir) -> DataFrame.
 
 Each query derives the bank tables from the driver tables of ``sf_dir``
-(see ``ledgerlake.sources.binding``) and runs one operator or pipeline over
+(see ``ledgerlake.sources.binding``) and runs one operator or composite job over
 the whole tables.  Sink queries write below the shared work folder (a new
 folder per call) and return the read-back of what they wrote.
 """
