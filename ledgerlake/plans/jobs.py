@@ -28,7 +28,7 @@ from ledgerlake.operators import export, publish
 from ledgerlake.operators.mapping import apply_mapping, reject_counts
 from ledgerlake.plans import marts
 from ledgerlake.schemas import MAPPINGS, PARTITIONS, mapping_for
-from ledgerlake.sources.csv_landing import scan_csv_by_name
+from ledgerlake.sources.csv_landing import scan_csv_by_name, scan_csv_uniform
 from ledgerlake.sources.tables import scan_partitioned_parquet
 from ledgerlake.streaming.ingest import ingest_landing, publish_on_stage_change
 
@@ -54,9 +54,16 @@ def stage_job(spark: SparkSession, root: str, table: str) -> dict[str, int]:
     """Landing CSV (bound by header name) -> declared mapping -> staging table.
     Returns the reject count per column."""
     mapping = mapping_for(table)
-    raw = scan_csv_by_name(spark, _p(root, "landing", table), mapping.source_names)
-    obs = Observation(f"{table}_rejects")
-    publish.stage_full_refresh(apply_mapping(raw, mapping, obs), _p(root, "stage", table))
+    landing, target = _p(root, "landing", table), _p(root, "stage", table)
+    try:
+        # One pass when every file carries the first file's header.
+        obs = Observation(f"{table}_rejects")
+        raw = scan_csv_uniform(spark, [landing], mapping.source_names)
+        publish.stage_full_refresh(apply_mapping(raw, mapping, obs), target)
+    except Exception:  # headers differ between files: bind file by file
+        obs = Observation(f"{table}_rejects_by_name")
+        raw = scan_csv_by_name(spark, landing, mapping.source_names)
+        publish.stage_full_refresh(apply_mapping(raw, mapping, obs), target)
     return reject_counts(obs)
 
 

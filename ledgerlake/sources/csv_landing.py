@@ -12,6 +12,10 @@ bind by name:
    with an all-string schema in that group's header order;
 3. every group is projected to the requested names (missing -> NULL) and
    the groups are unioned.
+
+That reads the files twice (a ``_metadata.file_block_start`` filter does not
+skip splits).  ``scan_csv_uniform`` is the one-pass form for the usual case
+of one header per batch: Spark checks every file's header while reading.
 """
 
 from __future__ import annotations
@@ -44,6 +48,40 @@ def read_csv_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[st
     return {r["file"]: _parse_header(r["header"]) for r in first.collect()}
 
 
+def _bind(df: DataFrame, header: Sequence[str], wanted: Sequence[str], with_file: bool) -> DataFrame:
+    # Names bind case-insensitively (Spark's default resolution); the first
+    # occurrence wins if a header repeats a name.
+    position = {name.lower(): i for i, name in reversed(list(enumerate(header)))}
+    cols = [(F.col(f"_c{position[c.lower()]}") if c.lower() in position
+             else F.lit(None).cast("string")).alias(c) for c in wanted]
+    if with_file:
+        cols.append(F.col("_metadata.file_path").alias("_source_file"))
+    return df.select(*cols)
+
+
+def _positional_schema(width: int) -> T.StructType:
+    return T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(width)])
+
+
+def scan_csv_uniform(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
+                     with_file: bool = False) -> DataFrame:
+    """One-pass read when all files share the first file's header.
+
+    The first file's header is read (one line); every file is then read once
+    by Spark's CSV reader with ``enforceSchema=false``, which checks each
+    file's header against it and fails the read if one differs -- callers
+    fall back to :func:`scan_csv_by_name` then.
+    """
+    paths = list(paths)
+    first = spark.read.option("header", True).csv(paths[0]).columns
+    header = tuple(c.strip() for c in first)
+    schema = T.StructType([T.StructField(name, T.StringType(), True) for name in first])
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+          .csv(paths))
+    df = df.toDF(*[f"_c{i}" for i in range(len(first))])
+    return _bind(df, header, columns, with_file)
+
+
 def scan_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
                      with_file: bool = False) -> DataFrame:
     """All rows of the CSV files under ``paths`` as string columns ``columns``.
@@ -58,17 +96,9 @@ def scan_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: S
     wanted = list(columns)
     parts = []
     for header, files in sorted(groups.items()):
-        schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True)
-                               for i in range(len(header))])
-        df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(sorted(files))
-        # Names bind case-insensitively (Spark's default resolution); the
-        # first occurrence wins if a header repeats a name.
-        position = {name.lower(): i for i, name in reversed(list(enumerate(header)))}
-        cols = [(F.col(f"_c{position[c.lower()]}") if c.lower() in position
-                 else F.lit(None).cast("string")).alias(c) for c in wanted]
-        if with_file:
-            cols.append(F.col("_metadata.file_path").alias("_source_file"))
-        parts.append(df.select(*cols))
+        df = (spark.read.schema(_positional_schema(len(header))).option("header", True)
+              .option("mode", "PERMISSIVE").csv(sorted(files)))
+        parts.append(_bind(df, header, wanted, with_file))
     if not parts:
         fields = [T.StructField(c, T.StringType(), True) for c in wanted]
         if with_file:

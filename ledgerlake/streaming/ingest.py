@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators.mapping import apply_mapping
 from ledgerlake.schemas import mapping_for
-from ledgerlake.sources.csv_landing import scan_csv_by_name
+from ledgerlake.sources.csv_landing import scan_csv_by_name, scan_csv_uniform
 from ledgerlake.sources.tables import scan_partitioned_parquet
 
 BATCH_COL = "ingest_batch"
@@ -60,10 +60,18 @@ def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root
         if not paths:
             return
         session = files.sparkSession
-        raw = scan_csv_by_name(session, paths, mapping.source_names)
-        staged = apply_mapping(raw, mapping).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL).parquet(stage_root))
+
+        def stage(raw: DataFrame) -> None:
+            staged = apply_mapping(raw, mapping).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BATCH_COL).parquet(stage_root))
+
+        try:
+            # One pass when the batch's files share a header (the usual case).
+            stage(scan_csv_uniform(session, paths, mapping.source_names))
+        except Exception:  # a file's header differs: bind file by file, then
+            # rewrite the same batch partition (dynamic overwrite).
+            stage(scan_csv_by_name(session, paths, mapping.source_names))
         if publish_root is None:
             return
         ingested = read_ingested(session, table, stage_root)

@@ -147,3 +147,32 @@ def test_stream_publishes_touched_periods_only(spark):
     got = read_back(spark, pub, mapping_for("account").target_schema())
     assert sorted((r["month"], r["account_id"]) for r in got.collect()) == [
         (1, "A1"), (2, "A2"), (2, "A3")]
+
+
+def test_stream_batch_with_mixed_headers_falls_back(spark):
+    landing = local_path(fresh_dir(spark, "t-landing-mixed"))
+    os.makedirs(landing)
+    stage, ckpt = fresh_dir(spark, "t-stage-mixed"), fresh_dir(spark, "t-ckpt-mixed")
+    _write(landing, "a.csv", "account_id,district_id,frequency,parseddate,year,month,day\n"
+                             "A1,1,monthly,2017-12-30,2017,12,30\n")
+    _write(landing, "b.csv", "day,month,year,parseddate,frequency,district_id,account_id\n"
+                             "31,12,2017,2017-12-31,weekly,3,A2\n")
+    ingest_landing(spark, landing, "account", stage, ckpt)         # one micro-batch, two headers
+    got = {r["account_id"]: r for r in read_ingested(spark, "account", stage).collect()}
+    assert sorted(got) == ["A1", "A2"]
+    assert (got["A2"]["district_id"], got["A2"]["day"], got["A1"]["day"]) == (3, 31, 30)
+
+
+def test_uniform_csv_read_rejects_a_different_header(spark):
+    from ledgerlake.sources.csv_landing import scan_csv_uniform
+    landing = local_path(fresh_dir(spark, "t-landing-uniform"))
+    os.makedirs(landing)
+    _write(landing, "a.csv", "card_id,disp_id,type\nV1,D1,gold\n")
+    _write(landing, "b.csv", "card_id,disp_id,type\nV2,D2,classic\n")
+    paths = [os.path.join(landing, f) for f in ("a.csv", "b.csv")]
+    df = scan_csv_uniform(spark, paths, ["card_id", "type", "disp_id"])
+    assert rows(df) == [("V1", "gold", "D1"), ("V2", "classic", "D2")]
+    _write(landing, "c.csv", "type,card_id,disp_id\njunior,V3,D3\n")
+    with pytest.raises(Exception):
+        scan_csv_uniform(spark, paths + [os.path.join(landing, "c.csv")],
+                         ["card_id", "type", "disp_id"]).collect()
