@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators.mapping import apply_mapping
-from ledgerlake.schemas import mapping_for
+from ledgerlake.operators.publish import publish_refresh_period, publish_snapshot
+from ledgerlake.schemas import PARTITIONS, mapping_for
 from ledgerlake.sources.csv_landing import scan_csv_by_name, scan_csv_uniform
 from ledgerlake.sources.tables import scan_partitioned_parquet
 
@@ -48,9 +49,6 @@ def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root
     touched periods and a replay is idempotent.  Unpartitioned tables are
     republished whole.
     """
-    from ledgerlake.operators.publish import publish_refresh_period, publish_snapshot
-    from ledgerlake.schemas import PARTITIONS
-
     mapping = mapping_for(table)
     parts = PARTITIONS.get(table, ())
 
@@ -116,9 +114,6 @@ def publish_on_stage_change(spark: SparkSession, stage_dir: str, table: str,
     write split over several micro-batches never publishes a partial period,
     and replays are idempotent.
     """
-    from ledgerlake.operators.publish import publish_refresh_period, publish_snapshot
-    from ledgerlake.schemas import PARTITIONS
-
     schema = mapping_for(table).target_schema()
     parts = PARTITIONS[table]
 
