@@ -29,18 +29,21 @@ from pyspark.sql.utils import AnalysisException
 from ledgerlake.sources.tables import scan_partitioned_parquet
 
 
-def _prepare(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+def _prepare(df: DataFrame, partition_cols: Sequence[str], cluster: bool = True) -> DataFrame:
     # Partitioned writes: cluster rows by partition value, otherwise every task
-    # writes a file into every partition it sees.  Unpartitioned writes keep
-    # their input splits / AQE-sized shuffle partitions (no extra shuffle).
-    if partition_cols:
+    # writes a file into every partition it sees.  ``cluster=False`` skips that
+    # shuffle for input already laid out by period (e.g. one landing file per
+    # day).  Unpartitioned writes keep their input splits / AQE-sized shuffle
+    # partitions (no extra shuffle).
+    if partition_cols and cluster:
         return df.hint("rebalance", *partition_cols)
     return df
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_cols: Sequence[str] = (), dynamic: bool = False) -> str:
-    writer = _prepare(df, partition_cols).write.mode(mode)
+                  partition_cols: Sequence[str] = (), dynamic: bool = False,
+                  cluster: bool = True) -> str:
+    writer = _prepare(df, partition_cols, cluster).write.mode(mode)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -53,18 +56,20 @@ def stage_full_refresh(df: DataFrame, path: str) -> str:
     return write_parquet(df, path, "overwrite")
 
 
-def publish_rebuild(df: DataFrame, path: str, partition_cols: Sequence[str]) -> str:
+def publish_rebuild(df: DataFrame, path: str, partition_cols: Sequence[str],
+                    cluster: bool = True) -> str:
     """First-day rebuild: replace every partition of the table."""
-    return write_parquet(df, path, "overwrite", partition_cols, dynamic=False)
+    return write_parquet(df, path, "overwrite", partition_cols, dynamic=False, cluster=cluster)
 
 
-def publish_refresh_period(df: DataFrame, path: str, partition_cols: Sequence[str]) -> str:
+def publish_refresh_period(df: DataFrame, path: str, partition_cols: Sequence[str],
+                           cluster: bool = True) -> str:
     """Replace exactly the partitions present in ``df`` (idempotent).
 
     The batch must hold the complete content of each period it touches.
     An empty batch replaces nothing.
     """
-    return write_parquet(df, path, "overwrite", partition_cols, dynamic=True)
+    return write_parquet(df, path, "overwrite", partition_cols, dynamic=True, cluster=cluster)
 
 
 def publish_append(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> str:

@@ -114,3 +114,13 @@ def test_hot_period_is_split_over_several_files(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_unclustered_write_skips_the_shuffle(spark):
+    df = _acc(spark, [("A1", "m", dt.date(2018, 1, 5)), ("A2", "m", dt.date(2018, 2, 5))])
+    assert "Rebalance" in publish._prepare(df, PARTS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Rebalance" not in publish._prepare(df, PARTS, cluster=False)._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    path = fresh_dir(spark, "t-uncl")
+    publish.publish_rebuild(df, path, PARTS, cluster=False)
+    assert publish.read_back(spark, path, df.schema).count() == 2
