@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from helpers import bank_df, same_rows
 from ledgerlake.plans import marts
-from naive_sql import CUSTOMER_MASTER, CUSTOMER_SUMMARY
+from naive_sql import CUSTOMER_MASTER, CUSTOMER_MASTER_EXACT, CUSTOMER_SUMMARY
 
 ACCOUNTS = st.sampled_from(["A1", "A2", "A3", None])
 OPS = st.sampled_from(["Credit in Cash", "Cash Withdrawal", "", None])
@@ -71,6 +71,8 @@ def test_rewrites_equal_join_forms(spark, t):
     assert same_rows(fast, marts.account_summary_naive(spark, {k: f"t_{k}" for k in b}))
     master = marts.customer_master(b["client"], b["disposition"], b["account"], b["transaction"])
     assert same_rows(master, spark.sql(CUSTOMER_MASTER))
+    exact = marts.customer_master_exact(b["client"], b["disposition"], b["account"], b["transaction"])
+    assert same_rows(exact, spark.sql(CUSTOMER_MASTER_EXACT))
     summary = marts.customer_summary(b["client"], b["disposition"], b["account"], b["district"],
                                      b["transaction"], b["loan"], 2018, 1)
     assert same_rows(summary, spark.sql(CUSTOMER_SUMMARY.format(pdate="201801", start="2018-01-01")))
