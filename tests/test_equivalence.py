@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 
 from helpers import bank_df, same_rows
 from ledgerlake.plans import marts
-from naive_sql import CUSTOMER_MASTER, CUSTOMER_MASTER_EXACT, CUSTOMER_SUMMARY
+from naive_sql import (ACCOUNT_SUMMARY_EXACT, CUSTOMER_MASTER, CUSTOMER_MASTER_EXACT,
+                       CUSTOMER_SUMMARY)
 
 ACCOUNTS = st.sampled_from(["A1", "A2", "A3", None])
 OPS = st.sampled_from(["Credit in Cash", "Cash Withdrawal", "", None])
@@ -69,6 +70,9 @@ def test_rewrites_equal_join_forms(spark, t):
     b = _build(spark, t)
     fast = marts.account_summary(b["account"], b["transaction"], b["order"], b["disposition"], b["card"])
     assert same_rows(fast, marts.account_summary_naive(spark, {k: f"t_{k}" for k in b}))
+    exact_as = marts.account_summary_exact(b["account"], b["transaction"], b["order"],
+                                           b["disposition"], b["card"])
+    assert same_rows(exact_as, spark.sql(ACCOUNT_SUMMARY_EXACT))
     master = marts.customer_master(b["client"], b["disposition"], b["account"], b["transaction"])
     assert same_rows(master, spark.sql(CUSTOMER_MASTER))
     exact = marts.customer_master_exact(b["client"], b["disposition"], b["account"], b["transaction"])
