@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from helpers import bank_df, same_rows
 from ledgerlake.plans import marts
 from naive_sql import (ACCOUNT_SUMMARY_EXACT, CUSTOMER_MASTER, CUSTOMER_MASTER_EXACT,
-                       CUSTOMER_SUMMARY)
+                       CUSTOMER_SUMMARY, CUSTOMER_SUMMARY_EXACT)
 
 ACCOUNTS = st.sampled_from(["A1", "A2", "A3", None])
 OPS = st.sampled_from(["Credit in Cash", "Cash Withdrawal", "", None])
@@ -80,3 +80,7 @@ def test_rewrites_equal_join_forms(spark, t):
     summary = marts.customer_summary(b["client"], b["disposition"], b["account"], b["district"],
                                      b["transaction"], b["loan"], 2018, 1)
     assert same_rows(summary, spark.sql(CUSTOMER_SUMMARY.format(pdate="201801", start="2018-01-01")))
+    summary_exact = marts.customer_summary_exact(b["client"], b["disposition"], b["account"],
+                                                 b["district"], b["transaction"], b["loan"], 2018, 1)
+    assert same_rows(summary_exact,
+                     spark.sql(CUSTOMER_SUMMARY_EXACT.format(pdate="201801", start="2018-01-01")))
