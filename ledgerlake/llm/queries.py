@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import ngram_join
+from ledgerlake.llm import decontaminate, embed_dedup, lang_kn, ngram_join, packing, quality_gbt
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,43 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), k=4, threshold=(85, 100))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors with a cosine of 0.9 or more."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+#: Teaching rows of the quality classifier and of the language models.
+QUALITY_LEARN = "pmod(crc32(cast(doc_id as string)), 3) <> 1"
+LANGUAGE_LEARN = "pmod(crc32(cast(doc_id as string)), 4) <> 2"
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the rows not held out."""
+    return quality_gbt.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), QUALITY_LEARN)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in sequences of at most 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows not held out."""
+    return lang_kn.identify(table(spark, sf_dir, "documents"), LANGUAGE_LEARN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_decontamination": op6_decontamination,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {}
