@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontaminate, embed_dedup, lang_kn, ngram_join, packing, quality_gbt
+from ledgerlake.llm import (chat_format, decontaminate, embed_dedup, html_render, kd_shards, lang_kn, ngram_join, packing,
+                            quality_gbt, url_templates)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions of the preference pairs of every conversation."""
+    pairs = chat_format.format_pairs(*chat_format.reply_pairs(table(spark, sf_dir, "conversations")))
+    return pairs.withColumnRenamed("pair_id", "conv_id")
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), k=4, threshold=(85, 100))
@@ -23,6 +31,11 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes."""
+    return kd_shards.shard(table(spark, sf_dir, "documents"), shards=16)
+
+
 #: Teaching rows of the quality classifier and of the language models.
 QUALITY_LEARN = "pmod(crc32(cast(doc_id as string)), 3) <> 1"
 LANGUAGE_LEARN = "pmod(crc32(cast(doc_id as string)), 4) <> 2"
@@ -43,18 +56,33 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+#: Verdicts that come before the method's.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url.  A page shows the document whose number
+    ends its path, so it is labelled with that document's quality."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.expr("try_cast(regexp_extract(url, '/([0-9]{1,18})([.]html|/)?([?#].*)?$', 1) as bigint)")
+    good = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.avg("quality").alias("good"))
+    labels = pages.select("page_id", number.alias("doc_id")).join(good, "doc_id").select("page_id", "good")
+    return url_templates.judge(pages, labels, URL_RULES)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    return html_render.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows not held out."""
     return lang_kn.identify(table(spark, sf_dir, "documents"), LANGUAGE_LEARN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_ngram_jaccard": op2_ngram_jaccard,
-    "op3_embedding_near_dedup": op3_embedding_near_dedup,
-    "op5_quality_classifier": op5_quality_classifier,
-    "op6_decontamination": op6_decontamination,
-    "op7_best_fit_packing": op7_best_fit_packing,
-    "op10_language_id": op10_language_id,
+    f.__name__: f for f in (op1_chat_format, op2_ngram_jaccard, op3_embedding_near_dedup, op4_kd_shards, op5_quality_classifier,
+                            op6_decontamination, op7_best_fit_packing, op8_url_templates, op9_html_text, op10_language_id)
 }
 
 ORACLE: dict[str, str] = {}
