@@ -17,13 +17,10 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlake.catalog.queries import QUERIES  # noqa: E402
-from ledgerlake.plans import marts  # noqa: E402
 from ledgerlake.session import build_session  # noqa: E402
-from ledgerlake.sources.binding import register_bank_views  # noqa: E402
 
 HEADLINE = [
     "account_summary",
-    "account_summary_naive",
     "account_summary_exact",
     "customer_master",
     "customer_master_exact",
@@ -36,11 +33,6 @@ HEADLINE = [
 ]
 
 
-def naive_account_summary(spark, sf_dir):
-    names = register_bank_views(spark, sf_dir, prefix="bench_")
-    return marts.account_summary_naive(spark, {k: f"bench_{k}" for k in names})
-
-
 def run(spark, fn, sf_dir) -> float:
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -55,7 +47,6 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
                           extra={"spark.driver.memory": "16g"})
     fns = dict(QUERIES)
-    fns["account_summary_naive"] = naive_account_summary
     times = {}
     for name in only or HEADLINE:
         fn = fns[name]

@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.catalog.oracle import START_MONTH, START_YEAR
-from ledgerlake.functions.scalars import (coalesce_default, exact_decimal, from_cents, money,
+from ledgerlake.functions.scalars import (coalesce_default, exact_decimal, money, rounded,
                                           nonempty, period_key, period_literal, to_day)
 from ledgerlake.operators import aggregates as agg
 from ledgerlake.operators import export, publish
 from ledgerlake.operators.filters import filter_date_from, filter_nonempty
 from ledgerlake.operators.joins import (join_chain, latest_rows, left_join_aggregated,
-                                        left_join_hot_right, left_join_residual, sized_broadcast)
+                                        left_join_hot_right, left_join_residual)
 from ledgerlake.operators.mapping import apply_mapping, to_raw_strings
-from ledgerlake.plans import marts
+from ledgerlake.plans import jobs, marts
 from ledgerlake.plans.staging import stage_table
 from ledgerlake.schemas import CASH_WITHDRAWAL, CREDIT_IN_CASH, PARTITIONS, mapping_for
 from ledgerlake.session import fresh_dir
@@ -293,8 +293,7 @@ def q_inner_join_chain(spark, sf_dir):
     d = b["disposition"].select(F.col("client_id").alias("d_client"),
                                 F.col("account_id").alias("d_account"), "type")
     acc = b["account"].select("account_id", "frequency", F.col("district_id").alias("a_district"))
-    dist = sized_broadcast(b["district"].select(F.col("district_id").alias("dt_district"),
-                                                F.col("city").alias("branch")))
+    dist = b["district"].select(F.col("district_id").alias("dt_district"), F.col("city").alias("branch"))
     out = join_chain(cln, [(d, cln.client_id == d.d_client, "inner"),
                            (acc, F.col("d_account") == acc.account_id, "inner"),
                            (dist, F.col("a_district") == F.col("dt_district"), "inner")])
@@ -357,14 +356,14 @@ def q_self_join_latest(spark, sf_dir):
     """Non-empty-operation transactions joined to their account's latest
     balances, grouped per (account, balance): joined row counts."""
     b = bank_tables(spark, sf_dir)
-    txn = b["transaction"]
-    latest = latest_rows(txn.select("account_id", "balance", "fulldatewithtime"),
-                         "account_id", "fulldatewithtime")
-    per_balance = latest.groupBy("account_id", "balance").agg(F.count(F.lit(1)).alias("m"))
-    rows = (txn.where(nonempty("operation") & F.col("account_id").isNotNull())
-            .groupBy("account_id").agg(F.count(F.lit(1)).alias("n")))
-    return (rows.join(per_balance, "account_id")
-            .select("account_id", "balance", (F.col("n") * F.col("m")).alias("joined_rows")))
+    per_balance = (b["transaction"].where(F.col("account_id").isNotNull())
+                   .groupBy("account_id", "fulldatewithtime", "balance")
+                   .agg(F.count(F.lit(1)).alias("m"), F.count_if(nonempty("operation")).alias("n")))
+    per_time = (per_balance.groupBy("account_id", "fulldatewithtime")
+                .agg(F.collect_list(F.struct("balance", "m")).alias("ties"), F.sum("n").alias("n")))
+    return (per_time.groupBy("account_id").agg(F.max_by("ties", "fulldatewithtime").alias("ties"), F.sum("n").alias("rows"))
+            .where("rows > 0").select("account_id", "rows", F.inline("ties"))
+            .select("account_id", "balance", (F.col("rows") * F.col("m")).alias("joined_rows")))
 
 
 # ---------------------------------------------------------------------------
@@ -446,7 +445,7 @@ def q_fn_coalesce_default(spark, sf_dir):
         F.count("order_id").alias("n"), F.sum(money("amount")).alias("s"))
     return (b["account"].select("account_id").join(orders, "account_id", "left")
             .select("account_id", coalesce_default("n").alias("total_orders"),
-                    from_cents(coalesce_default("s")).alias("total_order_amount")))
+                    rounded(coalesce_default("s")).alias("total_order_amount")))
 
 
 @query("fn_period_key")
@@ -560,21 +559,8 @@ def q_account_summary_exact(spark, sf_dir):
                                                    "disposition", "card"))
 
 
-def stage_in(spark, name: str):
-    """A lineage cut: write to a fresh folder below the shared work root and
-    read back."""
-    def stage(df: DataFrame) -> DataFrame:
-        path = fresh_dir(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-    return stage
-
-
 @query("customer_master")
 def q_customer_master(spark, sf_dir):
-    """Over the unpartitioned binding: the plain plan.  The job over the
-    day-partitioned published layout stages the per-account aggregate and
-    prunes the join back to the latest days (``jobs.customer_master_job``)."""
     b = bank_tables(spark, sf_dir)
     return marts.customer_master(*_bank_args(b, "client", "disposition", "account", "transaction"))
 
@@ -597,3 +583,42 @@ def q_customer_summary(spark, sf_dir):
 def q_customer_summary_exact(spark, sf_dir):
     b = bank_tables(spark, sf_dir)
     return _summary_exact(b, START_YEAR, START_MONTH)
+
+
+def _odd_transactions(txn: DataFrame) -> DataFrame:
+    """Transactions plus copies whose stored date parts are missing, shifted to
+    another month, or no calendar day (31 February)."""
+    last = F.col("trans_id") % 10
+    def odd(which, **parts):
+        return txn.where(last == which).withColumns(
+            {"trans_id": -F.col("trans_id"), **{c: v.cast("int") for c, v in parts.items()}})
+    return (txn.union(odd(1, year=F.lit(None), month=F.lit(None))).union(odd(2, year=F.col("year") - 1, month=F.lit(12)))
+            .union(odd(3, month=F.lit(2), day=F.lit(31))))
+
+
+def _published_bank(spark, sf_dir) -> str:
+    """A lake whose published layer holds the bank tables, the transactions
+    with odd date parts among them."""
+    root = fresh_dir(spark, "lake")
+    for name, df in bank_tables(spark, sf_dir).items():
+        if name in PARTITIONS:
+            df = _odd_transactions(df) if name == "transaction" else df
+            jobs.publish_table(spark, df, root, name, rebuild=True)
+    return root
+
+
+def _bound_schema(b: dict[str, DataFrame]):
+    return {n: df.schema for n, df in b.items()}
+
+
+@query("customer_master_published")
+def q_customer_master_published(spark, sf_dir):
+    """The job's plan over the day-partitioned published layout."""
+    return jobs.customer_master(spark, _published_bank(spark, sf_dir), schemas=_bound_schema(bank_tables(spark, sf_dir)))
+
+
+@query("customer_summary_published")
+def q_customer_summary_published(spark, sf_dir):
+    """The job's plan over the published layout, from a start month."""
+    return jobs.customer_summary(spark, _published_bank(spark, sf_dir), START_YEAR, START_MONTH, exact=False,
+                                 schemas=_bound_schema(bank_tables(spark, sf_dir)))

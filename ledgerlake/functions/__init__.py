@@ -2,7 +2,7 @@ from ledgerlake.functions.scalars import (  # noqa: F401
     coalesce_default,
     decode_object_key,
     exact_decimal,
-    from_cents,
+    rounded,
     money,
     money_sum,
     month_start,

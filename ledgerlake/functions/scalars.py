@@ -54,26 +54,29 @@ def nonempty(c="operation") -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
+MONEY = "decimal(30,6)"
+
+
 def money(c) -> Column:
-    """A double amount as exact integer cents (half away from zero).
+    """An amount as an exact decimal, through its text form.
 
-    Sums of doubles depend on the order rows arrive in; sums of integers do
-    not.  Cents are plain longs, so partial aggregation keeps fixed-width
-    buffers in generated code (a decimal(28,2) sum buffer would not), and
-    under ANSI mode an overflow raises instead of wrapping.
+    Sums of doubles depend on the order rows arrive in; sums of decimals do
+    not.  Six decimals are kept: amounts are rounded once, after the sum
+    (``rounded``), not row by row.  NaN and infinities have no decimal and
+    become NULL (the mapping counts them as rejects).
     """
-    x = _col(c)
-    return (F.signum(x) * F.floor(F.abs(x) * F.lit(100.0) + F.lit(0.5))).cast("long")
+    text = _col(c).cast("string")
+    return F.when(~text.isin("NaN", "Infinity", "-Infinity"), text).cast(MONEY)
 
 
 def money_sum(c) -> Column:
-    """Exact sum in cents (NULL when there is no value)."""
+    """Exact sum (NULL when there is no value)."""
     return F.sum(money(c))
 
 
-def from_cents(c) -> Column:
-    """Cents back to a currency amount (double, correctly rounded)."""
-    return _col(c) / F.lit(100.0)
+def rounded(c) -> Column:
+    """An exact sum as a currency amount: half up to two decimals, as double."""
+    return F.round(_col(c), 2).cast("double")
 
 
 def exact_decimal(c, precision: int = 18, scale: int = 2) -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerlake.functions.scalars import from_cents, money, money_sum
+from ledgerlake.functions.scalars import money, money_sum, rounded
 from ledgerlake.schemas import CARD_TYPES_SEPARATOR
 
 
@@ -13,18 +14,25 @@ def count_sum(df: DataFrame, keys: list[str], id_col: str, amount_col: str,
               count_name: str = "total_count", sum_name: str = "total_amount") -> DataFrame:
     """``count(id)`` (non-NULL ids) and ``sum(amount)`` (NULL for no values)."""
     return df.groupBy(*keys).agg(F.count(id_col).alias(count_name),
-                                 from_cents(money_sum(amount_col)).alias(sum_name))
+                                 rounded(money_sum(amount_col)).alias(sum_name))
 
 
 def rounded_total(amount_col: str) -> Column:
-    """``round(coalesce(sum(amount), 0), 2)``: exact cents, so no rounding
-    is left to do; returns a double."""
-    return from_cents(F.coalesce(money_sum(amount_col), F.lit(0)))
+    """``round(coalesce(sum(amount), 0), 2)`` over the exact sum; a double."""
+    return rounded(F.coalesce(money_sum(amount_col), F.lit(0)))
+
+
+def total(df: DataFrame, amount_col: str) -> Column:
+    """``round(coalesce(sum(amount), 0), 2)`` in the column's own kind: a long
+    column has a long total (no rounding, nothing lost beyond 2**53)."""
+    if isinstance(df.schema[amount_col].dataType, T.IntegralType):
+        return F.coalesce(F.sum(amount_col), F.lit(0)).cast("bigint")
+    return rounded_total(amount_col)
 
 
 def conditional_sum(value_col: str, category_col: str, category: str) -> Column:
     """``sum(case when category = c then value else 0 end)`` (double)."""
-    return from_cents(F.sum(F.when(F.col(category_col) == F.lit(category), money(value_col))
+    return rounded(F.sum(F.when(F.col(category_col) == F.lit(category), money(value_col))
                             .otherwise(F.lit(0))))
 
 

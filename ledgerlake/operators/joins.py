@@ -1,9 +1,8 @@
 """Join operators.
 
-Everything here is an equi-join planned by Catalyst.  Broadcasts are used
-only behind an explicit row-count check; otherwise AQE converts a join to a
-broadcast at run time when the measured side is small, and splits skewed
-partitions of sort-merge joins.
+Everything here is an equi-join planned by Catalyst.  Nothing is hinted:
+AQE converts a join to a broadcast at run time when the measured side is
+small, and splits skewed partitions of sort-merge joins.
 """
 
 from __future__ import annotations
@@ -12,20 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-
-# Dimension tables below this many rows are broadcast after a count check.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the table is proven small.
-
-    The check is a count over a (small) dimension; past the bound the join
-    stays a shuffle join, which AQE may still convert from runtime sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+from pyspark.sql import Window
 
 
 def join_chain(base: DataFrame, steps: Sequence[tuple[DataFrame, Column | str | list, str]]) -> DataFrame:
@@ -85,20 +71,27 @@ def left_join_aggregated(left: DataFrame, aggregates: Sequence[DataFrame],
     return out
 
 
+# A key's rows of one timestamp are gathered in this many lists.
+TIE_LISTS = 16
+
+
 def latest_rows(df: DataFrame, key: str, ts: str) -> DataFrame:
     """All rows whose ``ts`` equals the maximum ``ts`` of their key (ties kept).
 
     Same result as ``WHERE ts = (SELECT max(ts) ... WHERE key = outer.key)``:
-    rows with a NULL key or NULL ts never qualify.  Computed as a per-key
-    max (partial aggregation, safe for a key holding a large share of rows)
-    joined back on (key, ts) -- the join spreads a hot key's rows by ts, so
-    no task receives a whole key.
+    rows with a NULL key or NULL ts never qualify.  One pass: the rows of a
+    (key, ts) are gathered in lists (salted, so a hot key or a hot moment is
+    spread), each (key, salt) keeps the list of its greatest ts, and a key's
+    few lists are compared at the end.
     """
-    maxes = (df.where(F.col(key).isNotNull())
-             .groupBy(key).agg(F.max(ts).alias("_max_ts"))
-             .where(F.col("_max_ts").isNotNull()))
-    return (df.join(maxes, (df[key] == maxes[key]) & (df[ts] == maxes["_max_ts"]))
-            .drop(maxes[key]).drop("_max_ts"))
+    salted = (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+              .select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.struct(*df.columns).alias("_row"),
+                      F.pmod(F.xxhash64(*df.columns), F.lit(TIE_LISTS)).alias("_salt")))
+    lists = salted.groupBy("_key", "_salt", "_ts").agg(F.collect_list("_row").alias("_rows"))
+    newest = lists.groupBy("_key", "_salt").agg(F.max("_ts").alias("_ts"), F.max_by("_rows", "_ts").alias("_rows"))
+    of_key = Window.partitionBy("_key")  # at most TIE_LISTS rows
+    return (newest.withColumn("_max_ts", F.max("_ts").over(of_key)).where("_ts = _max_ts")
+            .select(F.explode("_rows").alias("_row")).select("_row.*"))
 
 
 def latest_value(df: DataFrame, key: str, order_cols: Sequence[str], value: str,

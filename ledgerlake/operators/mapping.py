@@ -1,6 +1,6 @@
 """Declared schema mapping: select, rename, cast, drop the rest.
 
-Values that do not convert become NULL (``try_cast``) and are counted per
+Values that do not convert (NaN and infinities included) become NULL and are counted per
 target column while the data flows (``DataFrame.observe``), so the reject
 counts cost no extra scan; they are available after the first action.
 """
@@ -31,6 +31,8 @@ def apply_mapping(df: DataFrame, mapping: Mapping,
     for src, _src_type, dst, dst_type in mapping.entries:
         source = _source(columns, src)
         converted = source.try_cast(spark_type(dst_type))
+        if dst_type == "double":  # text such as NaN converts, but is no amount
+            converted = F.when(~F.isnan(converted) & (F.abs(converted) != float("inf")), converted)
         targets.append(converted.alias(dst))
         checks.append(F.count_if(source.isNotNull() & converted.isNull()).alias(dst))
     if observation is not None:

@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -92,6 +92,48 @@ def period_scope(df: DataFrame, period_cols: Sequence[str] = ("year", "month"))
     return df.select(*period_cols).distinct()
 
 
+# Date column that the stored period parts of a table should come from.
+PERIOD_CHECK = "_period_check"   # '_' prefix: ignored by the Parquet reader
+
+
+def period_agrees(df: DataFrame, date_col: str, parts: Sequence[str]):
+    """Whether the stored parts of a row are those of its date."""
+    of = {"year": F.year, "month": F.month, "day": F.day}
+    ok = F.lit(True)
+    for p in parts:
+        ok = ok & F.col(p).eqNullSafe(of[p](F.col(date_col)))
+    return ok
+
+
+def publish_checked(spark: SparkSession, df: DataFrame, path: str, partition_cols: Sequence[str], date_col: str | None,
+                    rebuild: bool, cluster: bool = True) -> int:
+    """Rebuild or refresh a partitioned table and record beside it how many
+    rows have stored parts that disagree with their date (counted while they
+    are written).  Readers may prune by the stored parts only where that is
+    none (``periods_agree``); the rows stay as they are.  Returns the count."""
+    seen = Observation()
+    if date_col:
+        df = df.observe(seen, F.count_if(~period_agrees(df, date_col, partition_cols)).alias("bad"))
+    (publish_rebuild if rebuild else publish_refresh_period)(df, path, partition_cols, cluster)
+    bad = int(seen.get["bad"]) if date_col else 0
+    (spark.createDataFrame([(bad,)], "bad long").coalesce(1).write
+     .mode("overwrite" if rebuild else "append").json(f"{path.rstrip('/')}/{PERIOD_CHECK}"))
+    return bad
+
+
+def periods_agree(spark: SparkSession, path: str) -> bool:
+    """True when every publish since the last rebuild found only rows whose
+    stored parts are those of their date."""
+    try:
+        found = spark.read.schema("bad long").json(f"{path.rstrip('/')}/{PERIOD_CHECK}").agg(
+            F.count("*").alias("n"), F.sum("bad").alias("bad")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return found.n > 0 and found.bad == 0
+
+
 SCHEMA_SIDECAR = "_table_schema"   # '_' prefix: ignored by the Parquet reader
 
 
@@ -111,22 +153,51 @@ def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
         row = spark.read.text(_sidecar(path)).first()
         if row is not None:
             return T.StructType.fromJson(json.loads(row[0]))
-    except AnalysisException:
-        pass
+    except AnalysisException as error:
+        _only_missing(error)
     try:
         return spark.read.option("mergeSchema", "true").parquet(path).schema
-    except AnalysisException:
+    except AnalysisException as error:
+        _only_missing(error, "UNABLE_TO_INFER_SCHEMA")
         return None
 
 
+def _only_missing(error: AnalysisException, *more: str) -> None:
+    """Raise unless the error says that there is nothing at the path yet."""
+    if error.getCondition() not in ("PATH_NOT_FOUND", *more):
+        raise error
+
+
+_WIDER = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+
+
+def _widens(batch: T.DataType, table: T.DataType) -> bool:
+    """Whether every value of the batch's type is one of the table's."""
+    if batch in _WIDER and table in _WIDER:
+        return _WIDER.index(batch) <= _WIDER.index(table)
+    return (batch == T.FloatType() and table == T.DoubleType() or isinstance(batch, T.NullType)
+            or batch in _WIDER[:3] and table == T.DoubleType())
+
+
 def align_to_schema(df: DataFrame, table_schema: T.StructType | None) -> DataFrame:
-    """Columns of the table first (missing ones as typed NULLs), then new ones."""
+    """Columns of the table first (missing ones as typed NULLs, narrower ones cast), then
+    new ones.  Raises TypeError for a column whose type the table cannot hold."""
     if table_schema is None:
         return df
     names = df.columns
     have = set(names)
-    cols = [(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in table_schema.fields]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for f in table_schema.fields:
+        if f.name not in have:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif types[f.name] == f.dataType:
+            cols.append(F.col(f.name))
+        elif _widens(types[f.name], f.dataType):
+            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        else:
+            raise TypeError(f"column {f.name}: the table has {f.dataType.simpleString()}, "
+                            f"the batch {types[f.name].simpleString()}; nothing was written")
     known = {f.name for f in table_schema.fields}
     cols += [F.col(c) for c in names if c not in known]
     return df.select(*cols)

@@ -38,11 +38,11 @@ def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
-def read_transformed(spark: SparkSession, root: str, table: str) -> DataFrame:
+def read_transformed(spark: SparkSession, root: str, table: str, schema=None) -> DataFrame:
     """A published table with its declared schema (no inference, stable
     partition column types); filters on partition columns prune folders."""
     return scan_partitioned_parquet(spark, _p(root, "transformed", table),
-                                    schema=mapping_for(table).target_schema())
+                                    schema=schema or mapping_for(table).target_schema())
 
 
 def read_stage(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -98,30 +98,41 @@ def _published_layout(table: str) -> tuple[str, ...]:
     return PARTITIONS[table]
 
 
+DATE_OF = {"account": "parseddate", "card": "fulldate", "client": "fulldate", "loan": "fulldate", "transaction": "fulldate"}
+
+
+def publish_table(spark: SparkSession, df: DataFrame, root: str, table: str, rebuild: bool) -> None:
+    """Write a table to the published layer: all of it, or (daily) exactly the
+    batch's periods; rows whose stored date parts disagree with their date are
+    counted, and readers do not prune a table that has any."""
+    parts = _published_layout(table)
+    target = _p(root, "transformed", table)
+    if not parts:
+        publish.publish_snapshot(df, target)
+        return
+    if not rebuild:
+        df = publish.align_to_schema(df, publish.existing_schema(spark, target))
+    publish.publish_checked(spark, df, target, parts, DATE_OF.get(table), rebuild)
+    publish.write_table_schema(spark, target, df.schema)
+
+
 def publish_daily_job(spark: SparkSession, root: str, table: str, compat_append: bool = False) -> None:
     """Publish the staged batch: replace exactly its periods (or, with
     ``compat_append``, append as the published jobs did); unpartitioned
-    tables are replaced whole."""
+    tables are replaced whole.  The table may gain columns; a column whose
+    type the table cannot hold is refused before anything is written."""
     parts = _published_layout(table)
     df = read_stage(spark, root, table)
-    target = _p(root, "transformed", table)
-    if not parts:
-        publish.publish_snapshot(df, target)
-    elif compat_append:
-        publish.publish_append(df, target, parts)
+    if parts and compat_append:
+        target = _p(root, "transformed", table)
+        publish.publish_append(publish.align_to_schema(df, publish.existing_schema(spark, target)), target, parts)
     else:
-        publish.publish_refresh_period(df, target, parts)
+        publish_table(spark, df, root, table, rebuild=False)
 
 
 def publish_firstday_job(spark: SparkSession, root: str, table: str) -> None:
     """Rebuild the whole published table from the staged data."""
-    parts = _published_layout(table)
-    df = read_stage(spark, root, table)
-    target = _p(root, "transformed", table)
-    if parts:
-        publish.publish_rebuild(df, target, parts)
-    else:
-        publish.publish_snapshot(df, target)
+    publish_table(spark, read_stage(spark, root, table), root, table, rebuild=True)
 
 
 # --- marts ------------------------------------------------------------------
@@ -134,35 +145,30 @@ def account_summary_job(spark: SparkSession, root: str, exact: bool = False) ->
     return publish.write_mart(out, _p(root, "analysis", "account_summary" + ("_exact" if exact else "")))
 
 
-def _stage_in(spark: SparkSession, path: str):
-    def stage(df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-    return stage
+def customer_master(spark: SparkSession, root: str, exact: bool = False, schemas: dict | None = None) -> DataFrame:
+    """Customer master over the published layout."""
+    t = {n: read_transformed(spark, root, n, (schemas or {}).get(n)) for n in ("client", "disposition", "account", "transaction")}
+    fn = marts.customer_master_exact if exact else marts.customer_master
+    return fn(t["client"], t["disposition"], t["account"], t["transaction"])
 
 
 def customer_master_job(spark: SparkSession, root: str, exact: bool = False) -> str:
-    t = {n: read_transformed(spark, root, n) for n in
-         ("client", "disposition", "account", "transaction")}
-    if exact:
-        out = marts.customer_master_exact(t["client"], t["disposition"], t["account"], t["transaction"])
-    else:
-        out = marts.customer_master(
-            t["client"], t["disposition"], t["account"], t["transaction"],
-            stage=_stage_in(spark, _p(root, "_work", "customer_master_accounts")),
-            day_cols=("year", "month", "day"))
-    return publish.write_mart(out, _p(root, "analysis", "customer_master" + ("_exact" if exact else "")))
+    return publish.write_mart(customer_master(spark, root, exact),
+                              _p(root, "analysis", "customer_master" + ("_exact" if exact else "")))
 
 
-def customer_summary(spark: SparkSession, root: str, year: int, month: int,
-                     exact: bool = True) -> DataFrame:
-    """Period summary over the published layout; the period predicate on
-    (year, month) prunes transaction and loan partitions."""
-    t = {n: read_transformed(spark, root, n) for n in
+def customer_summary(spark: SparkSession, root: str, year: int, month: int, exact: bool = True,
+                     schemas: dict | None = None) -> DataFrame:
+    """Period summary over the published layout.  Transaction and loan folders
+    are pruned by (year, month) where all publishes found those parts to agree
+    with the date; otherwise the date alone decides (Parquet statistics skip
+    row groups)."""
+    t = {n: read_transformed(spark, root, n, (schemas or {}).get(n)) for n in
          ("client", "disposition", "account", "district", "transaction", "loan")}
     fn = marts.customer_summary_exact if exact else marts.customer_summary
+    agree = all(publish.periods_agree(spark, _p(root, "transformed", n)) for n in ("transaction", "loan"))
     return fn(t["client"], t["disposition"], t["account"], t["district"], t["transaction"],
-              t["loan"], year, month, period_cols=("year", "month"))
+              t["loan"], year, month, period_cols=("year", "month") if agree else None)
 
 
 def customer_summary_export_job(spark: SparkSession, root: str, year: int, month: int,

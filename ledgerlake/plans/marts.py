@@ -13,15 +13,13 @@ the bank model.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import from_cents, money, nonempty, period_literal
-from ledgerlake.operators.aggregates import distinct_list, rounded_total
+from ledgerlake.functions.scalars import money, nonempty, period_literal, rounded
+from ledgerlake.operators.aggregates import distinct_list, total
 from ledgerlake.operators.filters import filter_date_from, filter_month
-from ledgerlake.operators.joins import left_join_hot_right, latest_value, sized_broadcast
+from ledgerlake.operators.joins import left_join_hot_right, latest_value
 from ledgerlake.schemas import CASH_WITHDRAWAL, CREDIT_IN_CASH
 
 ACCOUNT_SUMMARY_COLUMNS = [
@@ -106,9 +104,9 @@ def account_summary(account: DataFrame, transaction: DataFrame, order: DataFrame
     return j.select(
         *ACCOUNT_KEYS, "transactions_type",
         (_zero_if_null("nt") * ra * f_ro * f_rc).alias("total_transactions"),
-        from_cents(F.col("st") * (ra * f_ro * f_rc)).alias("total_transaction_amount"),
+        rounded(F.col("st") * (ra * f_ro * f_rc)).alias("total_transaction_amount"),
         (_zero_if_null("no") * ra * f_rt * f_rc).alias("total_orders"),
-        from_cents(F.col("so") * (ra * f_rt * f_rc)).alias("total_order_amount"),
+        rounded(F.col("so") * (ra * f_rt * f_rc)).alias("total_order_amount"),
         (_zero_if_null("nc") * ra * f_rt * f_ro).alias("total_cards"),
         F.coalesce(F.col("card_types"), F.lit("")).alias("card_types"))
 
@@ -124,40 +122,13 @@ def account_summary_exact(account: DataFrame, transaction: DataFrame, order: Dat
     return j.select(
         *ACCOUNT_KEYS, "transactions_type",
         _zero_if_null("nt").alias("total_transactions"),
-        from_cents("st").alias("total_transaction_amount"),
+        rounded("st").alias("total_transaction_amount"),
         _zero_if_null("no").alias("total_orders"),
-        from_cents("so").alias("total_order_amount"),
+        rounded("so").alias("total_order_amount"),
         _zero_if_null("nc").alias("total_cards"),
         F.coalesce(F.col("card_types"), F.lit("")).alias("card_types"))
 
 
-ACCOUNT_SUMMARY_NAIVE_SQL = """
-    select acc.account_id, acc.district_id, acc.frequency, acc.parseddate
-        , txn.operation transactions_type
-        , count(txn.trans_id) total_transactions
-        , cast(sum(cast(txn.amount as decimal(18,2))) as double) total_transaction_amount
-        , count(o.order_id) as total_orders
-        , cast(sum(cast(o.amount as decimal(18,2))) as double) as total_order_amount
-        , count(c.card_id) as total_cards
-        , coalesce(array_join(array_sort(collect_set(c.type)), ', '), '') as card_types
-    from {account} acc
-    left join {transaction} txn on acc.account_id = txn.account_id
-        and (txn.operation is not null and txn.operation != '')
-    left join {order} o on acc.account_id = o.account_id
-    left join {disposition} d on acc.account_id = d.account_id
-    left join {card} c on d.disp_id = c.disp_id
-    group by acc.account_id, acc.district_id, acc.frequency, acc.parseddate, txn.operation
-"""
-
-
-def account_summary_naive(spark, views: dict[str, str]) -> DataFrame:
-    """The published join-then-aggregate form over registered views.
-
-    Its intermediate size is the product of the branches per account; kept
-    only to test and time the rewrite against it."""
-    return spark.sql(ACCOUNT_SUMMARY_NAIVE_SQL.format(**{k: f"`{v}`" for k, v in views.items()}))
-
-
 # ---------------------------------------------------------------------------
 # M2 customer master
 # ---------------------------------------------------------------------------
@@ -178,8 +149,7 @@ def _client_account_chain(client: DataFrame, disposition: DataFrame, account: Da
 
 
 def customer_master(client: DataFrame, disposition: DataFrame, account: DataFrame,
-                    transaction: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = None,
-                    day_cols: tuple[str, str, str] | None = None) -> DataFrame:
+                    transaction: DataFrame) -> DataFrame:
     """Customer master as published.
 
     * both "conditional" counts equal all non-empty-operation rows;
@@ -190,47 +160,32 @@ def customer_master(client: DataFrame, disposition: DataFrame, account: DataFram
     * accounts whose timestamps are all NULL, or without non-empty
       operations, get no aggregates (NULL, no default).
 
-    One aggregate over ``transaction`` (totals and latest timestamp per
-    account), then a join back on (account, latest timestamp) for the tied
-    balances.  No window, no per-account sort.
-
-    With ``stage`` (e.g. write to the shared folder and read back) the
-    per-account aggregate is computed once, and the join back reads only the
-    calendar days on which some account's latest timestamp falls (a list
-    bounded by the calendar, collected to the driver); ``day_cols`` names
-    stored (year, month, day) partition columns derived from the timestamp,
-    so those days prune partitions of the published layout.
+    One pass over ``transaction``: (account, timestamp, balance) with counts
+    and sums, combined map-side; then (account, timestamp) with its distinct
+    balances; then the account, which keeps the list of its greatest
+    timestamp.  A hot account is spread by timestamp until it is a few rows.
     """
     ne = nonempty("operation")
-    per_account = (transaction.where(F.col("account_id").isNotNull())
-                   .groupBy("account_id")
-                   .agg(F.max("fulldatewithtime").alias("_max_ts"),
-                        F.count_if(ne).alias("_n"),
-                        F.sum(F.when(ne, F.when(F.col("operation") == F.lit(CREDIT_IN_CASH),
-                                                money("amount")).otherwise(F.lit(0)))).alias("_s_in"),
-                        F.sum(F.when(ne, F.when(F.col("operation") == F.lit(CASH_WITHDRAWAL),
-                                                money("amount")).otherwise(F.lit(0)))).alias("_s_out")))
-    tx = transaction
-    if stage is not None:
-        per_account = stage(per_account)
-        days = sorted(r[0] for r in per_account.where(F.col("_max_ts").isNotNull())
-                      .select(F.to_date("_max_ts")).distinct().collect())
-        tx = tx.where(F.to_date("fulldatewithtime").isin(days))
-        if day_cols is not None:
-            tx = tx.where(F.make_date(*[F.col(c) for c in day_cols]).isin(days))
-    latest_ts = per_account.where(F.col("_max_ts").isNotNull()).select(
-        F.col("account_id").alias("_lb_account"), "_max_ts")
-    tx = tx.select("account_id", "fulldatewithtime", "balance")
-    ties = (tx.join(latest_ts, (tx.account_id == latest_ts._lb_account)
-                    & (tx.fulldatewithtime == latest_ts._max_ts))
-            .groupBy("account_id", "balance").agg(F.count(F.lit(1)).alias("_m")))
+
+    def of(category):
+        return F.sum(F.when(ne, F.when(F.col("operation") == F.lit(category), money("amount")).otherwise(F.lit(0))))
+    per_balance = (transaction.where(F.col("account_id").isNotNull())
+                   .groupBy("account_id", "fulldatewithtime", "balance")
+                   .agg(F.count(F.lit(1)).alias("_m"), F.count_if(ne).alias("_n"),
+                        of(CREDIT_IN_CASH).alias("_s_in"), of(CASH_WITHDRAWAL).alias("_s_out")))
+    sums = [F.sum(c).alias(c) for c in ("_n", "_s_in", "_s_out")]
+    per_time = (per_balance.groupBy("account_id", "fulldatewithtime")
+                .agg(F.collect_list(F.struct("balance", "_m")).alias("_ties"), *sums))
+    per_account = (per_time.groupBy("account_id")
+                   .agg(F.max_by(F.when(F.col("fulldatewithtime").isNotNull(), F.col("_ties")), "fulldatewithtime").alias("_ties"), *sums)
+                   .where("_n > 0").withColumn("_tie", F.explode("_ties")).select("*", "_tie.balance", "_tie._m"))
     m = F.col("_m")
-    txn_aggregates = (per_account.where(F.col("_n") > 0).join(ties, "account_id")
+    txn_aggregates = (per_account
                       .select(F.col("account_id").alias("_t_account"),
                               (F.col("_n") * m).alias("total_in_cash_transaction"),
                               (F.col("_n") * m).alias("total_withdrawal_transaction"),
-                              from_cents(F.col("_s_in") * m).alias("total_in_cash_credit"),
-                              from_cents(F.col("_s_out") * m).alias("total_withdrawal_credit"),
+                              rounded(F.col("_s_in") * m).alias("total_in_cash_credit"),
+                              rounded(F.col("_s_out") * m).alias("total_withdrawal_credit"),
                               "balance"))
     chain = _client_account_chain(client, disposition, account)
     return (chain.join(txn_aggregates, chain.account_id == txn_aggregates._t_account, "left")
@@ -245,9 +200,9 @@ def customer_master_exact(client: DataFrame, disposition: DataFrame, account: Da
     totals = tx.groupBy("account_id").agg(
         F.count_if(F.col("operation") == F.lit(CREDIT_IN_CASH)).alias("total_in_cash_transaction"),
         F.count_if(F.col("operation") == F.lit(CASH_WITHDRAWAL)).alias("total_withdrawal_transaction"),
-        from_cents(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CREDIT_IN_CASH),
+        rounded(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CREDIT_IN_CASH),
                                            money("amount"))), F.lit(0))).alias("total_in_cash_credit"),
-        from_cents(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CASH_WITHDRAWAL),
+        rounded(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CASH_WITHDRAWAL),
                                            money("amount"))), F.lit(0))).alias("total_withdrawal_credit"))
     balance = latest_value(tx, "account_id",
                            ["fulldatewithtime", "trans_id", "amount", "balance"], "balance")
@@ -269,8 +224,8 @@ def _summary_base(client, disposition, account, district, distinct_dispositions)
     if distinct_dispositions:
         d = d.distinct()
     acc = account.select("account_id", "frequency", F.col("district_id").alias("_a_district"))
-    dist = sized_broadcast(district.select(F.col("district_id").alias("_dt_district"),
-                                           F.col("city").alias("branch")))
+    # a small dimension: joined by broadcast where its measured size allows it
+    dist = district.select(F.col("district_id").alias("_dt_district"), F.col("city").alias("branch"))
     return (cln.join(d, cln.client_id == d._d_client)
             .join(acc, F.col("_d_account") == acc.account_id)
             .join(dist, F.col("_a_district") == F.col("_dt_district")))
@@ -281,8 +236,8 @@ def _summary_select(j: DataFrame, pdate: str) -> DataFrame:
         "client_id", "age", "sex", "email", "phone", "address_1", "account_id", "frequency",
         "branch",
         F.coalesce(F.col("_txn_count"), F.lit(0)).cast("bigint").alias("total_transactions"),
-        F.coalesce(F.col("_txn_spent"), F.lit(0.0)).alias("total_spent"),
-        F.coalesce(F.col("_loan_amount"), F.lit(0.0)).alias("total_loan_amount"),
+        F.coalesce(F.col("_txn_spent"), F.lit(0)).alias("total_spent"),
+        F.coalesce(F.col("_loan_amount"), F.lit(0)).alias("total_loan_amount"),
         F.coalesce(F.col("_loan_count"), F.lit(0)).cast("bigint").alias("total_loans"),
         F.lit(pdate).alias("pdate"))
 
@@ -301,12 +256,12 @@ def customer_summary(client: DataFrame, disposition: DataFrame, account: DataFra
     pdate = period_literal(year, month)
     txn = (filter_date_from(transaction, year, month, "fulldate", period_cols)
            .groupBy("account_id", "year", "month")
-           .agg(rounded_total("amount").alias("_txn_spent"),
+           .agg(total(transaction, "amount").alias("_txn_spent"),
                 F.count("trans_id").alias("_txn_count"))
            .select(F.col("account_id").alias("_t_account"), "_txn_spent", "_txn_count"))
     loans = (filter_date_from(loan, year, month, "fulldate", period_cols)
              .groupBy("account_id", "year", "month")
-             .agg(rounded_total("amount").alias("_loan_amount"),
+             .agg(total(loan, "amount").alias("_loan_amount"),
                   F.count("loan_id").alias("_loan_count"))
              .select(F.col("account_id").alias("_l_account"), "_loan_amount", "_loan_count"))
     base = _summary_base(client, disposition, account, district, False)
@@ -325,12 +280,12 @@ def customer_summary_exact(client: DataFrame, disposition: DataFrame, account: D
     pdate = period_literal(year, month)
     txn = (filter_month(transaction, year, month, "fulldate", period_cols)
            .groupBy("account_id")
-           .agg(rounded_total("amount").alias("_txn_spent"),
+           .agg(total(transaction, "amount").alias("_txn_spent"),
                 F.count("trans_id").alias("_txn_count"))
            .withColumnRenamed("account_id", "_t_account"))
     loans = (filter_month(loan, year, month, "fulldate", period_cols)
              .groupBy("account_id")
-             .agg(rounded_total("amount").alias("_loan_amount"),
+             .agg(total(loan, "amount").alias("_loan_amount"),
                   F.count("loan_id").alias("_loan_count"))
              .withColumnRenamed("account_id", "_l_account"))
     base = _summary_base(client, disposition, account, district, True)

@@ -51,5 +51,12 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return rows(a, cols) == rows(b, cols)
 
 
+def equals_dicts(df: DataFrame, expected: list[dict]) -> bool:
+    """Whether the rows of ``df`` are those of a plain list of dicts."""
+    cols = sorted(df.columns)
+    want = sorted((norm_row(tuple(e[c] for c in cols)) for e in expected), key=lambda t: tuple(_key(v) for v in t))
+    return rows(df, cols) == want
+
+
 def string_schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])

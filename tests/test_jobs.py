@@ -70,17 +70,29 @@ def test_export_job_prunes_and_upserts(spark, lake):
     assert both.count() == 2 * n
 
 
-def test_customer_master_join_back_prunes_days(spark, lake):
-    root, _, _ = lake
-    t = {n: jobs.read_transformed(spark, root, n) for n in
-         ("client", "disposition", "account", "transaction")}
-    out = marts.customer_master(t["client"], t["disposition"], t["account"], t["transaction"],
-                                stage=jobs._stage_in(spark, f"{root}/_work/t-cm"),
-                                day_cols=("year", "month", "day"))
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    filters = re.findall(r"PartitionFilters: \[([^]]*)\]", plan)
-    assert any("make_date(year" in f and "INSET" in f for f in filters)
-    assert out.count() > 0
+def test_odd_date_parts_are_not_pruned_away(spark, tmp_path):
+    """Rows whose stored year and month are missing or shifted still count."""
+    from helpers import D, bank_df
+    root = str(tmp_path)
+    rows = [{"loan_id": "L", "account_id": "A", "amount": 7, "fulldate": D(2018, 1, 10), "year": y, "month": m, "day": d}
+            for y, m, d in ((2018, 1, 10), (None, None, None), (2017, 12, 10), (2018, 2, 31))]
+    jobs.publish_table(spark, bank_df(spark, "loan", rows), root, "loan", rebuild=True)
+    target = f"{root}/transformed/loan"
+    assert not jobs.publish.periods_agree(spark, target)
+    assert jobs.read_transformed(spark, root, "loan").where("fulldate >= '2018-01-01'").count() == 4
+    jobs.publish_table(spark, bank_df(spark, "loan", rows[:1]), root, "loan", rebuild=True)
+    assert jobs.publish.periods_agree(spark, target)
+    jobs.publish_table(spark, bank_df(spark, "loan", rows[2:3]), root, "loan", rebuild=False)
+    assert not jobs.publish.periods_agree(spark, target)
+
+
+def test_daily_publish_refuses_a_type_the_table_cannot_hold(spark, tmp_path):
+    import pytest
+    path = str(tmp_path / "t")
+    jobs.publish.publish_evolving(spark, spark.sql("select 1 as a, 2018 as year, 1 as month"), path, ["year", "month"])
+    with pytest.raises(TypeError):
+        jobs.publish.publish_evolving(spark, spark.sql("select 'x' as a, 2018 as year, 2 as month"), path, ["year", "month"])
+    assert [r.a for r in jobs.publish.read_back(spark, path).collect()] == [1]
 
 
 def test_export_job_sends_committed_items(spark, lake, tmp_path):

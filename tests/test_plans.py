@@ -83,3 +83,10 @@ def test_hot_right_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_latest_balances_read_the_fact_once(spark):
+    for name in ("customer_master", "latest_by_key", "self_join_latest"):
+        plan = _plan(QUERIES[name](spark, SF))
+        scans = [ln for ln in plan.split("\n") if "lineitem.parquet" in ln]
+        assert len(scans) == 1, name
