@@ -42,6 +42,8 @@ _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _START, _END = "\x02", "\x03"
 #: Teaching rows (about) that calibrate the rejection limits.
 CALIBRATE = 20_000
+#: Symbols from which a text's cross-entropy no longer gets steadier (its subject differs, not its luck).
+_SETTLED = 400
 _CACHE = 200_000
 _C = np.uint64(0x9E3779B97F4A7C15)
 
@@ -268,7 +270,7 @@ def _judge(batch: pa.RecordBatch, scorer: Scorer, limits: dict[str, tuple[float,
     far = np.array([limits.get(x, (0, np.inf))[1] for x in langs])[best]
     return {"lang_pred": np.where(known, np.array(langs, dtype=object)[best], "und"), "score": np.where(known, chance, 0.0),
             "cross_entropy": np.where(known, least, np.nan), "symbols": n.astype(np.int64),
-            "accepted": known & ((least - mean) * np.sqrt(n) <= far)}
+            "accepted": known & ((least - mean) * np.sqrt(np.minimum(n, _SETTLED)) <= far)}
 
 
 def _score(model, keep: bool):
@@ -309,7 +311,7 @@ def fit(docs: DataFrame, learn: str, order: int = ORDER, slack: float = 2.0, mos
     limits = {}
     for lang, part in table.groupby("lang"):
         mean = part.cross_entropy.mean()
-        z = (part.cross_entropy - mean) * np.sqrt(part.symbols)
+        z = (part.cross_entropy - mean) * np.sqrt(np.minimum(part.symbols, _SETTLED))
         limits[lang] = (float(mean), slack * max(float(z.quantile(0.999)), 1.0))
     return model, limits
 
