@@ -249,9 +249,9 @@ def q_export_customer_summary_upsert(spark, sf_dir):
     root = fresh_dir(spark, "export-customer-summary")
     first = export.summary_items(_summary_exact(b, START_YEAR, START_MONTH))
     second = export.summary_items(_summary_exact(b, NEXT_YEAR, NEXT_MONTH))
-    export.upsert_keyed(spark, first, root)
-    export.upsert_keyed(spark, second, root)
-    return export.upsert_keyed(spark, first, root)
+    export.upsert_keyed(spark, first, root, periods=[period_literal(START_YEAR, START_MONTH)])
+    export.upsert_keyed(spark, second, root, periods=[period_literal(NEXT_YEAR, NEXT_MONTH)])
+    return export.upsert_keyed(spark, first, root, periods=[period_literal(START_YEAR, START_MONTH)])
 
 
 # ---------------------------------------------------------------------------
@@ -585,6 +585,37 @@ def q_customer_summary_exact(spark, sf_dir):
     return _summary_exact(b, START_YEAR, START_MONTH)
 
 
+@query("publish_catalog_table")
+def q_publish_catalog_table(spark, sf_dir):
+    """A published table read by its catalogue name after a refresh that adds
+    a partition (the last month comes with the refresh)."""
+    account = bank_tables(spark, sf_dir)["account"]
+    path, parts = fresh_dir(spark, "catalog-account"), ["year", "month"]
+    last = account.agg(F.max(F.col("year") * 12 + F.col("month"))).first()[0]
+    month = F.col("year") * 12 + F.col("month")
+    name = f"`default`.`published_account_{abs(hash(path)):x}`"
+    publish.publish_rebuild(account.where(month < last), path, parts)
+    publish.register_table(spark, name, path, account.schema, parts)
+    publish.publish_refresh_period(account.where(month == last), path, parts)
+    publish.register_table(spark, name, path, account.schema, parts)
+    return scan_table(spark, name)
+
+
+@query("stream_ingest_mixed_headers")
+def q_stream_ingest_mixed_headers(spark, sf_dir):
+    """Landing files in two column orders, under names with a blank, brackets
+    and a plus, taken by one stream."""
+    raw = raw_table(bank_tables(spark, sf_dir), "account")
+    landing, stage, ckpt = (fresh_dir(spark, n) for n in ("landing-mixed", "stage-mixed", "ckpt-mixed"))
+    half = F.pmod(F.xxhash64("account_id"), F.lit(3))
+    names = ["a b", "a[1]", "a+c"]
+    for i, name in enumerate(names):
+        columns = raw.columns if i else raw.columns[::-1]
+        raw.where(half == i).select(*columns).write.option("header", True).csv(f"{landing}/{name}")
+    ingest_landing(spark, f"{landing}/*", "account", stage, ckpt)
+    return read_ingested(spark, "account", stage)
+
+
 def _odd_transactions(txn: DataFrame) -> DataFrame:
     """Transactions plus copies whose stored date parts are missing, shifted to
     another month, or no calendar day (31 February)."""

@@ -14,6 +14,7 @@ executors (``foreachPartition``); nothing passes through the driver.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
@@ -30,6 +31,8 @@ MANIFEST_SCHEMA = T.StructType([T.StructField("period", T.StringType(), False),
 
 SUMMARY_KEYS = ("client_id", "account_id", "pdate")
 PERIOD_COL = "pdate"
+# Folder column of a version: the period again, so that the files keep the period itself.
+_FOLDER_COL = "p"
 
 
 def summary_items(summary: DataFrame) -> DataFrame:
@@ -45,7 +48,9 @@ def summary_items(summary: DataFrame) -> DataFrame:
 def _manifest(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # an unreadable manifest is not an empty table
+            raise
         return None
 
 
@@ -58,41 +63,26 @@ def current_versions(spark: SparkSession, root: str) -> dict[str, tuple[int, str
     return {r["period"]: (int(r["v"]["version"]), r["v"]["path"]) for r in latest.collect()}
 
 
-def _read_periods(spark: SparkSession, versions: dict[str, tuple[int, str]],
-                  periods, schema: T.StructType | None, period_col: str) -> DataFrame | None:
-    """Rows of the given periods, each from its current version (partition
-    pruning on the period column)."""
-    by_path: dict[str, list[str]] = {}
-    for p in periods:
-        if p in versions:
-            by_path.setdefault(versions[p][1], []).append(p)
-    parts = []
-    for path, ps in sorted(by_path.items()):
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        df = reader.parquet(path).where(F.col(period_col).isin(*sorted(ps)))
-        if schema is not None:
-            df = df.select(*schema.names)
-        parts.append(df)
-    if not parts:
+def _read_periods(spark: SparkSession, versions: dict[str, tuple[int, str]], periods,
+                  schema: T.StructType | None) -> DataFrame | None:
+    """Rows of the given periods, each from the folder of its current version, in one read."""
+    paths = sorted(versions[p][1] for p in periods if p in versions)
+    if not paths:
         return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(*paths)
 
 
-def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None,
-                 period_col: str = PERIOD_COL) -> DataFrame | None:
+def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
     versions = current_versions(spark, root)
-    return _read_periods(spark, versions, versions.keys(), schema, period_col)
+    return _read_periods(spark, versions, versions.keys(), schema)
 
 
-def batch_profile(df: DataFrame, keys: Sequence[str], period_col: str) -> tuple[int, list[str]]:
-    """Largest number of rows sharing a key, and the batch's distinct periods,
-    from one aggregate (the period set is bounded by the number of periods)."""
+def batch_profile(df: DataFrame, keys: Sequence[str], period_col: str) -> tuple[int, list[str | None]]:
+    """Largest number of rows sharing a key, and the batch's distinct periods
+    (bounded by the number of periods), from one aggregate."""
     row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .agg(F.max("_n").alias("n"), F.collect_set(period_col).alias("periods"))).first()
-    return int(row["n"] or 0), sorted(p for p in (row["periods"] or []) if p is not None)
+           .agg(F.max("_n").alias("n"), F.collect_set(F.struct(period_col)).alias("periods"))).first()
+    return int(row["n"] or 0), sorted((p[0] for p in row["periods"] or []), key=lambda p: (p is not None, p))
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
@@ -101,47 +91,96 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"batch has several rows for key {dup[0].asDict()}")
 
 
+def _folder(target: str, period: str) -> str:
+    return f"{target}/{_FOLDER_COL}={period}"
+
+
 def upsert_keyed(spark: SparkSession, batch: DataFrame, root: str,
                  keys: Sequence[str] = SUMMARY_KEYS, period_col: str = PERIOD_COL,
-                 check_unique: bool = True) -> DataFrame:
+                 check_unique: bool = True, periods: Sequence[str] | None = None) -> DataFrame:
     """Replace-or-insert ``batch`` into the keyed table at ``root``.
 
     The period column is part of the key, so only periods present in the
     batch can change: their current rows minus the batch's keys, plus the
-    batch, are written as a new version of just those periods (partitioned
-    by period); untouched periods are neither read nor rewritten.  A
-    manifest row per rewritten period commits the version; a failed run
-    leaves an unreferenced folder and the previous state intact.
-
-    Keys compare NULL-safely.  Returns the read-back of the whole table.
+    batch, are written as a new version, one folder per period; untouched
+    periods are neither read nor rewritten.  A manifest row per rewritten
+    period commits the version; a failed run leaves an unreferenced folder and
+    the previous state intact.  ``periods`` names the batch's periods where
+    the caller knows them; a batch into periods that the table lacks is then
+    written straight away.  The version is checked before it is committed: a
+    row without a period, of another period than named, or with a key that
+    occurs twice is refused (ValueError).
+
+    One writer at a time: a version that someone else has committed meanwhile
+    is detected after the commit (RuntimeError; run the exports again, one by
+    one).  Keys compare NULL-safely.  Returns the read-back of the whole table.
     """
     if period_col not in keys:
         raise ValueError("the period column must be part of the key")
     versions = current_versions(spark, root)
     version = 1 + max((v for v, _ in versions.values()), default=0)
-    # The batch is computed once: staged as a written table, then scanned.
     run = uuid.uuid4().hex[:12]    # retries after a failure never reuse a folder
-    staged_path = f"{root}/_staging/v{version:08d}-{run}"
-    batch.write.mode("overwrite").parquet(staged_path)
-    batch = spark.read.schema(batch.schema).parquet(staged_path)
-    most, periods = batch_profile(batch, keys, period_col)
-    if check_unique and most > 1:
-        assert_unique_keys(batch, keys)          # raises, naming one duplicated key
-    current = _read_periods(spark, versions, periods, batch.schema, period_col)
-    if current is None:
-        merged = batch
-    else:
+    if periods is None or any(p in versions for p in periods):
+        # The batch is read twice below: staged as a written table, computed once.
+        staged = f"{root}/_staging/v{version:08d}-{run}"
+        batch.write.mode("overwrite").parquet(staged)
+        batch = spark.read.schema(batch.schema).parquet(staged)
+        _check_batch(batch, keys, period_col, check_unique, periods)
+    if periods is None:
+        periods = [r[0] for r in batch.select(period_col).distinct().collect()]
+    if bad := [p for p in periods if not re.fullmatch(r"[\w-]+", p)]:
+        raise ValueError(f"periods {bad} cannot name a folder")
+    current = _read_periods(spark, versions, periods, batch.schema)
+    merged = batch
+    if current is not None:
         new_keys = batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
         cond = [current[k].eqNullSafe(new_keys[f"_k_{k}"]) for k in keys]
         merged = current.join(new_keys, cond, "left_anti").unionByName(batch)
     target = f"{root}/data/v{version:08d}-{run}"
-    (merged.hint("rebalance", period_col).write.mode("errorifexists")
-     .partitionBy(period_col).parquet(target))
-    if periods:
-        (spark.createDataFrame([(p, version, target) for p in periods], MANIFEST_SCHEMA)
-         .coalesce(1).write.mode("append").json(f"{root}/_manifest"))
-    versions.update({p: (version, target) for p in periods})
-    return _read_periods(spark, versions, versions.keys(), batch.schema, period_col)
+    (merged.withColumn(_FOLDER_COL, F.col(period_col)).hint("rebalance", _FOLDER_COL).write.mode("errorifexists")
+     .partitionBy(_FOLDER_COL).parquet(target))
+    if current is None and not any(p in versions for p in periods):
+        _check_batch(spark.read.schema(batch.schema).parquet(target), keys, period_col, check_unique, periods)
+    written = sorted(periods)
+    if written:
+        rows = [(p, version, _folder(target, p)) for p in written]
+        spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/_manifest")
+    others = _manifest(spark, root)
+    if others is not None:
+        lost = others.where((F.col("version") == version) & ~F.col("path").startswith(target)).limit(5).collect()
+        if lost:
+            raise RuntimeError(f"version {version} of {root} was also written by another export: {lost[0].path}")
+    versions.update({p: (version, _folder(target, p)) for p in written})
+    return _read_periods(spark, versions, versions.keys(), batch.schema)
+
+
+def _check_batch(df: DataFrame, keys, period_col: str, check_unique: bool, periods) -> None:
+    most, found = batch_profile(df, keys, period_col)
+    if None in found:
+        raise ValueError("rows without a period cannot be exported")
+    if periods is not None and set(found) - set(periods):
+        raise ValueError(f"the batch holds periods {sorted(set(found) - set(periods))} that were not named")
+    if check_unique and most > 1:
+        assert_unique_keys(df, keys)          # raises, naming one duplicated key
+
+
+def remove_superseded(spark: SparkSession, root: str) -> int:
+    """Delete the staged batches and the version folders that no period uses
+    any more, through the table's own file system; returns how many.  Not
+    while an export or a reader of an older version runs."""
+    used = {path.rsplit("/", 1)[0] for _, path in current_versions(spark, root).values()}
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for part in ("data", "_staging"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{part}")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            continue
+        for status in fs.listStatus(path):
+            if f"{root}/{part}/{status.getPath().getName()}" not in used:
+                removed += bool(fs.delete(status.getPath(), True))
+    return removed
 
 
 def export_to_store(df: DataFrame, put_batch: Callable[[list[dict]], None],

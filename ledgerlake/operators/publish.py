@@ -106,18 +106,22 @@ def period_agrees(df: DataFrame, date_col: str, parts: Sequence[str]):
 
 
 def publish_checked(spark: SparkSession, df: DataFrame, path: str, partition_cols: Sequence[str], date_col: str | None,
-                    rebuild: bool, cluster: bool = True) -> int:
-    """Rebuild or refresh a partitioned table and record beside it how many
-    rows have stored parts that disagree with their date (counted while they
-    are written).  Readers may prune by the stored parts only where that is
-    none (``periods_agree``); the rows stay as they are.  Returns the count."""
+                    how: str = "refresh", cluster: bool = True) -> int:
+    """Write a partitioned table (``how``: rebuild, refresh or append) and
+    record beside it how many rows have stored parts that disagree with their
+    date, counted while they are written.  Readers may prune by the stored
+    parts only where that is none (``periods_agree``); the rows stay as they
+    are.  Returns the count."""
     seen = Observation()
     if date_col:
         df = df.observe(seen, F.count_if(~period_agrees(df, date_col, partition_cols)).alias("bad"))
-    (publish_rebuild if rebuild else publish_refresh_period)(df, path, partition_cols, cluster)
+    if how == "append":
+        publish_append(df, path, partition_cols)
+    else:
+        (publish_rebuild if how == "rebuild" else publish_refresh_period)(df, path, partition_cols, cluster)
     bad = int(seen.get["bad"]) if date_col else 0
     (spark.createDataFrame([(bad,)], "bad long").coalesce(1).write
-     .mode("overwrite" if rebuild else "append").json(f"{path.rstrip('/')}/{PERIOD_CHECK}"))
+     .mode("overwrite" if how == "rebuild" else "append").json(f"{path.rstrip('/')}/{PERIOD_CHECK}"))
     return bad
 
 
@@ -220,5 +224,18 @@ def publish_evolving(spark: SparkSession, df: DataFrame, path: str,
     return scan_partitioned_parquet(spark, path, schema=aligned.schema)
 
 
+def register_table(spark: SparkSession, name: str, path: str, schema: T.StructType, partition_cols: Sequence[str] = ()) -> None:
+    """Enter a written table in the session's catalogue under ``name`` (or
+    bring its partitions up to date): queries then read it by name."""
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
+        place = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parts} LOCATION '{place}'")
+    if partition_cols:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def read_back(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     return scan_partitioned_parquet(spark, path, schema=schema)

@@ -28,8 +28,8 @@ from ledgerlake.functions.scalars import period_literal
 from ledgerlake.operators import export, publish
 from ledgerlake.operators.mapping import apply_mapping, reject_counts
 from ledgerlake.plans import marts
-from ledgerlake.schemas import MAPPINGS, PARTITIONS, mapping_for
-from ledgerlake.sources.csv_landing import scan_csv_by_name, scan_csv_uniform
+from ledgerlake.schemas import DATE_OF, MAPPINGS, PARTITIONS, mapping_for
+from ledgerlake.sources.csv_landing import csv_headers, scan_csv_by_name
 from ledgerlake.sources.tables import scan_partitioned_parquet
 from ledgerlake.streaming.ingest import ingest_landing, publish_on_stage_change
 
@@ -53,19 +53,28 @@ def read_stage(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 def stage_job(spark: SparkSession, root: str, table: str) -> dict[str, int]:
     """Landing CSV (bound by header name) -> declared mapping -> staging table.
-    Returns the reject count per column."""
+    Returns the reject count per column, and of ragged rows."""
     mapping = mapping_for(table)
     landing, target = _p(root, "landing", table), _p(root, "stage", table)
-    try:
-        # One pass when every file carries the first file's header.
-        obs = Observation(f"{table}_rejects")
-        raw = scan_csv_uniform(spark, [landing], mapping.source_names)
-        publish.stage_full_refresh(apply_mapping(raw, mapping, obs), target)
-    except Exception:  # headers differ between files: bind file by file
-        obs = Observation(f"{table}_rejects_by_name")
-        raw = scan_csv_by_name(spark, landing, mapping.source_names)
-        publish.stage_full_refresh(apply_mapping(raw, mapping, obs), target)
-    return reject_counts(obs)
+    obs, ragged = Observation(f"{table}_rejects"), Observation(f"{table}_ragged")
+    raw = scan_csv_by_name(spark, [landing], mapping.source_names, observation=ragged)
+    if csv_headers(spark, [landing]).isEmpty():
+        raise ValueError(f"{landing} holds no header; the staging table is kept")
+    publish.stage_full_refresh(apply_mapping(raw, mapping, obs), target)
+    return {**reject_counts(obs), **reject_counts(ragged)}
+
+
+def register_job(spark: SparkSession, root: str, table: str, database: str = "default") -> list[str]:
+    """Enter the staging and the published table in the session's catalogue,
+    as ``<database>.stage_<table>`` and ``<database>.<table>``."""
+    schema = mapping_for(table).target_schema()
+    names = [f"`{database}`.`stage_{table}`"]
+    publish.register_table(spark, names[0], _p(root, "stage", table), schema)
+    if table in PARTITIONS:
+        target = _p(root, "transformed", table)
+        names.append(f"`{database}`.`{table}`")
+        publish.register_table(spark, names[1], target, publish.existing_schema(spark, target) or schema, PARTITIONS[table])
+    return names
 
 
 def ingest_job(spark: SparkSession, root: str, table: str, archive: bool = False,
@@ -98,9 +107,6 @@ def _published_layout(table: str) -> tuple[str, ...]:
     return PARTITIONS[table]
 
 
-DATE_OF = {"account": "parseddate", "card": "fulldate", "client": "fulldate", "loan": "fulldate", "transaction": "fulldate"}
-
-
 def publish_table(spark: SparkSession, df: DataFrame, root: str, table: str, rebuild: bool) -> None:
     """Write a table to the published layer: all of it, or (daily) exactly the
     batch's periods; rows whose stored date parts disagree with their date are
@@ -112,7 +118,7 @@ def publish_table(spark: SparkSession, df: DataFrame, root: str, table: str, reb
         return
     if not rebuild:
         df = publish.align_to_schema(df, publish.existing_schema(spark, target))
-    publish.publish_checked(spark, df, target, parts, DATE_OF.get(table), rebuild)
+    publish.publish_checked(spark, df, target, parts, DATE_OF.get(table), "rebuild" if rebuild else "refresh")
     publish.write_table_schema(spark, target, df.schema)
 
 
@@ -125,7 +131,8 @@ def publish_daily_job(spark: SparkSession, root: str, table: str, compat_append:
     df = read_stage(spark, root, table)
     if parts and compat_append:
         target = _p(root, "transformed", table)
-        publish.publish_append(publish.align_to_schema(df, publish.existing_schema(spark, target)), target, parts)
+        df = publish.align_to_schema(df, publish.existing_schema(spark, target))
+        publish.publish_checked(spark, df, target, parts, DATE_OF.get(table), "append")
     else:
         publish_table(spark, df, root, table, rebuild=False)
 
@@ -177,7 +184,7 @@ def customer_summary_export_job(spark: SparkSession, root: str, year: int, month
     export table, and optionally batched puts to an external store from the
     executors."""
     items = export.summary_items(customer_summary(spark, root, year, month, exact=True))
-    table = export.upsert_keyed(spark, items, _p(root, "export", "customer_summary"))
+    table = export.upsert_keyed(spark, items, _p(root, "export", "customer_summary"), periods=[period_literal(year, month)])
     if put_batch is not None:
         # Send the committed rows of this period (a scan), not a recomputation.
         export.export_to_store(table.where(F.col(export.PERIOD_COL) == period_literal(year, month)),
@@ -191,6 +198,7 @@ JOBS = {
     "publish_daily": publish_daily_job,
     "publish_stream": publish_stream_job,
     "publish_firstday": publish_firstday_job,
+    "register": register_job,
     "account_summary": account_summary_job,
     "customer_master": customer_master_job,
     "customer_summary_export": customer_summary_export_job,
@@ -216,7 +224,7 @@ def main(argv: list[str] | None = None) -> None:
                           extra=CLUSTER_CONF if args.master is None else None)
     if args.job == "ingest":
         result = ingest_job(spark, args.root, args.table, args.archive, args.publish)
-    elif args.job in ("stage", "publish_firstday", "publish_stream"):
+    elif args.job in ("stage", "publish_firstday", "publish_stream", "register"):
         result = JOBS[args.job](spark, args.root, args.table)
     elif args.job == "publish_daily":
         result = publish_daily_job(spark, args.root, args.table, args.compat_append)

@@ -155,6 +155,9 @@ PARTITIONS: dict[str, tuple[str, ...]] = {
     "disposition": (),
 }
 
+# The date that a table's stored year, month and day should come from.
+DATE_OF = {"account": "parseddate", "card": "fulldate", "client": "fulldate", "loan": "fulldate", "transaction": "fulldate"}
+
 # ---------------------------------------------------------------------------
 # Literals the published results depend on.
 # ---------------------------------------------------------------------------

@@ -8,6 +8,7 @@ unset (local runs, tests) do we create our own and register it.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -82,6 +83,9 @@ def work_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^]]*\])?", master):
+            raise RuntimeError("spark.checkpoint.dir is unset: a cluster needs a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerlake-")
         if sc is not None:
             sc.setCheckpointDir(root)

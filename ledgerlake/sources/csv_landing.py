@@ -1,110 +1,96 @@
 """CSV landing files, bound to columns by header name.
 
 Landing files may list the same columns in different orders, carry extra
-columns or miss some.  Spark's CSV reader maps a given schema by position,
-which silently swaps such columns, so we read each file's header first and
-bind by name:
-
-1. one Spark job reads the first line of every file (only rows of the split
-   that starts at byte 0 are considered; the first of them, in scan order, is
-   the header) -- the driver receives one short string per file;
-2. files are grouped by header; each group is read by Spark's CSV reader
-   with an all-string schema in that group's header order;
-3. every group is projected to the requested names (missing -> NULL) and
-   the groups are unioned.
-
-That reads the files twice (a ``_metadata.file_block_start`` filter does not
-skip splits).  ``scan_csv_uniform`` is the one-pass form for the usual case
-of one header per batch: Spark checks every file's header while reading.
+columns or miss some.  The first line of every file is its header; a table of
+headers (one row per file, made and joined by Spark, never collected) says at
+which position of a file a wanted column stands.  Headers are known before
+anything is written, so nothing is read on trial.
+
+A row whose number of fields is not its header's is counted as ragged
+(``observation``), its missing fields being NULL; a quoted line break splits a
+row unless ``multi_line`` is set, and shows as ragged rows.  Files without any
+wanted column are refused.
+
+The header table costs a second scan of the batch (a filter on the split's
+start does not skip splits).
 """
 
 from __future__ import annotations
 
-import csv
-from collections import defaultdict
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A comma outside quotes.
+_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+RAGGED = "_ragged"
 
-def _parse_header(line: str) -> tuple[str, ...]:
-    line = line.lstrip("﻿")
-    fields = next(csv.reader([line]), [])
-    return tuple(f.strip() for f in fields)
 
+def literal_path(path: str) -> str:
+    """A file's path as the reader takes it: glob characters escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
-def read_csv_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Header fields per file, for every file under ``paths``."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    if not paths:
-        return {}
-    lines = (spark.read.text(paths)
-             .where(F.col("_metadata.file_block_start") == 0)
-             .select(F.col("_metadata.file_path").alias("file"), "value",
-                     F.monotonically_increasing_id().alias("pos")))
-    first = lines.groupBy("file").agg(F.min_by("value", "pos").alias("header"))
-    return {r["file"]: _parse_header(r["header"]) for r in first.collect()}
-
-
-def _bind(df: DataFrame, header: Sequence[str], wanted: Sequence[str], with_file: bool) -> DataFrame:
-    # Names bind case-insensitively (Spark's default resolution); the first
-    # occurrence wins if a header repeats a name.
-    position = {name.lower(): i for i, name in reversed(list(enumerate(header)))}
-    cols = [(F.col(f"_c{position[c.lower()]}") if c.lower() in position
-             else F.lit(None).cast("string")).alias(c) for c in wanted]
-    if with_file:
-        cols.append(F.col("_metadata.file_path").alias("_source_file"))
-    return df.select(*cols)
 
+def _fields(line: Column) -> Column:
+    return F.split(line, _COMMA, -1)
 
-def _positional_schema(width: int) -> T.StructType:
-    return T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(width)])
 
+def _names(line: Column) -> Column:
+    line = F.regexp_replace(F.regexp_replace(line, "^﻿", ""), "\r$", "")
+    return F.transform(_fields(line), lambda x: F.lower(F.trim(F.regexp_replace(F.trim(x), '^"(.*)"$', "$1"))))
 
-def scan_csv_uniform(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
-                     with_file: bool = False) -> DataFrame:
-    """One-pass read when all files share the first file's header.
 
-    The first file's header is read (one line); every file is then read once
-    by Spark's CSV reader with ``enforceSchema=false``, which checks each
-    file's header against it and fails the read if one differs -- callers
-    fall back to :func:`scan_csv_by_name` then.
-    """
-    paths = list(paths)
-    first = spark.read.option("header", True).csv(paths[0]).columns
-    header = tuple(c.strip() for c in first)
-    schema = T.StructType([T.StructField(name, T.StringType(), True) for name in first])
-    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-          .csv(paths))
-    df = df.toDF(*[f"_c{i}" for i in range(len(first))])
-    return _bind(df, header, columns, with_file)
-
-
-def scan_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
-                     with_file: bool = False) -> DataFrame:
+def csv_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, names): the lower-cased header fields of every non-empty file."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    lines = (spark.read.text(paths).where(F.col("_metadata.file_block_start") == 0)
+             .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("pos")))
+    return lines.groupBy("file").agg(F.min_by("value", "pos").alias("line")).select("file", _names(F.col("line")).alias("names"))
+
+
+def scan_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], with_file: bool = False,
+                     observation: Observation | None = None, multi_line: bool = False) -> DataFrame:
     """All rows of the CSV files under ``paths`` as string columns ``columns``.
 
-    Columns are bound by header name in each file; names a file lacks are
-    NULL, names it has beyond ``columns`` are dropped.
+    Columns are bound by header name in each file (case and outer blanks do
+    not matter, the first of equal names counts); names a file lacks are
+    NULL, names it has beyond ``columns`` are dropped.  Paths are globs; use
+    :func:`literal_path` for the name of a file.  Raises ValueError for files
+    that have none of the columns.
     """
-    headers = read_csv_headers(spark, paths)
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file, header in headers.items():
-        groups[header].append(file)
+    paths = [paths] if isinstance(paths, str) else list(paths)
     wanted = list(columns)
-    parts = []
-    for header, files in sorted(groups.items()):
-        df = (spark.read.schema(_positional_schema(len(header))).option("header", True)
-              .option("mode", "PERMISSIVE").csv(sorted(files)))
-        parts.append(_bind(df, header, wanted, with_file))
-    if not parts:
-        fields = [T.StructField(c, T.StringType(), True) for c in wanted]
-        if with_file:
-            fields.append(T.StructField("_source_file", T.StringType(), True))
+    fields = [T.StructField(c, T.StringType(), True) for c in wanted]
+    if with_file:
+        fields.append(T.StructField("_source_file", T.StringType(), True))
+    if not paths:
+        return spark.createDataFrame([], T.StructType(fields))
+    headers = csv_headers(spark, paths)
+    known = F.array(*[F.lit(c.lower()) for c in wanted])
+    strange = headers.where(~F.arrays_overlap("names", known)).limit(5).collect()
+    if strange:
+        raise ValueError("no wanted column in " + ", ".join(unquote(r.file) for r in strange))
+    width = headers.agg(F.max(F.size("names"))).first()[0] or 0
+    if not width:
         return spark.createDataFrame([], T.StructType(fields))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    shape = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(width)]
+                         + [T.StructField("_corrupt", T.StringType(), True)])
+    rows = (spark.read.schema(shape).option("header", True).option("mode", "PERMISSIVE").option("multiLine", multi_line)
+            .option("columnNameOfCorruptRecord", "_corrupt").csv(paths)
+            .select(F.array(*[f"_c{i}" for i in range(width)]).alias("values"), "_corrupt", F.col("_metadata.file_path").alias("_file")))
+    rows = rows.join(headers, F.col("_file") == F.col("file"))
+    count = F.when(F.col("_corrupt").isNull(), width).otherwise(F.size(_fields(F.col("_corrupt"))))
+    if observation is not None:
+        rows = rows.observe(observation, F.count_if(count != F.size("names")).alias(RAGGED))
+
+    def bound(name: str) -> Column:
+        at = F.array_position("names", name.lower())
+        return F.when(at > 0, F.element_at("values", at.cast("int"))).alias(name)
+    out = [bound(c) for c in wanted]
+    if with_file:
+        out.append(F.col("_file").alias("_source_file"))
+    return rows.select(*out)

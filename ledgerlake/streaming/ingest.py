@@ -5,21 +5,26 @@ path column selected, so file contents are not read by the stream itself)
 yields the new files of each micro-batch; the checkpoint records which
 files were taken, so every file is ingested once across runs.  Each
 micro-batch reads its files by header name, applies the declared mapping
-and writes its rows as partition ``ingest_batch=<id>`` with dynamic
-overwrite -- a micro-batch replayed after a failure replaces its own output
-instead of duplicating it.
+and writes its rows as partition ``ingest_batch=<id>`` (below the table's
+period folders) with dynamic overwrite -- a micro-batch replayed after a
+failure replaces its own output instead of duplicating it.  The id holds the
+stream's own id, which a new checkpoint changes, so batches of an earlier
+stream are never replaced.  Counts of rejected values and ragged rows are
+appended to ``_rejects`` beside the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.operators.mapping import apply_mapping
-from ledgerlake.operators.publish import publish_refresh_period, publish_snapshot
-from ledgerlake.schemas import PARTITIONS, mapping_for
-from ledgerlake.sources.csv_landing import scan_csv_by_name, scan_csv_uniform
+from ledgerlake.operators.mapping import apply_mapping, reject_counts
+from ledgerlake.operators.publish import publish_checked, publish_snapshot
+from ledgerlake.schemas import DATE_OF, PARTITIONS, mapping_for
+from ledgerlake.sources.csv_landing import literal_path, scan_csv_by_name
 from ledgerlake.sources.tables import scan_partitioned_parquet
 
 BATCH_COL = "ingest_batch"
@@ -53,35 +58,31 @@ def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root
     parts = PARTITIONS.get(table, ())
 
     def process(files: DataFrame, batch_id: int) -> None:
-        # Only file names reach the driver, at most max_files_per_trigger.
-        paths = [r["path"] for r in files.select("path").collect()]
+        # Only file names reach the driver, at most max_files_per_trigger; a listing
+        # may name a file with escaped characters twice.
+        paths = sorted({r["path"] for r in files.select("path").collect()})
         if not paths:
             return
         session = files.sparkSession
-
-        def stage(raw: DataFrame) -> None:
-            staged = apply_mapping(raw, mapping).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BATCH_COL).parquet(stage_root))
-
-        try:
-            # One pass when the batch's files share a header (the usual case).
-            stage(scan_csv_uniform(session, paths, mapping.source_names))
-        except Exception:  # a file's header differs: bind file by file, then
-            # rewrite the same batch partition (dynamic overwrite).
-            stage(scan_csv_by_name(session, paths, mapping.source_names))
+        batch = f"{_stream_id(session, checkpoint_dir)}-{batch_id:08d}"
+        rejects, ragged = Observation(), Observation()
+        raw = scan_csv_by_name(session, [literal_path(p) for p in paths], mapping.source_names, observation=ragged)
+        staged = apply_mapping(raw, mapping, rejects).withColumn(BATCH_COL, F.lit(batch))
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts, BATCH_COL).parquet(stage_root))
+        counts = {**reject_counts(rejects), **reject_counts(ragged)}
+        (session.createDataFrame([(batch, c, n) for c, n in counts.items()], "ingest_batch string, column string, rejects long")
+         .coalesce(1).write.mode("append").json(f"{stage_root}/_rejects"))
         if publish_root is None:
             return
         ingested = read_ingested(session, table, stage_root)
         if not parts:
             publish_snapshot(ingested, publish_root)
             return
-        mine = read_ingested(session, table, stage_root, keep_batch=True).where(
-            F.col(BATCH_COL) == batch_id)
-        periods = mine.select(*parts).distinct()          # bounded by the calendar
-        touched = ingested.join(periods, [ingested[c].eqNullSafe(periods[c]) for c in parts],
-                                "left_semi")
-        publish_refresh_period(touched, publish_root, parts)
+        mine = read_ingested(session, table, stage_root, keep_batch=True).where(F.col(BATCH_COL) == batch)
+        periods = mine.select(*parts).distinct()
+        touched = _of_periods(ingested, periods, parts)
+        publish_checked(session, touched, publish_root, parts, DATE_OF.get(table))
 
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", file_glob)
@@ -96,10 +97,31 @@ def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root
     query.awaitTermination()
 
 
+def _stream_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """Id of the stream: kept in its checkpoint, new with a new one."""
+    text = "".join(r.value for r in spark.read.text(f"{checkpoint_dir.rstrip('/')}/metadata").collect())
+    return json.loads(text)["id"]
+
+
+def _of_periods(df: DataFrame, periods: DataFrame, parts) -> DataFrame:
+    """Rows of the given periods.  The periods (a list bounded by the
+    calendar) become literals, which prune folders, then an exact join."""
+    found = periods.collect()
+    pruned = df
+    for i, c in enumerate(parts):
+        values = sorted({r[i] for r in found if r[i] is not None})
+        wanted = F.col(c).isin(values) if values else F.lit(False)
+        if any(r[i] is None for r in found):
+            wanted = wanted | F.col(c).isNull()
+        pruned = pruned.where(wanted)
+    names = periods.toDF(*[f"_p_{c}" for c in parts])
+    return pruned.join(names, [pruned[c].eqNullSafe(names[f"_p_{c}"]) for c in parts], "left_semi")
+
+
 def read_ingested(spark: SparkSession, table: str, stage_root: str,
                   keep_batch: bool = False) -> DataFrame:
-    schema = mapping_for(table).target_schema().add(BATCH_COL, "long")
-    df = scan_partitioned_parquet(spark, stage_root, schema=schema)
+    schema = mapping_for(table).target_schema().add(BATCH_COL, "string")
+    df = scan_partitioned_parquet(spark, stage_root, schema=schema).select(*schema.names)
     return df if keep_batch else df.drop(BATCH_COL)
 
 
@@ -112,7 +134,9 @@ def publish_on_stage_change(spark: SparkSession, stage_dir: str, table: str,
     micro-batch with new files publishes the *whole* current staging table
     (period refresh, or a snapshot for unpartitioned tables), so a staging
     write split over several micro-batches never publishes a partial period,
-    and replays are idempotent.
+    and replays are idempotent.  Only the current staging table is published:
+    a staging load replaced by another between two triggers is not (publish
+    from the incremental staging, ``ingest_landing``, to keep every load).
     """
     schema = mapping_for(table).target_schema()
     parts = PARTITIONS[table]
@@ -123,7 +147,7 @@ def publish_on_stage_change(spark: SparkSession, stage_dir: str, table: str,
         session = files.sparkSession
         current = session.read.schema(schema).parquet(stage_dir)
         if parts:
-            publish_refresh_period(current, transformed_root, parts)
+            publish_checked(session, current, transformed_root, parts, DATE_OF.get(table))
         else:
             publish_snapshot(current, transformed_root)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from ledgerlake.operators import export
 from ledgerlake.operators.export import export_to_store, read_current, upsert_keyed
 from ledgerlake.session import fresh_dir, local_path
 from ledgerlake.streaming.ingest import ingest_landing, read_ingested
@@ -163,16 +164,78 @@ def test_stream_batch_with_mixed_headers_falls_back(spark):
     assert (got["A2"]["district_id"], got["A2"]["day"], got["A1"]["day"]) == (3, 31, 30)
 
 
-def test_uniform_csv_read_rejects_a_different_header(spark):
-    from ledgerlake.sources.csv_landing import scan_csv_uniform
-    landing = local_path(fresh_dir(spark, "t-landing-uniform"))
-    os.makedirs(landing)
-    _write(landing, "a.csv", "card_id,disp_id,type\nV1,D1,gold\n")
-    _write(landing, "b.csv", "card_id,disp_id,type\nV2,D2,classic\n")
-    paths = [os.path.join(landing, f) for f in ("a.csv", "b.csv")]
-    df = scan_csv_uniform(spark, paths, ["card_id", "type", "disp_id"])
-    assert rows(df) == [("V1", "gold", "D1"), ("V2", "classic", "D2")]
-    _write(landing, "c.csv", "type,card_id,disp_id\njunior,V3,D3\n")
-    with pytest.raises(Exception):
-        scan_csv_uniform(spark, paths + [os.path.join(landing, "c.csv")],
-                         ["card_id", "type", "disp_id"]).collect()
+def _landing(spark, name, files):
+    import os
+    from ledgerlake.session import local_path
+    base = local_path(fresh_dir(spark, name))
+    os.makedirs(base)
+    for file, text in files.items():
+        with open(os.path.join(base, file), "w") as f:
+            f.write(text)
+    return base
+
+
+HEAD = "account_id,district_id,frequency,parseddate,year,month,day\n"
+
+
+def test_names_with_glob_characters_are_files_of_their_own(spark):
+    landing = _landing(spark, "t-glob", {"a[1].csv": HEAD + "AA,1,m,2018-01-02,2018,1,2\n",
+                                         "a1.csv": HEAD + "BB,1,m,2018-01-02,2018,1,2\n",
+                                         "a b.csv": HEAD + "CC,1,m,2018-01-02,2018,1,2\n"})
+    stage, ckpt = fresh_dir(spark, "t-glob-stage"), fresh_dir(spark, "t-glob-ckpt")
+    ingest_landing(spark, landing, "account", stage, ckpt)
+    assert sorted(r.account_id for r in read_ingested(spark, "account", stage).collect()) == ["AA", "BB", "CC"]
+
+
+def test_a_new_checkpoint_replaces_no_earlier_batch(spark):
+    import os
+    landing = _landing(spark, "t-reset", {"1.csv": HEAD + "A1,1,m,2018-01-02,2018,1,2\n"})
+    stage = fresh_dir(spark, "t-reset-stage")
+    ingest_landing(spark, landing, "account", stage, fresh_dir(spark, "t-reset-ckpt"))
+    os.remove(os.path.join(landing, "1.csv"))                      # archived
+    with open(os.path.join(landing, "2.csv"), "w") as f:
+        f.write(HEAD + "A2,1,m,2018-01-02,2018,1,2\n")
+    ingest_landing(spark, landing, "account", stage, fresh_dir(spark, "t-reset-ckpt"))
+    assert sorted(r.account_id for r in read_ingested(spark, "account", stage).collect()) == ["A1", "A2"]
+
+
+def test_rejects_and_ragged_rows_of_a_stream_are_counted(spark):
+    landing = _landing(spark, "t-rejects", {"1.csv": HEAD + "A1,x,m,2018-01-02,2018,1,2\nA2,1\n"})
+    stage = fresh_dir(spark, "t-rejects-stage")
+    ingest_landing(spark, landing, "account", stage, fresh_dir(spark, "t-rejects-ckpt"))
+    counts = {r["column"]: r["rejects"] for r in spark.read.json(f"{stage}/_rejects").collect()}
+    assert counts["district_id"] == 1 and counts["_ragged"] == 1 and counts["account_id"] == 0
+
+
+def test_files_without_a_wanted_column_and_empty_landings_are_refused(spark):
+    from ledgerlake.plans import jobs
+    import os
+    root = fresh_dir(spark, "t-refuse")
+    base = _landing(spark, "t-refuse-files", {"1.csv": "foo,bar\n1,2\n"})
+    os.makedirs(f"{jobs._p(root.replace('file:', ''), 'landing')}")
+    os.symlink(base, f"{root.replace('file:', '')}/landing/account")
+    spark.createDataFrame([("A",)], "account_id string").write.parquet(f"{root}/stage/account")
+    with pytest.raises(ValueError, match="1.csv"):
+        jobs.stage_job(spark, root, "account")
+    open(os.path.join(base, "1.csv"), "w").close()                 # zero bytes
+    with pytest.raises(ValueError, match="no header"):
+        jobs.stage_job(spark, root, "account")
+    assert spark.read.parquet(f"{root}/stage/account").count() == 1
+
+
+def test_export_refuses_rows_without_a_period(spark):
+    root = fresh_dir(spark, "t-null-period")
+    df = spark.createDataFrame([("c", "a", None), ("c", "b", "201801")], "client_id string, account_id string, pdate string")
+    for named in (None, ["201801"]):
+        with pytest.raises(ValueError, match="period"):
+            export.upsert_keyed(spark, df, root, periods=named)
+    assert export.current_versions(spark, root) == {}
+
+
+def test_superseded_versions_can_be_removed(spark):
+    root = fresh_dir(spark, "t-gc")
+    df = spark.createDataFrame([("c", "a", "201801", 1)], "client_id string, account_id string, pdate string, v int")
+    export.upsert_keyed(spark, df, root)
+    export.upsert_keyed(spark, df.withColumn("v", df.v + 1), root)
+    assert export.remove_superseded(spark, root) >= 2
+    assert [r.v for r in export.read_current(spark, root).collect()] == [2]
