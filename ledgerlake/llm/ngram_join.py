@@ -3,13 +3,15 @@
 Every text becomes the set of its word shingles in one global order: shingles
 that many documents share come last, the most frequent at the very end.  Two
 sets that reach the threshold must share a shingle among the first few of that
-order, so the sets meet under such a shingle in a block.  In a block the
-ordered sets form a trie; a probe walks it depth first, keeps the partial
+order (the head), so the sets meet under such a shingle in a block.  In a block
+the ordered sets form a trie; a probe walks it depth first, keeps the partial
 overlap at every depth (sets that share a path share that work) and leaves a
 subtree as soon as the probe's remaining length cannot reach the threshold.
+Blocks are walked twice: over heads, which leaves the sets that can have a
+link at all, and over whole sets.
 
-Scale: only the first ~15 % of each set is shuffled to find blocks; whole sets
-travel only for documents that share such a shingle.  Equal sets are one class
+Scale: only heads (~15 % of each set) are shuffled to find blocks; whole sets
+travel only for documents whose head has a possible partner.  Equal sets are one class
 from the start.  A block is the neighbourhood of the smallest class id under a
 shingle; a large block is cut into chunks that all hold the block's centre,
 and the members that do not end up in the centre's component (rare) are then
@@ -34,7 +36,7 @@ from ledgerlake.llm import vectext as vt
 from ledgerlake.llm.components import connected_components, written
 
 #: Shingles held at once while a task looks for repeated ones.
-_HELD = 4_000_000
+_HELD = 2_000_000
 #: A shingle counted this often goes to the end of the global order ...
 HEAVY_FROM = 16
 #: ... but at most so many do (the rarest of them stay in hash order): 16 MB as arrays.
@@ -44,7 +46,7 @@ CHUNK = 256
 _TOP = np.uint64(1 << 63)
 
 
-def _sets(column: pa.Array, k: int, most: int = 4 << 20):
+def _sets(column: pa.Array, k: int, most: int = 1 << 20):
     """(first row, last row, flat sets, offsets) for runs of bounded size."""
     data, off = vt.text_buffer(column)
     for a, b in vt.slices(off, most):
@@ -164,54 +166,51 @@ class _Groups:
         return i
 
 
-def trie_links(sets: list[np.ndarray], labels, num: int, den: int, probes=None) -> list[tuple[int, int]]:
-    """Links (i, j) between the ordered sets of one block that join two so far
-    separate groups; ``labels`` are the groups known before, ``probes`` the
-    rows to compare with all rows (default: every row)."""
-    count = len(sets)
-    groups = _Groups(labels)
-    if count < 2:
-        return []
-    flat = np.concatenate(sets)
-    tokens, local = np.unique(flat, return_inverse=True)
-    off = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    paths = [local[off[i]:off[i + 1]] for i in range(count)]
-    order = sorted(range(count), key=lambda i: paths[i].astype(">u4").tobytes())
-    # the trie: sets in lexicographic order, and how deep each shares the path of the one before
-    shared = [0] * count
-    for j in range(1, count):
-        a, b = paths[order[j - 1]], paths[order[j]]
-        m = min(len(a), len(b))
-        differ = np.flatnonzero(a[:m] != b[:m])
-        shared[j] = int(differ[0]) if len(differ) else m
-    length = [len(p) for p in paths]
-    found = []
-    in_probe = np.zeros(len(tokens), dtype=bool)
-    done = [False] * count
-    for x in (range(count) if probes is None else probes):
-        done[x] = True
-        nx, px = length[x], paths[x]
-        if not nx:
-            continue
-        in_probe[px] = True
+class _Trie:
+    """The ordered sets of a block as a trie: sets in lexicographic order, and
+    how deep each one shares the path of the set before it."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.tokens, local = np.unique(np.concatenate(sets), return_inverse=True)
+        off = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        self.paths = [local[off[i]:off[i + 1]] for i in range(len(sets))]
+        self.order = sorted(range(len(sets)), key=lambda i: self.paths[i].astype(">u4").tobytes())
+        self.shared = [0] * len(sets)
+        for j in range(1, len(sets)):
+            a, b = self.paths[self.order[j - 1]], self.paths[self.order[j]]
+            m = min(len(a), len(b))
+            differ = np.flatnonzero(a[:m] != b[:m])
+            self.shared[j] = int(differ[0]) if len(differ) else m
+
+    def walk(self, x: int, sizes: list[int], num: int, den: int, skip):
+        """Sets whose overlap with set ``x`` can reach the threshold, as (y,
+        overlap, depth): depth first, the overlap at each depth kept for the
+        sets that share the path, subtrees left when the remaining lengths
+        cannot suffice.  ``sizes`` may exceed the paths (heads of sets): the
+        walk then ends where either head does."""
+        px, nx = self.paths[x], sizes[x]
+        whole = len(px) == nx
+        here = np.zeros(len(self.tokens), dtype=bool)
+        here[px] = True
         least = _needed(nx, num, den)  # overlap that any partner needs
-        seen = np.zeros(max(length) + 1, dtype=np.int64)  # overlap of the current path at every depth
+        seen = np.zeros(max(map(len, self.paths)) + 1, dtype=np.int64)
         valid, dead = 0, 1 << 60
-        for j in range(count):
-            y = order[j]
+        for j, y in enumerate(self.order):
             if j:
-                valid = min(valid, shared[j])
-                if shared[j] >= dead:
+                valid = min(valid, self.shared[j])
+                if self.shared[j] >= dead:
                     continue  # below a node that was left
             dead = 1 << 60
-            ny = length[y]
-            if done[y] or den * min(nx, ny) < num * max(nx, ny) or groups.root(x) == groups.root(y):
+            ny = sizes[y]
+            if den * min(nx, ny) < num * max(nx, ny) or skip(y):
                 continue
             need = -(-num * (nx + ny) // (num + den))
-            py, d, step, alive = paths[y], valid, 32, True
-            while d < ny:
-                e = min(ny, d + step)
-                seen[d + 1:e + 1] = seen[d] + np.cumsum(in_probe[py[d:e]])
+            py, d, step, alive = self.paths[y], valid, 32, True
+            end = len(py) if whole else int(np.searchsorted(py, px[-1], side="right"))
+            d = min(d, end)
+            while d < end:
+                e = min(end, d + step)
+                seen[d + 1:e + 1] = seen[d] + np.cumsum(here[py[d:e]])
                 d, step = e, step * 2
                 valid = max(valid, d)
                 rest = nx - int(np.searchsorted(px, py[d - 1], side="right"))
@@ -221,13 +220,66 @@ def trie_links(sets: list[np.ndarray], labels, num: int, den: int, probes=None)
                 if seen[d] + min(rest, ny - d) < need:
                     alive = False
                     break
-            if alive and den * int(seen[ny]) >= num * (nx + ny - int(seen[ny])):
+            if alive:
+                yield y, int(seen[d]), d
+
+
+def trie_links(sets: list[np.ndarray], labels, num: int, den: int, probes=None) -> list[tuple[int, int]]:
+    """Links (i, j) between the ordered sets of one block that join two so far
+    separate groups; ``labels`` are the groups known before, ``probes`` the
+    rows to compare with all rows (default: every row)."""
+    if len(sets) < 2:
+        return []
+    groups, trie, sizes = _Groups(labels), _Trie(sets), [len(s) for s in sets]
+    found, done = [], [False] * len(sets)
+    for x in (range(len(sets)) if probes is None else probes):
+        done[x] = True
+        if not sizes[x]:
+            continue
+        for y, overlap, _ in trie.walk(x, sizes, num, den, lambda y, x=x: done[y] or groups.root(x) == groups.root(y)):
+            if den * overlap >= num * (sizes[x] + sizes[y] - overlap):
                 found.append((x, y))
                 groups.up[groups.root(x)] = groups.root(y)
-        in_probe[px] = False
     return found
 
 
+def with_partner(heads: list[np.ndarray], sizes: list[int], num: int, den: int) -> list[int]:
+    """Sets that, as far as the heads tell, may have a link in the block."""
+    if len(heads) < 2:
+        return []
+    trie, alive = _Trie(heads), [False] * len(heads)
+    for x in range(len(heads)):
+        for y, *_ in trie.walk(x, sizes, num, den, lambda y, x=x: y == x or (alive[x] and alive[y])):
+            alive[x] = alive[y] = True
+    return [i for i, a in enumerate(alive) if a]
+
+
+def _promising(num: int, den: int):
+    """Sorted rows (c, rep, n, head) -> (c, rep) of sets with a possible link."""
+    def solve(c, rows):
+        keep = with_partner([np.sort(np.array(r[2], dtype=np.int64).view(np.uint64)) for r in rows], [r[1] for r in rows], num, den)
+        return [(c, rows[i][0]) for i in keep]
+
+    def batch_of(out):
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()),
+                                           pa.array([x[1] for x in out], pa.int64())], ["c", "rep"])
+
+    def run(batches):
+        key, rows = None, []
+        for batch in batches:
+            out = []
+            heads = batch.column(3)
+            for i, (c, rep, n) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(3)))):
+                if c != key:
+                    out += solve(key, rows)
+                    key, rows = c, []
+                rows.append((rep, n, heads[i].values.to_numpy()))
+            if out:
+                yield batch_of(out)
+        yield batch_of(solve(key, rows))
+    return run
+
+
 def _block_links(num: int, den: int):
     """Sorted rows (block key..., rep, label, probe, keys) -> links (a, b)."""
     def solve(rows):
@@ -236,7 +288,13 @@ def _block_links(num: int, den: int):
         probes = [i for i, r in enumerate(rows) if r[2]]
         if len(probes) == len(rows):
             probes = None
-        return [(reps[i], reps[j]) for i, j in trie_links(sets, [r[1] for r in rows], num, den, probes)]
+        groups = _Groups(range(len(rows)))
+        for i, j in trie_links(sets, [r[1] for r in rows], num, den, probes):
+            groups.up[groups.root(i)] = groups.root(j)
+        least: dict = {}  # every member is tied to the smallest id of its group
+        for i, rep in enumerate(reps):
+            least[groups.root(i)] = min(rep, least.get(groups.root(i), rep))
+        return [(rep, least[groups.root(i)]) for i, rep in enumerate(reps) if rep != least[groups.root(i)]]
 
     def run(batches):
         key, rows, out = None, [], []
@@ -281,22 +339,37 @@ def ngram_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (
 
     sets = written(spark, docs.mapInArrow(
         _describe(k, num, den, last), "doc_id long, n long, f long, g long, head array<long>"), "shingle-sets")
-    classes = sets.where("n > 0").groupBy("f", "g").agg(F.min("doc_id").alias("rep"), F.first("head").alias("head"))
-    heads = classes.where("rep is not null").select(F.explode("head").alias("s"), "rep")
-
-    # centre of a shingle: the smallest class id under it; shingles of one class say nothing
-    under = Window.partitionBy("s")
-    light = (heads.where("s >= 0").withColumn("c", F.min("rep").over(under)).withColumn("z", F.max("rep").over(under))
-             .where("c < z").select("rep", "c"))
+    classes = sets.where("n > 0").groupBy("f", "g").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("head").alias("head"))
+    heads = classes.where("rep is not null").select(F.posexplode("head").alias("i", "s"), "rep", F.col("n").cast("int").alias("n"))
+    # the shorter set of a linked pair has a shared shingle within its first n - need(n, n) + 1
+    heads = heads.withColumn("early", F.col("i") <= F.col("n") - F.ceil(2 * num * F.col("n") / (num + den))).drop("i")
+
+    # centre: the smallest class id under a shingle; shingles of one class say nothing.  Sizes with
+    # a gap wider than the threshold allows cannot link across it, so each run of sizes has its own.
+    by_size = Window.partitionBy("s").orderBy("n", "rep")
+    run = Window.partitionBy("s", "run")
+    light = (heads.where("s >= 0").withColumn("before", F.lag("n").over(by_size))
+             .withColumn("run", F.sum(F.when(F.col("before") * den >= F.col("n") * num, 0).otherwise(1)).over(by_size))
+             .withColumn("c", F.min("rep").over(run)).withColumn("z", F.max("rep").over(run))
+             .withColumn("e", F.max("early").over(run)).where("c < z and e").select("rep", "c"))
     frequent = heads.where("s < 0")
-    centre = frequent.groupBy("s").agg(F.min("rep").alias("c"), F.max("rep").alias("z")).where("c < z")
+    centre = (frequent.groupBy("s").agg(F.min("rep").alias("c"), F.max("rep").alias("z"), F.max("early").alias("e"))
+              .where("c < z and e").select("s", "c"))
     pairs = written(spark, light.union(frequent.join(centre, "s").select("rep", "c")).distinct(), "shingle-pairs")
 
     sizes = pairs.groupBy("c").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    placed = pairs.join(sizes, "c").select(
-        "rep", "c", F.explode(F.when(F.col("rep") == F.col("c"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-                              .otherwise(F.array(F.pmod(F.xxhash64("rep"), "chunks")))).alias("chunk"))
-    where = placed.groupBy("rep").agg(F.collect_list(F.struct("c", "chunk")).alias("at"))
+    sized = pairs.join(sizes, "c")
+    # small blocks: the heads alone rule out nearly all sets that share a shingle by chance
+    heads_of = classes.select(F.col("rep").alias("r"), "n", "head")
+    small = (sized.where("chunks = 1").join(heads_of, F.col("rep") == F.col("r")).select("c", "rep", "n", "head")
+             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c").sortWithinPartitions("c")
+             .mapInArrow(_promising(num, den), "c long, rep long").distinct())
+    placed = small.select("rep", F.struct("c", F.lit(0).cast("long").alias("chunk")).alias("at")).union(
+        sized.where("chunks > 1").select("rep", F.explode(F.transform(
+            F.when(F.col("rep") == F.col("c"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+            .otherwise(F.array(F.pmod(F.xxhash64("rep"), "chunks"))),
+            lambda chunk: F.struct(F.col("c").alias("c"), chunk.alias("chunk")))).alias("at")))
+    where = placed.groupBy("rep").agg(F.collect_list("at").alias("at"))
     blocks = written(spark, docs.join(where, F.col("doc_id") == F.col("rep")).select("rep", "at", "text")
                      .mapInArrow(_block_rows(k, last), "c long, chunk long, rep long, keys binary"), "shingle-blocks")
     links = written(spark, _links_of(blocks.select(
@@ -304,7 +377,7 @@ def ngram_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (
         num, den), "shingle-links")
     component = connected_components(spark, links)
 
-    more = _across_chunks(spark, blocks, sizes, component, num, den)
+    more = _across_chunks(spark, pairs, sizes, blocks, component, num, den)
     if more is not None:
         component = connected_components(spark, links.union(more))
     member = sets.select("doc_id", "n", "f", "g").join(
@@ -315,21 +388,31 @@ def ngram_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (
                     F.coalesce("component_id", "rep", "doc_id").alias("component_id")))
 
 
-def _across_chunks(spark, blocks, sizes, component, num, den) -> DataFrame | None:
+def _across_chunks(spark, pairs, sizes, blocks, component, num, den) -> DataFrame | None:
     """Links between chunks of one block: members outside the centre's
     component against every chunk of the block, in pieces of CHUNK rows."""
-    cut = sizes.where("chunks > 1")
     label = component.select(F.col("id").alias("rep"), F.col("component_id").alias("own"))
-    rows = (blocks.join(cut, "c").join(label, "rep", "left").withColumn("label", F.coalesce("own", "rep")).drop("own"))
     centre = component.select(F.col("id").alias("c"), F.col("component_id").alias("home"))
-    rows = rows.join(centre, "c", "left").withColumn("home", F.coalesce("home", "c"))
-    apart = rows.where("label <> home")
-    if apart.isEmpty():
+    members = (pairs.join(sizes.where("chunks > 1"), "c").join(label, "rep", "left").join(centre, "c", "left")
+               .select("c", "rep", "chunks", F.coalesce("own", "rep").alias("label"),
+                       (F.coalesce("own", "rep") != F.coalesce("home", "c")).alias("apart")))
+    members = written(spark, members, "shingle-members")
+    pieces = members.where("apart").groupBy("c").agg(F.ceil(F.count("*") / CHUNK).alias("pieces"))
+    if pieces.isEmpty():
         return None
-    pieces = apart.groupBy("c").agg(F.ceil(F.count("*") / CHUNK).alias("pieces"))
-    index = (rows.join(pieces, "c").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
-             .select("c", "chunk", "piece", "rep", "label", F.lit(False).alias("probe"), "keys"))
-    probe = (apart.join(pieces, "c").withColumn("piece", F.pmod(F.xxhash64("rep"), "pieces"))
-             .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-             .select("c", "chunk", "piece", "rep", "label", F.lit(True).alias("probe"), "keys"))
-    return written(spark, _links_of(index.union(probe), num, den), "shingle-links")
+    rows = blocks.join(members.join(pieces, "c"), ["c", "rep"])
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    index = rows.withColumn("piece", every("pieces")).withColumn("probe", F.lit(False))
+    probe = (rows.where("apart").withColumn("piece", F.pmod(F.xxhash64("rep"), "pieces"))
+             .withColumn("chunk", every("chunks")).withColumn("probe", F.lit(True)))
+    columns = ["c", "chunk", "piece", "rep", "label", "probe", "keys"]
+    return written(spark, _links_of(index.select(columns).union(probe.select(columns)), num, den), "shingle-links")
+
+
+def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
+    """The rows of ``docs`` whose document names its component, all columns as
+    they are: one document of each class of near copies.  Rows without an id
+    cannot be named and stay; rows that repeat an id stay together."""
+    found = ngram_components(docs, k, threshold)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
