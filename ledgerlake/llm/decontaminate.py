@@ -297,4 +297,4 @@ def remove(docs: DataFrame, benchmark: DataFrame, per: int = 20, size: int = WIN
         return docs.mapInArrow(_keep_clean(first[1], per), docs.schema)
     bad = (contamination(docs, benchmark, per, size, block_bytes).where("contaminated").select("doc_id").distinct()
            .withColumnRenamed("doc_id", "bad_id"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")

@@ -117,8 +117,11 @@ def _compare(d: int, kind: str, lead: int, threshold: float, turn):
         return ids, sizes, x, x @ turn.value
 
     def run(table: pa.Table) -> pa.Table:
-        left, right = (read(table, r) for r in ((0, table.num_rows - 1)))
-        same = table.num_rows == 1
+        a, i, b, j = (table.column(c)[0].as_py() for c in "aibj")
+        same = (a, i) == (b, j)
+        if not same and table.num_rows < 2:  # the other tile is empty
+            return pa.table({c: pa.array([], pa.int64()) for c in ("id", "links", "least")})
+        left, right = (read(table, r) for r in (0, table.num_rows - 1))
         ids = left[0] if same else np.concatenate([left[0], right[0]])
         shift = 0 if same else len(left[0])
         links, label = np.zeros(len(ids), np.int64), ids.copy()
