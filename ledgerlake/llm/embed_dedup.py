@@ -104,7 +104,8 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, lead: int, threshold: float, same
                     rest = np.sqrt(np.einsum("ij,ij->i", a[x, done:], a[x, done:]) * np.einsum("ij,ij->i", b[y, done:], b[y, done:]))
                     go = cosine + rest >= threshold - 1e-9
                     x, y, cosine = x[go], y[go], cosine[go]
-            yield x, y
+            sure = cosine >= threshold - 1e-9
+            yield x[sure], y[sure]
 
 
 def _compare(d: int, kind: str, lead: int, threshold: float, turn):
@@ -188,7 +189,7 @@ def _links_of_length(classes: DataFrame, d: int, kind: str, threshold: float) ->
     tiles = written(spark, tiles, "vector-tiles")
     pairs = spark.createDataFrame(_pairs_of_cells(boxes, threshold), "a int, b int, na int, nb int")
     pairs = (pairs.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("na") - 1)))
-             .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).where("a < b or i <= j"))
+             .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).where("a <> b or i <= j"))
     ends = pairs.select("a", "i", "b", "j", F.explode(F.array_distinct(F.array(
         F.struct(F.col("a").alias("cell"), F.col("i").alias("chunk")), F.struct(F.col("b").alias("cell"), F.col("j").alias("chunk"))))).alias("t"))
     both = ends.select("a", "i", "b", "j", "t.cell", "t.chunk").join(tiles, ["cell", "chunk"])
