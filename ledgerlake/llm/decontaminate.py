@@ -38,13 +38,17 @@ _START = 4
 @dataclass
 class Windows:
     """Distinct windows of a benchmark block: word numbers [n, WINDOW] (0
-    beyond the length), length, and the items of each (CSR)."""
+    beyond the length), length, and (CSR) the items of each and the places in
+    them: number of the item's row and word."""
 
     vocabulary: np.ndarray
     words: np.ndarray
     length: np.ndarray
     item: np.ndarray
     item_off: np.ndarray
+    row: np.ndarray
+    word: np.ndarray
+    place_off: np.ndarray
     starts: dict[int, np.ndarray]
 
 
@@ -54,7 +58,7 @@ def windows_of(items: pa.Table, size: int = WINDOW) -> Windows:
     hashes = vt.word_hashes(data, start, end)
     vocabulary = np.unique(hashes)
     number = (np.searchsorted(vocabulary, hashes) + 1).astype(np.uint32)
-    rows, lengths, owners = [], [], []
+    rows, lengths, owners, row, word = [], [], [], [], []
     for i, name in enumerate(items.column("item_id").to_pylist()):
         w = number[first[i]:first[i + 1]]
         if name is None or not len(w):
@@ -65,20 +69,26 @@ def windows_of(items: pa.Table, size: int = WINDOW) -> Windows:
             rows.append(np.lib.stride_tricks.sliding_window_view(w, size))
         lengths += [min(len(w), size)] * len(rows[-1])
         owners += [name] * len(rows[-1])
+        row += [i] * len(rows[-1])
+        word += range(len(rows[-1]))
     if not rows:
-        return Windows(vocabulary, np.zeros((0, size), np.uint32), np.zeros(0, np.int64), np.zeros(0, object),
-                       np.zeros(1, np.int64), {})
+        none = np.zeros(0, np.int64)
+        return Windows(vocabulary, np.zeros((0, size), np.uint32), none, np.zeros(0, object), np.zeros(1, np.int64),
+                       none, none, np.zeros(1, np.int64), {})
     words, back = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
     back = back.reshape(-1)
     length = np.zeros(len(words), np.int64)
     length[back] = lengths
     pairs = sorted(set(zip(back.tolist(), owners)), key=lambda x: x[0])
     item_off = np.searchsorted([p[0] for p in pairs], np.arange(len(words) + 1))
+    order = np.argsort(back, kind="stable")
+    place_off = np.searchsorted(back[order], np.arange(len(words) + 1))
     starts: dict[int, list] = {}
     for k in np.unique(np.minimum(length, _START)):
         pick = np.minimum(length, _START) == k
         starts[int(k)] = np.unique(_join(words[pick], int(k)))
-    return Windows(vocabulary, words, length, np.array([p[1] for p in pairs], dtype=object), item_off, starts)
+    return Windows(vocabulary, words, length, np.array([p[1] for p in pairs], dtype=object), item_off,
+                   np.array(row)[order], np.array(word)[order], place_off, starts)
 
 
 def _join(words: np.ndarray, k: int) -> np.ndarray:
@@ -170,9 +180,7 @@ def _judge(data: np.ndarray, off: np.ndarray, w: Windows):
     of = np.searchsorted(edge, a, side="right") - 1
     for r, x, y in zip(of.tolist(), (a - edge[of]).tolist(), (b - edge[of]).tolist()):
         spans[r].append((x, y))
-    # longest verbatim match: neighbouring places whose windows follow one another in an item
-    order = np.argsort(place, kind="stable")
-    run_at, run_len = _verbatim(place[order], window[order], w)
+    run_at, run_len = _verbatim(place, window, w)
     r = np.searchsorted(edge, run_at, side="right") - 1
     for i in np.lexsort((-run_at, run_len)):
         longest[r[i]], where[r[i]] = run_len[i], run_at[i] - edge[r[i]]
@@ -184,16 +192,18 @@ def _expand(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def _verbatim(place: np.ndarray, window: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of full windows at consecutive places, as (start, words)."""
-    full = w.length[window] == w.words.shape[1]
-    short_at, short_len = place[~full], w.length[window[~full]]
-    place = np.unique(place[full])
-    if not len(place):
-        return short_at, short_len
-    begin = np.flatnonzero(np.concatenate([[True], np.diff(place) != 1]))
-    last = np.concatenate([begin[1:], [len(place)]]) - 1
-    return (np.concatenate([short_at, place[begin]]),
-            np.concatenate([short_len, place[last] - place[begin] + w.words.shape[1]]))
+    """Verbatim matches as (place, words): neighbouring occurrences on one
+    diagonal, that is, whose windows follow one another in an item too."""
+    count = w.place_off[window + 1] - w.place_off[window]
+    at = _expand(w.place_off[window], count)
+    place, length = np.repeat(place, count), np.repeat(w.length[window], count)
+    row, shift = w.row[at], place - w.word[at]
+    order = np.lexsort((place, shift, row))
+    place, length, row, shift = place[order], length[order], row[order], shift[order]
+    new = np.concatenate([[True], (np.diff(place) != 1) | (np.diff(row) != 0) | (np.diff(shift) != 0)])
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(place)) - 1
+    return place[begin], place[last] - place[begin] + length[last]
 
 
 def _contaminated(n_hit, n_words, per: int):

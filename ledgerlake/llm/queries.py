@@ -85,4 +85,95 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op6_decontamination, op7_best_fit_packing, op8_url_templates, op9_html_text, op10_language_id)
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_CHAT = r"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text, role AS r
+               FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+ends AS (SELECT conv_id, max(turn) FILTER (r = 'assistant') AS last FROM turns GROUP BY conv_id),
+upto AS (SELECT * FROM turns JOIN ends USING (conv_id) WHERE turn <= last),
+other AS (SELECT conv_id, max(last) AS turn, 'assistant' AS role,
+                 CASE WHEN count(*) FILTER (turn < last AND r = 'assistant') > 0
+                      THEN arg_max(text, (turn, text)) FILTER (turn < last AND r = 'assistant')
+                      ELSE coalesce(arg_max(text, (turn, text)) FILTER (turn < last AND r = 'user'), '') END AS text
+          FROM upto GROUP BY conv_id),
+sides AS (SELECT conv_id, 'c' AS side, turn, role, text FROM upto UNION ALL
+          SELECT conv_id, 'r', turn, role, text FROM upto WHERE turn < last UNION ALL
+          SELECT conv_id, 'r', turn, role, text FROM other),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn, role, text) AS place FROM sides),
+c AS (SELECT * FROM placed WHERE side = 'c'), r AS (SELECT * FROM placed WHERE side = 'r'),
+differ AS (SELECT conv_id, min(place) AS place FROM
+             (SELECT conv_id, place, c.role = r.role AND c.text = r.text AS same FROM c FULL JOIN r USING (conv_id, place))
+           WHERE same IS NOT TRUE GROUP BY conv_id),
+sizes AS (SELECT conv_id, count(*) AS n FROM c GROUP BY conv_id),
+cut AS (SELECT conv_id, coalesce(place - 1, n) AS k FROM sizes LEFT JOIN differ USING (conv_id)),
+shown AS (SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS piece,
+                 length('<|im_start|>' || role || chr(10)) AS head FROM placed JOIN cut USING (conv_id)),
+spans AS (SELECT *, sum(length(piece)) OVER (PARTITION BY conv_id, side ORDER BY place) AS ends
+          FROM shown WHERE place > k)
+SELECT conv_id, CAST(k AS INTEGER) AS n_prompt,
+       coalesce((SELECT string_agg(piece, '' ORDER BY place) FROM shown s WHERE s.conv_id = t.conv_id AND side = 'c' AND place <= s.k), '') AS prompt,
+       coalesce(max(all_pieces) FILTER (side = 'c'), '') AS chosen, coalesce(max(all_pieces) FILTER (side = 'r'), '') AS rejected,
+       coalesce(max(mask) FILTER (side = 'c'), '') AS chosen_mask, coalesce(max(mask) FILTER (side = 'r'), '') AS rejected_mask
+FROM cut t LEFT JOIN (
+    SELECT conv_id, side, string_agg(piece, '' ORDER BY place) AS all_pieces,
+           string_agg(CAST(CAST(ends - length(piece) + head AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(ends AS BIGINT) AS VARCHAR), ',' ORDER BY place)
+               FILTER (role = 'assistant') AS mask
+    FROM spans GROUP BY conv_id, side) USING (conv_id)
+GROUP BY conv_id, k
+"""
+
+_JACCARD = r"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(LOWERED, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])
+                                             WHEN len(w) > 0 THEN [w] ELSE [] END) AS s FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach(id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT id, b FROM reach JOIN links ON other = a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) ON id = d.doc_id
+""".replace("LOWERED", _LOWER.format("text"))
+
+_COSINE = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT id, b FROM reach JOIN links ON other = a),
+named AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN named ON id = vec_id LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = vec_id
+"""
+
+_WINDOWS = r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT item_id, row_number() OVER () AS item_row, regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+          FROM benchmark WHERE item_id IS NOT NULL),
+wanted AS (SELECT item_id, item_row, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS word, w FROM items WHERE len(w) > 0),
+patterns AS (SELECT item_id, item_row, word, w[word:word + 12] AS s, len(w[word:word + 12]) AS size FROM wanted),
+lengths AS (SELECT DISTINCT size FROM patterns),
+places AS (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS place FROM split, lengths WHERE len(w) >= size),
+found AS (SELECT doc_id, place, p.size, item_id, item_row, word
+          FROM places p JOIN patterns x ON p.size = x.size AND w[place:place + p.size - 1] = x.s),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(place, place + size)) AS p FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id),
+runs AS (SELECT doc_id, min(place) AS begin_at, max(place) - min(place) + max(size) AS words
+         FROM (SELECT *, place - row_number() OVER (PARTITION BY doc_id, item_row, place - word ORDER BY place) AS island FROM found)
+         GROUP BY doc_id, item_row, place - word, island),
+best AS (SELECT doc_id, max(words) AS longest, arg_min(begin_at, (-words, begin_at)) - 1 AS longest_at FROM runs GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated,
+       CAST(coalesce(longest, 0) AS BIGINT) AS longest, CAST(longest_at AS BIGINT) AS longest_at
+FROM split LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN best USING (doc_id)
+""".replace("LOWERED", _LOWER.format("coalesce(text, '')"))
+
+ORACLE: dict[str, str] = {
+    "op1_chat_format": _CHAT,
+    "op2_ngram_jaccard": _JACCARD,
+    "op3_embedding_near_dedup": _COSINE,
+    "op6_decontamination": _WINDOWS,
+}
