@@ -1,17 +1,21 @@
 """Sharding by a k-d tree over document metadata.
 
-Equal texts are one point (or several, see below) with their bytes as weight.
-From the whole corpus down, every node is split at the weighted median of its
-widest metadata dimension until there are as many leaves as shards, so leaves
-have near equal bytes.  Medians are exact up to one key: the keys of a
-dimension (value, then a hash of the text) are narrowed by histograms of 4096
-bins, which Spark sums and the driver reads (at most 4096 bins a node).
+Equal texts are one point with their bytes as weight.  From the whole corpus
+down, every node is split at the weighted median of its widest metadata
+dimension until there are as many leaves as shards, so leaves have near equal
+bytes.  Medians are exact up to one key: the keys of a dimension (value, then
+a hash of the text) are narrowed by histograms of 4096 bins, which Spark sums
+and the driver reads (at most 4096 bins a node).
+
+A point that outweighs 1/256 of a shard would unbalance whichever side it
+falls on.  There are at most 256 of those per shard; they are placed first,
+heaviest first on the lightest shard, and the tree splits the rest in
+proportion to the room that is left.  A group of equal texts thus stays whole
+unless no shard has room for it; then its rows fill the rooms there are, so a
+hot group neither unbalances the shards nor sits in one task.
 
 Only DataFrame functions are used.  Texts are read once for their size and
-hashes; what is shuffled is a few numbers a document.  A group of equal texts
-that outweighs 1/64 of a shard is divided into fragments of that weight, so a
-hot group neither unbalances the leaves nor has to sit in one task; smaller
-groups stay whole.
+hashes; what is shuffled is a few numbers a document.
 
 Defined results: a null text has no bytes (size 1) and checksum 0; null
 metadata is a value of its own; repeated and null ids are separate rows; an
@@ -26,8 +30,10 @@ from pyspark.sql import Window
 
 from ledgerlake.llm.components import written
 
-#: Fragments of a shard's target that a group of equal texts may weigh whole.
-GRAIN = 64
+#: Points heavier than this part of a shard are placed before the tree.
+GRAIN = 256
+#: Part of a shard that rows of a parted group may fill.
+_PARTED = 0.92
 _BINS = 4096  # 12 bits of the key per round
 _ROUNDS = 3
 #: Rows that one task numbers.
@@ -40,9 +46,9 @@ def _unit_hash(c: str) -> Column:
 
 
 def _key(x: Column) -> Column:
-    """36 bits: 12 of the dimension, 14 of the text's hash, 10 of the fragment."""
+    """36 bits: 12 of the dimension, 24 of the text's hash."""
     value = F.floor(F.least(x, F.lit(0.99999)) * (1 << 12)).cast("long")
-    return F.shiftleft(value, 24) + F.shiftleft(F.pmod("g", F.lit(1 << 14)), 10) + F.pmod("fragment", F.lit(1 << 10))
+    return F.shiftleft(value, 24) + F.pmod("g", F.lit(1 << 24))
 
 
 def _by_node(values: dict[int, object]) -> Column:
@@ -75,6 +81,25 @@ def _medians(points: DataFrame, total: dict[int, int], want: dict[int, float]) -
     return low
 
 
+def _rooms(heavy: list, target: float, shards: int) -> list[tuple[int, int, float, float]]:
+    """Places (g, shard, from, to) of heavy groups, heaviest first on the
+    lightest shard; a group without room is parted by shares of its rows."""
+    load = [0.0] * shards
+    out = []
+    for g, w in sorted(heavy, key=lambda x: (-x[1], x[0])):
+        at = 0.0
+        while at < 1:
+            i = min(range(shards), key=lambda k: load[k])
+            share = 1 - at
+            if w * share > target - load[i]:  # a hash parts the rows: some room stays for its unevenness
+                share = min(share, max(_PARTED * target - load[i], target / GRAIN) / w)
+            to = 1.0 if share >= 1 - at - 1e-9 else at + share
+            out.append((g, i, at, to))
+            load[i] += w * (to - at)
+            at = to
+    return out
+
+
 def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
     spark = docs.sparkSession
@@ -87,54 +112,59 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     if not whole.n:
         return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.lit(0).alias("shard"),
                            F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
-    grain = max(1.0, whole.w / shards / GRAIN)
-    heavy = rows.groupBy("g").agg(F.sum("size").alias("w")).where(F.col("w") > grain)  # at most shards * GRAIN rows
-    heavy = heavy.select("g", F.least(F.ceil(F.col("w") / grain), F.lit(1 << 10)).alias("fragments"))
-    rows = (rows.join(F.broadcast(heavy), "g", "left")
-            .withColumn("fragment", F.pmod(F.xxhash64("row"), F.coalesce("fragments", F.lit(1)))).drop("fragments"))
-    points = rows.groupBy("g", "fragment").agg(F.sum("size").alias("w"), F.max("size").alias("size"),
-                                               F.min("lang").alias("lang"), F.min("source").alias("source"))
+    target = whole.w / shards
+    heavy = rows.groupBy("g").agg(F.sum("size").alias("w")).where(F.col("w") > target / GRAIN)
+    heavy = [(r.g, r.w) for r in heavy.collect()]  # at most shards * GRAIN rows
+    rooms = F.broadcast(spark.createDataFrame(_rooms(heavy, target, shards), "g long, shard int, lo double, hi double"))
+    share = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) / float(1 << 30)
+    columns = ["doc_id", "size", "text_crc32", "row", "shard"]
+    first = rows.join(rooms, "g").where((share >= F.col("lo")) & (share < F.col("hi"))).select(columns)
+    rest = rows.join(F.broadcast(rooms.select("g").distinct()), "g", "left_anti")
+    loads = {r.shard: r.w for r in first.groupBy("shard").agg(F.sum("size").alias("w")).collect()}  # a row per shard
+    room = [max(target - loads.get(i, 0), 0.0) for i in range(shards)]
+
+    points = rest.groupBy("g").agg(F.sum("size").alias("w"), F.max("size").alias("size"),
+                                   F.min("lang").alias("lang"), F.min("source").alias("source"))
     top = F.log1p(F.lit(float(1 << 31)))
-    points = points.select("g", "fragment", "w", F.lit(0).alias("node"),
+    points = points.select("g", "w", F.lit(0).alias("node"),
                            F.array(F.log1p(F.col("size").cast("double")) / top, "lang", "source").alias("x"))
     points = written(spark, points, "shard-points")
     spread = points.agg(*[F.min(F.col("x")[j]).alias(f"a{j}") for j in range(3)], *[F.max(F.col("x")[j]).alias(f"b{j}") for j in range(3)]).first()
-    scaled = [(F.col("x")[j] - spread[f"a{j}"]) / ((spread[f"b{j}"] - spread[f"a{j}"]) or 1.0) for j in range(3)]
-    points = points.withColumn("x", F.array(*scaled))
+    if spread.a0 is not None:
+        scaled = [(F.col("x")[j] - spread[f"a{j}"]) / ((spread[f"b{j}"] - spread[f"a{j}"]) or 1.0) for j in range(3)]
+        points = points.withColumn("x", F.array(*scaled))
 
-    # leaves each node is to hold; an odd number splits unevenly, at that share of the weight
-    leaves, names = {0: shards}, 1
-    while any(k > 1 for k in leaves.values()):
+    leaves, names = {0: range(shards)}, 1  # the shards that a node is to fill
+    while any(len(k) > 1 for k in leaves.values()):
         stats = points.groupBy("node").agg(F.sum("w").alias("w"), *[
             (F.max(F.col("x")[j]) - F.min(F.col("x")[j])).alias(f"d{j}") for j in range(3)]).collect()  # a row per node
-        stats = {r.node: r for r in stats if leaves[r.node] > 1}
+        stats = {r.node: r for r in stats if len(leaves[r.node]) > 1}
         if not stats:  # what is left to split holds no rows
             break
         widest = {n: max(range(3), key=lambda j, r=r: r[f"d{j}"]) for n, r in stats.items()}
-        left = {n: leaves[n] // 2 for n in stats}
+        left = {n: leaves[n][:len(leaves[n]) // 2] for n in stats}
+        want = {n: sum(room[i] for i in left[n]) / (sum(room[i] for i in leaves[n]) or 1.0) for n in stats}
         key = _key(F.element_at("x", F.coalesce(_by_node(widest), F.lit(0)) + 1))
         keyed = written(spark, points.withColumn("key", key), "shard-points")
         open_nodes = keyed.where(F.col("node").isin(list(stats)))
-        cut = _medians(open_nodes, {n: r.w for n, r in stats.items()}, {n: left[n] / leaves[n] for n in stats})
+        cut = _medians(open_nodes, {n: r.w for n, r in stats.items()}, want)
         lower, upper = {}, {}
         for n in stats:
             lower[n], upper[n] = names, names + 1
-            leaves[names], leaves[names + 1] = left[n], leaves.pop(n) - left[n]
+            leaves[names], leaves[names + 1] = left[n], leaves.pop(n)[len(left[n]):]
             names += 2
         points = keyed.withColumn("node", F.when(F.col("node").isin(list(stats)), F.when(
             F.col("key") < _by_node(cut), _by_node(lower)).otherwise(_by_node(upper))).otherwise(F.col("node"))).drop("key")
-    number = {n: i for i, n in enumerate(sorted(leaves))}
-    shard_of = points.select("g", "fragment", _by_node(number).cast("int").alias("shard"))
-    placed = rows.join(shard_of, ["g", "fragment"])
+    shard_of = points.select("g", _by_node({n: k[0] for n, k in leaves.items()}).cast("int").alias("shard"))
+    placed = rest.join(shard_of, "g").select(columns).union(first)
 
     # slots: rows of a shard are numbered in buckets, after the rows of earlier buckets
     buckets = max(64, -(-whole.n // shards // _NUMBERED))
-    placed = written(spark, placed.select(
-        "doc_id", "size", "text_crc32", "shard", "row", F.pmod(F.xxhash64("row"), F.lit(buckets)).alias("bucket")), "shard-placed")
+    placed = written(spark, placed.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets))), "shard-placed")
     count = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = count.select("shard", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    before = count.select("shard", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     within = Window.partitionBy("shard", "bucket").orderBy("row")
-    return (placed.withColumn("nth", F.row_number().over(within) - 1).join(first, ["shard", "bucket"])
+    return (placed.withColumn("nth", F.row_number().over(within) - 1).join(before, ["shard", "bucket"])
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("first") + F.col("nth")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")))
+                    (F.col("before") + F.col("nth")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")))
