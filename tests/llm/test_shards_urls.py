@@ -12,6 +12,7 @@ def test_shards_are_near_equal_and_keep_copies_together(spark):
     rows = [(i, "x" * rng.randint(0, 300) + str(i), rng.choice(["en", "de", None]), f"s{rng.randint(0, 9)}") for i in range(3000)]
     rows += [(5000 + i, "a copy of three", "en", f"s{i}") for i in range(3)]
     rows += [(9000 + i, "hot" * 40, "en", "s1") for i in range(1500)]  # a third of all rows
+    rows += [(20000 + i, "y" * 200, "de", "s2") for i in range(100)]  # fits a shard
     rows += [(1, None, None, None), (None, "", None, None)]
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, lang string, source string, shard int")
     got = kd.shard(docs.repartition(5), 16).collect()
@@ -24,7 +25,7 @@ def test_shards_are_near_equal_and_keep_copies_together(spark):
         assert r.law == "bytes" and r.grown_shard is None
     assert set(size) == set(range(16)) and max(size.values()) < 1.06 * min(size.values())
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    assert len(copies[zlib.crc32(b"a copy of three"), 16]) == 1
+    assert len(copies[zlib.crc32(b"a copy of three"), 16]) == len(copies[zlib.crc32(b"y" * 200), 201]) == 1
     want = sorted((r[0] or -1, len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
     assert sorted((r.doc_id or -1, r.size, r.text_crc32) for r in got) == want
 
