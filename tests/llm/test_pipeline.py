@@ -1,9 +1,17 @@
 """The pipeline and the registered queries on the small tables."""
 
+import os
+import sys
+
 import corpus_pipeline
 import pytest
 
-from ledgerlake.llm.queries import QUERIES
+from ledgerlake.llm import lang_kn, quality_gbt
+from ledgerlake.llm.queries import LANGUAGE_LEARN, QUALITY_LEARN, QUERIES
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+from test_decontaminate import brute as windows_of_all  # noqa: E402
+from test_ngram_join import brute as components_of_all  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -24,6 +32,32 @@ def test_stages_keep_columns_and_clean_documents(spark):
     assert docs.count() > 0.7 * before
 
 
+def test_each_stage_equals_a_plain_version_of_it(spark):
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def kept(name):
+        return sorted(r.doc_id for r in stages[name](spark, docs, small).select("doc_id").collect())
+
+    def only(ids):
+        return docs.where(docs.doc_id.isin(ids))
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    ids = kept("quality")
+    assert ids == sorted(r.doc_id for r in quality_gbt.score_quality(docs, labels, QUALITY_LEARN).where("predicted = 1").collect())
+    docs = only(ids)
+    ids = kept("language")
+    assert ids == sorted(r.doc_id for r in lang_kn.identify(docs, LANGUAGE_LEARN).where("accepted").collect())
+    docs = only(ids)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    ids = kept("near_duplicates")
+    assert ids == sorted(i for i, _, c in components_of_all(rows, 5, 80, 100) if i == c)
+    docs = only(ids)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    ids = kept("decontamination")
+    assert ids == sorted(r[0] for r in windows_of_all([(r.doc_id, r.text) for r in docs.collect()], items) if not r[5])
+
+
 def test_pipeline_packs_what_the_stages_keep(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.where("piece = 0").count() == got.select("doc_id").distinct().count() > 700
