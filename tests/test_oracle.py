@@ -11,6 +11,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
 
+from ledgerlake.catalog.oracle import ORACLE  # noqa: E402
+from ledgerlake.catalog.queries import QUERIES  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -26,7 +29,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -35,11 +39,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    rel = duck.sql(entry.oracle_sql()[name])
+    rel = duck.sql(ORACLE[name])
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(srows) == len(orows)
