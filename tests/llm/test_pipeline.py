@@ -4,10 +4,11 @@ import os
 import sys
 
 import corpus_pipeline
+import duckdb
 import pytest
 
 from ledgerlake.llm import lang_kn, quality_gbt
-from ledgerlake.llm.queries import LANGUAGE_LEARN, QUALITY_LEARN, QUERIES
+from ledgerlake.llm.queries import LANGUAGE_LEARN, ORACLE, QUALITY_LEARN, QUERIES
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from test_decontaminate import brute as windows_of_all  # noqa: E402
@@ -63,6 +64,17 @@ def test_pipeline_packs_what_the_stages_keep(spark):
     assert got.where("piece = 0").count() == got.select("doc_id").distinct().count() > 700
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_match_their_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    got = QUERIES[name](spark, "/root/testdata/sf0.001")
+    want = con.sql(ORACLE[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(str, map(tuple, got.select(want.columns).collect()))) == sorted(map(str, want.fetchall()))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_queries_run(spark, name):
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
