@@ -83,10 +83,12 @@ def ingest_job(spark: SparkSession, root: str, table: str, archive: bool = False
 
     ``archive`` moves processed files to ``landing_archive/<table>`` (then the
     stream is the only consumer of the landing folder); ``publish_batches``
-    also refreshes, per micro-batch, the published periods it touches."""
+    also refreshes, per micro-batch, the published periods it touches (its
+    staging folder is ``stage_by_period``)."""
     if publish_batches:
         _published_layout(table)
-    ingest_landing(spark, _p(root, "landing", table), table, _p(root, "stage_incremental", table),
+    stage = "stage_by_period" if publish_batches else "stage_incremental"
+    ingest_landing(spark, _p(root, "landing", table), table, _p(root, stage, table),
                    _p(root, "_checkpoints", f"ingest-{table}"),
                    archive_dir=_p(root, "landing_archive", table) if archive else None,
                    publish_root=_p(root, "transformed", table) if publish_batches else None)

@@ -6,7 +6,7 @@ yields the new files of each micro-batch; the checkpoint records which
 files were taken, so every file is ingested once across runs.  Each
 micro-batch reads its files by header name, applies the declared mapping
 and writes its rows as partition ``ingest_batch=<id>`` (below the table's
-period folders) with dynamic overwrite -- a micro-batch replayed after a
+period folders where batches are published) with dynamic overwrite -- a micro-batch replayed after a
 failure replaces its own output instead of duplicating it.  The id holds the
 stream's own id, which a new checkpoint changes, so batches of an earlier
 stream are never replaced.  Counts of rejected values and ragged rows are
@@ -41,7 +41,7 @@ BINARY_FILE_SCHEMA = T.StructType([
 def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root: str,
                    checkpoint_dir: str, max_files_per_trigger: int = 1000,
                    file_glob: str = "*.csv", archive_dir: str | None = None,
-                   publish_root: str | None = None) -> None:
+                   publish_root: str | None = None, by_period: bool | None = None) -> None:
     """Ingest every landing file not yet ingested, then stop (availableNow).
 
     With ``archive_dir`` the file source moves processed files there
@@ -52,10 +52,15 @@ def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root
     period the batch touches (a short list), all ingested rows of that period
     replace the published period (dynamic overwrite), so the work follows the
     touched periods and a replay is idempotent.  Unpartitioned tables are
-    republished whole.
+    republished whole.  ``by_period`` (default: only when publishing) puts the
+    batch folders below the table's period folders, so that a refresh reads the
+    touched periods only; one staging folder has one layout.
     """
     mapping = mapping_for(table)
     parts = PARTITIONS.get(table, ())
+    if by_period is None:
+        by_period = publish_root is not None
+    folders = [*(parts if by_period else ()), BATCH_COL]
 
     def process(files: DataFrame, batch_id: int) -> None:
         # Only file names reach the driver, at most max_files_per_trigger; a listing
@@ -69,7 +74,7 @@ def ingest_landing(spark: SparkSession, landing_dir: str, table: str, stage_root
         raw = scan_csv_by_name(session, [literal_path(p) for p in paths], mapping.source_names, observation=ragged)
         staged = apply_mapping(raw, mapping, rejects).withColumn(BATCH_COL, F.lit(batch))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts, BATCH_COL).parquet(stage_root))
+         .partitionBy(*folders).parquet(stage_root))
         counts = {**reject_counts(rejects), **reject_counts(ragged)}
         (session.createDataFrame([(batch, c, n) for c, n in counts.items()], "ingest_batch string, column string, rejects long")
          .coalesce(1).write.mode("append").json(f"{stage_root}/_rejects"))

@@ -245,7 +245,7 @@ def test_the_refresh_of_a_batch_prunes_to_its_periods(spark):
     from ledgerlake.streaming.ingest import _of_periods
     landing = _landing(spark, "t-prune", {f"{m}.csv": HEAD + f"A{m},1,m,2018-0{m}-02,2018,{m},2\n" for m in (1, 2, 3)})
     stage = fresh_dir(spark, "t-prune-stage")
-    ingest_landing(spark, landing, "account", stage, fresh_dir(spark, "t-prune-ckpt"))
+    ingest_landing(spark, landing, "account", stage, fresh_dir(spark, "t-prune-ckpt"), by_period=True)
     periods = spark.createDataFrame([(2018, 2)], "year int, month int")
     touched = _of_periods(read_ingested(spark, "account", stage), periods, ["year", "month"])
     plan = touched._jdf.queryExecution().executedPlan().toString()
