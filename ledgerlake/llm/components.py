@@ -21,6 +21,21 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A class with more than this part of all rows is joined apart (so there are fewer than 1000).
+_HOT = 1000
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows`` joined to their class by ``keys``, a class being one row of
+    ``classes`` with its number of rows in ``copies``.  The few classes that
+    hold a large part of all rows are broadcast, so that no task gets a whole
+    group of copies; every row must have a class."""
+    hot = classes.where(F.col("copies") * _HOT > F.lit(total))
+    some = F.broadcast(hot.select(keys))
+    light = rows.join(some, keys, "left_anti").join(classes.join(some, keys, "left_anti"), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(light)
+
+
 def connected_components(spark: SparkSession, links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``links`` (a, b), any orientation -> (id, component_id), one row per id
     that has a link; component_id is the smallest reachable id.

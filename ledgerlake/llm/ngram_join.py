@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ledgerlake.llm import vectext as vt
-from ledgerlake.llm.components import connected_components, written
+from ledgerlake.llm.components import connected_components, join_classes, written
 
 #: Shingles held at once while a task looks for repeated ones.
 _HELD = 2_000_000
@@ -380,12 +380,13 @@ def ngram_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (
     more = _across_chunks(spark, pairs, sizes, blocks, component, num, den)
     if more is not None:
         component = connected_components(spark, links.union(more))
-    member = sets.select("doc_id", "n", "f", "g").join(
-        classes.select(F.col("f").alias("cf"), F.col("g").alias("cg"), "rep"),
-        (F.col("n") > 0) & (F.col("f") == F.col("cf")) & (F.col("g") == F.col("cg")), "left")
-    return (member.join(component, F.col("rep") == F.col("id"), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "rep", "doc_id").alias("component_id")))
+    named = (sets.where("n > 0").groupBy("f", "g").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+             .join(component, F.col("rep") == F.col("id"), "left")
+             .select("f", "g", "copies", F.coalesce("component_id", "rep").alias("component_id")))
+    rows = sets.select("doc_id", F.col("n").alias("n_shingles"), "f", "g")
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return (join_classes(rows.where("n_shingles > 0"), written(spark, named, "shingle-classes"), ["f", "g"], sets.count())
+            .select(columns).union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", "doc_id")))
 
 
 def _across_chunks(spark, pairs, sizes, blocks, component, num, den) -> DataFrame | None:
