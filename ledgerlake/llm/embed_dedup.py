@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.components import connected_components, written
+from ledgerlake.llm.components import connected_components, join_classes, written
 
 #: Vectors in a tile.
 ROWS = 4096
@@ -223,9 +223,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     component = connected_components(spark, found.select(F.col("id").alias("a"), F.col("least").alias("b")))
     known = (classes.select("d", "h", "g", "id", "rep", "size").join(links, "id", "left").join(component, "id", "left")
-             .select(F.col("d").alias("cd"), F.col("h").alias("ch"), F.col("g").alias("cg"),
-                     (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n"), F.coalesce(F.when(F.col("component_id") < F.lit(_NAMELESS), F.col("component_id")), "rep").alias("c")))
-    match = (F.col("d") == F.col("cd")) & (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg"))
-    return (rows.join(known, match, "left").withColumn("component_id", F.coalesce("c", "vec_id"))
-            .select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), "component_id",
-                    F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")))
+             .select("d", "h", "g", F.col("size").alias("copies"),
+                     (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+                     F.coalesce(F.when(F.col("component_id") < F.lit(_NAMELESS), F.col("component_id")), "rep").alias("component_id")))
+    rows = rows.select("vec_id", "d", "h", "g")
+    columns = ["vec_id", "n_links", "component_id"]
+    linked = join_classes(rows.where("d is not null"), written(spark, known, "vector-classes"), ["d", "h", "g"], rows.count())
+    alone = rows.where("d is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return (linked.select(columns).union(alone)
+            .select(*columns, F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")))
