@@ -45,6 +45,8 @@ CALIBRATE = 20_000
 #: Symbols from which a text's cross-entropy no longer gets steadier (its subject differs, not its luck).
 _SETTLED = 400
 _CACHE = 200_000
+#: Texts of an Arrow batch that are Python strings at a time.
+_ROWS = 256
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,9 +57,11 @@ def words_of(text: str | None) -> list[str]:
 def _count_words(batches):
     for batch in batches:
         count: dict[tuple[str, str], int] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for w in words_of(text):
-                count[lang, w] = count.get((lang, w), 0) + 1
+        for i in range(0, batch.num_rows, _ROWS):
+            part = batch.slice(i, _ROWS)
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for w in words_of(text):
+                    count[lang, w] = count.get((lang, w), 0) + 1
             if len(count) > _CACHE:
                 yield _triples(count)
                 count = {}
@@ -259,7 +263,9 @@ class Scorer:
 
 def _judge(batch: pa.RecordBatch, scorer: Scorer, limits: dict[str, tuple[float, float]]) -> dict[str, np.ndarray]:
     langs = scorer.model.langs
-    got = scorer.sums(batch.column("text").to_pylist())
+    text = batch.column("text")
+    got = np.concatenate([np.zeros((0, len(langs) + 1))] + [
+        scorer.sums(text.slice(i, _ROWS).to_pylist()) for i in range(0, len(text), _ROWS)])
     n = got[:, -1]
     entropy = -got[:, :-1] / np.maximum(n, 1)[:, None]
     best = entropy.argmin(axis=1)
