@@ -299,12 +299,12 @@ def _block_links(num: int, den: int):
     def run(batches):
         key, rows, out = None, [], []
         for batch in batches:
-            cols = [c.to_pylist() for c in batch.columns]
-            for c, chunk, piece, *row in zip(*cols):
-                if (c, chunk, piece) != key:
-                    out += solve(rows)
-                    key, rows = (c, chunk, piece), []
-                rows.append(row)
+            for i in range(0, batch.num_rows, CHUNK):
+                for c, chunk, piece, *row in zip(*(x.to_pylist() for x in batch.slice(i, CHUNK).columns)):
+                    if (c, chunk, piece) != key:
+                        out += solve(rows)
+                        key, rows = (c, chunk, piece), []
+                    rows.append(row)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()),
                                                   pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
