@@ -11,10 +11,13 @@ training documents' own cross-entropies calibrate a rejection limit per
 language.
 
 Scale: the only shuffles are pre-aggregated word and n-gram counts; scoring is
-one pass without a shuffle.  The model grows with the distinct n-grams of the
-corpus; beyond ``MODEL_MOST`` the rarest n-grams are left to back-off (the
-usual count cut-off), which bounds what is broadcast (about 100 MB for four
-languages).
+one pass without a shuffle.  Every n-gram counts.  A model of up to
+``MODEL_CELLS`` n-grams times languages is fitted on the driver and broadcast
+as one (about 100 MB).  A larger one is fitted by Spark aggregates over the
+n-gram table, and its entries are broadcast in blocks of key ranges of at most
+that many cells: a log-probability is a sum over entries, so a task adds up one
+block after the other for the distinct words of a batch.  Size only changes the
+number of blocks.
 
 Defined results: a null text and one without a letter are ``und`` with score
 0 and are rejected; without any learnable row every document is ``und``; ties
@@ -31,13 +34,14 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.components import written
 
 ORDER = 5
-MODEL_MOST = 1 << 21
+#: N-grams times languages that are held at once; a larger model comes in blocks.
+MODEL_CELLS = 1 << 23
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _START, _END = "\x02", "\x03"
 #: Teaching rows (about) that calibrate the rejection limits.
@@ -191,7 +195,105 @@ def fit_models(langs: list[str], lang: np.ndarray, codes: np.ndarray, count: np.
     return model
 
 
-def train(docs: DataFrame, order: int = ORDER) -> LanguageModels | None:
+def _key(codes: np.ndarray, context: bool) -> np.ndarray:
+    """Hashes that keep lengths, and contexts from n-grams, apart."""
+    kind = (2 * codes.shape[1] + 1 + context) * 0xA0761D6478BD642F
+    return _hash(codes) ^ np.uint64(kind & ((1 << 64) - 1))
+
+
+@dataclass
+class BlockModels:
+    """The same models as a sum: the log-probability of a symbol is ``floor``
+    plus, of every order, the back-off log-weight of its context and the gain
+    of its n-gram over backing off, each 0 where a language has none.  A block
+    holds the sorted keys of a range and a column of values per language."""
+
+    langs: list[str]
+    order: int
+    floor: float
+    blocks: list  # broadcasts of (keys, values)
+
+    def score(self, codes: np.ndarray) -> np.ndarray:
+        """Log-probability of the last symbol of every row, per language."""
+        _, first, back = np.unique(_hash(codes), return_index=True, return_inverse=True)
+        part = codes[first]
+        wanted = [_key(part[:, self.order - k:], False) for k in range(1, self.order + 1)]
+        wanted += [_key(part[:, self.order - k:self.order - 1], True) for k in range(1, self.order + 1)]
+        out = np.full((len(part), len(self.langs)), self.floor)
+        for block in self.blocks:
+            keys, values = _unkept(block)
+            for w in wanted:
+                at, hit = _find(keys, w)
+                out[hit] += values[at[hit]]
+        return out[back]
+
+
+def _unkept(block):
+    """Value of a broadcast, not kept by it: one block at a time is in memory."""
+    path = getattr(block, "_path", None)
+    return block.load_from_path(path) if path else block.value
+
+
+def _entry_keys(langs: list[str]):
+    """(lang, context, s, v) -> key, language index, v."""
+    place = {x: i for i, x in enumerate(langs)}
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(2).to_pylist()
+            kind = np.array([2 * len(x) for x in text], dtype=np.int64) + batch.column(1).to_numpy(zero_copy_only=False)
+            key = np.zeros(len(text), np.uint64)
+            for k in np.unique(kind):
+                pick = np.flatnonzero(kind == k)
+                flat = np.array([ord(x) for i in pick for x in text[i]], dtype=np.uint32)
+                key[pick] = _key(flat.reshape(len(pick), k // 2), bool(k % 2))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(
+                [place[x] for x in batch.column(0).to_pylist()], pa.int32()), batch.column(3)], ["key", "lang", "v"])
+    return run
+
+
+def fit_blocks(grams: DataFrame, langs: list[str], order: int, cells: int = MODEL_CELLS) -> BlockModels:
+    """The law of ``fit_models`` over a table (lang, g, c) of any size."""
+    spark = grams.sparkSession
+    levels = {order: grams}
+    for k in range(order - 1, 0, -1):  # distinct predecessors
+        levels[k] = written(spark, levels[k + 1].groupBy("lang", F.expr("substring(g, 2)").alias("g"))
+                            .agg(F.count("*").alias("c")), "char-levels")
+    alphabet = levels[1].select("g").distinct().count() + 1
+    entries, lower = None, None
+    for k in range(1, order + 1):
+        level = levels[k].withColumn("h", F.substring("g", 1, k - 1))
+        discount = level.groupBy("lang").agg(F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).select(
+            "lang", F.expr("greatest(0.1D, least(0.9D, (n1 + 0.5D) / (n1 + 2 * n2 + 1)))").alias("d"))
+        context = written(spark, level.groupBy("lang", "h").agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
+                          .join(F.broadcast(discount), "lang").withColumn("weight", F.expr("d * kinds / total")), "char-contexts")
+        rows = level.join(context, ["lang", "h"])
+        rows = rows.withColumn("lower", F.lit(1.0 / alphabet)) if lower is None else rows.withColumn(
+            "rest", F.expr("substring(g, 2)")).join(lower, ["lang", "rest"])
+        fitted = written(spark, rows.select("lang", "g", F.expr("(c - d) / total").alias("own"), F.expr("weight * lower").alias("less")),
+                         "char-fitted")
+        lower = fitted.select("lang", F.col("g").alias("rest"), F.expr("own + less").alias("lower"))
+        part = fitted.select("lang", F.lit(False).alias("context"), F.col("g").alias("s"), F.expr("log1p(own / less)").alias("v")).union(
+            context.select("lang", F.lit(True), "h", F.log("weight")))
+        entries = part if entries is None else entries.union(part)
+    entries = written(spark, entries.withColumn("v", F.col("v").cast("float"))
+                      .mapInArrow(_entry_keys(langs), "key long, lang int, v float"), "char-entries")
+    count = -(-entries.select("key").distinct().count() * len(langs) // cells)
+    ranged = written(spark, entries.repartitionByRange(count, "key"), "char-entries")
+    edges = [-(1 << 63) + (i << 64) // count for i in range(count + 1)]  # keys are hashes: ranges of equal width are alike
+    blocks = [spark.sparkContext.broadcast(_block(
+        ranged.where((F.col("key") >= F.lit(a)) & (F.col("key") <= F.lit(b - 1))).toArrow(), len(langs))) for a, b in zip(edges, edges[1:])]
+    return BlockModels(langs, order, -float(np.log(alphabet)), blocks)
+
+
+def _block(table: pa.Table, n_langs: int) -> tuple[np.ndarray, np.ndarray]:
+    keys, at = np.unique(table.column("key").to_numpy().view(np.uint64), return_inverse=True)
+    values = np.zeros((len(keys), n_langs), np.float32)
+    values[at, table.column("lang").to_numpy()] = table.column("v").to_numpy()
+    return keys, values
+
+
+def train(docs: DataFrame, order: int = ORDER, cells: int = MODEL_CELLS) -> LanguageModels | BlockModels | None:
     """Models from the rows (lang, text) of ``docs``; None without a word."""
     spark = docs.sparkSession
     words = (docs.where("lang is not null and text is not null").select("lang", "text")
@@ -199,19 +301,16 @@ def train(docs: DataFrame, order: int = ORDER) -> LanguageModels | None:
              .groupBy("lang", "w").agg(F.sum("c").alias("c")))
     grams = written(spark, words.mapInArrow(_count_grams(order), "lang string, g string, c long")
                     .groupBy("lang", "g").agg(F.sum("c").alias("c")), "char-grams")
-    least, total = 1, 0
-    for row in sorted(grams.groupBy(F.floor(F.log2("c")).alias("b")).count().collect(), reverse=True):
-        if total + row["count"] > MODEL_MOST:  # at most 64 rows come here
-            least = 2 ** (row.b + 1)
-            break
-        total += row["count"]
-    if not total:
+    sizes = {r.lang: r["count"] for r in grams.groupBy("lang").count().collect()}  # a row per language
+    langs = sorted(sizes)
+    if not langs:
         return None
-    table = grams.where(F.col("c") >= least).toArrow()
+    if sum(sizes.values()) * len(langs) > cells:
+        return fit_blocks(grams, langs, order, cells)
+    table = grams.toArrow()
     names = table.column("lang").combine_chunks().dictionary_encode()
     if isinstance(names, pa.ChunkedArray):
         names = names.combine_chunks()
-    langs = sorted(names.dictionary.to_pylist())
     place = np.array([langs.index(x) for x in names.dictionary.to_pylist()])
     codes = np.frombuffer("".join(table.column("g").to_pylist()).encode("utf-32-le"), dtype=np.uint32).reshape(-1, order)
     return fit_models(langs, place[names.indices.to_numpy()], codes, table.column("c").to_numpy())
@@ -220,14 +319,14 @@ def train(docs: DataFrame, order: int = ORDER) -> LanguageModels | None:
 class Scorer:
     """Sums of log-probabilities of texts; remembers the words it has met."""
 
-    def __init__(self, model: LanguageModels):
+    def __init__(self, model: LanguageModels | BlockModels):
         self.model, self.at = model, {}
         self.table = np.zeros((0, len(model.langs) + 1))
 
     def _learn(self, words: list[str]) -> None:
-        rows = []
-        for i in range(0, len(words), 20_000):
-            codes, of, n = _codes(words[i:i + 20_000], self.model.order)
+        rows, most = [], _CACHE if isinstance(self.model, BlockModels) else 20_000
+        for i in range(0, len(words), most):
+            codes, of, n = _codes(words[i:i + most], self.model.order)
             logp = self.model.score(codes)
             edge = np.concatenate([[0], np.cumsum(n)[:-1]])
             rows.append(np.column_stack([np.add.reduceat(logp, edge, axis=0), n]))
@@ -235,6 +334,23 @@ class Scorer:
         self.table = np.concatenate([self.table, *rows])
         self.at.update((w, base + i) for i, w in enumerate(words))
 
+    def prepare(self, texts: pa.Array, a: int) -> int:
+        """Learns the words of the rows from ``a`` on, as many as the memory
+        takes, and returns the row after: blocks are read once for all of them."""
+        if not isinstance(self.model, BlockModels):
+            return len(texts)
+        unknown, b = set(), a
+        while b < len(texts) and len(unknown) < _CACHE // 2:
+            for text in texts.slice(b, _ROWS).to_pylist():
+                unknown.update(w for w in words_of(text) if w not in self.at)
+            b = min(b + _ROWS, len(texts))
+        if self.at and len(self.at) + len(unknown) > _CACHE:
+            self.at, self.table = {}, self.table[:0]
+            return self.prepare(texts, a)
+        if unknown:
+            self._learn(list(unknown))
+        return b
+
     def sums(self, texts: list[str | None]) -> np.ndarray:
         """Per text: log-probability per language, and the number of symbols."""
         out = np.zeros((len(texts), len(self.model.langs) + 1))
@@ -264,8 +380,12 @@ class Scorer:
 def _judge(batch: pa.RecordBatch, scorer: Scorer, limits: dict[str, tuple[float, float]]) -> dict[str, np.ndarray]:
     langs = scorer.model.langs
     text = batch.column("text")
-    got = np.concatenate([np.zeros((0, len(langs) + 1))] + [
-        scorer.sums(text.slice(i, _ROWS).to_pylist()) for i in range(0, len(text), _ROWS)])
+    parts, a = [np.zeros((0, len(langs) + 1))], 0
+    while a < len(text):
+        b = scorer.prepare(text, a)
+        parts += [scorer.sums(text.slice(i, min(_ROWS, b - i)).to_pylist()) for i in range(a, b, _ROWS)]
+        a = b
+    got = np.concatenate(parts)
     n = got[:, -1]
     entropy = -got[:, :-1] / np.maximum(n, 1)[:, None]
     best = entropy.argmin(axis=1)
@@ -279,11 +399,13 @@ def _judge(batch: pa.RecordBatch, scorer: Scorer, limits: dict[str, tuple[float,
             "accepted": known & ((least - mean) * np.sqrt(np.minimum(n, _SETTLED)) <= far)}
 
 
-def _score(model, keep: bool):
+def _score(spark: SparkSession, model: LanguageModels | BlockModels, limits: dict, keep: bool):
+    held = model if isinstance(model, BlockModels) else spark.sparkContext.broadcast(model)
+
     def run(batches):
-        scorer = Scorer(model.value[0])
+        scorer = Scorer(held if isinstance(held, BlockModels) else held.value)
         for batch in batches:
-            got = _judge(batch, scorer, model.value[1])
+            got = _judge(batch, scorer, limits)
             if keep:
                 yield batch.filter(pa.array(got["accepted"]))
                 continue
@@ -296,7 +418,7 @@ def _score(model, keep: bool):
 _SCORES = "lang_pred string, score double, cross_entropy double, symbols long, accepted boolean"
 
 
-def fit(docs: DataFrame, learn: str, order: int = ORDER, slack: float = 2.0, most: int = CALIBRATE):
+def fit(docs: DataFrame, learn: str, order: int = ORDER, slack: float = 2.0, most: int = CALIBRATE, cells: int = MODEL_CELLS):
     """(models, rejection limits) learned from the rows that meet ``learn``.
 
     The limits come from about ``most`` teaching rows, chosen by a hash of
@@ -305,13 +427,13 @@ def fit(docs: DataFrame, learn: str, order: int = ORDER, slack: float = 2.0, mos
     """
     spark = docs.sparkSession
     taught = docs.where(f"doc_id is not null and lang is not null and text is not null and ({learn})")
-    model = train(taught, order)
+    model = train(taught, order, cells)
     if model is None:
         return None
     count = taught.count()
     sample = taught.select("doc_id", "lang", "text").where(
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, most / max(count, 1))) + 1)
-    rows = sample.mapInArrow(_score(spark.sparkContext.broadcast((model, {})), False), "doc_id {}, lang string, {}".format(
+    rows = sample.mapInArrow(_score(spark, model, {}, False), "doc_id {}, lang string, {}".format(
         docs.schema["doc_id"].dataType.simpleString(), _SCORES)).where("lang = lang_pred").select("lang", "cross_entropy", "symbols")
     table = rows.toArrow().to_pandas()  # about `most` rows of three numbers
     limits = {}
@@ -322,26 +444,26 @@ def fit(docs: DataFrame, learn: str, order: int = ORDER, slack: float = 2.0, mos
     return model, limits
 
 
-def identify(docs: DataFrame, learn: str, order: int = ORDER) -> DataFrame:
+def identify(docs: DataFrame, learn: str, order: int = ORDER, cells: int = MODEL_CELLS) -> DataFrame:
     """``docs`` (doc_id, text, lang, ...) -> doc_id, held_out, lang_pred,
     score, cross_entropy, symbols, accepted; ``learn`` is an SQL condition:
     rows that teach.  accepted: it has a letter, and its cross-entropy is
     within the language's limit."""
     spark = docs.sparkSession
-    fitted = fit(docs, learn, order)
+    fitted = fit(docs, learn, order, cells=cells)
     docs = docs.select("doc_id", "text", (~F.coalesce(F.expr(learn), F.lit(True))).alias("held_out"))
     if fitted is None:
         return docs.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(None).cast("double").alias("cross_entropy"), F.lit(0).cast("long").alias("symbols"),
                            F.lit(False).alias("accepted"))
-    return docs.mapInArrow(_score(spark.sparkContext.broadcast(fitted), False), "doc_id {}, held_out boolean, {}".format(
+    return docs.mapInArrow(_score(spark, *fitted, False), "doc_id {}, held_out boolean, {}".format(
         docs.schema["doc_id"].dataType.simpleString(), _SCORES))
 
 
-def keep_identified(docs: DataFrame, learn: str = "true", order: int = ORDER) -> DataFrame:
+def keep_identified(docs: DataFrame, learn: str = "true", order: int = ORDER, cells: int = MODEL_CELLS) -> DataFrame:
     """The accepted rows of ``docs``, all columns as they are; without any
     teaching row nothing can be judged and everything stays."""
-    fitted = fit(docs, learn, order)
+    fitted = fit(docs, learn, order, cells=cells)
     if fitted is None:
         return docs
-    return docs.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(fitted), True), docs.schema)
+    return docs.mapInArrow(_score(docs.sparkSession, *fitted, True), docs.schema)

@@ -108,3 +108,27 @@ def test_probabilities_of_the_next_symbol_add_up_to_one():
         rest[-1] = unseen[0, 0]  # the one symbol kept for what was never seen
         total = np.exp(model.score(np.vstack([all_next, rest]))).sum(axis=0)
         assert np.allclose(total, 1, atol=1e-4)
+
+
+def test_a_model_in_blocks_keeps_every_n_gram(spark, monkeypatch):
+    """Every text is scored alike, whether the model is held at once or in blocks."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rare = [(8000 + i, "zyxq wvut zyxq", "rr") for i in range(3)]  # all its n-grams are rare
+    docs = docs.union(spark.createDataFrame(rare + ODD, docs.schema))
+    whole = kn.train(docs)
+    blocks = kn.train(docs, cells=20_000)
+    assert blocks.langs == whole.langs and "rr" in blocks.langs and len(blocks.blocks) > 3
+    keys = [b.value[0] for b in blocks.blocks]
+    assert max(len(k) for k in keys) * len(blocks.langs) < 1.2 * 20_000
+    assert sum(map(len, keys)) == sum(len(whole.keys[k]) + len(whole.ctx[k]) for k in whole.keys)
+    codes, _, _ = kn._codes(["zyxq", "the", "und", "qqqq", "日本", "niño", "x"], kn.ORDER)
+    assert np.allclose(blocks.score(codes), whole.score(codes), atol=1e-4)
+    monkeypatch.setattr(kn, "_CACHE", 500)
+    texts = pa.array([r.text for r in docs.collect()])
+    assert np.allclose(*(np.concatenate([s.sums(texts.slice(i, 64).to_pylist()) for i in range(0, len(texts), 64) if s.prepare(texts, i)])
+                         for s in (kn.Scorer(blocks), kn.Scorer(whole))), rtol=1e-4)
+    learn = "pmod(crc32(cast(doc_id as string)), 4) <> 2"
+    one, many = ({(r.doc_id, r.lang_pred, round(r.score, 3), r.symbols, r.accepted) for r in kn.identify(docs, learn, cells=c).collect()}
+                 for c in (kn.MODEL_CELLS, 20_000))
+    assert one == many
+    assert kn.keep_identified(docs, learn, cells=20_000).count() == kn.keep_identified(docs, learn).count()
