@@ -7,7 +7,7 @@ and back-off weights follow from the distinct n-grams of the highest order.
 The models live in sorted 64-bit hash arrays, one per order, with one column
 of log-probabilities per language; a lookup is a binary search for the whole
 batch.  The language with the lowest cross-entropy per symbol wins.  The
-training documents' own cross-entropies calibrate a rejection limit per
+cross-entropies of all training documents calibrate a rejection limit per
 language.
 
 Scale: the only shuffles are pre-aggregated word and n-gram counts; scoring is
@@ -22,8 +22,9 @@ number of blocks.
 Defined results: a null text and one without a letter are ``und`` with score
 0 and are rejected; without any learnable row every document is ``und``; ties
 go to the language first in alphabetical order; rows are neither dropped nor
-merged; rows whose id is null teach nothing and are not held out; other
-columns are ignored (``keep_identified``: passed through).
+merged; rows whose id is null teach nothing and are not held out; a language
+whose teaching rows are all taken for others has no limit; other columns are
+ignored (``keep_identified``: passed through).
 """
 
 from __future__ import annotations
@@ -44,8 +45,6 @@ ORDER = 5
 MODEL_CELLS = 1 << 23
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _START, _END = "\x02", "\x03"
-#: Teaching rows (about) that calibrate the rejection limits.
-CALIBRATE = 20_000
 #: Symbols from which a text's cross-entropy no longer gets steadier (its subject differs, not its luck).
 _SETTLED = 400
 _CACHE = 200_000
@@ -377,7 +376,7 @@ class Scorer:
         return out
 
 
-def _judge(batch: pa.RecordBatch, scorer: Scorer, limits: dict[str, tuple[float, float]]) -> dict[str, np.ndarray]:
+def _judge(batch: pa.RecordBatch, scorer: Scorer) -> dict[str, np.ndarray]:
     langs = scorer.model.langs
     text = batch.column("text")
     parts, a = [np.zeros((0, len(langs) + 1))], 0
@@ -392,56 +391,58 @@ def _judge(batch: pa.RecordBatch, scorer: Scorer, limits: dict[str, tuple[float,
     least = entropy[np.arange(len(n)), best]
     chance = 1 / np.exp((least[:, None] - entropy) * np.minimum(n, 60)[:, None]).sum(axis=1)
     known = n > 0
-    mean = np.array([limits.get(x, (0, np.inf))[0] for x in langs])[best]
-    far = np.array([limits.get(x, (0, np.inf))[1] for x in langs])[best]
     return {"lang_pred": np.where(known, np.array(langs, dtype=object)[best], "und"), "score": np.where(known, chance, 0.0),
-            "cross_entropy": np.where(known, least, np.nan), "symbols": n.astype(np.int64),
-            "accepted": known & ((least - mean) * np.sqrt(np.minimum(n, _SETTLED)) <= far)}
+            "cross_entropy": np.where(known, least, np.nan), "symbols": n.astype(np.int64)}
 
 
-def _score(spark: SparkSession, model: LanguageModels | BlockModels, limits: dict, keep: bool):
-    held = model if isinstance(model, BlockModels) else spark.sparkContext.broadcast(model)
+def _scorer(spark: SparkSession, model: LanguageModels | BlockModels):
+    """Makes, in a task, a scorer of ``model``."""
+    if isinstance(model, BlockModels):
+        return lambda: Scorer(model)
+    held = spark.sparkContext.broadcast(model)
+    return lambda: Scorer(held.value)
 
+
+def _score(make):
     def run(batches):
-        scorer = Scorer(held if isinstance(held, BlockModels) else held.value)
+        scorer = make()
         for batch in batches:
-            got = _judge(batch, scorer, limits)
-            if keep:
-                yield batch.filter(pa.array(got["accepted"]))
-                continue
             out = {f: batch.column(f) for f in batch.schema.names if f != "text"}
-            out |= {k: pa.array(v, from_pandas=k == "cross_entropy") for k, v in got.items()}
+            out |= {k: pa.array(v, from_pandas=k == "cross_entropy") for k, v in _judge(batch, scorer).items()}
             yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
     return run
 
 
-_SCORES = "lang_pred string, score double, cross_entropy double, symbols long, accepted boolean"
+def _keep(make, limits: dict[str, tuple[float, float]]):
+    def run(batches):
+        scorer = make()
+        for batch in batches:
+            got = _judge(batch, scorer)
+            mean, far = (np.array([limits.get(x, (0, np.inf))[i] for x in got["lang_pred"]], dtype=float) for i in (0, 1))
+            z = (got["cross_entropy"] - mean) * np.sqrt(np.minimum(got["symbols"], _SETTLED))
+            yield batch.filter(pa.array((got["symbols"] > 0) & (z <= far)))
+    return run
 
 
-def fit(docs: DataFrame, learn: str, order: int = ORDER, slack: float = 2.0, most: int = CALIBRATE, cells: int = MODEL_CELLS):
-    """(models, rejection limits) learned from the rows that meet ``learn``.
+_SCORES = "lang_pred string, score double, cross_entropy double, symbols long"
+#: Deviation from a language's mean, scaled by length so that short texts may deviate more.
+_DEVIATION = f"(cross_entropy - mean) * sqrt(least(symbols, {_SETTLED}))"
 
-    The limits come from about ``most`` teaching rows, chosen by a hash of
-    their id: mean cross-entropy of a language and ``slack`` times the 99.9 %
-    deviation from it, scaled by length so that short texts may deviate more.
-    """
-    spark = docs.sparkSession
-    taught = docs.where(f"doc_id is not null and lang is not null and text is not null and ({learn})")
-    model = train(taught, order, cells)
-    if model is None:
-        return None
-    count = taught.count()
-    sample = taught.select("doc_id", "lang", "text").where(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, most / max(count, 1))) + 1)
-    rows = sample.mapInArrow(_score(spark, model, {}, False), "doc_id {}, lang string, {}".format(
-        docs.schema["doc_id"].dataType.simpleString(), _SCORES)).where("lang = lang_pred").select("lang", "cross_entropy", "symbols")
-    table = rows.toArrow().to_pandas()  # about `most` rows of three numbers
-    limits = {}
-    for lang, part in table.groupby("lang"):
-        mean = part.cross_entropy.mean()
-        z = (part.cross_entropy - mean) * np.sqrt(np.minimum(part.symbols, _SETTLED))
-        limits[lang] = (float(mean), slack * max(float(z.quantile(0.999)), 1.0))
-    return model, limits
+
+def _taught(learn: str) -> str:
+    return f"doc_id is not null and lang is not null and text is not null and ({learn})"
+
+
+def limits_of(scores: DataFrame, slack: float = 2.0) -> DataFrame:
+    """Rejection limits (lang, mean, far), a row per language, from the scores
+    (lang, lang_pred, cross_entropy, symbols) of all teaching rows: mean
+    cross-entropy and ``slack`` times the deviation that 99.9 % of the rows
+    don't exceed (its rank is right to 1/100,000 of the rows)."""
+    own = scores.where("lang = lang_pred and symbols > 0")
+    mean = own.groupBy("lang").agg(F.avg("cross_entropy").alias("mean"))
+    far = (own.join(F.broadcast(mean), "lang").groupBy("lang", "mean")
+           .agg(F.percentile_approx(F.expr(_DEVIATION), 0.999, 100_000).alias("z")))
+    return far.select("lang", "mean", (slack * F.greatest("z", F.lit(1.0))).alias("far"))
 
 
 def identify(docs: DataFrame, learn: str, order: int = ORDER, cells: int = MODEL_CELLS) -> DataFrame:
@@ -450,20 +451,31 @@ def identify(docs: DataFrame, learn: str, order: int = ORDER, cells: int = MODEL
     rows that teach.  accepted: it has a letter, and its cross-entropy is
     within the language's limit."""
     spark = docs.sparkSession
-    fitted = fit(docs, learn, order, cells=cells)
-    docs = docs.select("doc_id", "text", (~F.coalesce(F.expr(learn), F.lit(True))).alias("held_out"))
-    if fitted is None:
+    model = train(docs.where(_taught(learn)), order, cells)
+    docs = docs.select("doc_id", "text", "lang", F.coalesce(F.expr(_taught(learn)), F.lit(False)).alias("taught"),
+                       (~F.coalesce(F.expr(learn), F.lit(True))).alias("held_out"))
+    if model is None:
         return docs.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(None).cast("double").alias("cross_entropy"), F.lit(0).cast("long").alias("symbols"),
                            F.lit(False).alias("accepted"))
-    return docs.mapInArrow(_score(spark, *fitted, False), "doc_id {}, held_out boolean, {}".format(
-        docs.schema["doc_id"].dataType.simpleString(), _SCORES))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    scores = written(spark, docs.mapInArrow(
+        _score(_scorer(spark, model)), f"doc_id {kind}, lang string, taught boolean, held_out boolean, {_SCORES}"), "language-scores")
+    limits = limits_of(scores.where("taught")).withColumnRenamed("lang", "of")
+    return scores.join(F.broadcast(limits), F.col("lang_pred") == F.col("of"), "left").select(
+        "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "symbols",
+        F.expr(f"symbols > 0 and coalesce({_DEVIATION} <= far, true)").alias("accepted"))
 
 
 def keep_identified(docs: DataFrame, learn: str = "true", order: int = ORDER, cells: int = MODEL_CELLS) -> DataFrame:
     """The accepted rows of ``docs``, all columns as they are; without any
     teaching row nothing can be judged and everything stays."""
-    fitted = fit(docs, learn, order, cells=cells)
-    if fitted is None:
+    spark = docs.sparkSession
+    taught = docs.where(_taught(learn)).select("lang", "text")
+    model = train(taught, order, cells)
+    if model is None:
         return docs
-    return docs.mapInArrow(_score(docs.sparkSession, *fitted, True), docs.schema)
+    make = _scorer(spark, model)
+    scores = written(spark, taught.mapInArrow(_score(make), f"lang string, {_SCORES}"), "language-scores")
+    limits = {r.lang: (r.mean, r.far) for r in limits_of(scores).collect()}  # a row per language
+    return docs.mapInArrow(_keep(make, limits), docs.schema)

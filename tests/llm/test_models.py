@@ -132,3 +132,22 @@ def test_a_model_in_blocks_keeps_every_n_gram(spark, monkeypatch):
                  for c in (kn.MODEL_CELLS, 20_000))
     assert one == many
     assert kn.keep_identified(docs, learn, cells=20_000).count() == kn.keep_identified(docs, learn).count()
+
+
+def test_language_limits_come_from_all_teaching_rows(spark):
+    """One row in 25,000 teaches a language; most of them are one text."""
+    real = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'es'").select("doc_id", "text", "lang")
+    many = spark.range(100_000, 125_000).selectExpr("id as doc_id", "'the of and to in is that it was for' as text", "'en' as lang")
+    docs = real.limit(12).union(many)
+    scores = [r for r in kn.identify(docs, "true").where("doc_id < 100000").collect() if r.lang_pred == "es"]
+    assert len(scores) > 8
+    mean = np.mean([r.cross_entropy for r in scores])
+    far = 2 * max(1, max((r.cross_entropy - mean) * min(r.symbols, 400) ** 0.5 for r in scores))
+    table = spark.createDataFrame([("es", "es", r.cross_entropy, r.symbols) for r in scores] + [("en", "es", 99.0, 400), ("es", "und", None, 0)],
+                                  "lang string, lang_pred string, cross_entropy double, symbols long")
+    got = kn.limits_of(table).collect()
+    assert [r.lang for r in got] == ["es"] and np.allclose((got[0].mean, got[0].far), (mean, far))
+    assert all(r.accepted for r in scores)  # every teaching row lies within its own limit
+    ids = {r.doc_id for r in scores}
+    kept = {r.doc_id for r in kn.keep_identified(docs, "true").where("doc_id < 100000").collect()}
+    assert ids <= kept
