@@ -271,6 +271,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, per: int = 20, size: in
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256,
     contaminated (hit words are at least one in ``per``), longest match in
     words and the word at which it begins."""
+    rows = _judged(docs, benchmark, per, size, block_bytes)
+    if "row_key" not in rows.columns:
+        return rows
+    return (rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            .select(F.col("row_key.doc_id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+                    "longest", "longest_at"))
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, per: int, size: int, block_bytes: int) -> DataFrame:
+    """Rows of ``contamination``; for several blocks a row per row_key (id and
+    hashes of the text) with its number of copies."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     marks = None
     for i, (count, block) in enumerate(_blocks(benchmark, size, block_bytes)):
@@ -291,20 +302,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, per: int = 20, size: in
                                          F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), best.alias("best"),
                                          F.sum("copies").alias("copies"))
             .withColumn("n_hit", merged.n)
-            .select(F.col("row_key.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+            .select("row_key", "copies", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                     F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
                     ((F.col("n_hit") > 0) & (per * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
                     F.col("best.longest").alias("longest"),
-                    F.when(F.col("best.longest") > 0, -F.col("best.at")).alias("longest_at"),
-                    F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy"))
+                    F.when(F.col("best.longest") > 0, -F.col("best.at")).alias("longest_at")))
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, per: int = 20, size: int = WINDOW,
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, all columns as they are."""
+    """The rows of ``docs`` that are not contaminated, all columns as they are.
+    Every row is judged by its own text, whatever its id."""
     first = next(_blocks(benchmark, size, block_bytes))
     if first[0] == 1:
         return docs.mapInArrow(_keep_clean(first[1], per), docs.schema)
-    bad = (contamination(docs, benchmark, per, size, block_bytes).where("contaminated").select("doc_id").distinct()
-           .withColumnRenamed("doc_id", "bad_id"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    bad = (_judged(docs, benchmark, per, size, block_bytes).where("contaminated")
+           .select(F.col("row_key.doc_id").alias("bad_id"), F.col("row_key.x").alias("bad_x"), F.col("row_key.y").alias("bad_y")))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_x"])
+                     & F.crc32(docs["text"]).eqNullSafe(bad["bad_y"]), "left_anti")

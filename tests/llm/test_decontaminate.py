@@ -85,3 +85,15 @@ def test_empty_tables(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in dc.contamination(docs, items).collect()] == [False]
     assert dc.contamination(docs.limit(0), items).count() == 0
+
+
+@pytest.mark.parametrize("block", [dc.BLOCK_BYTES, 200])
+def test_remove_judges_every_row_by_its_own_text(spark, block):
+    """Rows without an id and rows that repeat one, in one block and in several."""
+    items = [(i, " ".join(f"b{i}_{j}" for j in range(15))) for i in range(8)]
+    dirty = [(None, items[0][1]), (None, items[0][1]), (7, items[1][1] + " x"), (8, items[2][1])]
+    clean = [(None, "one two"), (None, "one two"), (None, None), (7, "three"), (7, "three"), (9, "")]
+    d = spark.createDataFrame([(i, t, "n") for i, t in dirty + clean], "doc_id long, text string, row_key string").repartition(3)
+    kept = dc.remove(d, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block)
+    assert kept.columns == d.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)
