@@ -2,7 +2,7 @@
 
 A small tree builder (implied ends of p, li, dt, dd, option, table parts; void
 elements; stray end tags) turns a page into nested elements, visibility rules
-drop what a reader doesn't see, and a renderer emits all visible text: blocks
+drop what a reader doesn't see (of a drawing: all but its text), and a renderer emits all visible text: blocks
 on lines of their own with blank lines around paragraphs, list items with
 bullets or numbers, table cells in aligned columns, preformatted text as is.
 
@@ -25,9 +25,18 @@ from pyspark.sql import DataFrame
 
 # Elements by behaviour, from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe noframes xmp svg math".split())
-HIDDEN = frozenset("head script style template noscript iframe noframes object audio video canvas svg math datalist dialog area "
-                   "param source track select".split())
+RAW = frozenset("script style title textarea noscript template iframe noframes xmp".split())
+HIDDEN = frozenset("head script style template noscript iframe noframes object audio video canvas datalist area param source "
+                   "track select".split())
+# Of svg and math: elements whose content is HTML again, HTML elements that end a drawing or formula left open,
+# elements whose parts stand apart, and elements that are never shown.
+FOREIGN = frozenset(["svg", "math"])
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+                     "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+APART = frozenset("mfrac mtable mtr".split())
+UNDRAWN = frozenset("title desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient filter".split())
+UNSET = frozenset("annotation annotation-xml mphantom".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
                   "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table "
                   "tbody td tfoot th thead title tr ul caption".split())
@@ -71,12 +80,19 @@ def build(page: str) -> Node:
     """The tree of a page; children are nodes and strings."""
     root = Node("#root", {})
     stack = [root]
+    foreign = [False]  # of the open elements: the content isn't HTML
     held = {}  # open elements by name, so that a stray end tag costs nothing
 
     def close(depth: int) -> None:
         for node in stack[depth:]:
             held[node.name] -= 1
-        del stack[depth:]
+        del stack[depth:], foreign[depth:]
+
+    def break_out() -> None:
+        depth = len(stack)
+        while foreign[depth - 1]:
+            depth -= 1
+        close(depth)
 
     def find(names, walls) -> int:
         if not any(held.get(n) for n in names):
@@ -103,6 +119,8 @@ def build(page: str) -> Node:
                 stack[-1].children.append(m[0][9:].removesuffix("]]>"))
             continue
         name = m[2].lower()
+        if foreign[-1] and (name in ("p", "br") if m[1] else name in BREAKOUT):
+            break_out()
         if m[1]:
             if name in held and held[name] > 0:
                 walls = frozenset() if name in ("table", "body", "html") else frozenset(["table"]) if name not in (
@@ -126,7 +144,8 @@ def build(page: str) -> Node:
                 close(depth)
         node = Node(name, _attributes(m[3]))
         stack[-1].children.append(node)
-        if name in VOID:
+        strange = foreign[-1] or name in FOREIGN
+        if name in VOID or (strange and m[3].rstrip().endswith("/")):
             continue
         if name in RAW:
             if low is None:
@@ -142,17 +161,26 @@ def build(page: str) -> Node:
         if m[3].rstrip().endswith("/") and name not in BLOCK:
             continue
         stack.append(node)
+        foreign.append(strange and name not in INTEGRATION)
         held[name] = held.get(name, 0) + 1
     return root
 
 
 def visible(node: Node) -> bool:
     a = node.attributes
-    if node.name in HIDDEN or not a:
-        return node.name not in HIDDEN
+    if node.name in HIDDEN or node.name in UNSET or (node.name == "dialog" and "open" not in a):
+        return False
+    if not a:
+        return True
     return not ("hidden" in a or (node.name == "input" and a.get("type", "").lower() == "hidden") or _UNSEEN.search(a.get("style", "")))
 
 
+def drawn(node: Node) -> bool:
+    """Whether an element of a drawing is shown."""
+    a = node.attributes
+    return node.name not in UNDRAWN and a.get("display") != "none" and a.get("visibility") not in ("hidden", "collapse")
+
+
 class _Page:
     """Lines of text with pending spacing: 0 none, 1 new line, 2 blank line."""
 
@@ -233,9 +261,22 @@ def render(root: Node) -> tuple[str, int, int]:
         what, x = steps.pop()
         if what == "text":
             page.inline(x, pre > 0)
-        elif what == "node":
+        elif what != "end":
             name = x.name
-            if not visible(x):
+            if not visible(x) or (what != "node" and not drawn(x)):
+                continue
+            if name == "svg" or what != "node":  # of a drawing: its labels, apart from what is beside
+                kind = "node" if name == "foreignobject" else "label" if what == "label" or name == "text" else "drawn"
+                if what != "label":
+                    page.inline(" ")
+                    steps.append(("text", " "))
+                steps.extend(("text" if isinstance(c, str) else kind, c) for c in reversed(x.children)
+                             if kind != "drawn" or not isinstance(c, str))
+                continue
+            if name in APART:
+                steps.append(("text", " "))
+                for c in reversed(x.children):
+                    steps += [("text" if isinstance(c, str) else "node", c), ("text", " ")]
                 continue
             if name == "br":
                 if page.line or page.gap == 0:

@@ -74,3 +74,16 @@ def test_html_table(spark):
     got = extract(pages)
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got.collect()) == [(0, "", 0), (1, "a", 1), (1, "a", 1)]
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_html_drawings_formulas_and_dialogs():
+    assert page_text('<p>a <svg width=1 /> b</p><p>c<math/>d</p>')[0] == "a b\n\ncd"
+    assert page_text('<svg><g><svg><path d=""/></svg><text>in</text></g><rect/></svg>out')[0] == "in out"
+    assert page_text('<svg><title>tip</title><style/><desc>no</desc><defs><text>no</text></defs>stray<text x=1>La<tspan>bel</tspan>'
+                     '<title>tip</title></text><text>two</text><text display="none">no</text></svg> end')[0] == "Label two end"
+    assert page_text('<svg><foreignObject><p>one</p><p>two</p></foreignObject></svg>')[0] == "one\n\ntwo"
+    assert page_text('<p>So <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math>.')[0] == "So x= 1 2 ."
+    assert page_text('<div><svg><path><p>seen</div>more')[0] == "seen\n\nmore"  # a drawing left open
+    assert page_text('<svg><text>a<!-- </svg> -->b</text></svg>')[0] == "ab"
+    assert page_text('<dialog>no</dialog><dialog open>yes</dialog>')[0] == "yes"
+    assert page_text("<svg>" * 20000 + "<text>x" + "</svg>" * 20000 + "y")[0] == "x y"
