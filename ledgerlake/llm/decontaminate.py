@@ -1,10 +1,13 @@
 """Benchmark decontamination by suffix arrays of the training text.
 
 Every run of training documents (a few MB) gets a suffix array over its words:
-the places where a benchmark window can begin, sorted by the words that
-follow.  All benchmark windows are then located by binary search; the words
-inside an occurrence are hit, neighbouring occurrences on one diagonal give
-the longest verbatim match and its place.
+the places whose first words (four, by hash; fewer for shorter windows) begin
+some benchmark window, sorted by the 13 words that follow and no further.  All
+benchmark windows are then located by binary search; the words inside an
+occurrence are hit, neighbouring occurrences on one diagonal give the longest
+verbatim match and its place.  Only whole windows are searched: a verbatim
+match of fewer than 13 words of a longer item has no window, so ``longest`` is
+0 and ``longest_at`` null where a document has nothing else.
 
 Scale: documents are read once and nothing of them is shuffled.  The benchmark
 is the stated query set; it is broadcast in blocks of at most ``BLOCK_BYTES``
