@@ -66,7 +66,9 @@ def reply_pairs(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Preference pairs within conversations (conv_id, turn, role, text): the
     chosen side ends with the last reply of the assistant; the rejected side
     has in its place the assistant's reply before (a stale answer), or without
-    one the user's own words."""
+    one the user's own words.  Rows with a null turn belong to neither side, a
+    conversation without an assistant's turn has no pair, and turns after the
+    last reply are left out."""
     turns = conversations.select(F.col("conv_id").alias("pair_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     turns = turns.where("pair_id is not null and turn is not null")
     ends = (turns.groupBy("pair_id").agg(F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("last"))
