@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (chat_format, decontaminate, embed_dedup, html_render, kd_shards, lang_kn, ngram_join, packing,
-                            quality_gbt, url_templates)
+                            quality_gbt, suffix_dedup, url_templates)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,9 +80,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_kn.identify(table(spark, sf_dir, "documents"), LANGUAGE_LEARN)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the 400-byte strings that occur twice."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400, keep_first=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_format, op2_ngram_jaccard, op3_embedding_near_dedup, op4_kd_shards, op5_quality_classifier,
-                            op6_decontamination, op7_best_fit_packing, op8_url_templates, op9_html_text, op10_language_id)
+                            op6_decontamination, op7_best_fit_packing, op8_url_templates, op9_html_text, op10_language_id, op13_suffix_dedup)
 }
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -171,9 +177,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM split LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN best USING (doc_id)
 """.replace("LOWERED", _LOWER.format("coalesce(text, '')"))
 
+_REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT *, length(h) // 2 AS n FROM d),
+blocks AS (SELECT r, k, substr(h, 2 * k + 1, 1200) AS h FROM (SELECT r, h, unnest(range(0, n - 399, 200)) AS k FROM sized)),
+starts AS (SELECT r, k + p AS p, md5(substr(h, 2 * p + 1, 800)) AS m
+           FROM (SELECT *, unnest(range(0, least(200, length(h) // 2 - 399))) AS p FROM blocks)),
+hits AS (SELECT r, p FROM starts WHERE m IN (SELECT m FROM starts GROUP BY m HAVING count(*) > 1)),
+marked AS (SELECT r, p, CASE WHEN p - lag(p) OVER w <= 400 THEN 0 ELSE 1 END AS new FROM hits WINDOW w AS (PARTITION BY r ORDER BY p)),
+runs AS (SELECT r, min(p) AS a, max(p) + 400 AS b FROM
+           (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS run FROM marked) GROUP BY r, run),
+ends AS (SELECT r, a, b FROM runs UNION ALL SELECT r, n, n FROM sized),
+gaps AS (SELECT r, a, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a, b), 0) AS since FROM ends),
+kept AS (SELECT r, string_agg(substr(h, CAST(2 * since + 1 AS BIGINT), CAST(2 * (a - since) AS BIGINT)), '' ORDER BY a, since) AS h
+         FROM gaps JOIN d USING (r) GROUP BY r),
+removed AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM sized JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_chat_format": _CHAT,
     "op2_ngram_jaccard": _JACCARD,
     "op3_embedding_near_dedup": _COSINE,
     "op6_decontamination": _WINDOWS,
+    "op13_suffix_dedup": _REPEATS,
 }
