@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (chat_format, decontaminate, embed_dedup, html_render, kd_shards, lang_kn, ngram_join, packing,
-                            quality_gbt, suffix_dedup, url_templates)
+from ledgerlake.llm import (chat_format, collocations, decontaminate, embed_dedup, html_render, importance, kd_shards, lang_kn,
+                            ngram_join, packing, quality_gbt, suffix_dedup, url_templates)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_kn.identify(table(spark, sf_dir, "documents"), LANGUAGE_LEARN)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document by its likeness to the benchmark, and the tenth that is drawn."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), longest=1, buckets=10000,
+                               share=(10, 100), min_words=20, seed="2024").select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of 2 to 5 words of each language whose words occur together most."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), longest=5, least=100, top=2000)
+
+
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without the 400-byte strings that occur twice."""
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400, keep_first=False)
@@ -88,7 +99,8 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_format, op2_ngram_jaccard, op3_embedding_near_dedup, op4_kd_shards, op5_quality_classifier,
-                            op6_decontamination, op7_best_fit_packing, op8_url_templates, op9_html_text, op10_language_id, op13_suffix_dedup)
+                            op6_decontamination, op7_best_fit_packing, op8_url_templates, op9_html_text, op10_language_id, op11_importance_resampling,
+                            op12_phrase_collocations, op13_suffix_dedup)
 }
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -177,6 +189,57 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM split LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN best USING (doc_id)
 """.replace("LOWERED", _LOWER.format("coalesce(text, '')"))
 
+_IMPORTANCE = r"""
+WITH RECURSIVE steps(i, k, c) AS (
+    SELECT i, 0, CAST(i AS BIGINT) FROM range(256) r(i) UNION ALL
+    SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+texts AS (SELECT 'd' AS side, row_number() OVER () AS r, text FROM documents UNION ALL
+          SELECT 'b', row_number() OVER (), text FROM benchmark),
+words AS (SELECT side, r, unnest(regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM texts),
+vocabulary AS (SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM words)),
+codes AS (SELECT w, list_transform(range(0, length(h) // 2), lambda i: CAST(
+              16 * (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) + instr('0123456789ABCDEF', h[2 * i + 2]) - 1 AS BIGINT)) AS b FROM vocabulary),
+buckets AS (SELECT w, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b),
+                lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM codes, crc),
+found AS (SELECT side, r, bucket FROM words JOIN buckets USING (w)),
+sums AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM found GROUP BY bucket),
+whole AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM sums),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (CAST(s_all AS DOUBLE) + 10000)
+              / ((CAST(s AS DOUBLE) + 1) * (CAST(t_all AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM sums, whole),
+weights AS (SELECT r, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+            FROM found JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+scored AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+               (CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+           FROM (SELECT doc_id, row_number() OVER () AS r FROM documents) LEFT JOIN weights USING (r)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                  10 * count(*) FILTER (n_features >= 20) OVER () // 100 AS draw FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= draw THEN place END AS rank FROM placed
+""".replace("LOWERED", _LOWER.format("coalesce(text, '')"))
+
+_PHRASES = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(LOWERED, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+grams AS (SELECT lang, w[i:i + k - 1] AS g FROM places, range(1, 6) sizes(k) WHERE i + k - 1 <= len(w)),
+counts AS (SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE len(g) = 1 GROUP BY lang),
+candidates AS (SELECT lang, g, f AS a FROM counts WHERE len(g) > 1 AND f >= 100),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM candidates),
+scores AS (SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r, n,
+                  CAST((1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+           FROM cuts c JOIN sizes USING (lang) JOIN counts x ON x.lang = c.lang AND x.g = c.g[1:k]
+           JOIN counts y ON y.lang = c.lang AND y.g = c.g[k + 1:len(c.g)]),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, g[i:j] AS g, max(a) AS longer
+                FROM (SELECT lang, g, a, i, unnest(range(i + 1, len(g) + 1)) AS j FROM (SELECT *, unnest(range(1, len(g))) AS i FROM candidates))
+                WHERE j - i + 1 < len(g) GROUP BY ALL),
+kept AS (SELECT o.*, array_to_string(o.g, ' ') AS phrase FROM lowest o LEFT JOIN inner_parts p ON p.lang = o.lang AND p.g = o.g
+         WHERE NOT coalesce(100 * longer >= 100 * a, false))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+""".replace("LOWERED", _LOWER.format("coalesce(text, '')"))
+
 _REPEATS = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 sized AS (SELECT *, length(h) // 2 AS n FROM d),
@@ -202,5 +265,7 @@ ORACLE: dict[str, str] = {
     "op2_ngram_jaccard": _JACCARD,
     "op3_embedding_near_dedup": _COSINE,
     "op6_decontamination": _WINDOWS,
+    "op11_importance_resampling": _IMPORTANCE,
+    "op12_phrase_collocations": _PHRASES,
     "op13_suffix_dedup": _REPEATS,
 }
