@@ -21,7 +21,7 @@ Scale.  Only hashes are shuffled for all documents: a count per anchor gram
 leaves out grams that occur once.  Text moves twice: documents with a stretch
 in a group of several classes, then documents with something to remove, both
 chosen by a filter of fixed size; all others stay where they are.  Groups are
-packed into suffix arrays of a few MB.  A gram with more than ``GROUP_MOST``
+packed into suffix arrays of half a MB.  A gram with more than ``GROUP_MOST``
 classes is split by the place of the gram in the string and, with it, by more
 bytes around the gram, until one start is left, where a group has one class.
 
@@ -52,8 +52,10 @@ from ledgerlake.llm.components import join_classes, written
 LENGTH = 400
 GRAM = 64
 #: Classes of one group that are sorted together; larger groups are split.
-GROUP_MOST = 4096
-_RUN_BYTES = 4 << 20
+GROUP_MOST = 2048
+_RUN_BYTES = 1 << 20
+#: Text of one suffix array, but for a single larger group.
+_SORT_BYTES = 1 << 19
 _PLACE = np.uint64((1 << 23) - 1)  # a run and one string have fewer bytes than that
 
 _bytes = np.arange(1, 257, dtype=np.uint64)
@@ -292,7 +294,7 @@ def _matches(length: int):
         for batch in batches:
             held.append(batch)
             size += batch.column("bytes").nbytes
-            if size < _RUN_BYTES:
+            if size < _SORT_BYTES:
                 continue
             table = pa.Table.from_batches(held)
             core = table.column("core").to_numpy()
@@ -313,7 +315,7 @@ def _matches(length: int):
         off = vt.text_buffer(table.column("bytes"))[1]
         a = 0
         while a < table.num_rows:
-            fit = ends[(ends > a) & (off[ends] - off[a] <= _RUN_BYTES)]
+            fit = ends[(ends > a) & (off[ends] - off[a] <= _SORT_BYTES)]
             b = int(fit[-1]) if len(fit) else int(ends[ends > a][0])
             yield solve(table.slice(a, b - a).combine_chunks())
             a = b
