@@ -239,49 +239,36 @@ worked AS (
            sum({amount}) FILTER (operation = 'Cash Withdrawal') AS cash_out
     FROM {txn} WHERE operation <> '' AND account_id IS NOT NULL GROUP BY ALL),
 figures AS (
-    SELECT account_id, balance, n * times AS rows_joined,
+    SELECT account_id, balance, n * times AS entries_in, n * times AS entries_out,
            CAST(ROUND(CAST(COALESCE(cash_in, 0) AS DECIMAL(24,6)) * {_TIMES.format('times')}, 2) AS DOUBLE) AS paid_in,
            CAST(ROUND(CAST(COALESCE(cash_out, 0) AS DECIMAL(24,6)) * {_TIMES.format('times')}, 2) AS DOUBLE) AS paid_out
     FROM worked JOIN tied USING (account_id))"""
-    return per_account, """
+    return per_account
+
+
+# Every client with its accounts and what ``figures`` says of them.
+_OF_CLIENTS = """
 SELECT c.client_id, c.sex, c.age, c.phone, c.email, c.address_1, c.city, c.state, c.zipcode, d.type,
        a.account_id, a.frequency, CAST(a.parseddate AS DATE) AS parseddate,
-       f.rows_joined AS total_in_cash_transaction, f.rows_joined AS total_withdrawal_transaction,
+       f.entries_in AS total_in_cash_transaction, f.entries_out AS total_withdrawal_transaction,
        f.paid_in AS total_in_cash_credit, f.paid_out AS total_withdrawal_credit, f.balance
 FROM bclient c LEFT JOIN (bdisposition d LEFT JOIN (baccount a LEFT JOIN figures f USING (account_id))
                           ON a.account_id = d.account_id) ON d.client_id = c.client_id"""
-
-
-_ctes, _body = _master_sql("btxn")
-ORACLE["customer_master"] = with_binding(_body, _ctes)
-
-ORACLE["customer_master_exact"] = with_binding("""
-SELECT cus.client_id, cus.sex, cus.age, cus.phone, cus.email, cus.address_1, cus.city, cus.state,
-       cus.zipcode, dpst.type, acc.account_id, acc.frequency,
-       CAST(acc.parseddate AS DATE) AS parseddate,
-       per.total_in_cash_transaction, per.total_withdrawal_transaction,
-       per.total_in_cash_credit, per.total_withdrawal_credit, per.balance
-FROM bclient cus
-LEFT JOIN bdisposition dpst ON cus.client_id = dpst.client_id
-LEFT JOIN baccount acc ON dpst.account_id = acc.account_id
-LEFT JOIN (SELECT totals.*, lb.balance FROM totals LEFT JOIN lb ON totals.account_id = lb.account_id) per
-       ON acc.account_id = per.account_id
-""", """totals AS (
-    SELECT account_id,
-           COUNT(*) FILTER (WHERE operation = 'Credit in Cash') AS total_in_cash_transaction,
-           COUNT(*) FILTER (WHERE operation = 'Cash Withdrawal') AS total_withdrawal_transaction,
-           CAST(ROUND(COALESCE(SUM(CASE WHEN operation = 'Credit in Cash'
-                THEN CAST(CAST(amount AS VARCHAR) AS DECIMAL(30,6)) END), 0), 2) AS DOUBLE) AS total_in_cash_credit,
-           CAST(ROUND(COALESCE(SUM(CASE WHEN operation = 'Cash Withdrawal'
-                THEN CAST(CAST(amount AS VARCHAR) AS DECIMAL(30,6)) END), 0), 2) AS DOUBLE) AS total_withdrawal_credit
-    FROM btxn WHERE account_id IS NOT NULL GROUP BY account_id),
-lb AS (
-    SELECT account_id, balance FROM (
-        SELECT account_id, balance,
-               row_number() OVER (PARTITION BY account_id ORDER BY fulldatewithtime DESC,
-                   trans_id DESC NULLS LAST, amount DESC NULLS LAST, balance DESC NULLS LAST) AS rn
-        FROM btxn WHERE account_id IS NOT NULL AND fulldatewithtime IS NOT NULL)
-    WHERE rn = 1)""")
+ORACLE["customer_master"] = with_binding(_OF_CLIENTS, _master_sql("btxn"))
+
+# One balance an account: of the row that sorts last by time, number, amount and balance.
+_KINDS = {"in": "Credit in Cash", "out": "Cash Withdrawal"}
+ORACLE["customer_master_exact"] = with_binding(_OF_CLIENTS, f"""
+last_balance AS (
+    SELECT DISTINCT ON (account_id) account_id, balance FROM btxn
+    WHERE account_id IS NOT NULL AND fulldatewithtime IS NOT NULL
+    ORDER BY account_id, fulldatewithtime DESC, trans_id DESC NULLS LAST, amount DESC NULLS LAST, balance DESC NULLS LAST),
+figures AS (
+    SELECT account_id, last_balance.balance AS balance, """ + ", ".join(
+    f"count(*) FILTER (operation = '{kind}') AS entries_{k}, "
+    f"CAST(ROUND(COALESCE(sum({MONEY.format('amount')}) FILTER (operation = '{kind}'), 0), 2) AS DOUBLE) AS paid_{k}"
+    for k, kind in _KINDS.items()) + """
+    FROM btxn LEFT JOIN last_balance USING (account_id) WHERE account_id IS NOT NULL GROUP BY account_id, last_balance.balance)""")
 
 
 def _summary_sql(txn_where: str, loan_where: str, per: str, holders: str, pdate: str, txn: str = "btxn") -> str:
@@ -324,8 +311,9 @@ oddtxn AS (
   SELECT * REPLACE (-trans_id AS trans_id, CAST(year - 1 AS INTEGER) AS year, CAST(12 AS INTEGER) AS month) FROM btxn WHERE trans_id % 10 = 2
   UNION ALL BY NAME
   SELECT * REPLACE (-trans_id AS trans_id, CAST(2 AS INTEGER) AS month, CAST(31 AS INTEGER) AS day) FROM btxn WHERE trans_id % 10 = 3)"""
-_ctes, _body = _master_sql("oddtxn")
-ORACLE["customer_master_published"] = with_binding(_body, _ODD + ",\n" + _ctes)
+ORACLE["customer_master_published"] = with_binding(_OF_CLIENTS, _ODD + ",\n" + _master_sql("oddtxn"))
+ORACLE["publish_evolving_pruned"] = with_binding(f"""
+SELECT trans_id, account_id, fulldate, amount, year, month FROM oddtxn WHERE fulldate >= {START}""", _ODD)
 ORACLE["customer_summary_published"] = with_binding(_summary_sql(*_FROM_START, txn="oddtxn"), _ODD)
 
 _ITEMS = """SELECT client_id, age, sex, email, phone, address_1, account_id, frequency, branch,

@@ -8,16 +8,17 @@ folder per call) and return the read-back of what they wrote.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.catalog.oracle import START_MONTH, START_YEAR
-from ledgerlake.functions.scalars import (coalesce_default, exact_decimal, money, rounded,
+from ledgerlake.functions.scalars import (coalesce_default, exact_decimal, money_sum, rounded,
                                           nonempty, period_key, period_literal, to_day)
 from ledgerlake.operators import aggregates as agg
-from ledgerlake.operators import export, publish
+from ledgerlake.operators import export, publish, zones
 from ledgerlake.operators.filters import filter_date_from, filter_nonempty
 from ledgerlake.operators.joins import (join_chain, latest_rows, left_join_aggregated,
                                         left_join_hot_right, left_join_residual)
@@ -359,10 +360,11 @@ def q_self_join_latest(spark, sf_dir):
     per_balance = (b["transaction"].where(F.col("account_id").isNotNull())
                    .groupBy("account_id", "fulldatewithtime", "balance")
                    .agg(F.count(F.lit(1)).alias("m"), F.count_if(nonempty("operation")).alias("n")))
-    per_time = (per_balance.groupBy("account_id", "fulldatewithtime")
-                .agg(F.collect_list(F.struct("balance", "m")).alias("ties"), F.sum("n").alias("n")))
-    return (per_time.groupBy("account_id").agg(F.max_by("ties", "fulldatewithtime").alias("ties"), F.sum("n").alias("rows"))
-            .where("rows > 0").select("account_id", "rows", F.inline("ties"))
+    totals = (per_balance.groupBy(F.col("account_id").alias("account"))
+              .agg(F.max("fulldatewithtime").alias("latest"), F.sum("n").alias("rows"), F.sum("m").alias("all"))
+              .where("all >= rows and rows > 0 and latest is not null"))
+    ties = per_balance.where("m >= n").select("account_id", "fulldatewithtime", "balance", "m")
+    return (ties.join(totals, (F.col("account_id") == F.col("account")) & F.col("fulldatewithtime").eqNullSafe(F.col("latest")))
             .select("account_id", "balance", (F.col("rows") * F.col("m")).alias("joined_rows")))
 
 
@@ -442,7 +444,7 @@ def q_fn_date(spark, sf_dir):
 def q_fn_coalesce_default(spark, sf_dir):
     b = bank_tables(spark, sf_dir)
     orders = b["order"].groupBy("account_id").agg(
-        F.count("order_id").alias("n"), F.sum(money("amount")).alias("s"))
+        F.count("order_id").alias("n"), money_sum("amount").alias("s"))
     return (b["account"].select("account_id").join(orders, "account_id", "left")
             .select("account_id", coalesce_default("n").alias("total_orders"),
                     rounded(coalesce_default("s")).alias("total_order_amount")))
@@ -588,7 +590,7 @@ def q_customer_summary_exact(spark, sf_dir):
 @query("publish_catalog_table")
 def q_publish_catalog_table(spark, sf_dir):
     """A published table read by its catalogue name after a refresh that adds
-    a partition (the last month comes with the refresh)."""
+    a partition: the refresh itself enters the last month's folder."""
     account = bank_tables(spark, sf_dir)["account"]
     path, parts = fresh_dir(spark, "catalog-account"), ["year", "month"]
     last = account.agg(F.max(F.col("year") * 12 + F.col("month"))).first()[0]
@@ -596,8 +598,7 @@ def q_publish_catalog_table(spark, sf_dir):
     name = f"`default`.`published_account_{abs(hash(path)):x}`"
     publish.publish_rebuild(account.where(month < last), path, parts)
     publish.register_table(spark, name, path, account.schema, parts)
-    publish.publish_refresh_period(account.where(month == last), path, parts)
-    publish.register_table(spark, name, path, account.schema, parts)
+    publish.publish_checked(spark, account.where(month == last), path, parts, "parseddate", table=name)
     return scan_table(spark, name)
 
 
@@ -642,6 +643,21 @@ def _bound_schema(b: dict[str, DataFrame]):
     return {n: df.schema for n, df in b.items()}
 
 
+@query("publish_evolving_pruned")
+def q_publish_evolving_pruned(spark, sf_dir):
+    """Transactions published by an evolving refresh, odd date parts among
+    them, read from the start month on with the folders that the recorded
+    dates rule out pruned away."""
+    txn = _odd_transactions(bank_tables(spark, sf_dir)["transaction"])
+    path, parts = fresh_dir(spark, "evolving-transaction"), ["year", "month"]
+    publish.publish_rebuild(txn.limit(0), path, parts, date_col="fulldate")
+    publish.publish_evolving(spark, txn, path, parts, date_col="fulldate")
+    start = datetime.date(START_YEAR, START_MONTH, 1)
+    df = scan_partitioned_parquet(spark, path, schema=txn.schema)
+    dated = zones.within(spark, path, parts, lo=start)
+    return df.where(dated).where(F.col("fulldate") >= F.lit(start)).select("trans_id", "account_id", "fulldate", "amount", "year", "month")
+
+
 @query("customer_master_published")
 def q_customer_master_published(spark, sf_dir):
     """The job's plan over the day-partitioned published layout."""

@@ -54,24 +54,50 @@ def nonempty(c="operation") -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
-MONEY = "decimal(30,6)"
+#: Amounts from here up are no amounts: a double that large has no cents.
+MONEY_LIMIT = 1e15
+MONEY = "decimal(38,6)"
 
+# Whole millionths of amounts below this are exact in a double and in a long.
+_NARROW_LIMIT = 1e9
+_LIMB_BITS = 24
 
-def money(c) -> Column:
-    """An amount as an exact decimal, through its text form.
 
-    Sums of doubles depend on the order rows arrive in; sums of decimals do
-    not.  Six decimals are kept: amounts are rounded once, after the sum
-    (``rounded``), not row by row.  NaN and infinities have no decimal and
-    become NULL (the mapping counts them as rejects).
-    """
-    text = _col(c).cast("string")
-    return F.when(~text.isin("NaN", "Infinity", "-Infinity"), text).cast(MONEY)
+def is_amount(c) -> Column:
+    """A double that can be an amount: no NaN, no infinity, below the limit."""
+    c = _col(c)
+    return ~F.isnan(c) & (F.abs(c) < F.lit(MONEY_LIMIT))
+
+
+def money(c) -> Column:
+    """An amount as an exact decimal: the shortest decimal that names the
+    double, half up to six places.  Sums of doubles depend on the order rows
+    arrive in; sums of decimals do not.  Amounts are rounded once, after the
+    sum (``rounded``), not row by row.  What is no amount (``is_amount``; the
+    mapping counts such values as rejects) becomes NULL."""
+    c = _col(c)
+    return F.when(is_amount(c), c.try_cast(MONEY))
 
 
 def money_sum(c) -> Column:
-    """Exact sum (NULL when there is no value)."""
-    return F.sum(money(c))
+    """Exact sum of ``money`` values (NULL when there is none), as decimal.
+
+    Nearly all amounts are below 10^9 with at most six places: those are
+    summed as whole millionths in two longs (upper and lower bits apart, so
+    neither can overflow), which stays on the fast path of Spark's aggregates.
+    Whatever is not exactly such a number goes into a decimal sum beside it.
+    """
+    c = _col(c).cast("double")
+    size = F.abs(c)
+    millionths = F.floor(size * F.lit(1e6) + F.lit(0.5))
+    is_narrow = (size < F.lit(_NARROW_LIMIT)) & (millionths.cast("double") / F.lit(1e6) == size)
+    narrow = F.when(is_narrow, F.when(c < 0, -millionths).otherwise(millionths))
+    upper = F.sum(F.shiftright(narrow, _LIMB_BITS))
+    lower = F.sum(narrow.bitwiseAND(F.lit((1 << _LIMB_BITS) - 1).cast("bigint")))
+    wide = F.sum(F.when(~F.coalesce(is_narrow, F.lit(True)), money(c)))
+    units = upper.cast("decimal(20,0)") * F.lit(1 << _LIMB_BITS).cast("decimal(9,0)") + lower.cast("decimal(20,0)")
+    exact = (units * F.lit("0.000001").cast("decimal(7,6)")).cast(MONEY)
+    return F.coalesce(exact + wide, exact, wide).cast(MONEY)
 
 
 def rounded(c) -> Column:
@@ -80,8 +106,9 @@ def rounded(c) -> Column:
 
 
 def exact_decimal(c, precision: int = 18, scale: int = 2) -> Column:
-    """double -> decimal through the value's text form (NULL stays NULL)."""
-    return _col(c).cast("string").cast(f"decimal({precision},{scale})")
+    """double -> decimal by the shortest decimal that names it (NULL stays
+    NULL; a value that the decimal cannot hold becomes NULL)."""
+    return _col(c).try_cast(f"decimal({precision},{scale})")
 
 
 def decode_object_key(c) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.functions.scalars import money, money_sum, rounded
+from ledgerlake.functions.scalars import money_sum, rounded
 from ledgerlake.schemas import CARD_TYPES_SEPARATOR
 
 
@@ -32,8 +32,7 @@ def total(df: DataFrame, amount_col: str) -> Column:
 
 def conditional_sum(value_col: str, category_col: str, category: str) -> Column:
     """``sum(case when category = c then value else 0 end)`` (double)."""
-    return rounded(F.sum(F.when(F.col(category_col) == F.lit(category), money(value_col))
-                            .otherwise(F.lit(0))))
+    return rounded(money_sum(F.when(F.col(category_col) == F.lit(category), F.col(value_col)).otherwise(F.lit(0.0))))
 
 
 def conditional_count_compat(category_col: str, category: str) -> Column:

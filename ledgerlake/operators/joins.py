@@ -71,27 +71,29 @@ def left_join_aggregated(left: DataFrame, aggregates: Sequence[DataFrame],
     return out
 
 
-# A key's rows of one timestamp are gathered in this many lists.
-TIE_LISTS = 16
+# A key's rows are compared in this many parts before they meet.
+KEY_PARTS = 16
 
 
 def latest_rows(df: DataFrame, key: str, ts: str) -> DataFrame:
     """All rows whose ``ts`` equals the maximum ``ts`` of their key (ties kept).
 
     Same result as ``WHERE ts = (SELECT max(ts) ... WHERE key = outer.key)``:
-    rows with a NULL key or NULL ts never qualify.  One pass: the rows of a
-    (key, ts) are gathered in lists (salted, so a hot key or a hot moment is
-    spread), each (key, salt) keeps the list of its greatest ts, and a key's
-    few lists are compared at the end.
+    rows with a NULL key or NULL ts never qualify.  ``rank() = 1`` per (key,
+    salt): Spark cuts every task's rows to the latest of each such group before
+    the shuffle, and a hot key is spread over the salts.  What is left -- the
+    latest rows of a few parts -- is compared with the key's maximum by a join,
+    which AQE splits where one key has very many ties; both sides of it read
+    one shuffle, so the rows are scanned once.
     """
     salted = (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-              .select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.struct(*df.columns).alias("_row"),
-                      F.pmod(F.xxhash64(*df.columns), F.lit(TIE_LISTS)).alias("_salt")))
-    lists = salted.groupBy("_key", "_salt", "_ts").agg(F.collect_list("_row").alias("_rows"))
-    newest = lists.groupBy("_key", "_salt").agg(F.max("_ts").alias("_ts"), F.max_by("_rows", "_ts").alias("_rows"))
-    of_key = Window.partitionBy("_key")  # at most TIE_LISTS rows
-    return (newest.withColumn("_max_ts", F.max("_ts").over(of_key)).where("_ts = _max_ts")
-            .select(F.explode("_rows").alias("_row")).select("_row.*"))
+              .withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(KEY_PARTS))))
+    part = Window.partitionBy(key, "_salt").orderBy(F.desc(ts))
+    few = salted.withColumn("_place", F.rank().over(part)).where("_place = 1").drop("_place", "_salt")
+    # of all columns, so that this side reads the same shuffle as the rows do
+    newest = few.groupBy(F.col(key).alias("_key")).agg(F.max(F.struct(F.col(ts).alias("ts"), F.xxhash64(*df.columns))).alias("_last"))
+    newest = newest.select("_key", F.col("_last.ts").alias("_ts"))
+    return few.join(newest, (few[key] == newest["_key"]) & (few[ts] == newest["_ts"]), "left_semi")
 
 
 def latest_value(df: DataFrame, key: str, order_cols: Sequence[str], value: str,

@@ -1,8 +1,9 @@
 """Declared schema mapping: select, rename, cast, drop the rest.
 
-Values that do not convert (NaN and infinities included) become NULL and are counted per
-target column while the data flows (``DataFrame.observe``), so the reject
-counts cost no extra scan; they are available after the first action.
+Values that do not convert (and doubles that are no amount: NaN, infinities,
+10^15 and beyond) become NULL and are counted per target column while the data
+flows (``DataFrame.observe``), so the reject counts cost no extra scan; they
+are available after the first action.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.scalars import is_amount
 from ledgerlake.schemas import Mapping, spark_type
 
 
@@ -25,20 +27,19 @@ def apply_mapping(df: DataFrame, mapping: Mapping,
     value present, converted value NULL) is recorded as a metric named after
     the column.
     """
-    targets = []
-    checks = []
     columns = set(df.columns)
-    for src, _src_type, dst, dst_type in mapping.entries:
-        source = _source(columns, src)
-        converted = source.try_cast(spark_type(dst_type))
-        if dst_type == "double":  # text such as NaN converts, but is no amount
-            converted = F.when(~F.isnan(converted) & (F.abs(converted) != float("inf")), converted)
-        targets.append(converted.alias(dst))
-        checks.append(F.count_if(source.isNotNull() & converted.isNull()).alias(dst))
+    sources = [_source(columns, src) for src, _, _, _ in mapping.entries]
+    names = [dst for _, _, dst, _ in mapping.entries]
+    # each value is converted once; the checks see it beside its source
+    converted = df.select(*[c.alias(f"_s{i}") for i, c in enumerate(sources)],
+                          *[c.try_cast(spark_type(kind)).alias(f"_t{i}") for i, (c, (_, _, _, kind)) in enumerate(zip(sources, mapping.entries))])
+    valid = converted.select(*[f"_s{i}" for i in range(len(names))], *[
+        (F.when(is_amount(f"_t{i}"), F.col(f"_t{i}")).alias(f"_t{i}") if kind == "double" else F.col(f"_t{i}"))
+        for i, (_, _, _, kind) in enumerate(mapping.entries)])
     if observation is not None:
-        # Observed on the input, so the checks see the raw source values.
-        df = df.observe(observation, *checks)
-    return df.select(*targets)
+        valid = valid.observe(observation, *[F.count_if(F.col(f"_s{i}").isNotNull() & F.col(f"_t{i}").isNull()).alias(name)
+                                             for i, name in enumerate(names)])
+    return valid.select(*[F.col(f"_t{i}").alias(name) for i, name in enumerate(names)])
 
 
 def reject_counts(observation: Observation) -> dict[str, int]:

@@ -18,18 +18,19 @@ period values and reject counts reaches the driver.
 from __future__ import annotations
 
 import argparse
+import datetime
 import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import period_literal
-from ledgerlake.operators import export, publish
+from ledgerlake.functions.scalars import period_literal, validate_period
+from ledgerlake.operators import export, publish, zones
 from ledgerlake.operators.mapping import apply_mapping, reject_counts
 from ledgerlake.plans import marts
 from ledgerlake.schemas import DATE_OF, MAPPINGS, PARTITIONS, mapping_for
-from ledgerlake.sources.csv_landing import csv_headers, scan_csv_by_name
+from ledgerlake.sources.csv_landing import scan_csv_by_name
 from ledgerlake.sources.tables import scan_partitioned_parquet
 from ledgerlake.streaming.ingest import ingest_landing, publish_on_stage_change
 
@@ -51,16 +52,17 @@ def read_stage(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 # --- raw -> stage -----------------------------------------------------------
 
-def stage_job(spark: SparkSession, root: str, table: str) -> dict[str, int]:
-    """Landing CSV (bound by header name) -> declared mapping -> staging table.
+def stage_job(spark: SparkSession, root: str, table: str, database: str | None = None) -> dict[str, int]:
+    """Landing CSV (bound by header name) -> declared mapping -> staging table,
+    entered as ``<database>.stage_<table>`` where a database is named.
     Returns the reject count per column, and of ragged rows."""
     mapping = mapping_for(table)
     landing, target = _p(root, "landing", table), _p(root, "stage", table)
     obs, ragged = Observation(f"{table}_rejects"), Observation(f"{table}_ragged")
-    raw = scan_csv_by_name(spark, [landing], mapping.source_names, observation=ragged)
-    if csv_headers(spark, [landing]).isEmpty():
-        raise ValueError(f"{landing} holds no header; the staging table is kept")
+    raw = scan_csv_by_name(spark, [landing], mapping.source_names, observation=ragged, need_header=True)
     publish.stage_full_refresh(apply_mapping(raw, mapping, obs), target)
+    if database is not None:
+        publish.update_catalogue(spark, f"`{database}`.`stage_{table}`", target, mapping.target_schema())
     return {**reject_counts(obs), **reject_counts(ragged)}
 
 
@@ -109,39 +111,41 @@ def _published_layout(table: str) -> tuple[str, ...]:
     return PARTITIONS[table]
 
 
-def publish_table(spark: SparkSession, df: DataFrame, root: str, table: str, rebuild: bool) -> None:
+def publish_table(spark: SparkSession, df: DataFrame, root: str, table: str, rebuild: bool = False, append: bool = False,
+                  database: str | None = None) -> None:
     """Write a table to the published layer: all of it, or (daily) exactly the
-    batch's periods; rows whose stored date parts disagree with their date are
-    counted, and readers do not prune a table that has any."""
+    batch's periods; or append as the published jobs did.  The table may gain
+    columns and wider types.  With ``database`` its catalogue entry
+    ``<database>.<table>`` is brought up to date as part of the publish."""
     parts = _published_layout(table)
     target = _p(root, "transformed", table)
+    name = f"`{database}`.`{table}`" if database is not None else None
     if not parts:
         publish.publish_snapshot(df, target)
+        if name is not None:
+            publish.update_catalogue(spark, name, target, df.schema)
         return
     if not rebuild:
         df = publish.align_to_schema(df, publish.existing_schema(spark, target))
-    publish.publish_checked(spark, df, target, parts, DATE_OF.get(table), "rebuild" if rebuild else "refresh")
-    publish.write_table_schema(spark, target, df.schema)
+        publish.write_table_schema(spark, target, df.schema)
+    publish.publish_checked(spark, df, target, parts, DATE_OF.get(table),
+                            "rebuild" if rebuild else "append" if append else "refresh", table=name)
+    if rebuild:
+        publish.write_table_schema(spark, target, df.schema)
 
 
-def publish_daily_job(spark: SparkSession, root: str, table: str, compat_append: bool = False) -> None:
+def publish_daily_job(spark: SparkSession, root: str, table: str, compat_append: bool = False, database: str | None = None) -> None:
     """Publish the staged batch: replace exactly its periods (or, with
     ``compat_append``, append as the published jobs did); unpartitioned
-    tables are replaced whole.  The table may gain columns; a column whose
-    type the table cannot hold is refused before anything is written."""
-    parts = _published_layout(table)
-    df = read_stage(spark, root, table)
-    if parts and compat_append:
-        target = _p(root, "transformed", table)
-        df = publish.align_to_schema(df, publish.existing_schema(spark, target))
-        publish.publish_checked(spark, df, target, parts, DATE_OF.get(table), "append")
-    else:
-        publish_table(spark, df, root, table, rebuild=False)
+    tables are replaced whole.  The table may gain columns and wider types; a
+    type that the table cannot be widened to is refused before anything is
+    written."""
+    publish_table(spark, read_stage(spark, root, table), root, table, append=compat_append, database=database)
 
 
-def publish_firstday_job(spark: SparkSession, root: str, table: str) -> None:
+def publish_firstday_job(spark: SparkSession, root: str, table: str, database: str | None = None) -> None:
     """Rebuild the whole published table from the staged data."""
-    publish_table(spark, read_stage(spark, root, table), root, table, rebuild=True)
+    publish_table(spark, read_stage(spark, root, table), root, table, rebuild=True, database=database)
 
 
 # --- marts ------------------------------------------------------------------
@@ -169,13 +173,22 @@ def customer_master_job(spark: SparkSession, root: str, exact: bool = False) ->
 def customer_summary(spark: SparkSession, root: str, year: int, month: int, exact: bool = True,
                      schemas: dict | None = None) -> DataFrame:
     """Period summary over the published layout.  Transaction and loan folders
-    are pruned by (year, month) where all publishes found those parts to agree
-    with the date; otherwise the date alone decides (Parquet statistics skip
+    are pruned by (year, month) where all rows are known to lie in the folder
+    that their date names, and otherwise by the recorded dates of every
+    folder; without records the date alone decides (Parquet statistics skip
     row groups)."""
     t = {n: read_transformed(spark, root, n, (schemas or {}).get(n)) for n in
          ("client", "disposition", "account", "district", "transaction", "loan")}
     fn = marts.customer_summary_exact if exact else marts.customer_summary
-    agree = all(publish.periods_agree(spark, _p(root, "transformed", n)) for n in ("transaction", "loan"))
+    places = {n: _p(root, "transformed", n) for n in ("transaction", "loan")}
+    agree = all(publish.periods_agree(spark, place) for place in places.values())
+    if not agree:
+        start = datetime.date(*validate_period(year, month), 1)
+        end = (start + datetime.timedelta(days=31)).replace(day=1) if exact and year < 9999 else None
+        for n, place in places.items():
+            dated = zones.within(spark, place, PARTITIONS[n], start, end)
+            if dated is not None:
+                t[n] = t[n].where(dated)
     return fn(t["client"], t["disposition"], t["account"], t["district"], t["transaction"],
               t["loan"], year, month, period_cols=("year", "month") if agree else None)
 
@@ -220,16 +233,19 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--compat-append", action="store_true")
     ap.add_argument("--archive", action="store_true", help="ingest: archive processed landing files")
     ap.add_argument("--publish", action="store_true", help="ingest: publish each micro-batch's periods")
+    ap.add_argument("--database", default=None, help="enter what is written in this database of the catalogue")
     ap.add_argument("--master", default=None, help="omit on a cluster (launcher decides)")
     args = ap.parse_args(argv)
     spark = build_session(master=args.master, shuffle_partitions=None,
                           extra=CLUSTER_CONF if args.master is None else None)
     if args.job == "ingest":
         result = ingest_job(spark, args.root, args.table, args.archive, args.publish)
-    elif args.job in ("stage", "publish_firstday", "publish_stream", "register"):
+    elif args.job in ("stage", "publish_firstday"):
+        result = JOBS[args.job](spark, args.root, args.table, database=args.database)
+    elif args.job in ("publish_stream", "register"):
         result = JOBS[args.job](spark, args.root, args.table)
     elif args.job == "publish_daily":
-        result = publish_daily_job(spark, args.root, args.table, args.compat_append)
+        result = publish_daily_job(spark, args.root, args.table, args.compat_append, args.database)
     elif args.job in ("account_summary", "customer_master"):
         result = JOBS[args.job](spark, args.root, args.exact)
     else:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import money, nonempty, period_literal, rounded
+from ledgerlake.functions.scalars import money_sum, nonempty, period_literal, rounded
 from ledgerlake.operators.aggregates import distinct_list, total
 from ledgerlake.operators.filters import filter_date_from, filter_month
 from ledgerlake.operators.joins import left_join_hot_right, latest_value
@@ -82,11 +82,11 @@ def _account_branches(account, transaction, order, disposition, card, distinct_d
     txn = (transaction.where(nonempty("operation") & F.col("account_id").isNotNull())
            .groupBy("account_id", "operation")
            .agg(F.count(F.lit(1)).alias("rt"), F.count("trans_id").alias("nt"),
-                F.sum(money("amount")).alias("st"))
+                money_sum("amount").alias("st"))
            .withColumnRenamed("operation", "transactions_type"))
     orders = (order.where(F.col("account_id").isNotNull()).groupBy("account_id")
               .agg(F.count(F.lit(1)).alias("ro"), F.count("order_id").alias("no"),
-                   F.sum(money("amount")).alias("so")))
+                   money_sum("amount").alias("so")))
     cards = _card_branch(disposition, card, distinct_dispositions)
     return (acc.join(txn, "account_id", "left")
             .join(orders, "account_id", "left")
@@ -161,24 +161,28 @@ def customer_master(client: DataFrame, disposition: DataFrame, account: DataFram
       operations, get no aggregates (NULL, no default).
 
     One pass over ``transaction``: (account, timestamp, balance) with counts
-    and sums, combined map-side; then (account, timestamp) with its distinct
-    balances; then the account, which keeps the list of its greatest
-    timestamp.  A hot account is spread by timestamp until it is a few rows.
+    and sums, combined map-side.  From it the totals and the latest timestamp
+    of every account, and the rows of that timestamp by a join on (account,
+    timestamp), so a hot account is spread by its timestamps.  No row's list
+    is ever built.
     """
     ne = nonempty("operation")
 
     def of(category):
-        return F.sum(F.when(ne, F.when(F.col("operation") == F.lit(category), money("amount")).otherwise(F.lit(0))))
+        return money_sum(F.when(ne, F.when(F.col("operation") == F.lit(category), F.col("amount")).otherwise(F.lit(0.0))))
     per_balance = (transaction.where(F.col("account_id").isNotNull())
                    .groupBy("account_id", "fulldatewithtime", "balance")
                    .agg(F.count(F.lit(1)).alias("_m"), F.count_if(ne).alias("_n"),
                         of(CREDIT_IN_CASH).alias("_s_in"), of(CASH_WITHDRAWAL).alias("_s_out")))
-    sums = [F.sum(c).alias(c) for c in ("_n", "_s_in", "_s_out")]
-    per_time = (per_balance.groupBy("account_id", "fulldatewithtime")
-                .agg(F.collect_list(F.struct("balance", "_m")).alias("_ties"), *sums))
-    per_account = (per_time.groupBy("account_id")
-                   .agg(F.max_by(F.when(F.col("fulldatewithtime").isNotNull(), F.col("_ties")), "fulldatewithtime").alias("_ties"), *sums)
-                   .where("_n > 0").withColumn("_tie", F.explode("_ties")).select("*", "_tie.balance", "_tie._m"))
+    totals = (per_balance.groupBy(F.col("account_id").alias("_account"))
+              .agg(F.max("fulldatewithtime").alias("_latest"), F.sum("_m").alias("_rows"),
+                   *[F.sum(c).alias(c) for c in ("_n", "_s_in", "_s_out")])
+              .where("_rows >= _n and _n > 0 and _latest is not null"))
+    # True of every row, as above: with the same columns and filters both sides
+    # read one shuffle (a plain equality would filter this side's timestamps).
+    ties = (per_balance.where("_m >= _n and (_n > 0 or coalesce(_s_in, _s_out) is null)")
+            .select("account_id", "fulldatewithtime", "balance", "_m"))
+    per_account = ties.join(totals, (F.col("account_id") == F.col("_account")) & F.col("fulldatewithtime").eqNullSafe(F.col("_latest")))
     m = F.col("_m")
     txn_aggregates = (per_account
                       .select(F.col("account_id").alias("_t_account"),
@@ -200,10 +204,10 @@ def customer_master_exact(client: DataFrame, disposition: DataFrame, account: Da
     totals = tx.groupBy("account_id").agg(
         F.count_if(F.col("operation") == F.lit(CREDIT_IN_CASH)).alias("total_in_cash_transaction"),
         F.count_if(F.col("operation") == F.lit(CASH_WITHDRAWAL)).alias("total_withdrawal_transaction"),
-        rounded(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CREDIT_IN_CASH),
-                                           money("amount"))), F.lit(0))).alias("total_in_cash_credit"),
-        rounded(F.coalesce(F.sum(F.when(F.col("operation") == F.lit(CASH_WITHDRAWAL),
-                                           money("amount"))), F.lit(0))).alias("total_withdrawal_credit"))
+        rounded(F.coalesce(money_sum(F.when(F.col("operation") == F.lit(CREDIT_IN_CASH), F.col("amount"))),
+                           F.lit(0))).alias("total_in_cash_credit"),
+        rounded(F.coalesce(money_sum(F.when(F.col("operation") == F.lit(CASH_WITHDRAWAL), F.col("amount"))),
+                           F.lit(0))).alias("total_withdrawal_credit"))
     balance = latest_value(tx, "account_id",
                            ["fulldatewithtime", "trans_id", "amount", "balance"], "balance")
     per_account = (totals.join(balance, "account_id", "left")

@@ -75,3 +75,63 @@ def test_csv_bound_by_header_name(spark):
     assert (got["V4"]["disp_id"], got["V4"]["day"]) == ("D4", "6")
     staged = apply_mapping(df, mapping_for("card"))
     assert staged.where("year = 2018 and day in (3, 4)").count() == 2
+
+
+def _files(spark, name, files):
+    import os
+    from ledgerlake.session import local_path
+    base = local_path(fresh_dir(spark, name))
+    os.makedirs(base)
+    for file, text in files.items():
+        with open(os.path.join(base, file), "w", newline="") as f:
+            f.write(text)
+    return base
+
+
+def test_headers_with_quoted_commas_and_line_breaks(spark):
+    landing = _files(spark, "test-quoted", {
+        "a.csv": '"type, kind",card_id,disp_id\ngold,V1,D1\n',
+        "b.csv": '"note\nof, the ""day""",disp_id,"card_id"\n"two\nlines",D2,V2\nplain,D3,V3\n',
+        "c.csv": '\n  \ncard_id,disp_id\r\nV4,D4\r\n',
+        "empty.csv": ""})
+    heads = {r.file.rsplit("/", 1)[1]: r for r in csv_headers(spark, landing).collect()}
+    assert heads["a.csv"].names == ["type, kind", "card_id", "disp_id"] and heads["a.csv"].lines == 1
+    assert heads["b.csv"].names[1:] == ["disp_id", "card_id"] and heads["b.csv"].lines == 2
+    assert heads["c.csv"].names == ["card_id", "disp_id"] and "empty.csv" not in heads
+    from pyspark.sql import Observation
+    seen = Observation()
+    got = scan_csv_by_name(spark, landing, ["card_id", "disp_id"], observation=seen).collect()
+    assert sorted(tuple(r) for r in got) == [("V1", "D1"), ("V2", "D2"), ("V3", "D3"), ("V4", "D4")]
+    assert seen.get["_ragged"] == 0
+
+
+def test_headers_are_read_from_the_heads_of_files(spark):
+    """A file of several splits: one scan of the data, and the header's job
+    takes a small part of the bytes."""
+    import os
+    body = "".join(f"{i},{'x' * 200}\n" for i in range(60_000))    # 12 MB
+    landing = _files(spark, "test-heads", {"big.csv": "id,filler\n" + body})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        df = scan_csv_by_name(spark, landing, ["id"])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan csv") == 1 and "FileScan text" not in plan
+        assert df.count() == 60_000 and df.where("id = '59999'").count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert os.path.getsize(f"{landing}/big.csv") > 12_000_000
+
+    def endless():
+        from ledgerlake.sources import csv_landing
+        import pyarrow as pa
+        taken = []
+
+        def batches():
+            for i in range(1000):
+                taken.append(i)
+                yield pa.RecordBatch.from_pydict({"file": ["f"] * 2, "start": [0, 0], "value": ['a,"b', 'c",d' if i else "x"]})
+        heads = list(csv_landing._first_record(batches()))
+        return heads, taken
+    heads, taken = endless()
+    assert heads[0].column("record")[0].as_py() == 'a,"b\nx\na,"b' and len(taken) == 2
