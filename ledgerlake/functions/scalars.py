@@ -63,8 +63,13 @@ _NARROW_LIMIT = 1e9
 _LIMB_BITS = 24
 
 
+def amount_test(name: str) -> str:
+    """SQL: a double that can be an amount: no NaN, no infinity, below the limit."""
+    return f"not isnan({name}) and abs({name}) < {MONEY_LIMIT:.0e}D"
+
+
 def is_amount(c) -> Column:
-    """A double that can be an amount: no NaN, no infinity, below the limit."""
+    """``amount_test`` of a column."""
     c = _col(c)
     return ~F.isnan(c) & (F.abs(c) < F.lit(MONEY_LIMIT))
 

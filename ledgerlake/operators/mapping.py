@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.scalars import is_amount
+from ledgerlake.functions.scalars import amount_test
 from ledgerlake.schemas import Mapping, spark_type
 
 
-def _source(columns: set[str], name: str):
-    return F.col(f"`{name}`") if name in columns else F.lit(None).cast("string")
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def apply_mapping(df: DataFrame, mapping: Mapping,
@@ -28,18 +28,22 @@ def apply_mapping(df: DataFrame, mapping: Mapping,
     the column.
     """
     columns = set(df.columns)
-    sources = [_source(columns, src) for src, _, _, _ in mapping.entries]
+    sources = [_quoted(src) if src in columns else "cast(null as string)" for src, _, _, _ in mapping.entries]
     names = [dst for _, _, dst, _ in mapping.entries]
-    # each value is converted once; the checks see it beside its source
-    converted = df.select(*[c.alias(f"_s{i}") for i, c in enumerate(sources)],
-                          *[c.try_cast(spark_type(kind)).alias(f"_t{i}") for i, (c, (_, _, _, kind)) in enumerate(zip(sources, mapping.entries))])
-    valid = converted.select(*[f"_s{i}" for i in range(len(names))], *[
-        (F.when(is_amount(f"_t{i}"), F.col(f"_t{i}")).alias(f"_t{i}") if kind == "double" else F.col(f"_t{i}"))
-        for i, (_, _, _, kind) in enumerate(mapping.entries)])
+    kinds = [kind for _, _, _, kind in mapping.entries]
+    # Each value is converted once; the checks see it beside its source (text
+    # needs none).  As SQL text, which is one call for all columns.
+    checked = [i for i, kind in enumerate(kinds) if kind != "string"] if observation is not None else []
+    beside = [f"_s{i}" for i in checked]
+    out = df.selectExpr(*[f"{sources[i]} as _s{i}" for i in checked],
+                        *[f"try_cast({c} as {spark_type(kind).simpleString()}) as _t{i}" for i, (c, kind) in enumerate(zip(sources, kinds))])
+    out = out.selectExpr(*beside, *[
+        f"case when {amount_test(f'_t{i}')} then _t{i} end as _t{i}" if kind == "double" else f"_t{i}" for i, kind in enumerate(kinds)])
     if observation is not None:
-        valid = valid.observe(observation, *[F.count_if(F.col(f"_s{i}").isNotNull() & F.col(f"_t{i}").isNull()).alias(name)
-                                             for i, name in enumerate(names)])
-    return valid.select(*[F.col(f"_t{i}").alias(name) for i, name in enumerate(names)])
+        out = out.observe(observation, *[
+            F.expr(f"count_if({f'_s{i} is not null and _t{i} is null' if i in checked else 'false'}) as {_quoted(name)}")
+            for i, name in enumerate(names)])
+    return out.selectExpr(*[f"_t{i} as {_quoted(name)}" for i, name in enumerate(names)])
 
 
 def reject_counts(observation: Observation) -> dict[str, int]:

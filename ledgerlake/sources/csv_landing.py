@@ -39,6 +39,14 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _fields(line: Column) -> Column:
     return F.split(line, _COMMA, -1)
 
@@ -112,7 +120,7 @@ def scan_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: S
     if not paths:
         return spark.createDataFrame([], T.StructType(fields))
     headers = csv_headers(spark, paths)
-    known = F.array(*[F.lit(c.lower()) for c in wanted])
+    known = F.expr(f"array({', '.join(_text(c.lower()) for c in wanted)})")
     facts = headers.agg(
         F.max(F.size("names")).alias("width"), F.collect_set(F.when(F.col("lines") > 1, F.col("file"))).alias("broken"),
         F.slice(F.collect_set(F.when(~F.arrays_overlap("names", known), F.col("file"))), 1, 5).alias("strange")).first()
@@ -136,16 +144,14 @@ def scan_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: S
                 .unionByName(read(True).where(name.isin(facts.broken)).select(*cols)))
     else:
         rows = read(multi_line).withColumn("_file", name)
-    rows = rows.select(F.array(*[f"_c{i}" for i in range(width)]).alias("values"), "_corrupt", "_file")
+    rows = rows.selectExpr(f"array({', '.join(f'_c{i}' for i in range(width))}) as values", "_corrupt", "_file")
     rows = rows.join(headers.drop("lines"), F.col("_file") == F.col("file"))
     count = F.when(F.col("_corrupt").isNull(), width).otherwise(F.size(_fields(F.col("_corrupt"))))
     if observation is not None:
         rows = rows.observe(observation, F.count_if(count != F.size("names")).alias(RAGGED))
 
-    def bound(name: str) -> Column:
-        at = F.array_position("names", name.lower())
-        return F.when(at > 0, F.element_at("values", at.cast("int"))).alias(name)
-    out = [bound(c) for c in wanted]
+    # as SQL text, which is one call for all columns
+    out = [f"element_at(values, cast(nullif(array_position(names, {_text(c.lower())}), 0) as int)) as {_quoted(c)}" for c in wanted]
     if with_file:
-        out.append(F.col("_file").alias("_source_file"))
-    return rows.select(*out)
+        out.append("_file as _source_file")
+    return rows.selectExpr(*out)

@@ -9,7 +9,7 @@ from helpers import rows
 from ledgerlake.operators import export
 from ledgerlake.operators.export import export_to_store, read_current, upsert_keyed
 from ledgerlake.session import fresh_dir, local_path
-from ledgerlake.streaming.ingest import ingest_landing, read_ingested
+from ledgerlake.streaming.ingest import compact_ingested, ingest_landing, read_ingested, read_rejects
 from ledgerlake.streaming.routing import landing_route
 
 KEYS = ("client_id", "account_id", "pdate")
@@ -203,7 +203,7 @@ def test_rejects_and_ragged_rows_of_a_stream_are_counted(spark):
     landing = _landing(spark, "t-rejects", {"1.csv": HEAD + "A1,x,m,2018-01-02,2018,1,2\nA2,1\n"})
     stage = fresh_dir(spark, "t-rejects-stage")
     ingest_landing(spark, landing, "account", stage, fresh_dir(spark, "t-rejects-ckpt"))
-    counts = {r["column"]: r["rejects"] for r in spark.read.json(f"{stage}/_rejects").collect()}
+    counts = {r["column"]: r["rejects"] for r in read_rejects(spark, stage).collect()}
     assert counts["district_id"] == 1 and counts["_ragged"] == 1 and counts["account_id"] == 0
 
 
@@ -252,3 +252,76 @@ def test_the_refresh_of_a_batch_prunes_to_its_periods(spark):
     filters = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "= 2018" in filters and "= 2)" in filters, filters
     assert [r.account_id for r in touched.collect()] == ["A2"]
+
+
+def _drops(spark, name, publish_root=None, by_period=False):
+    """Three drops, each its own micro-batch: (landing, stage, checkpoint)."""
+    landing = _landing(spark, name, {})
+    stage, ckpt = fresh_dir(spark, f"{name}-stage"), fresh_dir(spark, f"{name}-ckpt")
+    for m in (1, 2, 3):
+        _write(landing, f"{m}.csv", HEAD + f"A{m},1,m,2018-0{m}-02,2018,{m},2\nB{m},x,m,2018-0{m}-03,2018,{m},3\n")
+        ingest_landing(spark, landing, "account", stage, ckpt, by_period=by_period, publish_root=publish_root)
+    return landing, stage, ckpt
+
+
+def _data_files(stage):
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(local_path(stage)) for f in fs if f.endswith(".parquet"))
+
+
+def _replay(spark, landing, stage, ckpt, **kwargs):
+    """The last batch again, as after a failure before its commit."""
+    commits = os.path.join(local_path(ckpt), "commits")
+    last = max(int(n) for n in os.listdir(commits) if n.isdigit())
+    for n in (f"{last}", f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, n)):
+            os.remove(os.path.join(commits, n))
+    ingest_landing(spark, landing, "account", stage, ckpt, **kwargs)
+
+
+def test_a_replayed_batch_counts_its_rejects_once(spark):
+    landing, stage, ckpt = _drops(spark, "t-replay")
+    count = lambda: {(r.ingest_batch[-1], r["column"]): r.rejects for r in read_rejects(spark, stage).collect() if r.rejects}
+    once = count()
+    assert once == {(str(i), "district_id"): 1 for i in range(3)}
+    _replay(spark, landing, stage, ckpt)
+    assert count() == once and read_ingested(spark, "account", stage).count() == 6
+
+
+@pytest.mark.parametrize("by_period", [False, True])
+def test_compaction_puts_batches_together_and_leaves_the_last(spark, by_period):
+    landing, stage, ckpt = _drops(spark, "t-compact", by_period=by_period)
+    before, ids = _data_files(stage), ["A1", "A2", "A3", "B1", "B2", "B3"]
+    for m in (1, 2, 3):
+        _write(landing, f"again{m}.csv", HEAD + f"C{m},1,m,2018-01-02,2018,1,2\n")
+        ingest_landing(spark, landing, "account", stage, ckpt, by_period=by_period)
+    ids = sorted(ids + ["C1", "C2", "C3"])
+    before = _data_files(stage)
+    replaced = compact_ingested(spark, "account", stage)
+    seen = lambda: sorted(r.account_id for r in read_ingested(spark, "account", stage).collect())
+    assert len(replaced) == 5 and seen() == ids and len(_data_files(stage)) < len(before)
+    _replay(spark, landing, stage, ckpt, by_period=by_period)      # replaces its own rows only
+    assert seen() == ids
+    assert compact_ingested(spark, "account", stage) == []
+    _write(landing, "more.csv", HEAD + "D,1,m,2018-03-02,2018,3,2\n")
+    ingest_landing(spark, landing, "account", stage, ckpt, by_period=by_period)
+    assert len(compact_ingested(spark, "account", stage)) == 2 and seen() == sorted(ids + ["D"])
+
+
+def test_a_compaction_that_died_is_not_read(spark, monkeypatch):
+    from ledgerlake import files
+    _, stage, _ = _drops(spark, "t-compact-dead", by_period=True)
+    ids = sorted(r.account_id for r in read_ingested(spark, "account", stage).collect())
+    for step in ("create_lines", "delete"):        # before the record, and before the folders went
+        def dies(*args):
+            raise OSError("lost")
+        monkeypatch.setattr(files, step, dies)
+        with pytest.raises(OSError):
+            compact_ingested(spark, "account", stage)
+        monkeypatch.undo()
+        assert sorted(r.account_id for r in read_ingested(spark, "account", stage).collect()) == ids
+
+
+def test_compaction_leaves_open_periods(spark):
+    _, stage, _ = _drops(spark, "t-compact-open", by_period=True)
+    assert compact_ingested(spark, "account", stage, closed_before=(2018, 2)) == []
+    assert len(compact_ingested(spark, "account", stage, closed_before=(2018, 3))) == 2
