@@ -210,8 +210,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         F.xxhash64("v").alias("h"), F.hash("v", F.lit(1)).alias("g")), "vectors")
     classes = rows.where("d is not null").groupBy("d", "h", "g").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("size"), F.first("v").alias("v"))
-    classes = written(spark, classes.withColumn(
-        "id", F.coalesce("rep", F.lit(_NAMELESS) + F.pmod(F.xxhash64("h", "g"), F.lit(1 << 60)))), "vector-classes")
+    # a class goes by its smallest id unless that id has several vectors
+    several = rows.where("d is not null and vec_id is not null").groupBy("vec_id").agg(
+        F.min(F.struct("d", "h", "g")).alias("one"), F.max(F.struct("d", "h", "g")).alias("other")).where("one <> other")
+    several = written(spark, several.select(F.col("vec_id").alias("shared")), "vector-ids")
+    own = F.when(F.col("shared").isNull(), F.col("rep"))
+    classes = written(spark, classes.join(several, F.col("rep") == F.col("shared"), "left").withColumn(
+        "id", F.coalesce(own, F.lit(_NAMELESS) + F.pmod(F.xxhash64("d", "h", "g"), F.lit(1 << 60)))).drop("shared"), "vector-classes")
     found = None
     for r in sorted(classes.groupBy("d").count().collect()):  # usually one length
         part = _links_of_length(classes.where(F.col("d") == r.d).select("id", "size", "v"), r.d, kind, threshold)
@@ -222,10 +227,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     found = written(spark, found, "vector-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     component = connected_components(spark, found.select(F.col("id").alias("a"), F.col("least").alias("b")))
+    label = F.coalesce("component_id", "id").alias("label")
     known = (classes.select("d", "h", "g", "id", "rep", "size").join(links, "id", "left").join(component, "id", "left")
-             .select("d", "h", "g", F.col("size").alias("copies"),
-                     (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-                     F.coalesce(F.when(F.col("component_id") < F.lit(_NAMELESS), F.col("component_id")), "rep").alias("component_id")))
+             .select("d", "h", "g", "rep", F.col("size").alias("copies"),
+                     (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), label))
+    known = written(spark, known, "vector-known")
+    # named by the smallest id of all its classes
+    known = known.join(known.groupBy("label").agg(F.min("rep").alias("component_id")), "label").drop("label", "rep")
     rows = rows.select("vec_id", "d", "h", "g")
     columns = ["vec_id", "n_links", "component_id"]
     linked = join_classes(rows.where("d is not null"), written(spark, known, "vector-classes"), ["d", "h", "g"], rows.count())

@@ -7,12 +7,16 @@ bytes.  Medians are exact up to one key: the keys of a dimension (value, then
 a hash of the text) are narrowed by histograms of 4096 bins, which Spark sums
 and the driver reads (at most 4096 bins a node).
 
-A point that outweighs 1/256 of a shard would unbalance whichever side it
-falls on.  There are at most 256 of those per shard; they are placed first,
-heaviest first on the lightest shard, and the tree splits the rest in
-proportion to the room that is left.  A group of equal texts thus stays whole
-unless no shard has room for it; then its rows fill the rooms there are, so a
-hot group neither unbalances the shards nor sits in one task.
+Two kinds of points do not go through the tree.  A point over half a shard
+cannot be cut off by medians; there are at most two of those per shard, placed
+first, heaviest first on the lightest shard (one without room is parted by
+rows, so a hot group neither unbalances the shards nor sits in one task), and
+the tree splits the rest in proportion to the room that is left.  And as a cut
+misses its median by up to half a point, the smallest points (at most 2048 of
+them, and at most 2 % of the bytes) are put in last, where most room is left.
+All other points, over 90 % of the bytes unless single texts outweigh half a
+shard, have the shard of their leaf.  A shard differs from the mean by half
+the largest point of a cut at most, less what the small points even out.
 
 Only DataFrame functions are used.  Texts are read once for their size and
 hashes; what is shuffled is a few numbers a document.
@@ -30,8 +34,10 @@ from pyspark.sql import Window
 
 from ledgerlake.llm.components import written
 
-#: Points heavier than this part of a shard are placed before the tree.
-GRAIN = 256
+#: Points heavier than one in so many of a shard are placed before the tree.
+GRAIN = 2
+#: Number and share of the bytes of the smallest points, placed after the tree.
+LAST, LAST_SHARE = 2048, 0.02
 #: Part of a shard that rows of a parted group may fill.
 _PARTED = 0.92
 _BINS = 4096  # 12 bits of the key per round
@@ -92,7 +98,7 @@ def _rooms(heavy: list, target: float, shards: int) -> list[tuple[int, int, floa
             i = min(range(shards), key=lambda k: load[k])
             share = 1 - at
             if w * share > target - load[i]:  # a hash parts the rows: some room stays for its unevenness
-                share = min(share, max(_PARTED * target - load[i], target / GRAIN) / w)
+                share = min(share, max(_PARTED * target - load[i], target / 256) / w)
             to = 1.0 if share >= 1 - at - 1e-9 else at + share
             out.append((g, i, at, to))
             load[i] += w * (to - at)
@@ -101,7 +107,9 @@ def _rooms(heavy: list, target: float, shards: int) -> list[tuple[int, int, floa
 
 
 def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every
+    document, and how its shard was found: ``placed`` is tree, room (a point
+    over half a shard) or last (one of the smallest points)."""
     spark = docs.sparkSession
     rows = written(spark, docs.select(
         "doc_id", F.monotonically_increasing_id().alias("row"),
@@ -111,14 +119,14 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     whole = rows.agg(F.sum("size").alias("w"), F.count("*").alias("n")).first()
     if not whole.n:
         return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.lit(0).alias("shard"),
-                           F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+                           F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.lit("tree").alias("placed"))
     target = whole.w / shards
     heavy = rows.groupBy("g").agg(F.sum("size").alias("w")).where(F.col("w") > target / GRAIN)
     heavy = [(r.g, r.w) for r in heavy.collect()]  # at most shards * GRAIN rows
     rooms = F.broadcast(spark.createDataFrame(_rooms(heavy, target, shards), "g long, shard int, lo double, hi double"))
     share = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) / float(1 << 30)
-    columns = ["doc_id", "size", "text_crc32", "row", "shard"]
-    first = rows.join(rooms, "g").where((share >= F.col("lo")) & (share < F.col("hi"))).select(columns)
+    columns = ["doc_id", "size", "text_crc32", "row", "shard", "placed"]
+    first = rows.join(rooms, "g").where((share >= F.col("lo")) & (share < F.col("hi"))).withColumn("placed", F.lit("room")).select(columns)
     rest = rows.join(F.broadcast(rooms.select("g").distinct()), "g", "left_anti")
     loads = {r.shard: r.w for r in first.groupBy("shard").agg(F.sum("size").alias("w")).collect()}  # a row per shard
     room = [max(target - loads.get(i, 0), 0.0) for i in range(shards)]
@@ -129,6 +137,14 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     points = points.select("g", "w", F.lit(0).alias("node"),
                            F.array(F.log1p(F.col("size").cast("double")) / top, "lang", "source").alias("x"))
     points = written(spark, points, "shard-points")
+    small, held = [], 0
+    for r in points.orderBy("w", "g").limit(LAST).select("g", "w").collect():
+        held += r.w
+        if held > LAST_SHARE * whole.w:
+            break
+        small.append((r.g, r.w))
+    every = points.select("g", "w")
+    points = points.join(F.broadcast(spark.createDataFrame(small, "g long, w long").select("g")), "g", "left_anti")
     spread = points.agg(*[F.min(F.col("x")[j]).alias(f"a{j}") for j in range(3)], *[F.max(F.col("x")[j]).alias(f"b{j}") for j in range(3)]).first()
     if spread.a0 is not None:
         scaled = [(F.col("x")[j] - spread[f"a{j}"]) / ((spread[f"b{j}"] - spread[f"a{j}"]) or 1.0) for j in range(3)]
@@ -155,7 +171,18 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
             names += 2
         points = keyed.withColumn("node", F.when(F.col("node").isin(list(stats)), F.when(
             F.col("key") < _by_node(cut), _by_node(lower)).otherwise(_by_node(upper))).otherwise(F.col("node"))).drop("key")
-    shard_of = points.select("g", _by_node({n: k[0] for n, k in leaves.items()}).cast("int").alias("shard"))
+    shard_of = written(spark, points.select("g", "w", _by_node({n: k[0] for n, k in leaves.items()}).cast("int").alias("shard")),
+                       "shard-leaves")
+    for r in shard_of.groupBy("shard").agg(F.sum("w").alias("w")).collect():  # a row per shard
+        room[r.shard] -= r.w
+    last = []
+    for g, w in reversed(small):
+        i = max(range(shards), key=lambda j: room[j])
+        room[i] -= w
+        last.append((g, i))
+    last = F.broadcast(spark.createDataFrame(last, "g long, shard int"))
+    shard_of = shard_of.select("g", "shard", F.lit("tree").alias("placed")).union(
+        every.join(last, "g").select("g", "shard", F.lit("last").alias("placed")))
     placed = rest.join(shard_of, "g").select(columns).union(first)
 
     # slots: rows of a shard are numbered in buckets, after the rows of earlier buckets
@@ -167,4 +194,4 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
     within = Window.partitionBy("shard", "bucket").orderBy("row")
     return (placed.withColumn("nth", F.row_number().over(within) - 1).join(before, ["shard", "bucket"])
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("before") + F.col("nth")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")))
+                    (F.col("before") + F.col("nth")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "placed"))

@@ -20,8 +20,11 @@ is quadratic in a group of near copies.
 
 Defined results: a null or wordless text has n_shingles 0 and is its own
 component; a text with fewer than ``k`` words is one shingle; equal texts are
-linked; rows with a null id take part in their class but are never a
-component's name; further columns of the input are ignored.
+linked; rows without an id and rows that repeat one are documents of their
+own, carry links like any other, and a component is named by its smallest id
+(null where it has none); very long texts have no limit, ties of the order are
+broken by hash; an empty table gives no rows; further columns of the input are
+ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ledgerlake.llm import hashfilter
 from ledgerlake.llm import vectext as vt
 from ledgerlake.llm.components import connected_components, join_classes, written
 
@@ -44,6 +48,8 @@ HEAVY_MOST = 1 << 20
 #: Members of a block that one chunk takes.
 CHUNK = 256
 _TOP = np.uint64(1 << 63)
+#: Labels of classes that no id of their own names.
+_NAMELESS = 1 << 62
 
 
 def _sets(column: pa.Array, k: int, most: int = 1 << 20):
@@ -127,10 +133,10 @@ def _describe(k: int, num: int, den: int, last):
                 po = np.concatenate([[0], np.cumsum(p)])
                 at = np.arange(po[-1]) - np.repeat(po[:-1], p) + np.repeat(off[:-1], p)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(n, pa.int64()),
+                    batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n, pa.int64()),
                     pa.array((total[off[1:]] - total[off[:-1]]).view(np.int64)),
                     pa.array((other[off[1:]] - other[off[:-1]]).view(np.int64)),
-                    vt.list_array(key[at].view(np.int64), po, pa.int64())], ["doc_id", "n", "f", "g", "head"])
+                    vt.list_array(key[at].view(np.int64), po, pa.int64())], ["doc_id", "t", "n", "f", "g", "head"])
     return run
 
 
@@ -330,17 +336,42 @@ def ngram_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (
     shingles is at least ``threshold`` (numerator, denominator).  Returns
     doc_id, n_shingles, component_id (smallest id reachable by links).
     """
+    sets, classes, _ = _classes(docs, k, threshold)
+    rows = sets.select("doc_id", F.col("n").alias("n_shingles"), "f", "g")
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return (join_classes(rows.where("n_shingles > 0"), classes, ["f", "g"], sets.count())
+            .select(columns).union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", "doc_id")))
+
+
+def _classes(docs: DataFrame, k: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame, bool]:
+    """(rows: doc_id, t (hash of the text), n, f, g; classes: f, g, copies,
+    component_id, label of the component, first row of the class; whether some
+    class goes by a label that is no id)."""
     spark: SparkSession = docs.sparkSession
     num, den = threshold
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t"))
     heavy = frequent_shingles(docs, k)
     at = np.argsort(heavy)
     last = spark.sparkContext.broadcast((heavy[at], at.astype(np.uint64)))
 
     sets = written(spark, docs.mapInArrow(
-        _describe(k, num, den, last), "doc_id long, n long, f long, g long, head array<long>"), "shingle-sets")
-    classes = sets.where("n > 0").groupBy("f", "g").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("head").alias("head"))
-    heads = classes.where("rep is not null").select(F.posexplode("head").alias("i", "s"), "rep", F.col("n").cast("int").alias("n"))
+        _describe(k, num, den, last), "doc_id long, t long, n long, f long, g long, head array<long>"), "shingle-sets")
+    # a class goes by its smallest id unless that id names several sets
+    several = (sets.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
+        F.min(F.struct("f", "g")).alias("one"), F.max(F.struct("f", "g")).alias("other")).where("one <> other"))
+    several = written(spark, several.select(F.col("doc_id").alias("shared")), "shingle-ids")
+    odd = not several.isEmpty() or not sets.where("n > 0 and doc_id is null").isEmpty()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("first")
+
+    def labelled(*more):
+        found = sets.where("n > 0").groupBy("f", "g").agg(first, *more)
+        hashed = F.lit(_NAMELESS) + F.pmod(F.xxhash64("f", "g"), F.lit(1 << 61))
+        if not odd:
+            return found.withColumn("rep", F.col("first.doc_id"))
+        own = F.when(F.col("shared").isNull(), F.col("first.doc_id"))
+        return found.join(several, F.col("first.doc_id") == F.col("shared"), "left").withColumn("rep", F.coalesce(own, hashed))
+    classes = labelled(F.first("n").alias("n"), F.first("head").alias("head"))
+    heads = classes.select(F.posexplode("head").alias("i", "s"), "rep", F.col("n").cast("int").alias("n"))
     # the shorter set of a linked pair has a shared shingle within its first n - need(n, n) + 1
     heads = heads.withColumn("early", F.col("i") <= F.col("n") - F.ceil(2 * num * F.col("n") / (num + den))).drop("i")
 
@@ -370,8 +401,14 @@ def ngram_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (
             .otherwise(F.array(F.pmod(F.xxhash64("rep"), "chunks"))),
             lambda chunk: F.struct(F.col("c").alias("c"), chunk.alias("chunk")))).alias("at")))
     where = placed.groupBy("rep").agg(F.collect_list("at").alias("at"))
-    blocks = written(spark, docs.join(where, F.col("doc_id") == F.col("rep")).select("rep", "at", "text")
-                     .mapInArrow(_block_rows(k, last), "c long, chunk long, rep long, keys binary"), "shingle-blocks")
+    fetched = docs.join(where, F.col("doc_id") == F.col("rep")).select("rep", "at", "text")
+    if odd:  # by the hash of a text that has the set; equal texts are one row
+        wanted = written(spark, where.where(F.col("rep") >= _NAMELESS).join(
+            labelled().select("rep", F.col("first.t").alias("t")), "rep"), "shingle-wanted")
+        texts = (hashfilter.keep_rows(docs.select("t", "text"), "t", written(spark, hashfilter.bit_words(wanted, "t"), "shingle-texts"))
+                 .groupBy("t").agg(F.first("text").alias("text")))
+        fetched = fetched.union(texts.join(wanted, "t").select("rep", "at", "text"))
+    blocks = written(spark, fetched.mapInArrow(_block_rows(k, last), "c long, chunk long, rep long, keys binary"), "shingle-blocks")
     links = written(spark, _links_of(blocks.select(
         "c", "chunk", F.lit(0).alias("piece"), "rep", F.col("rep").alias("label"), F.lit(True).alias("probe"), "keys"),
         num, den), "shingle-links")
@@ -380,13 +417,15 @@ def ngram_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (
     more = _across_chunks(spark, pairs, sizes, blocks, component, num, den)
     if more is not None:
         component = connected_components(spark, links.union(more))
-    named = (sets.where("n > 0").groupBy("f", "g").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-             .join(component, F.col("rep") == F.col("id"), "left")
-             .select("f", "g", "copies", F.coalesce("component_id", "rep").alias("component_id")))
-    rows = sets.select("doc_id", F.col("n").alias("n_shingles"), "f", "g")
-    columns = ["doc_id", "n_shingles", "component_id"]
-    return (join_classes(rows.where("n_shingles > 0"), written(spark, named, "shingle-classes"), ["f", "g"], sets.count())
-            .select(columns).union(rows.where("n_shingles = 0").select("doc_id", "n_shingles", "doc_id")))
+    named = (labelled(F.count("*").alias("copies")).join(component, F.col("rep") == F.col("id"), "left")
+             .select("f", "g", "copies", "first", F.coalesce("component_id", "rep").alias("label")))
+    if odd:
+        named = written(spark, named, "shingle-named")
+        name = named.groupBy("label").agg(F.min("first.doc_id").alias("component_id"))
+        named = named.join(name, "label")
+    else:
+        named = named.withColumn("component_id", F.col("label"))
+    return sets.drop("head"), written(spark, named, "shingle-classes"), odd
 
 
 def _across_chunks(spark, pairs, sizes, blocks, component, num, den) -> DataFrame | None:
@@ -411,9 +450,29 @@ def _across_chunks(spark, pairs, sizes, blocks, component, num, den) -> DataFram
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
-    """The rows of ``docs`` whose document names its component, all columns as
-    they are: one document of each class of near copies.  Rows without an id
-    cannot be named and stay; rows that repeat an id stay together."""
-    found = ngram_components(docs, k, threshold)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    """The rows of ``docs`` that stay, all columns as they are: of each class
+    of near copies the one with the smallest id (without any id, the smallest
+    hash of the text), and of rows that repeat id and text one.  Rows without
+    words are in no class and stay."""
+    spark = docs.sparkSession
+    sets, classes, _ = _classes(docs, k, threshold)
+    winner = classes.groupBy("label").agg(F.min("first").alias("winner"))
+    classes = written(spark, classes.join(winner, "label").select("f", "g", "copies", "winner"), "shingle-winners")
+    rows = join_classes(sets.where("n > 0").select("doc_id", "t", "f", "g"), classes, ["f", "g"], sets.count())
+    stays = F.col("doc_id").eqNullSafe(F.col("winner.doc_id")) & (F.col("t") == F.col("winner.t"))
+    found = written(spark, rows.groupBy(F.col("doc_id").alias("_of"), F.col("t").alias("_text")).agg(
+        F.max(stays).alias("stays"), F.count("*").alias("n")).where("n > 1 or not stays"), "shingle-copies")
+    # rows that cannot be among those stay where they are; the others meet their verdict
+    known = written(spark, hashfilter.bit_words(found, "_text"), "shingle-copies")
+    keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    clean = hashfilter.keep_rows(keyed, "_text_hash", known, let_through=False).select(docs.columns)
+    asked = hashfilter.keep_rows(keyed, "_text_hash", known)
+    same = asked["doc_id"].cast("long").eqNullSafe(found["_of"]) & (asked["_text_hash"] == found["_text"])
+    kept = clean.unionByName(asked.join(found, same, "left_anti").select(docs.columns))
+    repeated = found.where("stays")
+    if repeated.isEmpty():
+        return kept
+    same = asked["doc_id"].cast("long").eqNullSafe(repeated["_of"]) & (asked["_text_hash"] == repeated["_text"])
+    one = (asked.join(repeated, same, "left_semi").groupBy("doc_id", "_text_hash")
+           .agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("_row")))
+    return kept.unionByName(one.select("_row.*"))

@@ -57,7 +57,9 @@ def _tokenizer(path: str):
 def _parts(word: bytes) -> tuple[bytes, ...]:
     """Parts of a word with the same ids one after the other: stops at the end
     after a letter are a token of their own, and a capital A-Z before a letter
-    is its small letter (a mark there might join it, so then it stays)."""
+    is its small letter (a mark there might join it, so then it stays).  A
+    letter whose small form ends with a mark (U+0130) keeps its stop, as the
+    tokenizer joins the two."""
     if word.isascii():
         core = word.rstrip(b".,")
         if not core.isalpha():
@@ -66,7 +68,7 @@ def _parts(word: bytes) -> tuple[bytes, ...]:
         return (low,) if len(core) == len(word) else (low, word[len(core):])
     text = word.decode()
     core = text.rstrip(".,")
-    if not core[-1:].isalpha():
+    if not core[-1:].isalpha() or not core[-1].lower()[-1].isalpha():
         return (word,)
     low = core[0].lower() + core[1:] if core[0].isascii() and core[1:2].isalpha() else core
     return (low.encode(),) if len(core) == len(text) else (low.encode(), text[len(core):].encode())

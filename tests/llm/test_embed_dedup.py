@@ -65,3 +65,10 @@ def test_bound_never_loses_a_pair():
     found = {(int(a), int(b)) for i, j in ed.linked_pairs(x, x, 4, 0.9, True) for a, b in zip(i, j)}
     want = {(i, j) for i in range(300) for j in range(i + 1, 300) if x[i] @ x[j] >= 0.9}
     assert found >= want and all(x[i] @ x[j] >= 0.9 - 1e-6 for i, j in found)
+
+
+def test_rows_that_repeat_an_id_count_apart(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (0, [0.0, -1.0]), (0, [0.01, 1.0])],
+                              "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in ed.near_duplicates(v, 0.9).collect())
+    assert got == [(0, 0, 0, True), (0, 1, 0, True), (1, 1, 0, False), (1, 1, 1, True), (2, 1, 1, False)]

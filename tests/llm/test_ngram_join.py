@@ -106,7 +106,35 @@ def test_keep_one_keeps_columns_and_one_of_each_class(spark):
                                   (5, None, 5)], "doc_id long, text string, gone int")
     kept = nj.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or 0, r.gone) for r in kept.collect()) == [(0, 4), (1, 2), (2, 3), (5, 5)]
+    assert sorted((r.doc_id or 0, r.gone) for r in kept.collect()) == [(1, 2), (2, 3), (5, 5)]
+
+
+def _near(n):
+    """n texts, each linked to the one before and after it only."""
+    words = [f"v{i}" for i in range(60 + n * 4)]
+    return [" ".join(words[i * 4:i * 4 + 60]) for i in range(n)]
+
+
+def test_rows_without_an_id_carry_links(spark):
+    a, b, c = _near(3)
+    rows = [(1, a), (None, b), (2, c), (None, "nobody else"), (None, "nobody else"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = nj.ngram_components(docs, 4, (85, 100)).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(
+        [(1, 1), (None, 1), (2, 1), (None, None), (None, None), (7, 7)], key=str)
+    kept = nj.keep_one(docs, 4, (85, 100)).collect()
+    assert sorted((tuple(r) for r in kept), key=str) == sorted([(1, a), (None, "nobody else"), (7, None)], key=str)
+
+
+def test_rows_that_repeat_an_id_are_documents_of_their_own(spark):
+    a, b, c, d = _near(4)
+    rows = [(5, a), (5, "quite other words here"), (9, "quite other words here"), (3, d), (5, c), (5, c), (None, b), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = nj.ngram_components(docs, 4, (85, 100)).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(
+        [(5, 3), (5, 5), (9, 5), (3, 3), (5, 3), (5, 3), (None, 3), (None, 3)], key=str)
+    kept = nj.keep_one(docs, 4, (85, 100)).collect()
+    assert sorted(tuple(r) for r in kept) == [(3, d), (5, "quite other words here")]
 
 
 def test_empty_table(spark):

@@ -89,3 +89,17 @@ def test_pack_round_trip(spark):
         assert at <= capacity
     assert len(held) <= 1.1 * sum(r.length for r in got) / capacity + 2
     assert pk.pack(docs.limit(0), PATH, capacity).count() == 0
+
+
+def test_marks_of_small_letters_join_the_stop(spark):
+    """All letters whose small form is longer, in front of stops and elsewhere."""
+    rng = random.Random(8)
+    longer = [chr(c) for c in range(0x110000) if chr(c).isalpha() and len(chr(c).lower()) > 1]
+    assert "\u0130" in longer
+    pieces = [*longer, "i", "A", "é", "ß", "ﬁ", "Ω", "日", ".", ",", "..", "7"]
+    texts = ["\u0130. Melih", "\u0130, x", "A\u0130.", "\u0130\u0130.."] + [
+        " ".join("".join(rng.choice(pieces) for _ in range(rng.randint(1, 6))) for _ in range(12)) for _ in range(300)]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert list(pk.encode_all([t.encode() for t in texts], path)) == want

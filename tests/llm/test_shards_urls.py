@@ -3,6 +3,9 @@
 import random
 import zlib
 
+import pytest
+from pyspark.sql import functions as F
+
 from ledgerlake.llm import kd_shards as kd
 from ledgerlake.llm import url_templates as ut
 
@@ -30,6 +33,40 @@ def test_shards_are_near_equal_and_keep_copies_together(spark):
     assert sorted((r.doc_id or -1, r.size, r.text_crc32) for r in got) == want
 
 
+@pytest.mark.parametrize("sf, bound", [("0.001", 1.25), ("0.01", 1.1), ("0.1", 1.03)])
+def test_nearly_all_bytes_get_their_shard_from_the_tree(spark, sf, bound):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet")
+    got = kd.shard(docs, 16).groupBy("shard").pivot("placed", ["tree", "room", "last"]).sum("size").collect()
+    size = [sum(v or 0 for v in (r.tree, r.room, r.last)) for r in got]
+    assert len(size) == 16 and sum(r.tree or 0 for r in got) >= 0.9 * sum(size)
+    mean = sum(size) / 16
+    assert max(size) <= bound * mean and min(size) >= mean / bound, [round(x / mean, 3) for x in size]
+
+
+def test_tree_equals_a_tree_by_sorting(spark, monkeypatch):
+    """Points of equal weight, cut at the median key of the widest dimension."""
+    monkeypatch.setattr(kd, "LAST", 0)
+    rng = random.Random(6)
+    rows = [(i, f"{i:04d}" + "x" * 60, f"l{rng.randint(0, 30)}", f"s{rng.randint(0, 5)}") for i in range(512)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.shard for r in kd.shard(docs, 8).collect()}
+    found = docs.select("doc_id", F.xxhash64("text").alias("g"), kd._unit_hash("lang").alias("a"), kd._unit_hash("source").alias("b")).collect()
+
+    def scaled(values):
+        lo, hi = min(values), max(values)
+        return [(v - lo) / ((hi - lo) or 1.0) for v in values]
+    points = list(zip([r.doc_id for r in found], [r.g for r in found], scaled([r.a for r in found]), scaled([r.b for r in found])))
+
+    def cut(group, shards):
+        if len(shards) == 1:
+            return {p[0]: shards[0] for p in group}
+        wide = max((2, 3), key=lambda j: (max(p[j] for p in group) - min(p[j] for p in group)))
+        group = sorted(group, key=lambda p: (int(min(p[wide], 0.99999) * 4096), p[1] % (1 << 24)))
+        half = len(group) // 2
+        return {**cut(group[:half], shards[:len(shards) // 2]), **cut(group[half:], shards[len(shards) // 2:])}
+    assert got == cut(points, list(range(8)))
+
+
 def test_shards_of_few_rows_and_none(spark):
     docs = spark.createDataFrame([(1, "a", "en", "s"), (2, "b", "en", "s")], "doc_id long, text string, lang string, source string")
     got = kd.shard(docs, 16).collect()
