@@ -7,12 +7,14 @@ on lines of their own with blank lines around paragraphs, list items with
 bullets or numbers, table cells in aligned columns, preformatted text as is.
 
 Scale: one pass over the pages without a shuffle; a page's work and memory are
-linear in its length (except the padding of table cells, at most the widest
-cell per row), whatever its nesting: neither step recurses.
+linear in its length, whatever its nesting and its open quotes: no step
+recurses or goes back, open elements are found by name, and no table column is
+padded to more than ``ALIGNED`` characters.
 
 Defined results: a null or empty page has an empty text; broken markup is text
-or ignored as a browser would; repeated and null ids are separate rows; other
-columns are ignored.
+or ignored as a browser would, a tag with a quote that is never closed is
+text; very long pages have no limit; repeated and null ids are separate rows;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,8 +56,8 @@ IMPLIED = {
     "tfoot": ("tbody thead tfoot caption colgroup", frozenset(["table"])),
     "body": ("head", frozenset()),
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
-                    r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<(?:[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_SPECIAL = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
@@ -76,16 +78,62 @@ def _attributes(text: str) -> dict:
     return out
 
 
+class _Tokens:
+    """Tags, comments and the like of a page, from left to right.  Every part
+    of the page is looked at a bounded number of times: a tag whose quote is
+    never closed is text, and the places where one was met are remembered."""
+
+    def __init__(self, page: str):
+        self.page, self.open_quotes = page, set()
+
+    def _tag_end(self, at: int) -> int:
+        """Where the tag's attributes end (at ``>`` or the page's end), -1 if
+        a quote in them is not closed."""
+        met = []
+        while (m := _SPECIAL.search(self.page, at)) and m[0] != ">":
+            k = m.start()
+            if k in self.open_quotes:
+                break
+            met.append(k)
+            at = self.page.find(m[0], k + 1) + 1
+            if not at:
+                break
+        else:
+            return m.start() if m else len(self.page)
+        self.open_quotes.update(met)
+        return -1
+
+    def next(self, at: int):
+        """(start, end, closing, name, attributes, character data) of the next
+        token from ``at`` on, or None; name is None for what is no tag."""
+        page = self.page
+        while m := _TOKEN.search(page, at):
+            start = m.start()
+            if m[2] is not None:
+                end = self._tag_end(m.end())
+                if end >= 0:
+                    return start, min(end + 1, len(page)), bool(m[1]), m[2].lower(), page[m.end():end], None
+                at = start + 1
+                continue
+            for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<", ">")):
+                if page.startswith(opening, start):
+                    end = page.find(closing, start + len(opening))
+                    inner = page[start + len(opening):end if end >= 0 else len(page)]
+                    return (start, end + len(closing) if end >= 0 else len(page), False, None, "",
+                            inner if closing == "]]>" else None)
+        return None
+
+
 def build(page: str) -> Node:
     """The tree of a page; children are nodes and strings."""
     root = Node("#root", {})
     stack = [root]
     foreign = [False]  # of the open elements: the content isn't HTML
-    held = {}  # open elements by name, so that a stray end tag costs nothing
+    held: dict[str, list[int]] = {}  # places of the open elements by name
 
     def close(depth: int) -> None:
-        for node in stack[depth:]:
-            held[node.name] -= 1
+        for node in reversed(stack[depth:]):
+            held[node.name].pop()
         del stack[depth:], foreign[depth:]
 
     def break_out() -> None:
@@ -94,35 +142,34 @@ def build(page: str) -> Node:
             depth -= 1
         close(depth)
 
+    def last(names) -> int:
+        return max((held[n][-1] for n in names if held.get(n)), default=0)
+
     def find(names, walls) -> int:
-        if not any(held.get(n) for n in names):
-            return 0
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                return i
-            if stack[i].name in walls:
-                return 0
-        return 0
+        """Place of the innermost open element of these names, 0 if there is
+        none or a wall stands further in."""
+        place = last(names)
+        return place if place and place >= last(walls) else 0
 
+    tokens = _Tokens(page)
     at, size = 0, len(page)
     low = None
     while at < size:
-        m = _TOKEN.search(page, at)
-        text = page[at:m.start()] if m else page[at:]
+        token = tokens.next(at)
+        text = page[at:token[0]] if token else page[at:]
         if text:
             stack[-1].children.append(html.unescape(text))
-        if not m:
+        if not token:
             break
-        at = max(m.end(), m.start() + 1)
-        if m[2] is None:
-            if m[0].startswith("<![CDATA["):
-                stack[-1].children.append(m[0][9:].removesuffix("]]>"))
+        _, at, closing, name, attributes, data = token
+        if name is None:
+            if data is not None:
+                stack[-1].children.append(data)
             continue
-        name = m[2].lower()
-        if foreign[-1] and (name in ("p", "br") if m[1] else name in BREAKOUT):
+        if foreign[-1] and (name in ("p", "br") if closing else name in BREAKOUT):
             break_out()
-        if m[1]:
-            if name in held and held[name] > 0:
+        if closing:
+            if held.get(name):
                 walls = frozenset() if name in ("table", "body", "html") else frozenset(["table"]) if name not in (
                     "td", "th", "tr", "tbody", "thead", "tfoot", "caption") else frozenset()
                 depth = find((name,), walls)
@@ -142,10 +189,10 @@ def build(page: str) -> Node:
             depth = find(tuple(names.split()), walls)
             if depth:
                 close(depth)
-        node = Node(name, _attributes(m[3]))
+        node = Node(name, _attributes(attributes))
         stack[-1].children.append(node)
         strange = foreign[-1] or name in FOREIGN
-        if name in VOID or (strange and m[3].rstrip().endswith("/")):
+        if name in VOID or (strange and attributes.rstrip().endswith("/")):
             continue
         if name in RAW:
             if low is None:
@@ -158,11 +205,11 @@ def build(page: str) -> Node:
             close_at = page.find(">", end) if end >= 0 else -1
             at = close_at + 1 if close_at >= 0 else size
             continue
-        if m[3].rstrip().endswith("/") and name not in BLOCK:
+        if attributes.rstrip().endswith("/") and name not in BLOCK:
             continue
         stack.append(node)
         foreign.append(strange and name not in INTEGRATION)
-        held[name] = held.get(name, 0) + 1
+        held.setdefault(name, []).append(len(stack) - 1)
     return root
 
 
@@ -236,14 +283,20 @@ class _Page:
         return "\n".join(self.lines).strip("\n")
 
 
+#: Cells up to this length are aligned; a longer one moves the rest of its row.
+ALIGNED = 80
+
+
 def _columns(rows: list[list[str]]) -> list[str]:
-    """Rows of one-line cells in aligned columns."""
+    """Rows of one-line cells in aligned columns; the text stays linear in the
+    cells, as no column is wider than ``ALIGNED``."""
     widths: list[int] = []
     for row in rows:
         for i, cell in enumerate(row):
             if i == len(widths):
                 widths.append(0)
-            widths[i] = max(widths[i], len(cell))
+            if len(cell) <= ALIGNED:
+                widths[i] = max(widths[i], len(cell))
     return [" | ".join(c.ljust(widths[i]) if i < len(row) - 1 else c for i, c in enumerate(row)).rstrip() for row in rows]
 
 

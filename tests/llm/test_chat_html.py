@@ -2,7 +2,10 @@
 
 import random
 
+import pytest
+
 from ledgerlake.llm import chat_format as cf
+from ledgerlake.llm import html_render as hr
 from ledgerlake.llm.html_render import extract, page_text
 
 
@@ -87,3 +90,50 @@ def test_html_drawings_formulas_and_dialogs():
     assert page_text('<svg><text>a<!-- </svg> -->b</text></svg>')[0] == "ab"
     assert page_text('<dialog>no</dialog><dialog open>yes</dialog>')[0] == "yes"
     assert page_text("<svg>" * 20000 + "<text>x" + "</svg>" * 20000 + "y")[0] == "x y"
+
+
+@pytest.mark.parametrize("page", [
+    "<a ''" * 200_000 + '"', "<p><button>" + "<i>" * 50_000 + "<div></div>" * 80_000,
+    "<b><table>" + "<i>" * 130_000 + "</b>" * 130_000, "<a b=\"'" * 120_000,
+    "<table>" + "<tr><td>a<td>b</tr>" * 30_000 + "<tr><td>" + "x" * 400_000 + "<td>y</tr></table>"])
+def test_pages_of_a_megabyte_take_linear_time(page):
+    import time
+    start = time.process_time()
+    text = hr.render(hr.build(page))[0]
+    assert time.process_time() - start < 10 and len(text) < 2 * len(page)
+
+
+def test_text_of_simple_pages_equals_the_standard_librarys_parser():
+    """Inline and block markup without tables, lists and hidden parts: the
+    same words in the same order."""
+    import random
+    from html.parser import HTMLParser
+
+    class Words(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.text = []
+
+        def handle_data(self, data):
+            self.text.append(data)
+
+        def handle_starttag(self, tag, attrs):
+            self.text.append(" " if tag in ("p", "div", "br", "h1") else "")
+
+        handle_endtag = lambda self, tag: self.text.append(" " if tag in ("p", "div", "h1") else "")
+    rng = random.Random(12)
+    words = ["one", " two ", "&amp;", "&eacute;", "caf\u00e9", "<!-- not this -->", "\n", "<br>"]
+
+    def inline(depth):
+        parts = [rng.choice(words) for _ in range(rng.randint(0, 4))]
+        if depth:
+            parts += [rng.choice(["<b>{}</b>", "<i title='x > y'>{}</i>"]).format(inline(depth - 1)) for _ in range(rng.randint(0, 2))]
+        rng.shuffle(parts)
+        return "".join(parts)
+    for _ in range(300):
+        page = "".join(rng.choice(["<p>{}</p>", "<div class=\"a > b\">{}</div>", "<h1>{}</h1>", "{}"]).format(inline(3))
+                       for _ in range(rng.randint(1, 8)))
+        plain = Words()
+        plain.feed(page)
+        plain.close()
+        assert hr.render(hr.build(page))[0].split() == "".join(plain.text).split(), page
