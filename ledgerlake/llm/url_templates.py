@@ -11,7 +11,10 @@ and path rules come first, the longest that fits.
 
 Only DataFrame functions are used.  Pages are aggregated to shapes before any
 work on the tree, so a host with a third of all pages is a few hundred rows;
-only the last join carries pages, keyed by host and shape.
+only the last join carries pages, keyed by host and shape.  The tree is as
+deep as the paths; a shape that is alone in its node needs no more levels (its
+remaining segments are the template), so there are as many rounds as two
+different shapes of a host share segments.
 
 Defined results: a null url or one without ``://`` has empty host and path;
 pages without a label count for support only; several labels of a page count
@@ -29,8 +32,6 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.components import written
 
-#: Segments that have a level of their own; what follows is one segment.
-DEPTH = 6
 #: A child with fewer pages than this, and less than this share of its node, is rare.
 RARE, RARE_SHARE = 20, 0.005
 #: Difference of a child's purity from its siblings', in standard errors.
@@ -60,16 +61,10 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
 
 def shape(path: Column) -> Column:
     """Segments of a path with typed wildcards for variable names."""
-    s = F.split(F.regexp_replace(path, "^/", ""), "/")
-    many = F.size(s) > DEPTH
-    s = F.when(many, F.concat(F.slice(s, 1, DEPTH - 1), F.array(F.array_join(
-        F.expr(f"slice(split(regexp_replace(path, '^/', ''), '/'), {DEPTH}, 1000000)"), "/")))).otherwise(s)
-
     def typed(x):
         x = F.regexp_replace(x, "^(?=[0-9a-fA-F-]*[0-9])[0-9a-fA-F-]{12,}", "{hex}")
-        x = F.regexp_replace(x, "[0-9]+", "{n}")
-        return F.when(F.length(x) > 64, F.lit("{long}")).otherwise(x)
-    return F.transform(s, typed)
+        return F.regexp_replace(x, "[0-9]+", "{n}")
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), typed)
 
 
 def templates(shapes: DataFrame) -> DataFrame:
@@ -83,7 +78,25 @@ def templates(shapes: DataFrame) -> DataFrame:
         return (good + SMOOTH * parent) / (labelled + SMOOTH)
     root = shapes.groupBy(F.col("host").alias("h")).agg(smoothed(F.sum("good"), F.sum("labelled"), F.lit(overall)).alias("purity"))
     at = shapes.withColumn("template", F.lit("")).join(root, F.col("host") == F.col("h")).drop("h")
-    for level in range(DEPTH):
+    columns = [*shapes.columns, "purity", "template"]
+    done, level = None, 0
+    while True:
+        # shapes that are alone in their node, or end here, are settled
+        in_node = at.groupBy(F.col("host").alias("h"), F.col("template").alias("t")).agg(F.count("*").alias("many"))
+        at = at.join(in_node, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t"))).drop("h", "t")
+        left = F.size("shape") - level
+        # every further level would smooth towards the one before: in closed form
+        own = F.try_divide("good", "labelled")
+        pull = F.pow(F.lit(SMOOTH) / (F.col("labelled") + SMOOTH), left)
+        rest = F.array_join(F.expr(f"slice(shape, {level + 1}, size(shape) - {level})"), "/")
+        settled = at.where((F.col("many") == 1) | (left <= 0)).withColumn(
+            "purity", F.when(left > 0, F.coalesce(own + pull * (F.col("purity") - own), "purity")).otherwise(F.col("purity"))).withColumn(
+            "template", F.when(left > 0, F.concat("template", F.lit("/"), rest)).otherwise(F.col("template")))
+        settled = written(spark, settled.select(columns), "url-settled")
+        done = settled if done is None else done.unionByName(settled)
+        at = written(spark, at.where((F.col("many") > 1) & (left > 0)).select(columns), "url-open")
+        if at.isEmpty():
+            return done.select("host", "shape", "template", "purity")
         seg = F.get("shape", F.lit(level))
         child = (at.where(F.size("shape") > level).groupBy("host", "template", seg.alias("seg"))
                  .agg(F.sum("pages").alias("pages"), F.sum("labelled").alias("n"), F.sum("good").alias("g"), F.max("purity").alias("up")))
@@ -104,10 +117,8 @@ def templates(shapes: DataFrame) -> DataFrame:
         at = at.join(step, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")) & (seg == F.col("s")), "left")
         at = at.withColumn("template", F.when(F.col("branch").isNull(), F.col("template"))
                            .otherwise(F.concat("template", F.lit("/"), "branch")))
-        at = written(spark, at.withColumn("purity", F.coalesce("own", "purity")).drop("h", "t", "s", "branch", "own"), "url-tree")
-        if at.where(F.size("shape") > level + 1).isEmpty():
-            break
-    return at.select("host", "shape", "template", "purity")
+        at = written(spark, at.withColumn("purity", F.coalesce("own", "purity")).select(columns), "url-tree")
+        level += 1
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]], least: float = 0.5) -> DataFrame:

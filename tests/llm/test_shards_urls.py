@@ -120,3 +120,68 @@ def test_templates_part_good_from_bad_branches(spark):
     assert {r.verdict for r in got if r.page_id % 3} == {"allow"}
     # the two good branches do not differ: what is alike is one template
     assert len({r.template for r in got if r.page_id % 3}) <= 2
+
+
+def brute_tree(shapes):
+    """The tree by plain recursion: {(host, shape): (template, purity)}."""
+    out = {}
+    n, g = sum(x[3] for x in shapes), sum(x[4] for x in shapes)
+
+    def purity(rows, up):
+        return (sum(r[4] for r in rows) + ut.SMOOTH * up) / (sum(r[3] for r in rows) + ut.SMOOTH)
+
+    def grow(rows, level, template, up):
+        children = {}
+        for r in rows:
+            if len(r[1]) <= level:
+                out[r[0], r[1]] = (template, up)
+            else:
+                children.setdefault(r[1][level], []).append(r)
+        total = [sum(r[i] for c in children.values() for r in c) for i in (2, 3, 4)]
+        branches = {}
+        for seg, c in children.items():
+            pages, m, good = (sum(r[i] for r in c) for i in (2, 3, 4))
+            differs = False
+            if m and total[1] - m:
+                p = total[2] / total[1]
+                error = (p * (1 - p) * (1 / m + 1 / (total[1] - m))) ** 0.5
+                gap = abs(good / m - (total[2] - good) / (total[1] - m))
+                differs = error > 0 and gap / error >= ut.DIFFERENT
+            rare = pages < ut.RARE and pages < ut.RARE_SHARE * total[0]
+            keep = pages == total[0] or (not rare and differs)
+            branches.setdefault(seg if keep else "*", []).extend(c)
+        for branch, c in branches.items():
+            grow(c, level + 1, f"{template}/{branch}", purity(c, up))
+    for host in {x[0] for x in shapes}:
+        mine = [x for x in shapes if x[0] == host]
+        grow(mine, 0, "", purity(mine, g / n if n else 1.0))
+    return out
+
+
+def test_tree_equals_plain_recursion(spark):
+    rng = random.Random(9)
+    shapes = {}
+    for _ in range(300):
+        host = rng.choice(["a", "b", "c"])
+        path = tuple(rng.choice("xyz") + str(i) for i in range(rng.randint(1, 12))) if rng.random() < 0.5 else tuple(
+            ["deep"] * 8 + [rng.choice(["good", "bad", "ugly"])] + ["{n}"] * rng.randint(0, 3))
+        pages = rng.randint(1, 60)
+        labelled = rng.choice([0, rng.randint(0, pages)])
+        share = 0.05 if "bad" in path or "x1" in path else 0.9
+        shapes[host, path] = (host, path, pages, labelled, float(sum(rng.random() < share for _ in range(labelled))))
+    rows = list(shapes.values())
+    df = spark.createDataFrame([(h, list(p), n, m, g) for h, p, n, m, g in rows],
+                               "host string, shape array<string>, pages long, labelled long, good double")
+    got = {(r.host, tuple(r.shape)): (r.template, round(r.purity, 9)) for r in ut.templates(df).collect()}
+    assert got == {k: (t, round(p, 9)) for k, (t, p) in brute_tree(rows).items()}
+
+
+def test_branches_that_part_late_are_parted_and_no_pages_give_none(spark):
+    deep = "/".join("abcdefg")
+    rows = [(i, f"http://h.com/{deep}/{'spam' if i % 2 else 'news'}/{i}") for i in range(400)] + [(1000, "http://h.com/" + "q/" * 300 + "z" * 5000)]
+    labels = [(i, 0.0 if i % 2 else 1.0) for i in range(400)]
+    labels = spark.createDataFrame(labels, "page_id long, good double")
+    got = {r.page_id: r for r in ut.judge(spark.createDataFrame(rows, "page_id long, url string"), labels, []).collect()}
+    assert len(got) == 401 and all(got[i].verdict == ("block" if i % 2 else "allow") for i in range(400))
+    assert got[1000].template.count("/") == 301 and got[1000].template.endswith("/q" * 280 + "/" + "z" * 5000)
+    assert ut.judge(spark.createDataFrame([], "page_id long, url string"), labels, RULES).count() == 0
