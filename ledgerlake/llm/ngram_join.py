@@ -358,18 +358,19 @@ def _classes(docs: DataFrame, k: int, threshold: tuple[int, int]) -> tuple[DataF
         _describe(k, num, den, last), "doc_id long, t long, n long, f long, g long, head array<long>"), "shingle-sets")
     # a class goes by its smallest id unless that id names several sets
     several = (sets.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
-        F.min(F.struct("f", "g")).alias("one"), F.max(F.struct("f", "g")).alias("other")).where("one <> other"))
+        *[least(c).alias(f"{least.__name__}_{c}") for c in ("f", "g") for least in (F.min, F.max)])
+        .where("min_f <> max_f or min_g <> max_g"))
     several = written(spark, several.select(F.col("doc_id").alias("shared")), "shingle-ids")
     odd = not several.isEmpty() or not sets.where("n > 0 and doc_id is null").isEmpty()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("first")
 
     def labelled(*more):
-        found = sets.where("n > 0").groupBy("f", "g").agg(first, *more)
+        found = sets.where("n > 0").groupBy("f", "g").agg(F.min("doc_id").alias("own"), *more)
         hashed = F.lit(_NAMELESS) + F.pmod(F.xxhash64("f", "g"), F.lit(1 << 61))
         if not odd:
-            return found.withColumn("rep", F.col("first.doc_id"))
-        own = F.when(F.col("shared").isNull(), F.col("first.doc_id"))
-        return found.join(several, F.col("first.doc_id") == F.col("shared"), "left").withColumn("rep", F.coalesce(own, hashed))
+            return found.withColumnRenamed("own", "rep")
+        own = F.when(F.col("shared").isNull(), F.col("own"))
+        return found.join(several, F.col("own") == F.col("shared"), "left").withColumn("rep", F.coalesce(own, hashed))
     classes = labelled(F.first("n").alias("n"), F.first("head").alias("head"))
     heads = classes.select(F.posexplode("head").alias("i", "s"), "rep", F.col("n").cast("int").alias("n"))
     # the shorter set of a linked pair has a shared shingle within its first n - need(n, n) + 1
@@ -404,7 +405,7 @@ def _classes(docs: DataFrame, k: int, threshold: tuple[int, int]) -> tuple[DataF
     fetched = docs.join(where, F.col("doc_id") == F.col("rep")).select("rep", "at", "text")
     if odd:  # by the hash of a text that has the set; equal texts are one row
         wanted = written(spark, where.where(F.col("rep") >= _NAMELESS).join(
-            labelled().select("rep", F.col("first.t").alias("t")), "rep"), "shingle-wanted")
+            labelled(first).select("rep", F.col("first.t").alias("t")), "rep"), "shingle-wanted")
         texts = (hashfilter.keep_rows(docs.select("t", "text"), "t", written(spark, hashfilter.bit_words(wanted, "t"), "shingle-texts"))
                  .groupBy("t").agg(F.first("text").alias("text")))
         fetched = fetched.union(texts.join(wanted, "t").select("rep", "at", "text"))
@@ -417,7 +418,7 @@ def _classes(docs: DataFrame, k: int, threshold: tuple[int, int]) -> tuple[DataF
     more = _across_chunks(spark, pairs, sizes, blocks, component, num, den)
     if more is not None:
         component = connected_components(spark, links.union(more))
-    named = (labelled(F.count("*").alias("copies")).join(component, F.col("rep") == F.col("id"), "left")
+    named = (labelled(first, F.count("*").alias("copies")).join(component, F.col("rep") == F.col("id"), "left")
              .select("f", "g", "copies", "first", F.coalesce("component_id", "rep").alias("label")))
     if odd:
         named = written(spark, named, "shingle-named")
