@@ -19,7 +19,8 @@ from ledgerlake.session import build_session  # noqa: E402
 
 NAMES = ["account_summary", "account_summary_exact", "customer_master", "customer_master_exact",
          "customer_summary", "customer_summary_exact", "filter_date_from", "latest_by_key",
-         "agg_distinct_list", "left_join_chain"]
+         "agg_distinct_list", "left_join_chain", "self_join_latest",
+         "scan_csv_by_name", "publish_evolving_pruned", "customer_summary_published"]
 
 
 def main() -> None:
