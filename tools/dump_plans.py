@@ -36,7 +36,7 @@ def main() -> None:
         with redirect_stdout(buf):
             df.explain("formatted")
         text = re.sub(r"#\d+", "", buf.getvalue())            # stable across runs
-        text = re.sub(r"/[^ \]]*ledgerlake-[^/ \]]*", "<work>", text)
+        text = re.sub(r"(file:)?/[^ \],]*(ledgerlake-|/checkpoints/)[^ \],]*", "<work>", text)
         nodes = re.findall(r"^\(\d+\) (\w+)", text, flags=re.M)
         header = (f"# {name}: {nodes.count('Exchange')} shuffle exchanges, "
                   f"{nodes.count('BroadcastExchange')} broadcasts, "
