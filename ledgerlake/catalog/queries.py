@@ -23,6 +23,7 @@ from ledgerlake.operators.filters import filter_date_from, filter_nonempty
 from ledgerlake.operators.joins import (join_chain, latest_rows, left_join_aggregated,
                                         left_join_hot_right, left_join_residual)
 from ledgerlake.operators.mapping import apply_mapping, to_raw_strings
+from ledgerlake.operators.store import FolderStore, export_to_store
 from ledgerlake.plans import jobs, marts
 from ledgerlake.plans.staging import stage_table
 from ledgerlake.schemas import CASH_WITHDRAWAL, CREDIT_IN_CASH, PARTITIONS, mapping_for
@@ -255,6 +256,34 @@ def q_export_customer_summary_upsert(spark, sf_dir):
     return export.upsert_keyed(spark, first, root, periods=[period_literal(START_YEAR, START_MONTH)])
 
 
+@query("export_store_items")
+def q_export_store_items(spark, sf_dir):
+    """Items of month 1, month 2 and month 1 again put to a store outside the
+    tables: every key once."""
+    b = bank_tables(spark, sf_dir)
+    root = fresh_dir(spark, "store-customer-summary")
+    first = export.summary_items(_summary_exact(b, START_YEAR, START_MONTH))
+    second = export.summary_items(_summary_exact(b, NEXT_YEAR, NEXT_MONTH))
+    for items in (first, second, first):
+        export_to_store(items, FolderStore(spark, root), batch_size=5000)
+    return FolderStore.items(spark, root, first.schema, export.SUMMARY_KEYS)
+
+
+@query("stage_job_landing")
+def q_stage_job_landing(spark, sf_dir):
+    """The staging job over landing files of two column orders, read back by
+    its catalogue name."""
+    raw = raw_table(bank_tables(spark, sf_dir), "card")
+    root = fresh_dir(spark, "lake-card")
+    half = F.coalesce(F.pmod(F.xxhash64("card_id"), F.lit(2)), F.lit(0))
+    for i, columns in enumerate((raw.columns, raw.columns[::-1])):
+        raw.where(half == i).select(*columns).write.mode("append").option("header", True).csv(f"{root}/landing/card")
+    database = f"lake_{root[-12:]}"
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{root}/catalogue'")
+    jobs.stage_job(spark, root, "card", database)
+    return scan_table(spark, f"{database}.stage_card")
+
+
 # ---------------------------------------------------------------------------
 # filters and projections
 # ---------------------------------------------------------------------------

@@ -10,15 +10,14 @@ its periods, relative to the root; creating it (only where there is none)
 commits the version, so of two writers one is refused before its commit.
 Readers take the latest version of each period.
 
-For an external store, ``export_to_store`` sends batches of items from the
-executors (``foreachPartition``); nothing passes through the driver.
+Items for an external store are sent by ``ledgerlake.operators.store``.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +26,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ledgerlake import files
 from ledgerlake.functions.scalars import exact_decimal
+from ledgerlake.operators.store import export_to_store  # noqa: F401  (part of the export)
 
 MANIFEST_SCHEMA = T.StructType([T.StructField("period", T.StringType(), False),
                                 T.StructField("version", T.LongType(), False),
@@ -194,21 +194,3 @@ def remove_superseded(spark: SparkSession, root: str) -> int:
             if part == "_staging" or name not in used:
                 removed += files.delete(spark, f"{root}/{part}/{name}")
     return removed
-
-
-def export_to_store(df: DataFrame, put_batch: Callable[[list[dict]], None],
-                    batch_size: int = 25) -> None:
-    """Send every row as an item to an external store, in batches, from the
-    executors.  ``put_batch`` must be picklable and idempotent per item."""
-
-    def send(rows: Iterable) -> None:
-        buf: list[dict] = []
-        for row in rows:
-            buf.append(row.asDict())
-            if len(buf) >= batch_size:
-                put_batch(buf)
-                buf = []
-        if buf:
-            put_batch(buf)
-
-    df.foreachPartition(send)

@@ -194,16 +194,15 @@ def customer_summary(spark: SparkSession, root: str, year: int, month: int, exac
 
 
 def customer_summary_export_job(spark: SparkSession, root: str, year: int, month: int,
-                                put_batch: Callable[[list[dict]], None] | None = None) -> DataFrame:
+                                put_batch: object | Callable[[list[dict]], None] | None = None) -> DataFrame:
     """Keyed export of the month's summary: an upsert into the versioned
     export table, and optionally batched puts to an external store from the
-    executors."""
+    executors or another store (``operators.store``)."""
     items = export.summary_items(customer_summary(spark, root, year, month, exact=True))
     table = export.upsert_keyed(spark, items, _p(root, "export", "customer_summary"), periods=[period_literal(year, month)])
     if put_batch is not None:
         # Send the committed rows of this period (a scan), not a recomputation.
-        export.export_to_store(table.where(F.col(export.PERIOD_COL) == period_literal(year, month)),
-                               put_batch)
+        export.export_to_store(table.where(F.col(export.PERIOD_COL) == period_literal(year, month)), put_batch)
     return table
 
 

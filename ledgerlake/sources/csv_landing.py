@@ -56,26 +56,32 @@ def _names(line: Column) -> Column:
     return F.transform(_fields(line), lambda x: F.lower(F.trim(F.regexp_replace(F.trim(x), '(?s)^"(.*)"$', "$1"))))
 
 
-def _first_record(batches):
-    """The first record of a file: its first line that is not blank, and the
-    lines after it while a quote is open.  Stops reading there."""
-    lines: list[str] = []
-    name = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        name = batch.column("file")[0].as_py()
-        if batch.column("start")[0].as_py():   # not the beginning of its file
-            return
-        for line in batch.column("value").to_pylist():
-            if lines or line.strip("\ufeff \t\r"):
-                lines.append(line)
-                if "\n".join(lines).count('"') % 2 == 0:
-                    yield pa.RecordBatch.from_pydict({"file": [name], "record": ["\n".join(lines)], "lines": [len(lines)]})
-                    return
-    if lines:
-        yield pa.RecordBatch.from_pydict({"file": [name], "record": ["\n".join(lines)], "lines": [len(lines)]})
-
+def _head_reader():
+    """For a task: the first record of its file, which is the first line that
+    is not blank and the lines after it while a quote is open.  Stops reading
+    there.  An inner function goes to the tasks whole, so that they need no
+    copy of this package."""
+    def run(batches):
+        lines: list[str] = []
+        name = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            name = batch.column("file")[0].as_py()
+            if batch.column("start")[0].as_py():   # not the beginning of its file
+                return
+            for line in batch.column("value").to_pylist():
+                if lines or line.strip("\ufeff \t\r"):
+                    lines.append(line)
+                    if "\n".join(lines).count('"') % 2 == 0:
+                        yield pa.RecordBatch.from_pydict({"file": [name], "record": ["\n".join(lines)], "lines": [len(lines)]})
+                        return
+        if lines:
+            yield pa.RecordBatch.from_pydict({"file": [name], "record": ["\n".join(lines)], "lines": [len(lines)]})
+    return run
+
+
+_first_record = _head_reader()
 
 #: Lines that a task takes before it looks for the end of the header.
 _HEAD_LINES = 16
