@@ -141,19 +141,19 @@ def _describe(k: int, num: int, den: int, last):
 
 
 def _block_rows(k: int, last):
-    """(id, [(centre, chunk)], text) -> one row per block: id and its ordered set."""
+    """(id, [(centre, chunk, early)], text) -> one row per block: id and its ordered set."""
     def run(batches):
         for batch in batches:
             for a, b, key, off in _ordered(batch.column(2), k, last.value):
                 where = batch.column(1).slice(a, b - a).to_pylist()
                 ids = batch.column(0).slice(a, b - a).to_pylist()
-                rows = [(w["c"], w["chunk"], ids[i], key[off[i]:off[i + 1]].tobytes())
+                rows = [(w["c"], w["chunk"], ids[i], w["early"], key[off[i]:off[i + 1]].tobytes())
                         for i, ws in enumerate(where) for w in ws]
                 for j in range(0, len(rows), 512):
-                    c, chunk, rep, keys = zip(*rows[j:j + 512])
+                    c, chunk, rep, early, keys = zip(*rows[j:j + 512])
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(chunk, pa.int64()),
-                                                      pa.array(rep, pa.int64()), pa.array(keys, pa.binary())],
-                                                     ["c", "chunk", "rep", "keys"])
+                                                      pa.array(rep, pa.int64()), pa.array(early, pa.bool_()),
+                                                      pa.array(keys, pa.binary())], ["c", "chunk", "rep", "early", "keys"])
     return run
 
 
@@ -230,19 +230,25 @@ class _Trie:
                 yield y, int(seen[d]), d
 
 
-def trie_links(sets: list[np.ndarray], labels, num: int, den: int, probes=None) -> list[tuple[int, int]]:
+def trie_links(sets: list[np.ndarray], labels, num: int, den: int, probes=None, early=None) -> list[tuple[int, int]]:
     """Links (i, j) between the ordered sets of one block that join two so far
     separate groups; ``labels`` are the groups known before, ``probes`` the
-    rows to compare with all rows (default: every row)."""
+    rows to compare with all rows (default: every row), ``early`` the rows of
+    which every pair to compare has at least one (default: every row)."""
     if len(sets) < 2:
         return []
+    early = [True] * len(sets) if early is None else early
+    if not any(early):
+        return []
+    if not all(early) and probes is None:   # only early rows need be walked from
+        probes = [i for i, e in enumerate(early) if e]
     groups, trie, sizes = _Groups(labels), _Trie(sets), [len(s) for s in sets]
     found, done = [], [False] * len(sets)
     for x in (range(len(sets)) if probes is None else probes):
         done[x] = True
         if not sizes[x]:
             continue
-        for y, overlap, _ in trie.walk(x, sizes, num, den, lambda y, x=x: done[y] or groups.root(x) == groups.root(y)):
+        for y, overlap, _ in trie.walk(x, sizes, num, den, lambda y, x=x: done[y] or not (early[x] or early[y]) or groups.root(x) == groups.root(y)):
             if den * overlap >= num * (sizes[x] + sizes[y] - overlap):
                 found.append((x, y))
                 groups.up[groups.root(x)] = groups.root(y)
@@ -287,15 +293,15 @@ def _promising(num: int, den: int):
 
 
 def _block_links(num: int, den: int):
-    """Sorted rows (block key..., rep, label, probe, keys) -> links (a, b)."""
+    """Sorted rows (block key..., rep, label, probe, early, keys) -> links (a, b)."""
     def solve(rows):
         reps = [r[0] for r in rows]
-        sets = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
+        sets = [np.frombuffer(r[4], dtype=np.uint64) for r in rows]
         probes = [i for i, r in enumerate(rows) if r[2]]
         if len(probes) == len(rows):
             probes = None
         groups = _Groups(range(len(rows)))
-        for i, j in trie_links(sets, [r[1] for r in rows], num, den, probes):
+        for i, j in trie_links(sets, [r[1] for r in rows], num, den, probes, [r[3] for r in rows]):
             groups.up[groups.root(i)] = groups.root(j)
         least: dict = {}  # every member is tied to the smallest id of its group
         for i, rep in enumerate(reps):
@@ -323,7 +329,7 @@ def _block_links(num: int, den: int):
 
 
 def _links_of(blocks: DataFrame, num: int, den: int) -> DataFrame:
-    rows = blocks.select("c", "chunk", "piece", "rep", "label", "probe", "keys")
+    rows = blocks.select("c", "chunk", "piece", "rep", "label", "probe", "early", "keys")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.repartition(parts, "c", "chunk", "piece").sortWithinPartitions("c", "chunk", "piece")
             .mapInArrow(_block_links(num, den), "a long, b long"))
@@ -383,11 +389,12 @@ def _classes(docs: DataFrame, k: int, threshold: tuple[int, int]) -> tuple[DataF
     light = (heads.where("s >= 0").withColumn("before", F.lag("n").over(by_size))
              .withColumn("run", F.sum(F.when(F.col("before") * den >= F.col("n") * num, 0).otherwise(1)).over(by_size))
              .withColumn("c", F.min("rep").over(run)).withColumn("z", F.max("rep").over(run))
-             .withColumn("e", F.max("early").over(run)).where("c < z and e").select("rep", "c"))
+             .withColumn("e", F.max("early").over(run)).where("c < z and e").select("rep", "c", "early"))
     frequent = heads.where("s < 0")
     centre = (frequent.groupBy("s").agg(F.min("rep").alias("c"), F.max("rep").alias("z"), F.max("early").alias("e"))
               .where("c < z and e").select("s", "c"))
-    pairs = written(spark, light.union(frequent.join(centre, "s").select("rep", "c")).distinct(), "shingle-pairs")
+    pairs = written(spark, light.union(frequent.join(centre, "s").select("rep", "c", "early"))
+                    .groupBy("rep", "c").agg(F.max("early").alias("early")), "shingle-pairs")
 
     sizes = pairs.groupBy("c").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     sized = pairs.join(sizes, "c")
@@ -396,11 +403,11 @@ def _classes(docs: DataFrame, k: int, threshold: tuple[int, int]) -> tuple[DataF
     small = (sized.where("chunks = 1").join(heads_of, F.col("rep") == F.col("r")).select("c", "rep", "n", "head")
              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c").sortWithinPartitions("c")
              .mapInArrow(_promising(num, den), "c long, rep long").distinct())
-    placed = small.select("rep", F.struct("c", F.lit(0).cast("long").alias("chunk")).alias("at")).union(
+    placed = small.select("rep", F.struct("c", F.lit(0).cast("long").alias("chunk"), F.lit(True).alias("early")).alias("at")).union(
         sized.where("chunks > 1").select("rep", F.explode(F.transform(
             F.when(F.col("rep") == F.col("c"), F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
             .otherwise(F.array(F.pmod(F.xxhash64("rep"), "chunks"))),
-            lambda chunk: F.struct(F.col("c").alias("c"), chunk.alias("chunk")))).alias("at")))
+            lambda chunk: F.struct(F.col("c").alias("c"), chunk.alias("chunk"), F.col("early").alias("early")))).alias("at")))
     where = placed.groupBy("rep").agg(F.collect_list("at").alias("at"))
     fetched = docs.join(where, F.col("doc_id") == F.col("rep")).select("rep", "at", "text")
     if odd:  # by the hash of a text that has the set; equal texts are one row
@@ -409,10 +416,10 @@ def _classes(docs: DataFrame, k: int, threshold: tuple[int, int]) -> tuple[DataF
         texts = (hashfilter.keep_rows(docs.select("t", "text"), "t", written(spark, hashfilter.bit_words(wanted, "t"), "shingle-texts"))
                  .groupBy("t").agg(F.first("text").alias("text")))
         fetched = fetched.union(texts.join(wanted, "t").select("rep", "at", "text"))
-    blocks = written(spark, fetched.mapInArrow(_block_rows(k, last), "c long, chunk long, rep long, keys binary"), "shingle-blocks")
+    blocks = written(spark, fetched.mapInArrow(_block_rows(k, last), "c long, chunk long, rep long, early boolean, keys binary"), "shingle-blocks")
     links = written(spark, _links_of(blocks.select(
-        "c", "chunk", F.lit(0).alias("piece"), "rep", F.col("rep").alias("label"), F.lit(True).alias("probe"), "keys"),
-        num, den), "shingle-links")
+        "c", "chunk", F.lit(0).alias("piece"), "rep", F.col("rep").alias("label"), F.lit(True).alias("probe"),
+        "early", "keys"), num, den), "shingle-links")
     component = connected_components(spark, links)
 
     more = _across_chunks(spark, pairs, sizes, blocks, component, num, den)
@@ -430,24 +437,44 @@ def _classes(docs: DataFrame, k: int, threshold: tuple[int, int]) -> tuple[DataF
 
 
 def _across_chunks(spark, pairs, sizes, blocks, component, num, den) -> DataFrame | None:
-    """Links between chunks of one block: members outside the centre's
-    component against every chunk of the block, in pieces of CHUNK rows."""
+    """Links between chunks of one block, beside the centre, which every chunk
+    holds.  The shorter set of a linked pair has their first shared shingle
+    early, so at least one of the two is early in the block; and members of
+    the centre's component need no link among themselves.  Thus early members
+    outside that component go against every chunk, and the others outside it
+    against the early members within it, both in pieces of CHUNK rows."""
     label = component.select(F.col("id").alias("rep"), F.col("component_id").alias("own"))
     centre = component.select(F.col("id").alias("c"), F.col("component_id").alias("home"))
-    members = (pairs.join(sizes.where("chunks > 1"), "c").join(label, "rep", "left").join(centre, "c", "left")
-               .select("c", "rep", "chunks", F.coalesce("own", "rep").alias("label"),
+    members = (pairs.join(sizes.where("chunks > 1"), "c").where("rep <> c").join(label, "rep", "left").join(centre, "c", "left")
+               .select("c", "rep", "chunks", "early", F.coalesce("own", "rep").alias("label"),
                        (F.coalesce("own", "rep") != F.coalesce("home", "c")).alias("apart")))
     members = written(spark, members, "shingle-members")
-    pieces = members.where("apart").groupBy("c").agg(F.ceil(F.count("*") / CHUNK).alias("pieces"))
+
+    def number(which):
+        return F.ceil(F.count_if(which) / CHUNK)
+    apart, early = F.col("apart"), F.col("early")
+    pieces = members.groupBy("c").agg(number(apart & early).alias("pieces"), number(apart & ~early).alias("late_pieces"),
+                                      number(~apart & early).alias("early_chunks"))
+    pieces = written(spark, pieces.where("pieces > 0 or (late_pieces > 0 and early_chunks > 0)"), "shingle-pieces")
     if pieces.isEmpty():
         return None
-    rows = blocks.join(members.join(pieces, "c"), ["c", "rep"])
+    rows = blocks.drop("early").join(members.join(pieces, "c"), ["c", "rep"])
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    index = rows.withColumn("piece", every("pieces")).withColumn("probe", F.lit(False))
-    probe = (rows.where("apart").withColumn("piece", F.pmod(F.xxhash64("rep"), "pieces"))
-             .withColumn("chunk", every("chunks")).withColumn("probe", F.lit(True)))
-    columns = ["c", "chunk", "piece", "rep", "label", "probe", "keys"]
-    return written(spark, _links_of(index.select(columns).union(probe.select(columns)), num, den), "shingle-links")
+    part = lambda n: F.pmod(F.xxhash64("rep"), n)
+    some, late = rows.where("pieces > 0"), rows.where("late_pieces > 0 and early_chunks > 0")
+    # pieces of late members have numbers below zero
+    jobs = [
+        some.withColumn("piece", every("pieces")).withColumn("probe", F.lit(False)),
+        some.where(apart & early).withColumn("piece", part("pieces")).withColumn("chunk", every("chunks")).withColumn("probe", F.lit(True)),
+        late.where(~apart & early).withColumn("chunk", part("early_chunks")).withColumn("piece", every("late_pieces")).withColumn("piece", -1 - F.col("piece"))
+        .withColumn("probe", F.lit(False)),
+        late.where(apart & ~early).withColumn("piece", -1 - part("late_pieces")).withColumn("chunk", every("early_chunks"))
+        .withColumn("probe", F.lit(True))]
+    columns = ["c", "chunk", "piece", "rep", "label", "probe", "early", "keys"]
+    together = jobs[0].select(columns)
+    for job in jobs[1:]:
+        together = together.union(job.select(columns))
+    return written(spark, _links_of(together, num, den), "shingle-links")
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:

@@ -101,6 +101,27 @@ def test_components_equal_brute_force(spark, monkeypatch, k, threshold, chunk):
     assert got == brute(rows, k, *threshold)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_shared_passages_below_the_threshold(spark, monkeypatch, seed):
+    """Pages with one long passage and some text of their own: short ones link
+    with the centre of the passage's block, long ones only with their copies,
+    and some in between only with a short page of another chunk."""
+    monkeypatch.setattr(nj, "CHUNK", 8)
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(50)]
+    pages = []
+    for i in range(150):
+        own = [f"o{i}x{j}" for j in range(rng.choice([0, 1, 2, 3, 4, 5, 6, 8, 12, 20]))]
+        pages.append(own + passage[rng.choice([0, 0, 0, 4, 8]):])
+        if rng.random() < 0.2:
+            pages.append(pages[-1] + [f"q{i}"])
+    rng.shuffle(pages)
+    rows = [(i + 1, " ".join(p)) for i, p in enumerate(pages)] + [(0, " ".join(passage[-6:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {tuple(r) for r in nj.ngram_components(docs, 4, (85, 100)).collect()}
+    assert got == brute(rows, 4, 85, 100)
+
+
 def test_keep_one_keeps_columns_and_one_of_each_class(spark):
     docs = spark.createDataFrame([(3, "a b c d e f", 1), (1, "A b c d e f", 2), (2, "other words entirely here now", 3), (None, "a b c d e f", 4),
                                   (5, None, 5)], "doc_id long, text string, gone int")
