@@ -458,23 +458,24 @@ def _across_chunks(spark, pairs, sizes, blocks, component, num, den) -> DataFram
     pieces = written(spark, pieces.where("pieces > 0 or (late_pieces > 0 and early_chunks > 0)"), "shingle-pieces")
     if pieces.isEmpty():
         return None
-    rows = blocks.drop("early").join(members.join(pieces, "c"), ["c", "rep"])
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    part = lambda n: F.pmod(F.xxhash64("rep"), n)
-    some, late = rows.where("pieces > 0"), rows.where("late_pieces > 0 and early_chunks > 0")
-    # pieces of late members have numbers below zero
-    jobs = [
-        some.withColumn("piece", every("pieces")).withColumn("probe", F.lit(False)),
-        some.where(apart & early).withColumn("piece", part("pieces")).withColumn("chunk", every("chunks")).withColumn("probe", F.lit(True)),
-        late.where(~apart & early).withColumn("chunk", part("early_chunks")).withColumn("piece", every("late_pieces")).withColumn("piece", -1 - F.col("piece"))
-        .withColumn("probe", F.lit(False)),
-        late.where(apart & ~early).withColumn("piece", -1 - part("late_pieces")).withColumn("chunk", every("early_chunks"))
-        .withColumn("probe", F.lit(True))]
-    columns = ["c", "chunk", "piece", "rep", "label", "probe", "early", "keys"]
-    together = jobs[0].select(columns)
-    for job in jobs[1:]:
-        together = together.union(job.select(columns))
-    return written(spark, _links_of(together, num, den), "shingle-links")
+    # blocks with work first, so that only their sets move
+    rows = blocks.drop("early").join(pieces, "c").join(members, ["c", "rep"])
+
+    def jobs(which, n, place):
+        every = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(F.col(n), F.lit(1)) - 1), place)
+        return F.when(which, every).otherwise(F.array().cast("array<struct<chunk:bigint,piece:bigint,probe:boolean>>"))
+
+    def place(chunk, piece, probe):
+        return F.struct(chunk.cast("long").alias("chunk"), piece.cast("long").alias("piece"), F.lit(probe).alias("probe"))
+    part = lambda n: F.pmod(F.xxhash64("rep"), F.greatest(F.col(n), F.lit(1)))
+    some, late = F.col("pieces") > 0, (F.col("late_pieces") > 0) & (F.col("early_chunks") > 0)
+    rows = rows.withColumn("at", F.explode(F.concat(   # pieces of late members have numbers below zero
+        jobs(some, "pieces", lambda piece: place(F.col("chunk"), piece, False)),
+        jobs(some & apart & early, "chunks", lambda chunk: place(chunk, part("pieces"), True)),
+        jobs(late & ~apart & early, "late_pieces", lambda piece: place(part("early_chunks"), -1 - piece, False)),
+        jobs(late & apart & ~early, "early_chunks", lambda chunk: place(chunk, -1 - part("late_pieces"), True)))))
+    rows = rows.select("c", "at.chunk", "at.piece", "rep", "label", "at.probe", "early", "keys")
+    return written(spark, _links_of(rows, num, den), "shingle-links")
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
