@@ -14,6 +14,9 @@ from ledgerlake.llm import decontaminate, lang_kn, ngram_join, packing, quality_
 from ledgerlake.llm.components import written
 from ledgerlake.llm.queries import LANGUAGE_LEARN, QUALITY_LEARN, table
 
+#: Words that a tokenising worker remembers (some 20 MB), beside what the earlier stages have left in its memory.
+REMEMBER = 170_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -37,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of 4096 tokens."""
-    return packing.pack(docs)
+    return packing.pack(docs, remember=REMEMBER)
 
 
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates),

@@ -1,9 +1,9 @@
 """Benchmark decontamination by suffix arrays of the training text.
 
-Every run of training documents (a few MB) gets a suffix array over its words:
-the places whose first words (four, by hash; fewer for shorter windows) begin
-some benchmark window, sorted by the 13 words that follow and no further.  All
-benchmark windows are then located by binary search; the words inside an
+Every run of training documents (half a MB, or one longer text) gets a suffix
+array over its words: the places whose first words (four, by hash; fewer for
+shorter windows) begin some benchmark window, sorted by the 13 words that
+follow and no further.  All benchmark windows are then located by binary search; the words inside an
 occurrence are hit, neighbouring occurrences on one diagonal give the longest
 verbatim match and its place.  Only whole windows are searched: a verbatim
 match of fewer than 13 words of a longer item has no window, so ``longest`` is
@@ -33,7 +33,8 @@ from ledgerlake.llm import vectext as vt
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
-_RUN_BYTES = 4 << 20
+#: Text of one suffix array; its arrays take many times as much memory.
+_RUN_BYTES = 1 << 19
 #: Words of a window's start by which places are chosen for the suffix array.
 _START = 4
 

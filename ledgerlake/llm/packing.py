@@ -105,7 +105,7 @@ def _ids_of(tokenizer, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
             yield words[i], np.array(e.ids, dtype="<u4").tobytes()
 
 
-def encode_all(texts: list[bytes], path: str) -> Iterator[bytes]:
+def encode_all(texts: list[bytes], path: str, remember: int = _REMEMBER) -> Iterator[bytes]:
     """Ids of each text as little-endian 32-bit numbers.
 
     The vocabulary never merges across white space, so the blank-separated
@@ -114,9 +114,10 @@ def encode_all(texts: list[bytes], path: str) -> Iterator[bytes]:
     tokenizer, known = _tokenizer(path)
     words = [_simpler(t).split() for t in texts]
     new = set(chain.from_iterable(words)).difference(known)
-    if len(known) + len(new) > _REMEMBER:
+    if len(known) + len(new) > remember:
+        kept = {w: known[w] for w in set(chain.from_iterable(words)).difference(new)}
         known.clear()
-        new = set(chain.from_iterable(words))
+        known.update(kept)
     parts = {w: _parts(w) for w in new}
     cores = [c for c in set(chain.from_iterable(parts.values())) if c not in known]
     known.update(_ids_of(tokenizer, cores))
@@ -127,7 +128,7 @@ def encode_all(texts: list[bytes], path: str) -> Iterator[bytes]:
         yield b"".join(map(known.__getitem__, w))
 
 
-def _pieces(path: str, capacity: int):
+def _pieces(path: str, capacity: int, remember: int = _REMEMBER):
     def run(batches):
         part = TaskContext.get().partitionId()
         count = np.zeros(capacity + 1, np.int64)
@@ -137,7 +138,7 @@ def _pieces(path: str, capacity: int):
             for a, b in vt.slices(off, 1 << 20):
                 texts = [data[off[i]:off[i + 1]].tobytes() for i in range(a, b)]
                 of, piece, start, length, crc, rank = [], [], [], [], [], []
-                for i, ids in enumerate(encode_all(texts, path)):
+                for i, ids in enumerate(encode_all(texts, path, remember)):
                     ids += end
                     for p in range(0, len(ids), 4 * capacity):
                         own = ids[p:p + 4 * capacity]
@@ -264,17 +265,19 @@ def _place(table):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, remember: int = _REMEMBER) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text) with their places in sequences of at
     most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32,
-    sequence_id, offset.  ``tokenizer``: file that every executor can read."""
+    sequence_id, offset.  ``tokenizer``: file that every executor can read.
+    ``remember``: words whose ids a worker keeps, which decides its memory and
+    time, never the result."""
     if tokenizer is None:
         import public_tokenizers
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     pieces = written(spark, docs.select("doc_id", "text").mapInArrow(
-        _pieces(tokenizer, capacity), shape + ", part int, nth long"), "pieces")
+        _pieces(tokenizer, capacity, remember), shape + ", part int, nth long"), "pieces")
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("c"))
     histogram = {r.length: r.c for r in counts.groupBy("length").agg(F.sum("c").alias("c")).collect()}  # <= capacity rows
     table = spark.sparkContext.broadcast(plan(histogram, capacity)[0])

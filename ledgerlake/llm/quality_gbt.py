@@ -34,7 +34,7 @@ _RUN_BYTES = 2 << 20
 
 # classes of bytes
 _LOWER, _UPPER, _DIGIT, _SPACE, _LINE, _STOP, _WIDE, _OTHER = range(8)
-_CLASS = np.full(256, _OTHER, dtype=np.int64)
+_CLASS = np.full(256, _OTHER, dtype=np.int8)
 _CLASS[0x61:0x7B], _CLASS[0x41:0x5B], _CLASS[0x30:0x3A], _CLASS[0x80:] = _LOWER, _UPPER, _DIGIT, _WIDE
 _CLASS[[0x20, 9, 11, 12, 13]], _CLASS[10] = _SPACE, _LINE
 _CLASS[[ord(c) for c in ".,;:'\"!?()-"]] = _STOP
@@ -71,8 +71,9 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Statistics [rows, features] of the texts in a buffer."""
     rows = len(off) - 1
     size = np.diff(off)
-    of = np.repeat(np.arange(rows), size)
-    kinds = np.bincount(of * 8 + _CLASS[data], minlength=rows * 8).reshape(rows, 8)
+    # bytes of each class by their places, one class at a time
+    kind = _CLASS[data]
+    kinds = np.column_stack([np.diff(np.searchsorted(np.flatnonzero(kind == c), off)) for c in range(8)])
     start, end, first = vt.word_spans(data, off, vt.SPACE_WORDS)
     n = np.diff(first)
     word = vt.word_hashes(data, start, end)
@@ -91,8 +92,8 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     lines = np.diff(lf)
     l_distinct, _ = _distinct(vt.word_hashes(data, ls, le), lf)
     ends_other = (_CLASS[data[end - 1]] == _OTHER) if len(word) else np.zeros(0)
-    others = np.concatenate([[0], np.cumsum(_CLASS[data] == _OTHER)])
-    only = (others[end] - others[start]) == length if len(word) else np.zeros(0)
+    others = np.flatnonzero(kind == _OTHER)
+    only = (np.searchsorted(others, end) - np.searchsorted(others, start)) == length if len(word) else np.zeros(0)
     begins = (_CLASS[data[start]] == _UPPER) if len(word) else np.zeros(0)
     share = _share(kinds, size[:, None])
     sn = np.diff(so)

@@ -3,10 +3,14 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import decontaminate as dc
+from ledgerlake.llm import vectext as vt
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -97,3 +101,30 @@ def test_remove_judges_every_row_by_its_own_text(spark, block):
     kept = dc.remove(d, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block)
     assert kept.columns == d.columns
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)
+
+
+def test_memory_of_a_task_does_not_grow_with_its_batch():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 400)) for _ in range(6000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    items = pa.table({"item_id": ["a", "b"], "text": [texts[7], " ".join(texts[8].split()[:5])]})
+
+    class Block:
+        value = dc.windows_of(items)
+    list(dc._keep_clean(Block, 20)([batch.slice(0, 10)]))
+    tracemalloc.start()
+    kept = sum(out.num_rows for out in dc._keep_clean(Block, 20)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert kept == len(texts) - 1
+    assert peak < 32 << 20, f"{peak >> 20} MB for {batch.nbytes >> 20} MB of text"
+
+
+def test_word_hashes_do_not_depend_on_where_sums_begin(monkeypatch):
+    text = b"One two  three " + b"x" * 300 + b" \xc3\xa9t\xc3\xa9 TWO, three " * 20
+    data = np.frombuffer(text, np.uint8)
+    start, end, _ = vt.word_spans(data, np.array([0, len(data)]), vt.SPACE_WORDS)
+    alone = [vt.word_hashes(data[a:b], np.array([0]), np.array([b - a]))[0] for a, b in zip(start, end)]
+    for most in (1, 7, 64, 1 << 20):
+        monkeypatch.setattr(vt, "_SUM_BYTES", most)
+        assert vt.word_hashes(data, start, end).tolist() == alone

@@ -103,3 +103,14 @@ def test_marks_of_small_letters_join_the_stop(spark):
     tokenizer = Tokenizer.from_file(path)
     want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert list(pk.encode_all([t.encode() for t in texts], path)) == want
+
+
+def test_a_worker_that_remembers_few_words_gives_the_same_ids():
+    texts = [" ".join(f"Wort{(i * j) % 97}. der{j}, {i}" for j in range(40)).encode() for i in range(30)]
+    pk._loaded.clear()
+    every = list(pk.encode_all(texts, PATH))
+    pk._loaded.clear()
+    few = [ids for t in texts for ids in pk.encode_all([t], PATH, remember=100)]
+    assert few == every
+    assert len(pk._loaded[PATH][1]) < 300
+    pk._loaded.clear()
